@@ -107,3 +107,144 @@ def product_paths(lim: Limits = TABLE_LIMITS) -> str:
 SELECT CASE WHEN productCount % 2 = 0 THEN 'transactional' ELSE 'plain' END AS path,
        count(*) AS n_orders, CAST(sum(price) AS DOUBLE) AS revenue
 FROM routed WHERE valuable GROUP BY 1"""
+
+
+# --------------------------------------------------------------------------
+# Reservation fold (R1/R2): a recursive CTE stepping rn -> rn + 1 per key.
+
+def _side_params(side: str, lim: Limits) -> dict:
+    if side == "pay":
+        return dict(key="customerId", amt="price", init=f"CAST({lim.initial_credit} AS DECIMAL(18,2))",
+                    guard=f"CAST({lim.price_guard} AS DECIMAL(18,2))", msg="Price is too high",
+                    typ="DECIMAL(18,2)", zero="CAST(0 AS DECIMAL(18,2))", src="PAYMENT", delay=7)
+    return dict(key="marketId", amt="productCount", init=f"{lim.initial_items}",
+                guard=f"{lim.count_guard}", msg="Product Count is too high",
+                typ="INTEGER", zero="0", src="STOCK", delay=23)
+
+
+def fold_cte(side: str, lim: Limits) -> str:
+    p = _side_params(side, lim)
+    return f""",
+{side}_ev AS (
+  SELECT {p['key']} AS k, id, seq, ts, customerId, marketId, productCount, price, {p['amt']} AS amt,
+         row_number() OVER (PARTITION BY {p['key']} ORDER BY ts, seq) AS rn
+  FROM success WHERE {p['key']} IS NOT NULL),
+{side}_fold AS (
+  SELECT k, rn, id, seq, ts, customerId, marketId, productCount, price, amt,
+         CASE WHEN amt <= {p['init']} THEN 'ACCEPT' ELSE 'REJECT' END AS status,
+         CASE WHEN amt >= {p['guard']} THEN '{p['msg']}' END AS error,
+         CAST(CASE WHEN amt >= {p['guard']} OR amt > {p['init']} THEN {p['init']}
+                   ELSE {p['init']} - amt END AS {p['typ']}) AS available,
+         CAST(CASE WHEN amt >= {p['guard']} OR amt > {p['init']} THEN {p['zero']}
+                   ELSE amt END AS {p['typ']}) AS reserved
+  FROM {side}_ev WHERE rn = 1
+  UNION ALL
+  SELECT e.k, e.rn, e.id, e.seq, e.ts, e.customerId, e.marketId, e.productCount, e.price, e.amt,
+         CASE WHEN e.amt <= f.available THEN 'ACCEPT' ELSE 'REJECT' END,
+         CASE WHEN e.amt >= {p['guard']} THEN '{p['msg']}' END,
+         CAST(CASE WHEN e.amt >= {p['guard']} OR e.amt > f.available THEN f.available
+                   ELSE f.available - e.amt END AS {p['typ']}),
+         CAST(CASE WHEN e.amt >= {p['guard']} OR e.amt > f.available THEN f.reserved
+                   ELSE f.reserved + e.amt END AS {p['typ']})
+  FROM {side}_fold f JOIN {side}_ev e ON e.k = f.k AND e.rn = f.rn + 1),
+{side}_balance AS (
+  SELECT k, available, reserved FROM {side}_fold
+  QUALIFY rn = max(rn) OVER (PARTITION BY k)),
+{side}_replies AS (
+  SELECT id, status, ts + to_seconds(CAST(seq % {p['delay']} AS BIGINT)) AS rts,
+         customerId, marketId, productCount, price
+  FROM {side}_fold WHERE error IS NULL AND status IN ('ACCEPT', 'REJECT'))"""
+
+
+def saga_ctes(lim: Limits) -> str:
+    return "WITH RECURSIVE " + enriched_cte(lim) + fold_cte("pay", lim) + fold_cte("stk", lim) + f""",
+pairs AS (
+  SELECT p.id, p.customerId, p.marketId, p.productCount, p.price,
+         p.status AS p_status, s.status AS s_status, greatest(p.rts, s.rts) AS ts
+  FROM pay_replies p JOIN stk_replies s
+    ON p.id = s.id
+   AND s.rts BETWEEN p.rts - INTERVAL {lim.join_window_seconds} SECOND
+                 AND p.rts + INTERVAL {lim.join_window_seconds} SECOND),
+decisions AS (
+  SELECT id, customerId, marketId, productCount, price, ts,
+         CASE WHEN p_status = 'ACCEPT' AND s_status = 'ACCEPT' THEN 'CONFIRMED'
+              WHEN p_status = 'REJECT' AND s_status = 'REJECT' THEN 'REJECT'
+              WHEN p_status = 'REJECT' OR s_status = 'REJECT' THEN 'ROLLBACK' END AS status,
+         CASE WHEN (p_status = 'REJECT') <> (s_status = 'REJECT')
+              THEN CASE WHEN p_status = 'REJECT' THEN 'PAYMENT' ELSE 'STOCK' END END AS source,
+         CASE WHEN p_status IS NULL OR s_status IS NULL THEN 'null status'
+              WHEN price IS NULL THEN 'price is null'
+              WHEN price >= CAST({lim.price_guard} AS DECIMAL(18,2)) THEN 'Price is too high' END AS error
+  FROM pairs)"""
+
+
+def credit_reservation(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT id, k AS customerId, status, error,
+       CAST(available AS DOUBLE) AS available, CAST(reserved AS DOUBLE) AS reserved
+FROM pay_fold"""
+
+
+def stock_reservation(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT id, k AS marketId, status, error, available, reserved
+FROM stk_fold"""
+
+
+def credit_balance(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT k AS customerId, CAST(available AS DOUBLE) AS available, CAST(reserved AS DOUBLE) AS reserved
+FROM pay_balance"""
+
+
+def stock_balance(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT k AS marketId, available, reserved FROM stk_balance"""
+
+
+def order_decisions(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT id, customerId, marketId, productCount, CAST(price AS DOUBLE) AS price,
+       status, source, error, ts
+FROM decisions"""
+
+
+def _settled(side: str, lim: Limits) -> str:
+    p = _side_params(side, lim)
+    own = p["src"]
+    if lim.rollback_policy == "as_coded":
+        release = f"source = '{own}'"
+    else:
+        release = f"source IS NOT NULL AND source <> '{own}'"
+    cast = "DOUBLE" if side == "pay" else "INTEGER"
+    return saga_ctes(lim) + f""",
+deltas AS (
+  SELECT {p['key']} AS k,
+         sum(CASE WHEN status = 'ROLLBACK' AND {release} THEN {p['amt']} ELSE {p['zero']} END) AS d_available,
+         sum(CASE WHEN status = 'CONFIRMED' OR (status = 'ROLLBACK' AND {release})
+                  THEN -{p['amt']} ELSE {p['zero']} END) AS d_reserved,
+         sum(CASE WHEN status = 'CONFIRMED' THEN {p['amt']} ELSE {p['zero']} END) AS settled
+  FROM decisions
+  WHERE error IS NULL AND {p['key']} IS NOT NULL AND {p['amt']} < {p['guard']}
+  GROUP BY 1)
+SELECT b.k AS {p['key']},
+       CAST(b.available + coalesce(d.d_available, {p['zero']}) AS {cast}) AS available,
+       CAST(b.reserved + coalesce(d.d_reserved, {p['zero']}) AS {cast}) AS reserved,
+       CAST(coalesce(d.settled, {p['zero']}) AS {cast}) AS settled
+FROM {side}_balance b LEFT JOIN deltas d ON b.k = d.k"""
+
+
+def settled_credit(lim: Limits = TABLE_LIMITS) -> str:
+    return _settled("pay", lim)
+
+
+def settled_stock(lim: Limits = TABLE_LIMITS) -> str:
+    return _settled("stk", lim)
+
+
+def error_topic(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT id AS key, 'enrich' AS stage, error AS message FROM enriched WHERE error IS NOT NULL
+UNION ALL SELECT k, 'payment', error FROM pay_fold WHERE error IS NOT NULL
+UNION ALL SELECT k, 'stock', error FROM stk_fold WHERE error IS NOT NULL
+UNION ALL SELECT id, 'decision', error FROM decisions WHERE error IS NOT NULL"""

@@ -73,3 +73,85 @@ def q_product_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok, _ = rt.split(enriched(spark, sf_dir))
     return (rt.with_path(rt.valuable(ok, LIM)).groupBy("path")
             .agg(F.count(F.lit(1)).alias("n_orders"), to_double(F.sum("price")).alias("revenue")))
+
+
+# --------------------------------------------------------------------------
+# Reservation, decision, settlement.
+
+from ordertide.operators import errors as er  # noqa: E402
+from ordertide.operators import reservation as rv  # noqa: E402
+from ordertide.plans import saga  # noqa: E402
+
+
+def saga_of(spark: SparkSession, sf_dir: str, lim: Limits = LIM, persist: bool = False) -> "saga.SagaResult":
+    ok, _ = rt.split(enriched(spark, sf_dir, lim))
+    return saga.run(ok, lim, persist=persist)
+
+
+def q_credit_reservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = saga_of(spark, sf_dir)
+    return r.payment.select("id", "customerId", "status", "error",
+                            to_double(F.col("available")).alias("available"),
+                            to_double(F.col("reserved")).alias("reserved"))
+
+
+def q_stock_reservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = saga_of(spark, sf_dir)
+    return r.stock.select("id", "marketId", "status", "error", "available", "reserved")
+
+
+def q_credit_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = saga_of(spark, sf_dir).payment_balance()
+    return b.select("customerId", to_double(F.col("available")).alias("available"),
+                    to_double(F.col("reserved")).alias("reserved"))
+
+
+def q_stock_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return saga_of(spark, sf_dir).stock_balance()
+
+
+def q_order_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = saga_of(spark, sf_dir).decisions
+    return d.select("id", "customerId", "marketId", "productCount",
+                    to_double(F.col("price")).alias("price"), "status", "source", "error", "ts")
+
+
+def _settled(spark: SparkSession, sf_dir: str, lim: Limits, payment: bool) -> DataFrame:
+    r = saga_of(spark, sf_dir, lim, persist=True)
+    side = rv.payment_side(lim) if payment else rv.stock_side(lim)
+    s = r.settled(side)
+    if payment:
+        return s.select("customerId", *[to_double(F.col(c)).alias(c) for c in ("available", "reserved", "settled")])
+    return s
+
+
+def q_settled_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, sf_dir, LIM, True)
+
+
+def q_settled_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, sf_dir, LIM, False)
+
+
+AS_CODED = LIM.with_(rollback_policy="as_coded")
+
+
+def q_settled_credit_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, sf_dir, AS_CODED, True)
+
+
+def q_settled_stock_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, sf_dir, AS_CODED, False)
+
+
+def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error rows of all four stages in one frame (key, stage, message)."""
+    out = enriched(spark, sf_dir)
+    ok, _ = rt.split(out)
+    r = saga.run(ok, LIM)
+    return er.union_errors(
+        er.error_rows(out, "enrich", "id"),
+        er.error_rows(r.payment, "payment", "customerId"),
+        er.error_rows(r.stock, "stock", "marketId"),
+        er.error_rows(r.decisions, "decision", "id"),
+    )

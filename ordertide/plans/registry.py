@@ -19,6 +19,16 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "half_full_cart": (Q.q_half_full_cart, O.half_full_cart()),
     "topic_fanout": (Q.q_topic_fanout, O.topic_fanout()),
     "product_paths": (Q.q_product_paths, O.product_paths()),
+    "credit_reservation": (Q.q_credit_reservation, O.credit_reservation()),
+    "stock_reservation": (Q.q_stock_reservation, O.stock_reservation()),
+    "credit_balance": (Q.q_credit_balance, O.credit_balance()),
+    "stock_balance": (Q.q_stock_balance, O.stock_balance()),
+    "order_decisions": (Q.q_order_decisions, O.order_decisions()),
+    "settled_credit": (Q.q_settled_credit, O.settled_credit()),
+    "settled_stock": (Q.q_settled_stock, O.settled_stock()),
+    "settled_credit_as_coded": (Q.q_settled_credit_as_coded, O.settled_credit(Q.AS_CODED)),
+    "settled_stock_as_coded": (Q.q_settled_stock_as_coded, O.settled_stock(Q.AS_CODED)),
+    "error_topic": (Q.q_error_topic, O.error_topic()),
 }
 
 
