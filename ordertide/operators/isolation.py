@@ -1,0 +1,134 @@
+"""Delivery and isolation as table operators.
+
+A consumed record is a transaction ``txn_id``. Each attempt to process it runs
+the steps below; a failing external call (step 3) aborts the attempt and the
+record is redelivered, up to ``max_retries`` times.
+
+    step 1  save event row       -> table
+    step 2  send                 -> topic-test-1
+    step 3  call external API    (may fail)
+    step 4  save event row       -> table
+    step 5  send                 -> topic-test-2
+
+From the attempts, an *attempt log* of writes is derived and every write is
+tagged with what a read-committed and a read-uncommitted reader see. Whether a
+kind of write is transactional depends on the mode:
+
+    none        X1: nothing transactional; what was done before a failure stays
+    chained     X2/X4: table and topic in one chained transaction
+    table_only  X5: table transactional, sends not
+    topic_only  X5: sends transactional, table rows are not rolled back
+
+Aborted sends stay in the topic log and are seen by read-uncommitted readers
+only (X3); rolled-back table rows are seen by nobody. All operators are
+row-local or grouped sums; the per-record attempt count is bounded by
+``max_retries + 1``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ordertide import schema as S
+
+# Step numbers and the writes they make.
+STEP_SAVE_1, STEP_SEND_1, STEP_CALL, STEP_SAVE_2, STEP_SEND_2 = 1, 2, 3, 4, 5
+TABLE = "event"
+MODES = ("none", "chained", "table_only", "topic_only")
+
+
+def attempts(txns: DataFrame, max_retries: int, failures: str = "api_failures") -> DataFrame:
+    """One row per delivery attempt: attempt number and ``process_ok``.
+
+    ``failures`` holds how many calls fail before one succeeds. Attempts stop at
+    the first success or after ``max_retries + 1`` tries (X6).
+    """
+    limit = max_retries + 1
+    n = F.least(F.col(failures) + 1, F.lit(limit))
+    return (txns.withColumn("attempt", F.explode(F.sequence(F.lit(1), n)))
+            .withColumn("process_ok", F.col("attempt") > F.col(failures)))
+
+
+def given_up(attempt_rows: DataFrame, key: str = "txn_id") -> DataFrame:
+    """Transactions without a successful attempt."""
+    return (attempt_rows.groupBy(key)
+            .agg(F.max(F.col("process_ok").cast("int")).alias("_ok"),
+                 F.count(F.lit(1)).alias("attempts"))
+            .filter(F.col("_ok") == 0).drop("_ok"))
+
+
+def _write(step: int, target: str, kind: str) -> Column:
+    return F.struct(F.lit(step).alias("step"), F.lit(target).alias("target"), F.lit(kind).alias("kind"))
+
+
+def attempt_log(attempt_rows: DataFrame) -> DataFrame:
+    """Writes made by each attempt: everything before the failing step, or all."""
+    writes = F.array(
+        _write(STEP_SAVE_1, TABLE, "table"),
+        _write(STEP_SEND_1, S.TOPIC_TEST_1, "topic"),
+        _write(STEP_SAVE_2, TABLE, "table"),
+        _write(STEP_SEND_2, S.TOPIC_TEST_2, "topic"),
+    )
+    done = F.filter(writes, lambda w: F.col("process_ok") | (w["step"] < STEP_CALL))
+    return attempt_rows.withColumn("w", F.explode(done)).select("*", "w.*").drop("w")
+
+
+def visibility(log: DataFrame, mode: str, commit_order: str = "table_inner") -> DataFrame:
+    """Tag writes with ``committed`` and with reader visibility.
+
+    Columns used: ``kind``, ``process_ok`` and optional ``table_commit_ok`` /
+    ``topic_commit_ok`` (default true). Adds ``committed``,
+    ``read_committed`` and ``read_uncommitted``.
+
+    X4 commit order for ``chained``: the inner resource commits first; if it
+    fails both roll back; if only the outer fails, the inner stays.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}")
+    ok = F.col("process_ok")
+    t_ok = F.col("table_commit_ok") if "table_commit_ok" in log.columns else F.lit(True)
+    k_ok = F.col("topic_commit_ok") if "topic_commit_ok" in log.columns else F.lit(True)
+    is_table = F.col("kind") == "table"
+    if mode == "none":
+        committed = F.lit(True)
+    elif mode == "chained":
+        if commit_order == "table_inner":
+            table_c, topic_c = ok & t_ok, ok & t_ok & k_ok
+        elif commit_order == "topic_inner":
+            table_c, topic_c = ok & k_ok & t_ok, ok & k_ok
+        else:
+            raise ValueError(commit_order)
+        committed = F.when(is_table, table_c).otherwise(topic_c)
+    elif mode == "table_only":
+        committed = F.when(is_table, ok & t_ok).otherwise(F.lit(True))
+    else:  # topic_only
+        committed = F.when(is_table, F.lit(True)).otherwise(ok & k_ok)
+    return log.select(
+        "*",
+        committed.alias("committed"),
+        committed.alias("read_committed"),
+        # Aborted sends remain in the log; rolled-back table rows do not.
+        F.when(is_table, committed).otherwise(F.lit(True)).alias("read_uncommitted"),
+    )
+
+
+def read(tagged: DataFrame, isolation: str = "read_committed") -> DataFrame:
+    """What a reader with the given isolation level sees."""
+    if isolation not in ("read_committed", "read_uncommitted"):
+        raise ValueError(isolation)
+    return tagged.filter(F.col(isolation))
+
+
+def dual_write(outcomes: DataFrame, commit_order: str = "table_inner") -> DataFrame:
+    """X4 as a pure decision: (process_ok, table_commit_ok, topic_commit_ok)
+    -> (table_visible, topic_visible) for one chained transaction."""
+    ok = F.col("process_ok")
+    t_ok, k_ok = F.col("table_commit_ok"), F.col("topic_commit_ok")
+    if commit_order == "table_inner":
+        table_v, topic_v = ok & t_ok, ok & t_ok & k_ok
+    elif commit_order == "topic_inner":
+        table_v, topic_v = ok & k_ok & t_ok, ok & k_ok
+    else:
+        raise ValueError(commit_order)
+    return outcomes.withColumns({"table_visible": table_v, "topic_visible": topic_v})

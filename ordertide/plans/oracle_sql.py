@@ -248,3 +248,148 @@ SELECT id AS key, 'enrich' AS stage, error AS message FROM enriched WHERE error
 UNION ALL SELECT k, 'payment', error FROM pay_fold WHERE error IS NOT NULL
 UNION ALL SELECT k, 'stock', error FROM stk_fold WHERE error IS NOT NULL
 UNION ALL SELECT id, 'decision', error FROM decisions WHERE error IS NOT NULL"""
+
+
+# --------------------------------------------------------------------------
+# Latest per key (K1-K3).
+
+def _order_records() -> str:
+    return """,
+recs AS (SELECT id, customerId, marketId, ts, seq, n_products AS productCount, total AS price FROM facts)"""
+
+
+def latest_order_per_customer(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + facts_cte() + _order_records() + """
+SELECT customerId, id, ts, productCount, CAST(price AS DOUBLE) AS price FROM recs
+QUALIFY row_number() OVER (PARTITION BY customerId ORDER BY ts DESC, seq DESC) = 1"""
+
+
+def latest_event_per_user(lim: Limits = TABLE_LIMITS) -> str:
+    return """
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+
+def current_orders(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + facts_cte() + _order_records() + """
+SELECT id, customerId, marketId, productCount, CAST(price AS DOUBLE) AS price FROM recs
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) = 1"""
+
+
+def customer_order_lookup(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + facts_cte() + _order_records() + """,
+latest AS (SELECT * FROM recs
+           QUALIFY row_number() OVER (PARTITION BY customerId ORDER BY ts DESC, seq DESC) = 1)
+SELECT CAST(c.c_custkey AS VARCHAR) AS customerId, l.id IS NOT NULL AS found, l.id,
+       CAST(l.price AS DOUBLE) AS price
+FROM customer c LEFT JOIN latest l ON l.customerId = CAST(c.c_custkey AS VARCHAR)"""
+
+
+# --------------------------------------------------------------------------
+# Delivery and isolation (X1-X6), relational writes.
+
+FAILURE_MOD = 6
+
+
+def _isolation_ctes(lim: Limits) -> str:
+    return "WITH " + enriched_cte(lim) + f""",
+txns AS (
+  SELECT id AS txn_id, seq, customerId, marketId, productCount, price,
+         CASE WHEN productCount % 2 = 0 THEN 'transactional' ELSE 'plain' END AS path,
+         CAST(seq % {FAILURE_MOD} AS INTEGER) AS api_failures
+  FROM routed WHERE valuable),
+att AS (
+  SELECT t.*, unnest(generate_series(1, least(api_failures + 1, {lim.max_retries + 1}))) AS attempt
+  FROM txns t),
+att2 AS (SELECT *, attempt > api_failures AS process_ok FROM att),
+steps AS (
+  SELECT * FROM (VALUES (1, 'event', 'table'), (2, 'topic-test-1', 'topic'),
+                        (4, 'event', 'table'), (5, 'topic-test-2', 'topic')) s(step, target, kind)),
+log AS (SELECT a.*, s.step, s.target, s.kind FROM att2 a JOIN steps s ON a.process_ok OR s.step < 3)"""
+
+
+def _tag(mode_expr: str) -> str:
+    # mode_expr: SQL giving 'none' or 'chained' etc. per row
+    return f"""
+  SELECT *, committed AS read_committed,
+         CASE WHEN kind = 'table' THEN committed ELSE true END AS read_uncommitted
+  FROM (SELECT *,
+          CASE {mode_expr}
+               WHEN 'none' THEN true
+               WHEN 'chained' THEN process_ok
+               WHEN 'table_only' THEN CASE WHEN kind = 'table' THEN process_ok ELSE true END
+               WHEN 'topic_only' THEN CASE WHEN kind = 'table' THEN true ELSE process_ok END
+          END AS committed
+        FROM log_m)"""
+
+
+def _tagged_writes(lim: Limits) -> str:
+    return _isolation_ctes(lim) + """,
+log_m AS (SELECT *, CASE WHEN path = 'plain' THEN 'none' ELSE 'chained' END AS mode FROM log),
+tagged AS (""" + _tag("mode") + ")"
+
+
+def isolation_counts(lim: Limits = TABLE_LIMITS) -> str:
+    return _tagged_writes(lim) + """
+SELECT path, target, CAST(sum(CAST(read_committed AS INTEGER)) AS BIGINT) AS committed_rows,
+       CAST(sum(CAST(read_uncommitted AS INTEGER)) AS BIGINT) AS uncommitted_rows
+FROM tagged GROUP BY path, target"""
+
+
+def isolation_per_order(lim: Limits = TABLE_LIMITS) -> str:
+    def n(target, col):
+        return (f"CAST(sum(CASE WHEN target = '{target}' THEN CAST({col} AS INTEGER) ELSE 0 END)"
+                f" AS BIGINT)")
+    return _tagged_writes(lim) + f"""
+SELECT txn_id AS id, path, max(attempt) AS attempts,
+       {n('topic-test-1', 'read_committed')} AS t1_committed,
+       {n('topic-test-1', 'read_uncommitted')} AS t1_uncommitted,
+       {n('topic-test-2', 'read_committed')} AS t2_committed,
+       {n('topic-test-2', 'read_uncommitted')} AS t2_uncommitted,
+       {n('event', 'read_committed')} AS table_rows
+FROM tagged GROUP BY txn_id, path"""
+
+
+def given_up(lim: Limits = TABLE_LIMITS) -> str:
+    return _isolation_ctes(lim) + """
+SELECT txn_id AS id, count(*) AS attempts FROM att2
+GROUP BY txn_id HAVING max(CAST(process_ok AS INTEGER)) = 0"""
+
+
+def dual_write_modes(lim: Limits = TABLE_LIMITS) -> str:
+    return _isolation_ctes(lim) + """,
+modes AS (SELECT * FROM (VALUES ('none'), ('chained'), ('table_only'), ('topic_only')) m(mode)),
+log_m AS (SELECT log.*, modes.mode FROM log, modes),
+tagged AS (""" + _tag("mode") + """)
+SELECT mode, target, CAST(sum(CAST(read_committed AS INTEGER)) AS BIGINT) AS committed_rows,
+       CAST(sum(CAST(read_uncommitted AS INTEGER)) AS BIGINT) AS uncommitted_rows
+FROM tagged GROUP BY mode, target"""
+
+
+def event_table(lim: Limits = TABLE_LIMITS) -> str:
+    return _tagged_writes(lim) + """
+SELECT concat_ws(':', txn_id, CAST(attempt AS VARCHAR), CAST(step AS VARCHAR)) AS event_id,
+       marketId AS market_id, customerId AS customer_id, productCount AS product_count,
+       CAST(price AS DOUBLE) AS price
+FROM tagged WHERE kind = 'table' AND committed"""
+
+
+def product_table(lim: Limits = TABLE_LIMITS) -> str:
+    return _tagged_writes(lim) + """
+SELECT concat_ws(':', t.txn_id, CAST(t.attempt AS VARCHAR), CAST(t.step AS VARCHAR)) AS event_id,
+       'part ' || CAST(l.l_partkey AS VARCHAR) AS name,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price
+FROM tagged t JOIN lineitem l ON l.l_orderkey = t.seq
+WHERE t.kind = 'table' AND t.committed"""
+
+
+def event_not_null(lim: Limits = TABLE_LIMITS) -> str:
+    return _isolation_ctes(lim) + """
+SELECT txn_id AS event_id,
+       marketId IS NOT NULL AND customerId IS NOT NULL AND productCount IS NOT NULL
+         AND price IS NOT NULL AS ok,
+       concat_ws(',', CASE WHEN marketId IS NULL THEN 'market_id' END,
+                      CASE WHEN customerId IS NULL THEN 'customer_id' END,
+                      CASE WHEN productCount IS NULL THEN 'product_count' END,
+                      CASE WHEN price IS NULL THEN 'price' END) AS violations
+FROM txns"""

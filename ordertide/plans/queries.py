@@ -155,3 +155,143 @@ def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         er.error_rows(r.stock, "stock", "marketId"),
         er.error_rows(r.decisions, "decision", "id"),
     )
+
+
+# --------------------------------------------------------------------------
+# Latest per key (K1-K3).
+
+from ordertide.operators import isolation as iso  # noqa: E402
+from ordertide.operators import latest as lt  # noqa: E402
+from ordertide.operators import tables as tb  # noqa: E402
+from ordertide.sources.tables import product_lines, read_table  # noqa: E402
+
+
+def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_facts(spark, sf_dir).select(
+        "id", "customerId", "marketId", "ts", "seq",
+        F.col("n_products").alias("productCount"), F.col("total").alias("price"))
+
+
+def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lt.latest(_order_records(spark, sf_dir), key="customerId")
+
+
+def q_latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = latest_order_per_customer(spark, sf_dir)
+    return t.select("customerId", "id", "ts", "productCount", to_double(F.col("price")).alias("price"))
+
+
+def q_latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "ts", "event_type", "value")
+    return lt.latest(ev, key="user_id", order=("ts", "event_id"))
+
+
+def q_current_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = lt.scan(lt.latest(_order_records(spark, sf_dir), key="id"))
+    return t.select("id", "customerId", "marketId", "productCount", to_double(F.col("price")).alias("price"))
+
+
+def q_customer_order_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: every customer looked up in the latest-order table; found or not."""
+    requested = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customerId"))
+    found = lt.lookup(requested, latest_order_per_customer(spark, sf_dir), key="customerId")
+    return found.select("customerId", "found", "id", to_double(F.col("price")).alias("price"))
+
+
+# --------------------------------------------------------------------------
+# Delivery, isolation, relational writes.
+
+FAILURE_MOD = 6
+
+
+def consumed_records(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
+    """The valuable-customer records as consumed transactions.
+
+    ``api_failures`` stands in for the external service's answers: how many
+    calls fail before one succeeds, derived from the order key (0..5, so some
+    records exhaust all five attempts).
+    """
+    ok, _ = rt.split(enriched(spark, sf_dir, lim))
+    return (rt.with_path(rt.valuable(ok, lim))
+            .withColumn("txn_id", F.col("id"))
+            .withColumn("api_failures", F.pmod(F.col("seq"), F.lit(FAILURE_MOD)).cast("int")))
+
+
+def tagged_writes(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
+    """Plain path in mode 'none', transactional path in mode 'chained'."""
+    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir, lim), lim.max_retries))
+    plain = iso.visibility(log.filter(F.col("path") == "plain"), "none")
+    tx = iso.visibility(log.filter(F.col("path") == "transactional"), "chained")
+    return plain.unionByName(tx)
+
+
+def _count_true(c: str):
+    return F.sum(F.col(c).cast("int")).cast("bigint")
+
+
+def q_isolation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (tagged_writes(spark, sf_dir).groupBy("path", "target")
+            .agg(_count_true("read_committed").alias("committed_rows"),
+                 _count_true("read_uncommitted").alias("uncommitted_rows")))
+
+
+def q_isolation_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = tagged_writes(spark, sf_dir)
+
+    def n(target: str, col: str):
+        return F.sum(F.when(F.col("target") == target, F.col(col).cast("int")).otherwise(0)).cast("bigint")
+
+    return (w.groupBy("txn_id", "path")
+            .agg(F.max("attempt").alias("attempts"),
+                 n(S.TOPIC_TEST_1, "read_committed").alias("t1_committed"),
+                 n(S.TOPIC_TEST_1, "read_uncommitted").alias("t1_uncommitted"),
+                 n(S.TOPIC_TEST_2, "read_committed").alias("t2_committed"),
+                 n(S.TOPIC_TEST_2, "read_uncommitted").alias("t2_uncommitted"),
+                 n(iso.TABLE, "read_committed").alias("table_rows"))
+            .withColumnRenamed("txn_id", "id"))
+
+
+def q_given_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    att = iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries)
+    g = iso.given_up(att.select("txn_id", "process_ok"))
+    return g.select(F.col("txn_id").alias("id"), "attempts")
+
+
+def q_dual_write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same attempts under every transaction mode."""
+    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries))
+    frames = [iso.visibility(log, m).withColumn("mode", F.lit(m)) for m in iso.MODES]
+    allm = frames[0]
+    for f in frames[1:]:
+        allm = allm.unionByName(f)
+    return (allm.groupBy("mode", "target")
+            .agg(_count_true("read_committed").alias("committed_rows"),
+                 _count_true("read_uncommitted").alias("uncommitted_rows")))
+
+
+def _committed_table_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = tagged_writes(spark, sf_dir).filter((F.col("kind") == "table") & F.col("committed"))
+    return w.withColumn("event_id", tb.event_id(F.col("txn_id"), F.col("attempt"), F.col("step")))
+
+
+def q_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 parent rows: one per committed table write."""
+    w = _committed_table_writes(spark, sf_dir)
+    return tb.event_rows(w, F.col("event_id")).select(
+        "event_id", "market_id", "customer_id", "product_count", to_double(F.col("price")).alias("price"))
+
+
+def q_product_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 child rows: the lines of every written event (a join, no arrays)."""
+    w = _committed_table_writes(spark, sf_dir).withColumn("orderkey", F.col("seq"))
+    rows = tb.product_rows_from_lines(w, product_lines(spark, sf_dir))
+    return rows.select("event_id", "name", to_double(F.col("price")).alias("price"))
+
+
+def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL check of every event row a consumer would write."""
+    recs = consumed_records(spark, sf_dir)
+    ev = tb.event_rows(recs, F.col("id"))
+    return ev.select("event_id", tb.not_null_ok(ev).alias("ok"),
+                     F.concat_ws(",", tb.violations(ev)).alias("violations"))

@@ -29,6 +29,17 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "settled_credit_as_coded": (Q.q_settled_credit_as_coded, O.settled_credit(Q.AS_CODED)),
     "settled_stock_as_coded": (Q.q_settled_stock_as_coded, O.settled_stock(Q.AS_CODED)),
     "error_topic": (Q.q_error_topic, O.error_topic()),
+    "latest_order_per_customer": (Q.q_latest_order_per_customer, O.latest_order_per_customer()),
+    "latest_event_per_user": (Q.q_latest_event_per_user, O.latest_event_per_user()),
+    "current_orders": (Q.q_current_orders, O.current_orders()),
+    "customer_order_lookup": (Q.q_customer_order_lookup, O.customer_order_lookup()),
+    "isolation_counts": (Q.q_isolation_counts, O.isolation_counts()),
+    "isolation_per_order": (Q.q_isolation_per_order, O.isolation_per_order()),
+    "given_up": (Q.q_given_up, O.given_up()),
+    "dual_write_modes": (Q.q_dual_write_modes, O.dual_write_modes()),
+    "event_table": (Q.q_event_table, O.event_table()),
+    "product_table": (Q.q_product_table, O.product_table()),
+    "event_not_null": (Q.q_event_not_null, O.event_not_null()),
 }
 
 
