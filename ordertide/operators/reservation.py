@@ -164,14 +164,9 @@ def _fold_partition(side: Side, unit: int):
     return run
 
 
-def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> DataFrame:
-    """R1/R2 in batch: every row folded in (ts, seq) order within its key.
-
-    ``orders`` holds OrderFullEvent columns plus ``ts`` and ``seq``. The result
-    keeps all input columns, with ``in_status`` (status before), ``status``
-    (after), ``error``, ``available``/``reserved`` (the stored state after the
-    row) and ``is_last`` (last row of its key).
-    """
+def stage(orders: DataFrame, side: Side) -> DataFrame:
+    """Add the fold's working columns: key as string, amount in integer units,
+    incoming status and source."""
     amount = F.col(side.amount)
     units = (amount * _UNIT).cast("long") if side.money else amount.cast("long")
     staged = orders.withColumns({
@@ -180,29 +175,48 @@ def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> Dat
         _ST: F.col("status"),
         _SRC: F.col("source"),
     })
-    if "error" in staged.columns:
-        staged = staged.drop("error")
-    by_key = (staged.repartition(partitions, _K) if partitions else staged.repartition(_K))
-    ordered = by_key.sortWithinPartitions(_K, "ts", "seq")
-    out_schema = T.StructType(list(ordered.schema.fields) + FOLD_FIELDS)
-    folded = ordered.mapInPandas(_fold_partition(side, _UNIT if side.money else 1), out_schema)
+    return staged.drop("error") if "error" in staged.columns else staged
 
+
+def unstage(folded: DataFrame, orders_columns: list[str], side: Side) -> DataFrame:
+    """Fold output -> public columns (money back to decimal(18,2))."""
     def back(c: str):
         if side.money:
             return (F.col(c).cast(T.DecimalType(20, 0)) / F.lit(_UNIT)).cast(S.MONEY)
         return F.col(c).cast("int")
 
+    extra = ["is_last"] if "is_last" in folded.columns else []
     return folded.select(
-        *[c for c in orders.columns if c not in ("status", "error")],
+        *[c for c in orders_columns if c not in ("status", "error")],
         "in_status",
         F.col("_out_status").alias("status"),
         "error",
         back("_avail").alias("available"),
         back("_resv").alias("reserved"),
-        "is_last",
+        *extra,
     )
 
 
+def unit_of(side: Side) -> int:
+    return _UNIT if side.money else 1
+
+
+def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> DataFrame:
+    """R1/R2 in batch: every row folded in (ts, seq) order within its key.
+
+    ``orders`` holds OrderFullEvent columns plus ``ts`` and ``seq``. The result
+    keeps all input columns, with ``in_status`` (status before), ``status``
+    (after), ``error``, ``available``/``reserved`` (the stored state after the
+    row) and ``is_last`` (last row of its key).
+    """
+    staged = stage(orders, side)
+    by_key = (staged.repartition(partitions, _K) if partitions else staged.repartition(_K))
+    ordered = by_key.sortWithinPartitions(_K, "ts", "seq")
+    out_schema = T.StructType(list(ordered.schema.fields) + FOLD_FIELDS)
+    folded = ordered.mapInPandas(_fold_partition(side, unit_of(side)), out_schema)
+    return unstage(folded, orders.columns, side)
+
+
 def balances(reserved: DataFrame, side: Side) -> DataFrame:
     """The stored state per key after its last row (no extra shuffle)."""
     return reserved.filter(F.col("is_last")).select(side.key, "available", "reserved")

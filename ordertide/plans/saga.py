@@ -58,13 +58,25 @@ class SagaResult:
         return rv.settle(rv.balances(folded, side), rv.settlement_deltas(ok, side), side)
 
 
-def run(orders_full: DataFrame, lim: Limits, persist: bool = False) -> SagaResult:
-    """``orders_full``: successful enriched orders with ``ts`` and ``seq``."""
+def with_reply_times(pay_replies: DataFrame, stk_replies: DataFrame,
+                     delays: tuple[int, int] | None) -> tuple[DataFrame, DataFrame]:
+    if delays is None:
+        return pay_replies, stk_replies
+    return (pay_replies.withColumn("ts", F.col("ts") + reply_delay(F.col("seq"), delays[0])),
+            stk_replies.withColumn("ts", F.col("ts") + reply_delay(F.col("seq"), delays[1])))
+
+
+def run(orders_full: DataFrame, lim: Limits, persist: bool = False,
+        delays: tuple[int, int] | None = (PAYMENT_DELAY_MOD, STOCK_DELAY_MOD)) -> SagaResult:
+    """``orders_full``: successful enriched orders with ``ts`` and ``seq``.
+
+    ``delays``: reply-time model (seconds = seq mod m per side); None keeps the
+    order's own time on both replies, as a stream processor would.
+    """
     pay = rv.reserve(orders_full, rv.payment_side(lim))
     stk = rv.reserve(orders_full, rv.stock_side(lim))
     if persist:
         pay, stk = materialize(pay), materialize(stk)
-    pay_replies = rt.replies(pay).withColumn("ts", F.col("ts") + reply_delay(F.col("seq"), PAYMENT_DELAY_MOD))
-    stk_replies = rt.replies(stk).withColumn("ts", F.col("ts") + reply_delay(F.col("seq"), STOCK_DELAY_MOD))
+    pay_replies, stk_replies = with_reply_times(rt.replies(pay), rt.replies(stk), delays)
     dec = dc.decisions(pay_replies, stk_replies, lim)
     return SagaResult(pay, stk, dec, lim)
