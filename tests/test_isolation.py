@@ -1,0 +1,71 @@
+"""Delivery and isolation: the reference's expected counts and properties."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordertide.operators import isolation as iso
+
+
+def _counts(spark, failures, mode, max_retries=4):
+    txns = spark.createDataFrame([("t1", failures)], "txn_id string, api_failures int")
+    tagged = iso.visibility(iso.attempt_log(iso.attempts(txns, max_retries)), mode)
+    rows = tagged.collect()
+
+    def n(target, col):
+        return sum(1 for r in rows if r.target == target and r[col])
+    return (n("topic-test-1", "read_committed"), n("topic-test-2", "read_committed"),
+            n("topic-test-1", "read_uncommitted"), n("topic-test-2", "read_uncommitted"),
+            n("event", "read_committed"))
+
+
+@pytest.mark.parametrize("mode", ["none", "chained"])
+def test_no_failure(spark, mode):
+    assert _counts(spark, 0, mode) == (1, 1, 1, 1, 2)
+
+
+def test_plain_one_failure(spark):
+    assert _counts(spark, 1, "none") == (2, 1, 2, 1, 3)
+
+
+def test_transactional_one_failure(spark):
+    assert _counts(spark, 1, "chained") == (1, 1, 2, 1, 2)
+
+
+def test_given_up_after_retries(spark):
+    txns = spark.createDataFrame([("t1", 9), ("t2", 4)], "txn_id string, api_failures int")
+    g = iso.given_up(iso.attempts(txns, 4))
+    assert [(r.txn_id, r.attempts) for r in g.collect()] == [("t1", 5)]
+
+
+def test_modes_by_property(spark):
+    txns = spark.createDataFrame([(f"t{i}", i % 7) for i in range(40)], "txn_id string, api_failures int")
+    log = iso.attempt_log(iso.attempts(txns, 4))
+    for mode in iso.MODES:
+        t = iso.visibility(log, mode)
+        # committed readers never see more than uncommitted readers
+        assert t.filter(F.col("read_committed") & ~F.col("read_uncommitted")).count() == 0
+        committed_topic = t.filter((F.col("kind") == "topic") & F.col("read_committed"))
+        per_txn = committed_topic.groupBy("txn_id", "target").count()
+        if mode in ("chained", "topic_only"):
+            assert per_txn.filter("count > 1").count() == 0   # at most one committed copy
+    table_only = iso.visibility(log, "table_only")
+    assert table_only.filter((F.col("kind") == "table") & F.col("committed") & ~F.col("process_ok")).count() == 0
+
+
+@pytest.mark.parametrize("order,expected", [
+    ("table_inner", [(True, True), (False, False), (True, False)]),
+    ("topic_inner", [(True, True), (False, True), (False, False)]),
+])
+def test_commit_order(spark, order, expected):
+    df = spark.createDataFrame([(True, True, True), (True, False, True), (True, True, False)],
+                               "process_ok boolean, table_commit_ok boolean, topic_commit_ok boolean")
+    got = [(r.table_visible, r.topic_visible) for r in iso.dual_write(df, order).collect()]
+    assert got == expected
+
+
+def test_read_isolation(spark):
+    txns = spark.createDataFrame([("t1", 1)], "txn_id string, api_failures int")
+    t = iso.visibility(iso.attempt_log(iso.attempts(txns, 4)), "chained")
+    topics = t.filter(F.col("kind") == "topic")
+    assert iso.read(topics, "read_committed").count() == 2
+    assert iso.read(topics, "read_uncommitted").count() == 3
