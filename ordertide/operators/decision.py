@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ordertide import schema as S
 from ordertide.config import Limits
 
-PAYMENT_COLUMNS = ["id", "marketId", "customerId", "productCount", "price", "products"]
+PAYMENT_COLUMNS = ["id", "marketId", "customerId", "productCount", "price", "products", "seq"]
 
 
 def within(p_ts: Column, s_ts: Column, seconds: int) -> Column:
