@@ -117,7 +117,7 @@ def q_order_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _settled(spark: SparkSession, sf_dir: str, lim: Limits, payment: bool) -> DataFrame:
-    r = saga_of(spark, sf_dir, lim, persist=True)
+    r = saga_of(spark, sf_dir, lim)
     side = rv.payment_side(lim) if payment else rv.stock_side(lim)
     s = r.settled(side)
     if payment:

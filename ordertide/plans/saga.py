@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +20,19 @@ from ordertide.config import Limits
 from ordertide.operators import decision as dc
 from ordertide.operators import reservation as rv
 from ordertide.operators import routing as rt
+from ordertide.operators.reservation_split import reserve_split
 from ordertide.session import checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage of a stage read by several consumers (reliable checkpoint
     into ``spark.checkpoint.dir``), so a lost executor recomputes from here and
-    the fold runs once."""
+    the stage runs once (persisted while the checkpoint is written)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def reply_delay(seq: Column, modulus: int) -> Column:
@@ -67,14 +72,18 @@ def with_reply_times(pay_replies: DataFrame, stk_replies: DataFrame,
 
 
 def run(orders_full: DataFrame, lim: Limits, persist: bool = False,
-        delays: tuple[int, int] | None = (PAYMENT_DELAY_MOD, STOCK_DELAY_MOD)) -> SagaResult:
+        delays: tuple[int, int] | None = (PAYMENT_DELAY_MOD, STOCK_DELAY_MOD),
+        fold: str = "range") -> SagaResult:
     """``orders_full``: successful enriched orders with ``ts`` and ``seq``.
 
     ``delays``: reply-time model (seconds = seq mod m per side); None keeps the
     order's own time on both replies, as a stream processor would.
+    ``fold``: "range" splits hot keys over many tasks (reservation_split);
+    "hash" streams every key through one task.
     """
-    pay = rv.reserve(orders_full, rv.payment_side(lim))
-    stk = rv.reserve(orders_full, rv.stock_side(lim))
+    reserve = reserve_split if fold == "range" else rv.reserve
+    pay = reserve(orders_full, rv.payment_side(lim))
+    stk = reserve(orders_full, rv.stock_side(lim))
     if persist:
         pay, stk = materialize(pay), materialize(stk)
     pay_replies, stk_replies = with_reply_times(rt.replies(pay), rt.replies(stk), delays)
