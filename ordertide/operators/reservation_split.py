@@ -135,7 +135,7 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
         pieces = Pieces(upper, max_pieces)
         conf_first = 0
         carry = [object(), 0, 0]     # plain fold of the current (not first) segment
-        conf_key, conf_last = object(), 0
+        conf_last = 0
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -166,10 +166,16 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
                     single = False
                 start = n_first
             if not single and start < len(keys):
-                ks, am, st, sr = keys[start:], amts[start:], sts[start:], srcs[start:]
+                # Only the partition's last key segment matters here, and it
+                # starts fresh: fold from the last key change on.
+                karr = np.array([("\x00null" if k is None else k) for k in keys[start:]], dtype=object)
+                changes = np.nonzero(karr[1:] != karr[:-1])[0]
+                j = start + (int(changes[-1]) + 1 if len(changes) else 0)
+                if keys[j] != carry[0] or j > start:
+                    carry[0] = object()          # a new segment: fold_rows resets it
+                    conf_last = 0
+                ks, am, st, sr = keys[j:], amts[j:], sts[j:], srcs[j:]
                 for i in range(len(ks)):
-                    if ks[i] != conf_key:
-                        conf_key, conf_last = ks[i], 0
                     e = effect(ks[i], am[i], st[i], sr[i])
                     if e is not None and e[0] == "confirm":
                         conf_last += e[1]

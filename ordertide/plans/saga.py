@@ -10,7 +10,7 @@ NEW), nothing is re-emitted after settlement.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -44,12 +44,35 @@ PAYMENT_DELAY_MOD = 7
 STOCK_DELAY_MOD = 23
 
 
-@dataclass
 class SagaResult:
-    payment: DataFrame      # R1 rows
-    stock: DataFrame        # R2 rows
-    decisions: DataFrame    # J1+J2+E5 rows with error column
-    lim: Limits
+    """Stages of one saga run, each planned on first use (a query needing only
+    the credit side never folds the stock side)."""
+
+    def __init__(self, orders_full: DataFrame, lim: Limits, persist: bool,
+                 delays: tuple[int, int] | None, fold: str):
+        self.orders_full, self.lim, self._persist, self.delays = orders_full, lim, persist, delays
+        self._reserve = reserve_split if fold == "range" else rv.reserve
+
+    def _fold(self, side: rv.Side) -> DataFrame:
+        out = self._reserve(self.orders_full, side)
+        return materialize(out) if self._persist else out
+
+    @cached_property
+    def payment(self) -> DataFrame:
+        """R1 rows."""
+        return self._fold(rv.payment_side(self.lim))
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        """R2 rows."""
+        return self._fold(rv.stock_side(self.lim))
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        """J1 + J2 + E5 rows with an ``error`` column."""
+        pay_replies, stk_replies = with_reply_times(rt.replies(self.payment), rt.replies(self.stock),
+                                                    self.delays)
+        return dc.decisions(pay_replies, stk_replies, self.lim)
 
     def payment_balance(self) -> DataFrame:
         return rv.balances(self.payment, rv.payment_side(self.lim))
@@ -79,13 +102,7 @@ def run(orders_full: DataFrame, lim: Limits, persist: bool = False,
     ``delays``: reply-time model (seconds = seq mod m per side); None keeps the
     order's own time on both replies, as a stream processor would.
     ``fold``: "range" splits hot keys over many tasks (reservation_split);
-    "hash" streams every key through one task.
+    "hash" streams every key through one task. ``persist`` checkpoints each
+    fold's output (for callers reading it several times).
     """
-    reserve = reserve_split if fold == "range" else rv.reserve
-    pay = reserve(orders_full, rv.payment_side(lim))
-    stk = reserve(orders_full, rv.stock_side(lim))
-    if persist:
-        pay, stk = materialize(pay), materialize(stk)
-    pay_replies, stk_replies = with_reply_times(rt.replies(pay), rt.replies(stk), delays)
-    dec = dc.decisions(pay_replies, stk_replies, lim)
-    return SagaResult(pay, stk, dec, lim)
+    return SagaResult(orders_full, lim, persist, delays, fold)
