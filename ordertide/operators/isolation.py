@@ -38,16 +38,23 @@ TABLE = "event"
 MODES = ("none", "chained", "table_only", "topic_only")
 
 
-def attempts(txns: DataFrame, max_retries: int, failures: str = "api_failures") -> DataFrame:
-    """One row per delivery attempt: attempt number and ``process_ok``.
-
-    ``failures`` holds how many calls fail before one succeeds. Attempts stop at
-    the first success or after ``max_retries + 1`` tries (X6).
+def attempts(txns: DataFrame, max_retries: int, failures: str = "api_failures",
+             save_ok: str | None = None) -> DataFrame:
+    """One row per delivery attempt: ``attempt``, ``process_ok``, ``failed_step``.
+
+    ``failures`` holds how many external calls fail before one succeeds.
+    ``save_ok`` optionally names a boolean column (S7: the event row passes its
+    NOT NULL checks); when false every attempt fails at the first save, before
+    anything is written. Attempts stop at the first success or after
+    ``max_retries + 1`` tries (X6).
     """
     limit = max_retries + 1
-    n = F.least(F.col(failures) + 1, F.lit(limit))
-    return (txns.withColumn("attempt", F.explode(F.sequence(F.lit(1), n)))
-            .withColumn("process_ok", F.col("attempt") > F.col(failures)))
+    save = F.col(save_ok) if save_ok else F.lit(True)
+    n = F.when(save, F.least(F.col(failures) + 1, F.lit(limit))).otherwise(F.lit(limit))
+    out = txns.withColumn("attempt", F.explode(F.sequence(F.lit(1), n)))
+    failed = (F.when(~save, F.lit(STEP_SAVE_1))
+              .when(F.col("attempt") <= F.col(failures), F.lit(STEP_CALL)))
+    return out.withColumn("failed_step", failed).withColumn("process_ok", failed.isNull())
 
 
 def given_up(attempt_rows: DataFrame, key: str = "txn_id") -> DataFrame:
@@ -70,7 +77,8 @@ def attempt_log(attempt_rows: DataFrame) -> DataFrame:
         _write(STEP_SAVE_2, TABLE, "table"),
         _write(STEP_SEND_2, S.TOPIC_TEST_2, "topic"),
     )
-    done = F.filter(writes, lambda w: F.col("process_ok") | (w["step"] < STEP_CALL))
+    failed = F.col("failed_step") if "failed_step" in attempt_rows.columns else F.lit(STEP_CALL)
+    done = F.filter(writes, lambda w: F.col("process_ok") | (w["step"] < failed))
     return attempt_rows.withColumn("w", F.explode(done)).select("*", "w.*").drop("w")
 
 
@@ -120,6 +128,12 @@ def read(tagged: DataFrame, isolation: str = "read_committed") -> DataFrame:
     return tagged.filter(F.col(isolation))
 
 
+def group_sends(records: DataFrame, txn: str = "txn_id", ok: str = "process_ok") -> DataFrame:
+    """Several records sent in one producer transaction. All of them are
+    committed or none; read-uncommitted readers see them either way."""
+    return records.withColumn("kind", F.lit("topic")).transform(lambda d: visibility(d, "chained"))
+
+
 def dual_write(outcomes: DataFrame, commit_order: str = "table_inner") -> DataFrame:
     """X4 as a pure decision: (process_ok, table_commit_ok, topic_commit_ok)
     -> (table_visible, topic_visible) for one chained transaction."""

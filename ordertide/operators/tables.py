@@ -47,6 +47,18 @@ def product_rows_from_lines(events: DataFrame, lines: DataFrame) -> DataFrame:
         F.col("product_name").alias("name"), F.col("product_price").alias("price"), "event_id")
 
 
+# Order columns that become the NOT NULL columns of the event row.
+ORDER_COLUMNS_OF_EVENT = ("marketId", "customerId", "productCount", "price")
+
+
+def order_saves_ok() -> Column:
+    """S7 evaluated on the order itself: would its event row pass NOT NULL?"""
+    cond = F.lit(True)
+    for c in ORDER_COLUMNS_OF_EVENT:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def not_null_ok(df: DataFrame, columns=EVENT_NOT_NULL) -> Column:
     """True when none of the NOT NULL columns is null."""
     cond = F.lit(True)
@@ -59,3 +71,12 @@ def violations(df: DataFrame, columns=EVENT_NOT_NULL) -> Column:
     """The names of the violated NOT NULL columns, as an array."""
     return F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]),
                     lambda x: x.isNotNull())
+
+
+def write_event_tables(events: DataFrame, products: DataFrame, root: str, batch_id: int | str) -> None:
+    """S6 sink: both tables of one batch, overwritten per batch id (a replayed
+    batch replaces its rows). Only rows passing S7 are written."""
+    ok = events.filter(not_null_ok(events))
+    ok.write.mode("overwrite").parquet(f"{root.rstrip('/')}/event/batch={batch_id}")
+    (products.join(ok.select("event_id"), "event_id", "left_semi")
+     .write.mode("overwrite").parquet(f"{root.rstrip('/')}/product/batch={batch_id}"))

@@ -296,16 +296,22 @@ def _isolation_ctes(lim: Limits) -> str:
 txns AS (
   SELECT id AS txn_id, seq, customerId, marketId, productCount, price,
          CASE WHEN productCount % 2 = 0 THEN 'transactional' ELSE 'plain' END AS path,
-         CAST(seq % {FAILURE_MOD} AS INTEGER) AS api_failures
+         CAST(seq % {FAILURE_MOD} AS INTEGER) AS api_failures,
+         marketId IS NOT NULL AND customerId IS NOT NULL AND productCount IS NOT NULL
+           AND price IS NOT NULL AS save_ok
   FROM routed WHERE valuable),
 att AS (
-  SELECT t.*, unnest(generate_series(1, least(api_failures + 1, {lim.max_retries + 1}))) AS attempt
+  SELECT t.*, unnest(generate_series(1, CASE WHEN save_ok THEN least(api_failures + 1, {lim.max_retries + 1})
+                                             ELSE {lim.max_retries + 1} END)) AS attempt
   FROM txns t),
-att2 AS (SELECT *, attempt > api_failures AS process_ok FROM att),
+att2 AS (
+  SELECT *, failed_step IS NULL AS process_ok
+  FROM (SELECT *, CASE WHEN NOT save_ok THEN 1 WHEN attempt <= api_failures THEN 3 END AS failed_step
+        FROM att)),
 steps AS (
   SELECT * FROM (VALUES (1, 'event', 'table'), (2, 'topic-test-1', 'topic'),
                         (4, 'event', 'table'), (5, 'topic-test-2', 'topic')) s(step, target, kind)),
-log AS (SELECT a.*, s.step, s.target, s.kind FROM att2 a JOIN steps s ON a.process_ok OR s.step < 3)"""
+log AS (SELECT a.*, s.step, s.target, s.kind FROM att2 a JOIN steps s ON a.process_ok OR s.step < a.failed_step)"""
 
 
 def _tag(mode_expr: str) -> str:
@@ -393,3 +399,8 @@ SELECT txn_id AS event_id,
                       CASE WHEN productCount IS NULL THEN 'product_count' END,
                       CASE WHEN price IS NULL THEN 'price' END) AS violations
 FROM txns"""
+
+
+def decoded_enriched_orders(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim) + """
+SELECT id, productCount, CAST(price AS DOUBLE) AS price, status, error FROM enriched"""

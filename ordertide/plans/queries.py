@@ -213,14 +213,16 @@ def consumed_records(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> Dat
     records exhaust all five attempts).
     """
     ok, _ = rt.split(enriched(spark, sf_dir, lim))
-    return (rt.with_path(rt.valuable(ok, lim))
+    recs = (rt.with_path(rt.valuable(ok, lim))
             .withColumn("txn_id", F.col("id"))
             .withColumn("api_failures", F.pmod(F.col("seq"), F.lit(FAILURE_MOD)).cast("int")))
+    # An event row violating NOT NULL fails every attempt at its first save
+    return recs.withColumn("save_ok", tb.order_saves_ok())
 
 
 def tagged_writes(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
     """Plain path in mode 'none', transactional path in mode 'chained'."""
-    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir, lim), lim.max_retries))
+    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir, lim), lim.max_retries, save_ok="save_ok"))
     plain = iso.visibility(log.filter(F.col("path") == "plain"), "none")
     tx = iso.visibility(log.filter(F.col("path") == "transactional"), "chained")
     return plain.unionByName(tx)
@@ -253,14 +255,14 @@ def q_isolation_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_given_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    att = iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries)
+    att = iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries, save_ok="save_ok")
     g = iso.given_up(att.select("txn_id", "process_ok"))
     return g.select(F.col("txn_id").alias("id"), "attempts")
 
 
 def q_dual_write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same attempts under every transaction mode."""
-    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries))
+    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries, save_ok="save_ok"))
     frames = [iso.visibility(log, m).withColumn("mode", F.lit(m)) for m in iso.MODES]
     allm = frames[0]
     for f in frames[1:]:
@@ -295,3 +297,20 @@ def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = tb.event_rows(recs, F.col("id"))
     return ev.select("event_id", tb.not_null_ok(ev).alias("ok"),
                      F.concat_ws(",", tb.violations(ev)).alias("violations"))
+
+
+# --------------------------------------------------------------------------
+# Topic codec on whole tables (S1, S3, S4 with the array path of P1-P3).
+
+from ordertide.sources import topics as tp  # noqa: E402
+from ordertide.sources.tables import order_events  # noqa: E402
+
+
+def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders serialised to topic records (JSON), decoded with the explicit
+    schema, malformed ones skipped, then enriched from the products arrays."""
+    ev = order_events(spark, sf_dir)
+    recs = tp.envelope(ev, S.TOPIC_ORDERS, tp.encode(ev, ["id", "marketId", "customerId", "products"]), key="id")
+    decoded = tp.skip_malformed(tp.decode(recs))
+    out = en.enrich(decoded, LIM)
+    return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")

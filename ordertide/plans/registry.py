@@ -40,6 +40,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "event_table": (Q.q_event_table, O.event_table()),
     "product_table": (Q.q_product_table, O.product_table()),
     "event_not_null": (Q.q_event_not_null, O.event_not_null()),
+    "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
 }
 
 

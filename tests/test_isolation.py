@@ -69,3 +69,33 @@ def test_read_isolation(spark):
     topics = t.filter(F.col("kind") == "topic")
     assert iso.read(topics, "read_committed").count() == 2
     assert iso.read(topics, "read_uncommitted").count() == 3
+
+
+def test_not_null_violation_fails_every_attempt(spark):
+    """S7 -> X5: a row violating NOT NULL fails at the first save; nothing is written."""
+    txns = spark.createDataFrame([("t1", 0, False), ("t2", 0, True)],
+                                 "txn_id string, api_failures int, save_ok boolean")
+    att = iso.attempts(txns, 4, save_ok="save_ok")
+    assert [(r.txn_id, r.attempts) for r in iso.given_up(att).collect()] == [("t1", 5)]
+    log = iso.attempt_log(att)
+    assert log.filter("txn_id = 't1'").count() == 0
+    assert log.filter("txn_id = 't2'").count() == 4
+
+
+def test_group_of_sends_x8(spark):
+    """Two orders and a bad record in one transaction: all or nothing, then S3."""
+    from ordertide.sources import topics as tp
+    from ordertide import schema as S
+    good = '{"id":"%s","marketId":"m","customerId":"c","products":[]}'
+    rows = [(txn, ok, k, v) for txn, ok in (("a", True), ("b", False))
+            for k, v in ((f"{txn}1", good % f"{txn}1"), (f"{txn}2", good % f"{txn}2"), (f"{txn}x", "test"))]
+    recs = spark.createDataFrame(rows, "txn_id string, process_ok boolean, key string, value string")
+    tagged = iso.group_sends(recs)
+    committed = iso.read(tagged, "read_committed")
+    assert committed.count() == 3
+    assert iso.read(tagged, "read_uncommitted").count() == 6
+    env = committed.select("key", "value", F.lit("orders").alias("topic"), F.lit(0).alias("partition"),
+                           F.lit(0).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"))
+    decoded = tp.skip_malformed(tp.decode(env))
+    assert sorted(r.id for r in decoded.collect()) == ["a1", "a2"]
+    assert S.CORRUPT not in decoded.columns
