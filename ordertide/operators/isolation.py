@@ -82,42 +82,54 @@ def attempt_log(attempt_rows: DataFrame) -> DataFrame:
     return attempt_rows.withColumn("w", F.explode(done)).select("*", "w.*").drop("w")
 
 
-def visibility(log: DataFrame, mode: str, commit_order: str = "table_inner") -> DataFrame:
+def _committed(mode: str, kind: Column, ok: Column, t_ok: Column, k_ok: Column,
+               commit_order: str) -> Column:
+    is_table = kind == "table"
+    if mode == "none":
+        return F.lit(True)
+    if mode == "chained":
+        if commit_order == "table_inner":
+            table_c, topic_c = ok & t_ok, ok & t_ok & k_ok
+        elif commit_order == "topic_inner":
+            table_c, topic_c = ok & k_ok & t_ok, ok & k_ok
+        else:
+            raise ValueError(commit_order)
+        return F.when(is_table, table_c).otherwise(topic_c)
+    if mode == "table_only":
+        return F.when(is_table, ok & t_ok).otherwise(F.lit(True))
+    if mode == "topic_only":
+        return F.when(is_table, F.lit(True)).otherwise(ok & k_ok)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
+def visibility(log: DataFrame, mode: str | Column, commit_order: str = "table_inner") -> DataFrame:
     """Tag writes with ``committed`` and with reader visibility.
 
-    Columns used: ``kind``, ``process_ok`` and optional ``table_commit_ok`` /
+    ``mode`` is one of MODES, or a string column holding one per row (so
+    different paths or modes share one pass over the log). Columns used:
+    ``kind``, ``process_ok`` and optional ``table_commit_ok`` /
     ``topic_commit_ok`` (default true). Adds ``committed``,
     ``read_committed`` and ``read_uncommitted``.
 
     X4 commit order for ``chained``: the inner resource commits first; if it
     fails both roll back; if only the outer fails, the inner stays.
     """
-    if mode not in MODES:
-        raise ValueError(f"unknown mode {mode!r}")
     ok = F.col("process_ok")
     t_ok = F.col("table_commit_ok") if "table_commit_ok" in log.columns else F.lit(True)
     k_ok = F.col("topic_commit_ok") if "topic_commit_ok" in log.columns else F.lit(True)
-    is_table = F.col("kind") == "table"
-    if mode == "none":
-        committed = F.lit(True)
-    elif mode == "chained":
-        if commit_order == "table_inner":
-            table_c, topic_c = ok & t_ok, ok & t_ok & k_ok
-        elif commit_order == "topic_inner":
-            table_c, topic_c = ok & k_ok & t_ok, ok & k_ok
-        else:
-            raise ValueError(commit_order)
-        committed = F.when(is_table, table_c).otherwise(topic_c)
-    elif mode == "table_only":
-        committed = F.when(is_table, ok & t_ok).otherwise(F.lit(True))
-    else:  # topic_only
-        committed = F.when(is_table, F.lit(True)).otherwise(ok & k_ok)
+    kind = F.col("kind")
+    if isinstance(mode, str):
+        committed = _committed(mode, kind, ok, t_ok, k_ok, commit_order)
+    else:
+        committed = F.lit(None).cast("boolean")
+        for m in reversed(MODES):
+            committed = F.when(mode == m, _committed(m, kind, ok, t_ok, k_ok, commit_order)).otherwise(committed)
     return log.select(
         "*",
         committed.alias("committed"),
         committed.alias("read_committed"),
         # Aborted sends remain in the log; rolled-back table rows do not.
-        F.when(is_table, committed).otherwise(F.lit(True)).alias("read_uncommitted"),
+        F.when(kind == "table", committed).otherwise(F.lit(True)).alias("read_uncommitted"),
     )
 
 
