@@ -54,16 +54,23 @@ def enrich_plain(orders: DataFrame, limits: Limits) -> DataFrame:
     return enrich(orders, limits.with_(fault_count=None))
 
 
+FLAG_COLUMNS = ("value_null", "products_null", "n_null_product")
+
+
 def enrich_facts(facts: DataFrame, limits: Limits) -> DataFrame:
     """P1 on pre-aggregated order facts (n_products, total, n_null_price).
 
     Gives the same scalar columns as ``enrich`` without materialising the
-    product arrays; used on large tables.
+    product arrays; used on large tables. Optional flags ``value_null``,
+    ``products_null`` and ``n_null_product`` feed the same error rule.
     """
+    def flag(c: str, test):
+        return test(F.col(c)) if c in facts.columns else F.lit(False)
+
     count = F.col("n_products")
-    error = fo.enrichment_error(F.lit(False), F.lit(False), count, F.lit(False),
-                                F.col("n_null_price") > 0, limits)
-    keep = _passthrough(facts, {"n_products", "total", "n_null_price"})
+    error = fo.enrichment_error(flag("value_null", lambda c: c), flag("products_null", lambda c: c), count,
+                                flag("n_null_product", lambda c: c > 0), F.col("n_null_price") > 0, limits)
+    keep = _passthrough(facts, {"n_products", "total", "n_null_price", *FLAG_COLUMNS})
     ok = error.isNull()
     return facts.select(
         *keep,
@@ -80,3 +87,36 @@ def partial(full: DataFrame) -> DataFrame:
     cols = [c for c in PARTIAL_COLUMNS if c in full.columns]
     extra = [c for c in ("key", "ts", "seq") if c in full.columns]
     return full.select(*extra, *cols)
+
+
+def chunk_facts(chunks: DataFrame) -> DataFrame:
+    """Decoded chunk records -> one row of order facts per order.
+
+    Each chunk is folded on its own array (size, price fold, null checks), and
+    chunks are combined with a grouped sum, which Spark aggregates partially
+    before the shuffle. An order that fits one chunk gives exactly what
+    ``enrich`` computes from its single record.
+    """
+    products = F.col("products")
+    per_chunk = chunks.select(
+        "id", "key", "ts", "seq", "marketId", "customerId", "value_null",
+        products.isNull().alias("products_null"),
+        F.coalesce(fo.product_count(products), F.lit(0)).alias("n"),
+        F.aggregate(F.filter(products, lambda p: p.isNotNull() & p["price"].isNotNull()),
+                    F.lit(0).cast(S.MONEY), lambda acc, p: (acc + p["price"]).cast(S.MONEY)).alias("t"),
+        F.coalesce(F.size(F.filter(products, lambda p: p.isNull())), F.lit(0)).alias("np"),
+        F.coalesce(F.size(F.filter(products, lambda p: p.isNotNull() & p["price"].isNull())),
+                   F.lit(0)).alias("nq"),
+    )
+    return per_chunk.groupBy("id").agg(
+        F.first("key", ignorenulls=True).alias("key"),
+        F.min("ts").alias("ts"), F.min("seq").alias("seq"),
+        F.first("marketId", ignorenulls=True).alias("marketId"),
+        F.first("customerId", ignorenulls=True).alias("customerId"),
+        F.max(F.col("value_null").cast("int")).cast("boolean").alias("value_null"),
+        F.max(F.col("products_null").cast("int")).cast("boolean").alias("products_null"),
+        F.sum("n").cast("int").alias("n_products"),
+        F.sum("t").cast(S.MONEY).alias("total"),
+        F.sum("np").cast("int").alias("n_null_product"),
+        F.sum("nq").cast("int").alias("n_null_price"),
+    )

@@ -301,14 +301,15 @@ def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Topic codec on whole tables (S1, S3, S4 with the array path of P1-P3).
 
 from ordertide.sources import topics as tp  # noqa: E402
-from ordertide.sources.tables import order_events  # noqa: E402
+from ordertide.sources.tables import order_event_chunks  # noqa: E402
 
 
 def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders serialised to topic records (JSON), decoded with the explicit
-    schema, malformed ones skipped, then enriched from the products arrays."""
-    ev = order_events(spark, sf_dir)
+    """Orders serialised to topic records (JSON, at most 1000 products per
+    record), decoded with the explicit schema, malformed ones skipped, folded
+    per record from the products arrays and combined per order."""
+    ev = order_event_chunks(spark, sf_dir)
     recs = tp.envelope(ev, S.TOPIC_ORDERS, tp.encode(ev, ["id", "marketId", "customerId", "products"]), key="id")
     decoded = tp.skip_malformed(tp.decode(recs))
-    out = en.enrich(decoded, LIM)
+    out = en.enrich_facts(en.chunk_facts(decoded), LIM)
     return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")

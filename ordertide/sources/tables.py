@@ -8,7 +8,12 @@ and the customer's nation as market. Two shapes are offered:
   order holding a huge share of all lines never becomes one array or one task.
   The analytic queries use this shape.
 * ``order_events``: the reference's record shape with a ``products`` array,
-  used where a record is serialised to a topic.
+  for small inputs (tests, direct ingest of a few orders).
+* ``order_event_chunks``: the same records with about ``max_products``
+  products each. An order within the bound is exactly one record; a larger
+  one is spread by a hash of its lines over ``ceil(n / max_products)``
+  records of the same shape (``chunk`` / ``n_chunks``), so no record or group
+  grows with an order's size.
 """
 
 from __future__ import annotations
@@ -96,3 +101,41 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("products"),
         )
     )
+
+
+DEFAULT_MAX_PRODUCTS = 1000
+
+
+def order_event_chunks(spark: SparkSession, sf_dir: str,
+                       max_products: int = DEFAULT_MAX_PRODUCTS) -> DataFrame:
+    """id, seq, ts, customerId, marketId, chunk, n_chunks, products.
+
+    Lines are assigned to ``ceil(n / max_products)`` chunks by a hash of the
+    line, so chunks hold about ``max_products`` products. Orders without lines
+    give one chunk with an empty list.
+    """
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_suppkey",
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("product_name"),
+        F.col("l_extendedprice").cast(MONEY).alias("product_price"),
+    )
+    counts = lines.groupBy("orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    n_chunks = F.ceil(F.col("_n") / F.lit(max_products)).cast("int")
+    chunked = (lines.join(counts, "orderkey")
+               .withColumn("n_chunks", n_chunks)
+               .withColumn("chunk", F.pmod(F.xxhash64("l_linenumber", "l_suppkey", "product_id",
+                                                      "product_price"), F.col("n_chunks")).cast("int")))
+    products = chunked.groupBy("orderkey", "chunk", "n_chunks").agg(
+        F.array_sort(F.collect_list(_product_struct())).alias("products"))
+    empty = F.array().cast("array<struct<id:string,name:string,price:decimal(18,2)>>")
+    return (
+        _order_heads(spark, sf_dir)
+        .join(products, "orderkey", "left")
+        .select(
+            "id", "seq", "ts", "customerId", "marketId",
+            F.coalesce("chunk", F.lit(0)).alias("chunk"),
+            F.coalesce("n_chunks", F.lit(1)).alias("n_chunks"),
+            F.coalesce("products", empty).alias("products"),
+        )
+    )

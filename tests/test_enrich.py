@@ -82,3 +82,38 @@ def test_even_odd_path(spark):
     ok, _ = rt.split(en.enrich(orders_df(spark, [("a", "m", "c", [1, 2]), ("b", "m", "c", [1])]), L))
     paths = {r.id: r.path for r in rt.with_path(ok).collect()}
     assert paths == {"a": "transactional", "b": "plain"}
+
+
+def test_chunked_records_equal_whole_records(spark):
+    """Orders spread over several bounded records enrich exactly like whole ones."""
+    from ordertide.plans import queries as Q
+    from ordertide.sources import topics as tp
+    from ordertide.sources.tables import order_event_chunks, order_events
+    sf = "/root/testdata/sf0.001"
+    chunks = order_event_chunks(spark, sf, max_products=3)
+    per_order = chunks.groupBy("id", "n_chunks").agg(F.count(F.lit(1)).alias("c"),
+                                                     F.sum(F.size("products")).alias("n"))
+    assert per_order.filter("c > 1").count() > 0
+    assert per_order.filter("c > n_chunks OR n_chunks != greatest(ceil(n / 3), 1)").count() == 0
+    assert per_order.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    recs = tp.envelope(chunks, "orders", tp.encode(chunks, ["id", "marketId", "customerId", "products"]), key="id")
+    got = en.enrich_facts(en.chunk_facts(tp.skip_malformed(tp.decode(recs))), Q.LIM)
+    want = en.enrich(order_events(spark, sf), Q.LIM)
+    cols = ["id", "productCount", "price", "status", "error"]
+    a = got.select(*cols).toPandas().sort_values("id").reset_index(drop=True)
+    b = want.select(*cols).toPandas().sort_values("id").reset_index(drop=True)
+    assert a.equals(b)
+
+
+def test_chunk_facts_null_rules(spark):
+    df = orders_df(spark, [("a", "m", "c", [1, None]), ("b", "m", "c", [1, "NULL"]), ("c", "m", "c", None),
+                           ("d", "m", "c", [3, 4])])
+    # split every order into one record per product
+    from pyspark.sql import functions as G
+    per = df.select("key", "id", "marketId", "customerId", "ts", "seq",
+                    G.explode_outer(G.coalesce(G.transform("products", lambda p: G.array(p)),
+                                               G.array(G.lit(None).cast(df.schema["products"].dataType))))
+                    .alias("products"), G.lit(False).alias("value_null"))
+    got = {r.id: (r.error, r.price) for r in en.enrich_facts(en.chunk_facts(per), L).collect()}
+    want = {r.id: (r.error, r.price) for r in en.enrich(df, L).collect()}
+    assert got == want
