@@ -126,7 +126,9 @@ def order_event_chunks(spark: SparkSession, sf_dir: str,
                .withColumn("n_chunks", n_chunks)
                .withColumn("chunk", F.pmod(F.xxhash64("l_linenumber", "l_suppkey", "product_id",
                                                       "product_price"), F.col("n_chunks")).cast("int")))
-    products = chunked.groupBy("orderkey", "chunk", "n_chunks").agg(
+    # Shuffle by (order, chunk): a hot order's chunks go to many reducers, and
+    # AQE may split the skewed join above without breaking a distribution.
+    products = chunked.repartition("orderkey", "chunk").groupBy("orderkey", "chunk", "n_chunks").agg(
         F.array_sort(F.collect_list(_product_struct())).alias("products"))
     empty = F.array().cast("array<struct<id:string,name:string,price:decimal(18,2)>>")
     return (
