@@ -24,10 +24,14 @@ equal to the initial balance for every row (a NEW accept moves an amount from
 available to reserved, CONFIRMED moves it from reserved to confirmed, a
 release moves it back). So the reserved amount follows from the confirmed sum.
 
-Pieces only split at thresholds inside the reachable range
-[0, initial + releases], so for item counts they are bounded by the initial
-stock. For money a partition may exceed ``max_pieces``. Its key is then
-folded by the plain per-key stream: exact, but sequential for that key.
+Pieces only split at thresholds inside the partition's start domain. A
+first parallel pass bounds that domain. From any start <= U, a row of amount
+p leaves at most max(min(U, p - 1), U - p). This bound is monotone in U, so
+applying it to the global bound (initial + all releases) over a partition
+bounds the start of the next one. It collapses after a few hundred rows
+(the balance is spent), so pieces stay few even for money. If a partition
+still exceeds ``max_pieces``, its key is folded by the plain per-key stream:
+exact, but sequential for that key.
 """
 
 from __future__ import annotations
@@ -59,6 +63,7 @@ SUMMARY = T.StructType([
     T.StructField("conf_first", T.LongType()),            # confirmed units of the first segment
     T.StructField("last_end", T.LongType()),              # end available of the last segment from initial
     T.StructField("conf_last", T.LongType()),
+    T.StructField("bound_end", T.LongType()),             # bound after a single-key partition
 ])
 
 
@@ -124,7 +129,14 @@ def _row_effect(side: rv.Side, unit: int):
     return effect
 
 
-def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
+def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int, domains_bc=None):
+    """One summary row per partition.
+
+    Without ``domains_bc`` (first pass) no pieces are built: a single-key
+    partition reports ``bound_end``, the interval bound after its rows for any
+    start <= ``upper``. With it (second pass) single-key partitions build
+    pieces over their start domain [0, domains[pid]].
+    """
     effect = _row_effect(side, unit)
 
     def run(batches):
@@ -132,7 +144,8 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
         first = last = None
         seen = False
         single = True
-        pieces = Pieces(upper, max_pieces)
+        pieces = None
+        bound = upper
         conf_first = 0
         carry = [object(), 0, 0]     # plain fold of the current (not first) segment
         conf_last = 0
@@ -146,6 +159,8 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
             if not seen:
                 first, seen = keys[0], True
                 pid = int(pdf[_PID].iloc[0])
+                if domains_bc is not None:
+                    pieces = Pieces(domains_bc.value.get(pid, upper), max_pieces)
             start = 0
             if single:
                 # rows of the first key at the head of this batch
@@ -157,9 +172,14 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
                     if e is None:
                         continue
                     if e[0] == "new":
-                        pieces.new(e[1])
+                        a = e[1]
+                        bound = max(min(bound, a - 1), bound - a)
+                        if pieces is not None:
+                            pieces.new(a)
                     elif e[0] == "release":
-                        pieces.release(e[1])
+                        bound += e[1]
+                        if pieces is not None:
+                            pieces.release(e[1])
                     else:
                         conf_first += e[1]
                 if n_first < len(keys):
@@ -185,16 +205,36 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int):
             return
         yield pd.DataFrame({
             "pid": [pid], "first_key": [first], "last_key": [last], "single": [single],
-            "lo": [pieces.lo.tolist() if single else None],
-            "off": [pieces.off.tolist() if single else None],
-            "overflow": [bool(single and pieces.overflow)],
+            "lo": [pieces.lo.tolist() if single and pieces is not None else None],
+            "off": [pieces.off.tolist() if single and pieces is not None else None],
+            "overflow": [bool(single and pieces is not None and pieces.overflow)],
             "conf_first": [conf_first],
             "last_end": [None if single or last is None else int(carry[1])],
             "conf_last": [conf_last],
+            "bound_end": [max(bound, 0) if single else None],
         })
     return run
 
 
+def start_domains(summaries: list, upper: int, initial: int) -> dict:
+    """Bound on the start balance of every single-key partition: the bound
+    after the previous partition when it ends with the same key, else the
+    initial balance (the key starts here)."""
+    rows = sorted(summaries, key=lambda r: r["pid"])
+    out = {}
+    for j, r in enumerate(rows):
+        if not r["single"]:
+            continue
+        prev = rows[j - 1] if j > 0 else None
+        if prev is None or prev["last_key"] is None or prev["last_key"] != r["first_key"]:
+            out[r["pid"]] = initial
+        elif prev["single"]:
+            out[r["pid"]] = min(upper, prev["bound_end"])
+        else:
+            out[r["pid"]] = min(upper, prev["last_end"])
+    return out
+
+
 def chain(summaries: list, side: rv.Side, unit: int) -> tuple[dict, set]:
     """Start state of each partition's first segment, and the keys that need the
     sequential fallback (a piece overflow somewhere in their run)."""
@@ -284,10 +324,17 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     # reachable balances: [0, initial + every release]; thresholds above are dead
     releases = ranged.filter(F.col(rv._ST) == S.ROLLBACK).agg(F.sum(rv._A)).first()[0] or 0
     upper = side.initial * unit + int(releases)
-    summaries = [r.asDict() for r in
-                 ranged.mapInPandas(_summarize(side, unit, upper, max_pieces), SUMMARY).collect()]
+    sc = spark.sparkContext
+    first = [r.asDict() for r in ranged.mapInPandas(_summarize(side, unit, upper, max_pieces), SUMMARY).collect()]
+    domains = start_domains(first, upper, side.initial * unit)
+    if domains:
+        dom_bc = sc.broadcast(domains)
+        summaries = [r.asDict() for r in
+                     ranged.mapInPandas(_summarize(side, unit, upper, max_pieces, dom_bc), SUMMARY).collect()]
+    else:
+        summaries = first          # no key spans a whole partition: no pieces needed
     starts, fallback = chain(summaries, side, unit)
-    starts_bc = spark.sparkContext.broadcast(starts)
+    starts_bc = sc.broadcast(starts)
     out_schema = T.StructType(list(ranged.schema.fields) + rv.FOLD_FIELDS)
     folded = ranged.mapInPandas(_fold_from_starts(side, unit, starts_bc), out_schema)
     result = rv.unstage(folded, orders.columns, side)
