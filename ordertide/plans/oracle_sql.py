@@ -404,3 +404,16 @@ FROM txns"""
 def decoded_enriched_orders(lim: Limits = TABLE_LIMITS) -> str:
     return "WITH " + enriched_cte(lim) + """
 SELECT id, productCount, CAST(price AS DOUBLE) AS price, status, error FROM enriched"""
+
+
+def reply_records(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT 'payment-orders' AS topic, id AS key, status, rts AS ts FROM pay_replies
+UNION ALL
+SELECT 'stock-orders' AS topic, id AS key, status, rts AS ts FROM stk_replies"""
+
+
+def decision_summary(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + """
+SELECT status, source, error, count(*) AS n_orders, CAST(sum(price) AS DOUBLE) AS revenue
+FROM decisions GROUP BY status, source, error"""

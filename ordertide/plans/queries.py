@@ -313,3 +313,21 @@ def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = tp.skip_malformed(tp.decode(recs))
     out = en.enrich_facts(en.chunk_facts(decoded), LIM)
     return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")
+
+
+def q_reply_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + P7: the replies of both reservation services, re-keyed by order id,
+    with their reply times."""
+    r = saga_of(spark, sf_dir)
+    pay, stk = saga.with_reply_times(rt.replies(r.payment), rt.replies(r.stock),
+                                     (saga.PAYMENT_DELAY_MOD, saga.STOCK_DELAY_MOD))
+    return (pay.select(F.lit(S.TOPIC_PAYMENT).alias("topic"), F.col("id").alias("key"), "status", "ts")
+            .unionByName(stk.select(F.lit(S.TOPIC_STOCK).alias("topic"), F.col("id").alias("key"),
+                                    "status", "ts")))
+
+
+def q_decision_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions per (status, source, error): orders and revenue."""
+    d = saga_of(spark, sf_dir).decisions
+    return (d.groupBy("status", "source", "error")
+            .agg(F.count(F.lit(1)).alias("n_orders"), to_double(F.sum("price")).alias("revenue")))

@@ -41,6 +41,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "product_table": (Q.q_product_table, O.product_table()),
     "event_not_null": (Q.q_event_not_null, O.event_not_null()),
     "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
+    "reply_records": (Q.q_reply_records, O.reply_records()),
+    "decision_summary": (Q.q_decision_summary, O.decision_summary()),
 }
 
 

@@ -61,6 +61,10 @@ def test_stream_saga_equals_batch_saga(spark, scratch):
     dec = dec.filter(F.col("status") != S.NEW).select("id", "status", "source")
     bd = rt.split(b.decisions)[0].select("id", "status", "source")
     assert dec.count() == bd.count() and dec.exceptAll(bd).count() == 0
+    # another round after the fixed point writes nothing new
+    sizes = {t: tp.read_topic(spark, root, t).count() for t in (S.TOPIC_ORDERS_FULL, S.TOPIC_PAYMENT, S.TOPIC_STOCK)}
+    ss.run_rounds(spark, root, ck, L, rounds=1)
+    assert sizes == {t: tp.read_topic(spark, root, t).count() for t in sizes}
     # settled balances read from the stream's state store
     for side, name in ((rv.payment_side(L), "payment"), (rv.stock_side(L), "stock")):
         stream_bal = ss.balances(spark, f"{ck}/{name}", side)
