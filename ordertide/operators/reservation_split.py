@@ -26,12 +26,13 @@ release moves it back). So the reserved amount follows from the confirmed sum.
 
 Pieces only split at thresholds inside the partition's start domain. A
 first parallel pass bounds that domain. From any start <= U, a row of amount
-p leaves at most max(min(U, p - 1), U - p). This bound is monotone in U, so
-applying it to the global bound (initial + all releases) over a partition
-bounds the start of the next one. It collapses after a few hundred rows
-(the balance is spent), so pieces stay few even for money. If a partition
-still exceeds ``max_pieces``, its key is folded by the plain per-key stream:
-exact, but sequential for that key.
+p leaves at most max(min(U, p - 1), U - p), and a release of a adds a. The
+resulting bound G(U) over a partition is monotone and 1-Lipschitz, so
+G(B) <= G(initial) + max(0, B - initial). Each partition reports
+G(initial), and the chain carries the bound from partition to partition. It
+collapses after a few hundred rows (the balance is spent), so pieces stay few
+even for money. If a partition still exceeds ``max_pieces``, its key is
+folded by the plain per-key stream: exact, but sequential for that key.
 """
 
 from __future__ import annotations
@@ -134,8 +135,9 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int, domains_bc
 
     Without ``domains_bc`` (first pass) no pieces are built: a single-key
     partition reports ``bound_end``, the interval bound after its rows for any
-    start <= ``upper``. With it (second pass) single-key partitions build
-    pieces over their start domain [0, domains[pid]].
+    start <= ``upper`` (the initial balance). With it (second pass)
+    single-key partitions build pieces over their start domain
+    [0, domains[pid]].
     """
     effect = _row_effect(side, unit)
 
@@ -216,10 +218,14 @@ def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int, domains_bc
     return run
 
 
-def start_domains(summaries: list, upper: int, initial: int) -> dict:
-    """Bound on the start balance of every single-key partition: the bound
-    after the previous partition when it ends with the same key, else the
-    initial balance (the key starts here)."""
+def start_domains(summaries: list, initial: int) -> dict:
+    """Bound on the start balance of every single-key partition.
+
+    A key starting in the partition starts at ``initial``. After a multi-key
+    partition the start is the exact end of its last segment; after a
+    single-key one it is G(initial) + max(0, B - initial), with B the bound
+    on that partition's own start.
+    """
     rows = sorted(summaries, key=lambda r: r["pid"])
     out = {}
     for j, r in enumerate(rows):
@@ -229,9 +235,9 @@ def start_domains(summaries: list, upper: int, initial: int) -> dict:
         if prev is None or prev["last_key"] is None or prev["last_key"] != r["first_key"]:
             out[r["pid"]] = initial
         elif prev["single"]:
-            out[r["pid"]] = min(upper, prev["bound_end"])
+            out[r["pid"]] = prev["bound_end"] + max(0, out[prev["pid"]] - initial)
         else:
-            out[r["pid"]] = min(upper, prev["last_end"])
+            out[r["pid"]] = prev["last_end"]
     return out
 
 
@@ -321,16 +327,14 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     ranged = cached.checkpoint(eager=True)
     cached.unpersist()
     staged.unpersist()
-    # reachable balances: [0, initial + every release]; thresholds above are dead
-    releases = ranged.filter(F.col(rv._ST) == S.ROLLBACK).agg(F.sum(rv._A)).first()[0] or 0
-    upper = side.initial * unit + int(releases)
+    initial = side.initial * unit
     sc = spark.sparkContext
-    first = [r.asDict() for r in ranged.mapInPandas(_summarize(side, unit, upper, max_pieces), SUMMARY).collect()]
-    domains = start_domains(first, upper, side.initial * unit)
+    first = [r.asDict() for r in ranged.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
+    domains = start_domains(first, initial)
     if domains:
         dom_bc = sc.broadcast(domains)
         summaries = [r.asDict() for r in
-                     ranged.mapInPandas(_summarize(side, unit, upper, max_pieces, dom_bc), SUMMARY).collect()]
+                     ranged.mapInPandas(_summarize(side, unit, initial, max_pieces, dom_bc), SUMMARY).collect()]
     else:
         summaries = first          # no key spans a whole partition: no pieces needed
     starts, fallback = chain(summaries, side, unit)
