@@ -19,8 +19,8 @@ from ordertide.sources.tables import order_facts
 LIM: Limits = TABLE_LIMITS
 
 
-def enriched(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
-    return en.enrich_facts(order_facts(spark, sf_dir), lim)
+def enriched(spark: SparkSession, sf_dir: str, lim: Limits = LIM, with_market: bool = True) -> DataFrame:
+    return en.enrich_facts(order_facts(spark, sf_dir, with_market), lim)
 
 
 def q_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def q_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_route_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = enriched(spark, sf_dir)
+    out = enriched(spark, sf_dir, with_market=False)
     route = (F.when(F.col("error").isNotNull(), F.lit("error"))
              .otherwise(F.expr(f"CASE WHEN productCount >= {LIM.full_cart} THEN '{S.ROUTE_FULL}' "
                                f"WHEN productCount >= {LIM.half_full_cart} THEN '{S.ROUTE_HALF}' "
@@ -50,7 +50,7 @@ def q_valuable_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_full_mini_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, _ = rt.split(enriched(spark, sf_dir))
+    ok, _ = rt.split(enriched(spark, sf_dir, with_market=False))
     return rt.full_mini_cart(ok, LIM).select("id", "productCount", to_double(F.col("price")).alias("price"))
 
 
@@ -62,7 +62,7 @@ def q_half_full_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_topic_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per topic record counts of one fan-out pass (success routes + error topic)."""
-    out = enriched(spark, sf_dir)
+    out = enriched(spark, sf_dir, with_market=False)
     topics = F.when(F.col("error").isNotNull(), F.array(F.lit(S.TOPIC_ERROR))).otherwise(rt.topics_of(LIM))
     return (out.select(F.explode(topics).alias("topic"))
             .groupBy("topic").agg(F.count(F.lit(1)).alias("n_records")))
@@ -70,7 +70,7 @@ def q_topic_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_product_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B5 on the valuable-customer rows: even/odd product count paths."""
-    ok, _ = rt.split(enriched(spark, sf_dir))
+    ok, _ = rt.split(enriched(spark, sf_dir, with_market=False))
     return (rt.with_path(rt.valuable(ok, LIM)).groupBy("path")
             .agg(F.count(F.lit(1)).alias("n_orders"), to_double(F.sum("price")).alias("revenue")))
 
@@ -83,13 +83,14 @@ from ordertide.operators import reservation as rv  # noqa: E402
 from ordertide.plans import saga  # noqa: E402
 
 
-def saga_of(spark: SparkSession, sf_dir: str, lim: Limits = LIM, persist: bool = False) -> "saga.SagaResult":
-    ok, _ = rt.split(enriched(spark, sf_dir, lim))
+def saga_of(spark: SparkSession, sf_dir: str, lim: Limits = LIM, persist: bool = False,
+            with_market: bool = True) -> "saga.SagaResult":
+    ok, _ = rt.split(enriched(spark, sf_dir, lim, with_market))
     return saga.run(ok, lim, persist=persist)
 
 
 def q_credit_reservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = saga_of(spark, sf_dir)
+    r = saga_of(spark, sf_dir, with_market=False)
     return r.payment.select("id", "customerId", "status", "error",
                             to_double(F.col("available")).alias("available"),
                             to_double(F.col("reserved")).alias("reserved"))
@@ -101,7 +102,7 @@ def q_stock_reservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_credit_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = saga_of(spark, sf_dir).payment_balance()
+    b = saga_of(spark, sf_dir, with_market=False).payment_balance()
     return b.select("customerId", to_double(F.col("available")).alias("available"),
                     to_double(F.col("reserved")).alias("reserved"))
 
@@ -166,14 +167,15 @@ from ordertide.operators import tables as tb  # noqa: E402
 from ordertide.sources.tables import product_lines, read_table  # noqa: E402
 
 
-def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_facts(spark, sf_dir).select(
-        "id", "customerId", "marketId", "ts", "seq",
+def _order_records(spark: SparkSession, sf_dir: str, with_market: bool = True) -> DataFrame:
+    market = ["marketId"] if with_market else []
+    return order_facts(spark, sf_dir, with_market).select(
+        "id", "customerId", *market, "ts", "seq",
         F.col("n_products").alias("productCount"), F.col("total").alias("price"))
 
 
 def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lt.latest(_order_records(spark, sf_dir), key="customerId")
+    return lt.latest(_order_records(spark, sf_dir, with_market=False), key="customerId")
 
 
 def q_latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:

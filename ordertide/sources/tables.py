@@ -42,8 +42,18 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_heads(spark: SparkSession, sf_dir: str, with_market: bool = True) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if not with_market:
+        # Catalyst cannot drop an unused left join (it does not know the
+        # customer key is unique), so callers that never read the market say so.
+        return orders.select(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("o_orderkey").alias("seq"),
+            F.col("o_orderkey").alias("orderkey"),
+            F.col("o_custkey").cast("string").alias("customerId"),
+            F.col("o_orderdate").alias("ts"),
+        )
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # customer grows with the data: a plain equi-join, Catalyst broadcasts it
     # only while its statistics stay under autoBroadcastJoinThreshold.
@@ -57,22 +67,25 @@ def _order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_facts(spark: SparkSession, sf_dir: str, with_market: bool = True) -> DataFrame:
     """id, seq, ts, customerId, marketId, n_products, total, n_null_price.
 
     ``total`` is the exact decimal(18,2) sum of the line prices (0 for an order
-    without lines, like a fold from zero over an empty list).
+    without lines, like a fold from zero over an empty list). Without
+    ``with_market`` the market column (and the customer join) is left out.
     """
     per_order = product_lines(spark, sf_dir).groupBy("orderkey").agg(
         F.count(F.lit(1)).cast("int").alias("n_products"),
         F.sum("product_price").cast(MONEY).alias("total"),
         (F.count(F.lit(1)) - F.count("product_price")).cast("int").alias("n_null_price"),
     )
+    heads = _order_heads(spark, sf_dir, with_market)
+    market = ["marketId"] if with_market else []
     return (
-        _order_heads(spark, sf_dir)
+        heads
         .join(per_order, "orderkey", "left")
         .select(
-            "id", "seq", "ts", "customerId", "marketId",
+            "id", "seq", "ts", "customerId", *market,
             F.coalesce("n_products", F.lit(0)).alias("n_products"),
             F.coalesce("total", F.lit(0).cast(MONEY)).alias("total"),
             F.coalesce("n_null_price", F.lit(0)).alias("n_null_price"),
