@@ -324,12 +324,14 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
               .sortWithinPartitions(rv._K, "ts", "seq")
               .withColumn(_PID, F.spark_partition_id()))
     cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = cached.checkpoint(eager=True)
-    cached.unpersist()
-    staged.unpersist()
+    # The first summary pass computes the partitions (into the cache) and
+    # triggers the checkpoint write; later passes read the checkpoint.
+    ranged = cached.checkpoint(eager=False)
     initial = side.initial * unit
     sc = spark.sparkContext
     first = [r.asDict() for r in ranged.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
+    cached.unpersist()
+    staged.unpersist()
     domains = start_domains(first, initial)
     if domains:
         dom_bc = sc.broadcast(domains)
