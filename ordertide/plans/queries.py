@@ -14,7 +14,14 @@ from ordertide.config import Limits, TABLE_LIMITS
 from ordertide.functions.orders import to_double
 from ordertide.operators import enrich as en
 from ordertide.operators import routing as rt
-from ordertide.sources.tables import order_facts
+from ordertide.operators import errors as er
+from ordertide.operators import isolation as iso
+from ordertide.operators import latest as lt
+from ordertide.operators import reservation as rv
+from ordertide.operators import tables as tb
+from ordertide.plans import saga
+from ordertide.sources import topics as tp
+from ordertide.sources.tables import order_event_chunks, order_facts, product_lines, read_table
 
 LIM: Limits = TABLE_LIMITS
 
@@ -78,10 +85,6 @@ def q_product_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Reservation, decision, settlement.
 
-from ordertide.operators import errors as er  # noqa: E402
-from ordertide.operators import reservation as rv  # noqa: E402
-from ordertide.plans import saga  # noqa: E402
-
 
 def saga_of(spark: SparkSession, sf_dir: str, lim: Limits = LIM, persist: bool = False,
             with_market: bool = True) -> "saga.SagaResult":
@@ -161,11 +164,6 @@ def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Latest per key (K1-K3).
 
-from ordertide.operators import isolation as iso  # noqa: E402
-from ordertide.operators import latest as lt  # noqa: E402
-from ordertide.operators import tables as tb  # noqa: E402
-from ordertide.sources.tables import product_lines, read_table  # noqa: E402
-
 
 def _order_records(spark: SparkSession, sf_dir: str, with_market: bool = True) -> DataFrame:
     market = ["marketId"] if with_market else []
@@ -302,9 +300,6 @@ def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Topic codec on whole tables (S1, S3, S4 with the array path of P1-P3).
 
-from ordertide.sources import topics as tp  # noqa: E402
-from ordertide.sources.tables import order_event_chunks  # noqa: E402
-
 
 def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders serialised to topic records (JSON, at most 1000 products per

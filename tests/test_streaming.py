@@ -71,3 +71,39 @@ def test_stream_saga_equals_batch_saga(spark, scratch):
         batch_bal = b.settled(side).select(side.key, "available", "reserved")
         assert stream_bal.count() == batch_bal.count()
         assert stream_bal.exceptAll(batch_bal).count() == 0
+
+
+def test_decision_stream_window(spark, scratch):
+    """J1 on streams: in window, on the 10 s boundary, 15 s apart, other key."""
+    from ordertide import REFERENCE_LIMITS as R
+    from ordertide.operators.enrich import FULL_COLUMNS
+    from ordertide.streaming.decision import decisions_stream
+    root = f"{scratch}/topics"
+
+    def replies(topic, rows):
+        df = spark.createDataFrame(rows, "id string, status string, t long")
+        df = (df.withColumn("marketId", F.lit("m")).withColumn("customerId", F.lit("c"))
+              .withColumn("productCount", F.lit(1)).withColumn("price", F.lit(10).cast("decimal(18,2)"))
+              .withColumn("products", F.array().cast("array<struct<id:string,name:string,price:decimal(18,2)>>"))
+              .withColumn("source", F.lit(None).cast("string"))
+              .withColumn("ts", F.timestamp_seconds("t")).withColumn("seq", F.col("t")))
+        tp.write_records(tp.envelope(df, topic, F.to_json(F.struct(*FULL_COLUMNS)), key="id"), root, topic)
+
+    replies(S.TOPIC_PAYMENT, [("in", "ACCEPT", 100), ("edge", "ACCEPT", 200), ("out", "ACCEPT", 300),
+                              ("one", "ACCEPT", 400)])
+    replies(S.TOPIC_STOCK, [("in", "ACCEPT", 103), ("edge", "REJECT", 210), ("out", "ACCEPT", 315),
+                            ("two", "ACCEPT", 400)])
+
+    def side(topic):
+        return tp.skip_malformed(tp.decode(tp.read_topic_stream(spark, root, topic), S.ORDER_FULL_EVENT))
+
+    got = {}
+
+    def sink(batch, batch_id):
+        for r in batch.collect():
+            got[r.id] = (r.status, r.source)
+
+    q = (decisions_stream(side(S.TOPIC_PAYMENT), side(S.TOPIC_STOCK), R).writeStream.foreachBatch(sink)
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert got == {"in": (S.CONFIRMED, None), "edge": (S.ROLLBACK, S.STOCK)}
