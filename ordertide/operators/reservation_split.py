@@ -312,9 +312,14 @@ def _fold_from_starts(side: rv.Side, unit: int, starts_bc):
 
 
 def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None,
-                  max_pieces: int = 4096) -> DataFrame:
+                  max_pieces: int = 256) -> DataFrame:
     """R1/R2 in batch with hot keys spread over many tasks; same result as
-    ``reservation.reserve``."""
+    ``reservation.reserve``.
+
+    The driver receives one summary per partition: at most
+    ``partitions * max_pieces`` pieces of 16 bytes. Beyond ``max_pieces`` a
+    partition's key takes the exact per-key stream instead.
+    """
     spark = orders.sparkSession
     checkpoint_dir(spark)
     unit = rv.unit_of(side)
