@@ -164,9 +164,15 @@ def _fold_partition(side: Side, unit: int):
     return run
 
 
+def _is_small_decimal(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.DecimalType) and f.dataType.precision <= 18
+
+
 def stage(orders: DataFrame, side: Side) -> DataFrame:
     """Add the fold's working columns: key as string, amount in integer units,
-    incoming status and source."""
+    incoming status and source. Decimal columns that only pass through are
+    carried as their unscaled longs (cheap in Arrow/pandas) and restored by
+    ``unstage``."""
     amount = F.col(side.amount)
     units = (amount * _UNIT).cast("long") if side.money else amount.cast("long")
     staged = orders.withColumns({
@@ -175,10 +181,21 @@ def stage(orders: DataFrame, side: Side) -> DataFrame:
         _ST: F.col("status"),
         _SRC: F.col("source"),
     })
+    carried = {f.name: (F.col(f.name) * F.lit(10 ** f.dataType.scale)).cast("long")
+               for f in orders.schema.fields if _is_small_decimal(f)}
+    if carried:
+        staged = staged.withColumns(carried)
     return staged.drop("error") if "error" in staged.columns else staged
 
 
-def unstage(folded: DataFrame, orders_columns: list[str], side: Side) -> DataFrame:
+def _restore(f: T.StructField):
+    if _is_small_decimal(f):
+        t = f.dataType
+        return (F.col(f.name).cast(T.DecimalType(t.precision, 0)) / F.lit(10 ** t.scale)).cast(t).alias(f.name)
+    return F.col(f.name)
+
+
+def unstage(folded: DataFrame, orders_schema: T.StructType, side: Side) -> DataFrame:
     """Fold output -> public columns (money back to decimal(18,2))."""
     def back(c: str):
         if side.money:
@@ -187,7 +204,7 @@ def unstage(folded: DataFrame, orders_columns: list[str], side: Side) -> DataFra
 
     extra = ["is_last"] if "is_last" in folded.columns else []
     return folded.select(
-        *[c for c in orders_columns if c not in ("status", "error")],
+        *[_restore(f) for f in orders_schema.fields if f.name not in ("status", "error")],
         "in_status",
         F.col("_out_status").alias("status"),
         "error",
@@ -214,7 +231,7 @@ def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> Dat
     ordered = by_key.sortWithinPartitions(_K, "ts", "seq")
     out_schema = T.StructType(list(ordered.schema.fields) + FOLD_FIELDS)
     folded = ordered.mapInPandas(_fold_partition(side, unit_of(side)), out_schema)
-    return unstage(folded, orders.columns, side)
+    return unstage(folded, orders.schema, side)
 
 
 def balances(reserved: DataFrame, side: Side) -> DataFrame:

@@ -334,21 +334,23 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     ranged = cached.checkpoint(eager=False)
     initial = side.initial * unit
     sc = spark.sparkContext
-    first = [r.asDict() for r in ranged.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
+    # the summary passes read only the working columns
+    narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC)
+    first = [r.asDict() for r in narrow.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
     cached.unpersist()
     staged.unpersist()
     domains = start_domains(first, initial)
     if domains:
         dom_bc = sc.broadcast(domains)
         summaries = [r.asDict() for r in
-                     ranged.mapInPandas(_summarize(side, unit, initial, max_pieces, dom_bc), SUMMARY).collect()]
+                     narrow.mapInPandas(_summarize(side, unit, initial, max_pieces, dom_bc), SUMMARY).collect()]
     else:
         summaries = first          # no key spans a whole partition: no pieces needed
     starts, fallback = chain(summaries, side, unit)
     starts_bc = sc.broadcast(starts)
     out_schema = T.StructType(list(ranged.schema.fields) + rv.FOLD_FIELDS)
     folded = ranged.mapInPandas(_fold_from_starts(side, unit, starts_bc), out_schema)
-    result = rv.unstage(folded, orders.columns, side)
+    result = rv.unstage(folded, orders.schema, side)
     if not fallback:
         return result
     hot = F.col(side.key).cast("string").isin(list(fallback))

@@ -62,4 +62,4 @@ def reserve_stream(orders: DataFrame, side: rv.Side) -> DataFrame:
     out_schema = T.StructType(fields)
     proc = ReservationProcessor(side, [f.name for f in fields])
     folded = staged.groupBy(rv._K).transformWithState(proc, out_schema, "append", "None")
-    return rv.unstage(folded, orders.columns, side)
+    return rv.unstage(folded, orders.schema, side)
