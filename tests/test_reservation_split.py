@@ -94,3 +94,15 @@ def test_chain_continues_keys():
     assert starts[1] == ("b", 990, 10, True)
     assert starts[2] == ("b", 985, 15, False)
     assert not fallback
+
+
+def test_edge_inputs(spark):
+    from conftest import full_df
+    side = rv.payment_side(Q.LIM)
+    empty = full_df(spark, [("o1", "m", "c", 1, 5, "NEW", None, 0)]).limit(0)
+    assert reserve_split(empty, side, partitions=4).count() == 0
+    nulls = full_df(spark, [("o1", "m", None, 1, 5, "NEW", None, 0), ("o2", "m", None, 1, 6, "NEW", None, 1)])
+    out = reserve_split(nulls, side, partitions=4).collect()
+    assert {r.error for r in out} == {"null key"} and not any(r.is_last for r in out)
+    one = full_df(spark, [("o1", "m", "c", 1, 5, "NEW", None, 0)])
+    assert _same(rv.reserve(one, side), reserve_split(one, side, partitions=16))
