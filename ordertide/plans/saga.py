@@ -53,6 +53,15 @@ class SagaResult:
         self.orders_full, self.lim, self._persist, self.delays = orders_full, lim, persist, delays
         self._reserve = reserve_split if fold == "range" else rv.reserve
 
+    def with_stages(self, **stages: DataFrame) -> "SagaResult":
+        """Use already computed (e.g. written and re-read) stages:
+        ``payment``, ``stock`` and/or ``decisions``."""
+        for name, df in stages.items():
+            if name not in ("payment", "stock", "decisions"):
+                raise ValueError(name)
+            self.__dict__[name] = df      # fills the cached_property
+        return self
+
     def _fold(self, side: rv.Side) -> DataFrame:
         out = self._reserve(self.orders_full, side)
         return materialize(out) if self._persist else out

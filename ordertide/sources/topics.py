@@ -54,6 +54,21 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, isolation: str = "
                     "partition", "offset", "timestamp"))
 
 
+def write_kafka(records: DataFrame, servers: str, checkpoint: str | None = None):
+    """S4 against a broker: key/value records to the topic named in ``topic``.
+
+    Spark's Kafka sink is at-least-once: a replayed micro-batch can write its
+    records again, so readers de-duplicate on (key, offset of the source) or
+    the idempotent file sink (``write_records``) is used instead.
+    """
+    out = records.select("key", "value", "topic")
+    if out.isStreaming:
+        return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+                .option("checkpointLocation", checkpoint).start())
+    out.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    return None
+
+
 def decode(records: DataFrame, schema=S.ORDER_EVENT) -> DataFrame:
     """Parse ``value`` with an explicit schema.
 

@@ -49,3 +49,18 @@ def test_event_tables_sink(spark, scratch):
     assert [r.event_id for r in ev.collect()] == ["o1"]
     assert sorted(float(r.price) for r in pr.collect()) == [10.0, 20.0]
     assert set(pr.columns) >= {"name", "price", "event_id"} and "id" not in pr.columns
+
+
+def test_publish_batch_job(spark, scratch):
+    """The whole flow as one batch job; outputs agree with the registered queries."""
+    from ordertide.plans import queries as Q
+    from ordertide.plans.publish import run_batch
+    sf = "/root/testdata/sf0.001"
+    paths = run_batch(spark, sf, scratch)
+    dec = spark.read.parquet(paths["decisions"])
+    assert dec.count() == Q.q_order_decisions(spark, sf).count()
+    bal = spark.read.parquet(paths["stock_balance"]).select("marketId", "available", "reserved", "settled")
+    want = Q.q_settled_stock(spark, sf)
+    assert bal.exceptAll(want).count() == 0 and want.exceptAll(bal).count() == 0
+    errs = spark.read.parquet(paths["errors"])
+    assert errs.count() == Q.q_error_topic(spark, sf).count()
