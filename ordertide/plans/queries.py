@@ -244,7 +244,7 @@ def q_isolation_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.sum(F.when(F.col("target") == target, F.col(col).cast("int")).otherwise(0)).cast("bigint")
 
     return (w.groupBy("txn_id", "path")
-            .agg(F.max("attempt").alias("attempts"),
+            .agg(F.max("attempt").cast("bigint").alias("attempts"),
                  n(S.TOPIC_TEST_1, "read_committed").alias("t1_committed"),
                  n(S.TOPIC_TEST_1, "read_uncommitted").alias("t1_uncommitted"),
                  n(S.TOPIC_TEST_2, "read_committed").alias("t2_committed"),
