@@ -10,6 +10,10 @@ from conftest import SF_SMALL
 from ordertide.sources.tables import TABLES
 
 
+_DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 4)
@@ -42,6 +46,8 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(sql)
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {c: _DUCK_TYPE.get(t, t) for c, t in df.dtypes}
+    assert spark_types == {d[0]: str(d[1]) for d in res.description}
     assert _rows(df.columns, srows) == _rows(dcols, res.fetchall())
 
 
