@@ -152,7 +152,7 @@ def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rows of all four stages in one frame (key, stage, message)."""
     out = enriched(spark, sf_dir)
     ok, _ = rt.split(out)
-    r = saga.run(ok, LIM)
+    r = saga.run(ok, LIM).prepare_both()
     return er.union_errors(
         er.error_rows(out, "enrich", "id"),
         er.error_rows(r.payment, "payment", "customerId"),

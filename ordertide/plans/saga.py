@@ -10,6 +10,7 @@ NEW), nothing is re-emitted after settlement.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -76,9 +77,20 @@ class SagaResult:
         """R2 rows."""
         return self._fold(rv.stock_side(self.lim))
 
+    def prepare_both(self) -> "SagaResult":
+        """Prepare the two folds concurrently (their eager jobs are
+        independent, so they overlap instead of queueing)."""
+        missing = [n for n in ("payment", "stock") if n not in self.__dict__]
+        if len(missing) == 2:
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                for name, df in zip(missing, pool.map(lambda n: getattr(self, n), missing)):
+                    self.__dict__[name] = df
+        return self
+
     @cached_property
     def decisions(self) -> DataFrame:
         """J1 + J2 + E5 rows with an ``error`` column."""
+        self.prepare_both()
         pay_replies, stk_replies = with_reply_times(rt.replies(self.payment), rt.replies(self.stock),
                                                     self.delays)
         return dc.decisions(pay_replies, stk_replies, self.lim)
@@ -90,6 +102,7 @@ class SagaResult:
         return rv.balances(self.stock, rv.stock_side(self.lim))
 
     def settled(self, side: rv.Side) -> DataFrame:
+        self.prepare_both()
         folded = self.payment if side.source == rv.payment_side(self.lim).source else self.stock
         ok, _ = rt.split(self.decisions)
         return rv.settle(rv.balances(folded, side), rv.settlement_deltas(ok, side), side)
