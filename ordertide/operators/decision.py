@@ -23,15 +23,23 @@ def within(p_ts: Column, s_ts: Column, seconds: int) -> Column:
     return (s_ts >= p_ts - w) & (s_ts <= p_ts + w)
 
 
+def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
+                seconds: int) -> DataFrame:
+    """J1 in general form: inner equi-join on ``on`` where the two times are at
+    most ``seconds`` apart (either way). ``right``'s key column is dropped.
+    Every matching pair is emitted."""
+    r = right.withColumnRenamed(on, "_r_key")
+    cond = (left[on] == r["_r_key"]) & within(left[left_ts], r[right_ts], seconds)
+    return left.join(r, cond, "inner").drop("_r_key")
+
+
 def join_replies(payment: DataFrame, stock: DataFrame, lim: Limits) -> DataFrame:
     """Payment ⋈ stock on id, |ts_p - ts_s| <= window. Columns of the
     payment side plus ``p_status``, ``s_status``, ``p_ts``, ``s_ts``."""
     keep = [c for c in PAYMENT_COLUMNS if c in payment.columns]
     p = payment.select(*keep, F.col("status").alias("p_status"), F.col("ts").alias("p_ts"))
-    s = stock.select(F.col("id").alias("s_id"), F.col("status").alias("s_status"),
-                     F.col("ts").alias("s_ts"))
-    cond = (p["id"] == s["s_id"]) & within(p["p_ts"], s["s_ts"], lim.join_window_seconds)
-    return p.join(s, cond, "inner").drop("s_id")
+    s = stock.select("id", F.col("status").alias("s_status"), F.col("ts").alias("s_ts"))
+    return window_join(p, s, "id", "p_ts", "s_ts", lim.join_window_seconds)
 
 
 def decision_status(p_status: Column, s_status: Column) -> Column:

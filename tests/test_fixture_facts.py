@@ -39,3 +39,13 @@ def test_reply_pairs_without_guard_or_window(spark, items, expected):
     s = r.stock.select("id", F.col("status").alias("s"))
     got = {(x.p, x.s): x["count"] for x in p.join(s, "id").groupBy("p", "s").count().collect()}
     assert got == expected
+
+
+@pytest.mark.parametrize("seconds,expected", [(10, 0), (600, 13), (3600, 62)])
+def test_click_purchase_pairs(spark, seconds, expected):
+    from ordertide.operators import decision as dc
+    from ordertide.sources.tables import read_table
+    ev = read_table(spark, SF_MID, "events")
+    clicks = ev.filter("event_type = 'click'").select("user_id", F.col("ts").alias("c_ts"))
+    buys = ev.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("p_ts"))
+    assert dc.window_join(clicks, buys, "user_id", "c_ts", "p_ts", seconds).count() == expected
