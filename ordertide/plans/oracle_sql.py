@@ -418,11 +418,3 @@ def decision_summary(lim: Limits = TABLE_LIMITS) -> str:
 SELECT status, source, error, count(*) AS n_orders, CAST(sum(price) AS DOUBLE) AS revenue
 FROM decisions GROUP BY status, source, error"""
 
-
-def click_purchase_pairs(lim: Limits = TABLE_LIMITS) -> str:
-    return """
-SELECT c.user_id, c.event_id AS click_id, c.ts AS click_ts, p.event_id AS purchase_id, p.ts AS purchase_ts
-FROM events c JOIN events p
-  ON c.user_id = p.user_id
- AND p.ts BETWEEN c.ts - INTERVAL 3600 SECOND AND c.ts + INTERVAL 3600 SECOND
-WHERE c.event_type = 'click' AND p.event_type = 'purchase'"""

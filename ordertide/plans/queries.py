@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ordertide import schema as S
 from ordertide.config import Limits, TABLE_LIMITS
 from ordertide.functions.orders import to_double
-from ordertide.operators import decision as dc
 from ordertide.operators import enrich as en
 from ordertide.operators import routing as rt
 from ordertide.operators import errors as er
@@ -330,16 +329,3 @@ def q_decision_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (d.groupBy("status", "source", "error")
             .agg(F.count(F.lit(1)).alias("n_orders"), to_double(F.sum("price")).alias("revenue")))
 
-
-CLICK_PURCHASE_WINDOW = 3600
-
-
-def q_click_purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 on the events table: a user's clicks and purchases at most an hour
-    apart (every pair)."""
-    ev = read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
-    clicks = ev.filter(F.col("event_type") == "click").select(
-        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
-    buys = ev.filter(F.col("event_type") == "purchase").select(
-        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
-    return dc.window_join(clicks, buys, "user_id", "click_ts", "purchase_ts", CLICK_PURCHASE_WINDOW)

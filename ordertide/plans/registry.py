@@ -43,7 +43,6 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
     "reply_records": (Q.q_reply_records, O.reply_records()),
     "decision_summary": (Q.q_decision_summary, O.decision_summary()),
-    "click_purchase_pairs": (Q.q_click_purchase_pairs, O.click_purchase_pairs()),
 }
 
 
