@@ -323,21 +323,22 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     spark = orders.sparkSession
     checkpoint_dir(spark)
     unit = rv.unit_of(side)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Persisted so that range sampling and the shuffle evaluate the input once.
     staged = rv.stage(orders, side).persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (staged.repartitionByRange(n, rv._K, "ts", "seq")
-              .sortWithinPartitions(rv._K, "ts", "seq")
-              .withColumn(_PID, F.spark_partition_id()))
-    cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    # The first summary pass computes the partitions (into the cache) and
-    # triggers the checkpoint write; later passes read the checkpoint.
-    ranged = cached.checkpoint(eager=False)
+    keys = (rv._K, "ts", "seq")
+    # Without an explicit count AQE may merge adjacent range partitions (they
+    # stay contiguous in key order) to its advisory size.
+    by_range = staged.repartitionByRange(partitions, *keys) if partitions else staged.repartitionByRange(*keys)
+    ranged = by_range.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
+    # checkpoint() runs the shuffle now and fixes the partitions in one RDD;
+    # the first summary pass computes it and triggers the checkpoint write,
+    # later passes read the checkpoint.
+    ranged = ranged.checkpoint(eager=False)
     initial = side.initial * unit
     sc = spark.sparkContext
     # the summary passes read only the working columns
     narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC)
     first = [r.asDict() for r in narrow.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
-    cached.unpersist()
     staged.unpersist()
     domains = start_domains(first, initial)
     if domains:
