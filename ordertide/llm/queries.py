@@ -1,9 +1,11 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import mixing
+from ordertide.llm import fingerprint, mixing, secrets
 
 QUERIES = {
+    "op5_secrets": secrets.op5_secrets,
     "op7_mixing": mixing.op7_mixing,
+    "op10_fingerprints": fingerprint.op10_fingerprints,
 }
 ORACLE_SQL = {
     "op7_mixing": mixing.ORACLE,
