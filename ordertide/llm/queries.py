@@ -1,12 +1,16 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import fingerprint, mixing, secrets
+from ordertide.llm import fingerprint, licenses, mixing, secrets, topk
 
 QUERIES = {
+    "op3_licenses": licenses.op3_licenses,
     "op5_secrets": secrets.op5_secrets,
+    "op6_topk": topk.op6_topk,
     "op7_mixing": mixing.op7_mixing,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
 ORACLE_SQL = {
+    "op3_licenses": licenses.ORACLE,
+    "op6_topk": topk.ORACLE,
     "op7_mixing": mixing.ORACLE,
 }
