@@ -1,12 +1,13 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import fingerprint, licenses, mixing, secrets, topk
+from ordertide.llm import fingerprint, licenses, mixing, secrets, topk, toxicity
 
 QUERIES = {
     "op3_licenses": licenses.op3_licenses,
     "op5_secrets": secrets.op5_secrets,
     "op6_topk": topk.op6_topk,
     "op7_mixing": mixing.op7_mixing,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
 ORACLE_SQL = {
