@@ -1,9 +1,11 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import fingerprint, licenses, mixing, secrets, topk, toxicity
+from ordertide.llm import fingerprint, licenses, mixing, secrets, substrings, suffixes, topk, toxicity
 
 QUERIES = {
+    "op2_suffixes": suffixes.op2_suffixes,
     "op3_licenses": licenses.op3_licenses,
+    "op4_substrings": substrings.op4_substrings,
     "op5_secrets": secrets.op5_secrets,
     "op6_topk": topk.op6_topk,
     "op7_mixing": mixing.op7_mixing,
