@@ -1,6 +1,6 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import fingerprint, licenses, mixing, secrets, substrings, suffixes, topk, toxicity
+from ordertide.llm import fingerprint, licenses, mixing, pieces, secrets, substrings, suffixes, topk, toxicity
 
 QUERIES = {
     "op2_suffixes": suffixes.op2_suffixes,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_secrets": secrets.op5_secrets,
     "op6_topk": topk.op6_topk,
     "op7_mixing": mixing.op7_mixing,
+    "op8_pieces": pieces.op8_pieces,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
