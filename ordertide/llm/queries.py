@@ -1,8 +1,9 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import fingerprint, licenses, mixing, pieces, secrets, substrings, suffixes, topk, toxicity
+from ordertide.llm import fingerprint, jaccard, licenses, mixing, pieces, secrets, substrings, suffixes, topk, toxicity
 
 QUERIES = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op2_suffixes": suffixes.op2_suffixes,
     "op3_licenses": licenses.op3_licenses,
     "op4_substrings": substrings.op4_substrings,
