@@ -100,6 +100,30 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each whole time, and one cut after its
+    last word taken. Rows without words are kept once. Several rows of one doc_id and
+    source share what is taken of them by size: the mix's row of the same size applies."""
+    mix = mix.select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "taken")
+    same = ["m_id", "m_source", "m_size"]
+    mix = mix.groupBy(*same).agg(F.sum("taken").alias("taken"), F.count("*").alias("alike"))
+    rows = docs.withColumn("size", word_count(F.col("text")))
+    rows = rows.join(mix, F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source"))
+                     & (F.col("size") == F.col("m_size")))
+    share = F.floor(F.col("taken") / F.col("alike")).cast("long")  # of rows that nothing tells apart
+    whole = F.when(F.col("size") > 0, F.floor(share / F.col("size"))).otherwise(1).cast("int")
+    rest = F.when(F.col("size") > 0, share % F.col("size")).otherwise(0).cast("int")
+    head = F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("words", F.explode(F.concat(F.array_repeat(F.lit(-1), whole), head)))
+    # each word with the white space before it
+    split = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    text = F.when(F.col("words") < 0, F.col("text")).otherwise(F.array_join(F.slice(split, 1, F.greatest("words", F.lit(0))), ""))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("words") < 0, F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return rows.withColumns(changed).select(docs.columns)
+
+
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")

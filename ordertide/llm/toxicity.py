@@ -21,6 +21,7 @@ from collections import Counter, defaultdict
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,6 +209,19 @@ def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], np.ndarray])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCORED)
 
 
+def drop_toxic(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], column: str = "text") -> DataFrame:
+    """``docs`` without those that the model predicts toxic; no column changes."""
+    lexicon, curve = model
+
+    def run(batches):
+        words = automaton(lexicon)
+        for batch in batches:
+            folded = [fold(t) for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+            x = features([matched_weight(f, words) for f in folded], [f.count(" ") for f in folded])
+            yield batch.filter(pa.array(scores(x, curve).round(9) < THRESHOLD))
+    return docs.mapInArrow(run, docs.schema)
+
+
 SCORED = "doc_id long, score double, predicted int"
 
 
