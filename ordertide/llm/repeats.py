@@ -35,7 +35,7 @@ from ordertide.llm.arrow import arrow_schema, record_batch
 GROUP_ROWS = 1_024
 BUCKET_PIECES = 2_048
 #: Units handled at once in a task.
-BLOCK_UNITS = 1_000_000
+BLOCK_UNITS = 250_000
 
 
 @dataclass(frozen=True)
