@@ -38,7 +38,7 @@ from ordertide.session import checkpoint_dir
 
 COUNTERS = 20
 COUNT_BLOCKS = 16
-BLOCK_CHARS = 3_000_000
+BLOCK_CHARS = 1_000_000
 #: Sets of a region that are pivots for all its sets, and for those after the first MANY in hash order.
 PIVOTS, MORE_PIVOTS, MANY = 1, 3, 64
 #: Rows of whole regions joined at once.
