@@ -37,6 +37,8 @@ MIN_Z = 3.2
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
 PRIOR_WEIGHT = 3.0
+#: With fewer labelled documents of either kind nothing is learned: the insults and a curve that takes one for toxic.
+LEAST_LABELLED = 10
 
 # Insults that are in the lexicon whatever the labels say.
 INSULTS = ("asshole bastard bitch clown crap cretin cunt dickhead disgusting dumbass dumb fool freak fuck fucking garbage "
@@ -58,6 +60,8 @@ FOLD = ({ord(a): b for many, b in LOOK_ALIKE.items() for a in many} | {ord(c): N
         | {0xFF21 + i: chr(97 + i) for i in range(26)} | {0xFF41 + i: chr(97 + i) for i in range(26)})
 APART = re.compile(r"[\W_]+")
 
+UNFITTED = np.array([-4.0, 3.0, 1.0, 0.5])
+
 
 def fold(text: str | None) -> str:
     """Folded words with a space before, between and after; one space if there are none."""
@@ -106,10 +110,7 @@ def scores(x: np.ndarray, curve: np.ndarray) -> np.ndarray:
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Ridge logistic regression by Newton's method; a slope that would be negative is
-    0, and the others are fitted without it. With one label only, a curve that takes a
-    single insult for toxic."""
-    if len(set(y.tolist())) < 2:
-        return np.array([-4.0, 3.0, 1.0, 0.5])
+    0, and the others are fitted without it."""
     use = np.arange(x.shape[1])
     while True:
         c, part = np.zeros(len(use)), x[:, use]
@@ -157,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[d
     n = {t: c for t, c in known.groupBy("toxic").count().collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
     prior = dict.fromkeys(INSULTS, PRIOR_WEIGHT)
-    if not n_toxic or not n_other:
-        return prior, fit_curve(np.zeros((0, 4)), np.zeros(0))
+    if min(n_toxic, n_other) < LEAST_LABELLED:
+        return prior, UNFITTED
 
     counts = map_columns(known, _word_counts, "word string, toxic int, n long").groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
