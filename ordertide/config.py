@@ -26,6 +26,8 @@ class Limits:
     # Guards: price >= price_guard / productCount >= count_guard -> error row.
     price_guard: int = 100000
     count_guard: int = 2000
+    # The decision step's own price guard; None: the same as price_guard.
+    decision_price_guard: int | None = None
     # Both replies must lie within this many seconds of each other.
     join_window_seconds: int = 10
     # "release_holder": a ROLLBACK releases the side that did reserve.

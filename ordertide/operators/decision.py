@@ -58,9 +58,10 @@ def decision_source(p_status: Column, s_status: Column) -> Column:
 def decide(pairs: DataFrame, lim: Limits) -> DataFrame:
     """J2 + E5 on joined pairs: OrderFullEvent columns, ``ts`` and ``error``."""
     p, s = F.col("p_status"), F.col("s_status")
+    guard = lim.price_guard if lim.decision_price_guard is None else lim.decision_price_guard
     error = (F.when(p.isNull() | s.isNull(), F.lit(S.MSG_NULL_STATUS))
              .when(F.col("price").isNull(), F.lit("price is null"))
-             .when(F.col("price") >= F.lit(lim.price_guard).cast(S.MONEY), F.lit(S.MSG_PRICE_HIGH)))
+             .when(F.col("price") >= F.lit(guard).cast(S.MONEY), F.lit(S.MSG_PRICE_HIGH)))
     keep = [c for c in PAYMENT_COLUMNS if c in pairs.columns]
     return pairs.select(
         *keep,

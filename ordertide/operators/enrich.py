@@ -89,17 +89,17 @@ def partial(full: DataFrame) -> DataFrame:
     return full.select(*extra, *cols)
 
 
-def chunk_facts(chunks: DataFrame) -> DataFrame:
-    """Decoded chunk records -> one row of order facts per order.
+def event_facts(records: DataFrame, event: str = "seq") -> DataFrame:
+    """Decoded records -> one row of order facts per event.
 
-    Each chunk is folded on its own array (size, price fold, null checks), and
-    chunks are combined with a grouped sum, which Spark aggregates partially
-    before the shuffle. An order that fits one chunk gives exactly what
-    ``enrich`` computes from its single record.
+    The records of one event share ``event``, its identity; two events of one order
+    id stay apart. Each record is folded on its own array (size, price, null checks)
+    and the records are combined with grouped sums, which Spark aggregates partially
+    before the shuffle. An event of one record gives exactly what ``enrich`` does.
     """
     products = F.col("products")
-    per_chunk = chunks.select(
-        "id", "key", "ts", "seq", "marketId", "customerId", "value_null",
+    per_record = records.select(
+        event, "id", "key", "ts", "marketId", "customerId", "value_null",
         products.isNull().alias("products_null"),
         F.coalesce(fo.product_count(products), F.lit(0)).alias("n"),
         F.aggregate(F.filter(products, lambda p: p.isNotNull() & p["price"].isNotNull()),
@@ -108,11 +108,9 @@ def chunk_facts(chunks: DataFrame) -> DataFrame:
         F.coalesce(F.size(F.filter(products, lambda p: p.isNotNull() & p["price"].isNull())),
                    F.lit(0)).alias("nq"),
     )
-    return per_chunk.groupBy("id").agg(
-        F.first("key", ignorenulls=True).alias("key"),
-        F.min("ts").alias("ts"), F.min("seq").alias("seq"),
-        F.first("marketId", ignorenulls=True).alias("marketId"),
-        F.first("customerId", ignorenulls=True).alias("customerId"),
+    return per_record.groupBy(event).agg(
+        F.max("id").alias("id"), F.max("key").alias("key"), F.min("ts").alias("ts"),
+        F.max("marketId").alias("marketId"), F.max("customerId").alias("customerId"),
         F.max(F.col("value_null").cast("int")).cast("boolean").alias("value_null"),
         F.max(F.col("products_null").cast("int")).cast("boolean").alias("products_null"),
         F.sum("n").cast("int").alias("n_products"),

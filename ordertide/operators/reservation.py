@@ -28,6 +28,11 @@ from ordertide import schema as S
 from ordertide.config import Limits
 
 
+#: Order of a key's rows. Offsets repeat across topic partitions, so the order id
+#: and the partition break ties of time and offset.
+ORDER = ("ts", "seq", "id", "partition")
+
+
 @dataclass(frozen=True)
 class Side:
     """One reservation service: which key, which amount, which limits."""
@@ -219,7 +224,7 @@ def unit_of(side: Side) -> int:
 
 
 def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> DataFrame:
-    """R1/R2 in batch: every row folded in (ts, seq) order within its key.
+    """R1/R2 in batch: every row folded in ORDER within its key.
 
     ``orders`` holds OrderFullEvent columns plus ``ts`` and ``seq``. The result
     keeps all input columns, with ``in_status`` (status before), ``status``
@@ -228,15 +233,19 @@ def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> Dat
     """
     staged = stage(orders, side)
     by_key = (staged.repartition(partitions, _K) if partitions else staged.repartition(_K))
-    ordered = by_key.sortWithinPartitions(_K, "ts", "seq")
+    ordered = by_key.sortWithinPartitions(_K, *[c for c in ORDER if c in staged.columns])
     out_schema = T.StructType(list(ordered.schema.fields) + FOLD_FIELDS)
     folded = ordered.mapInPandas(_fold_partition(side, unit_of(side)), out_schema)
     return unstage(folded, orders.schema, side)
 
 
 def balances(reserved: DataFrame, side: Side) -> DataFrame:
-    """The stored state per key after its last row (no extra shuffle)."""
-    return reserved.filter(F.col("is_last")).select(side.key, "available", "reserved")
+    """The state per key that its last row without an error stored. A key with
+    error rows only stored nothing and has no balance. The maximum is aggregated
+    partially, so a hot key costs one row per task."""
+    kept = reserved.filter(F.col("error").isNull() & F.col(side.key).isNotNull())
+    last = F.max_by(F.struct("available", "reserved"), F.struct(*[c for c in ORDER if c in reserved.columns]))
+    return kept.groupBy(side.key).agg(last.alias("_last")).select(side.key, "_last.available", "_last.reserved")
 
 
 def settlement_deltas(decisions: DataFrame, side: Side) -> DataFrame:
@@ -267,7 +276,7 @@ def settlement_deltas(decisions: DataFrame, side: Side) -> DataFrame:
 
 def settle(balance: DataFrame, deltas: DataFrame, side: Side) -> DataFrame:
     """Final balance = pass-1 balance + settlement deltas (keys seen in pass 1)."""
-    typ = S.MONEY if side.money else T.IntegerType()
+    typ = S.MONEY if side.money else T.LongType()
     zero = F.lit(0).cast(typ)
     j = balance.join(deltas, side.key, "left")
     return j.select(

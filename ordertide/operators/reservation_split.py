@@ -325,7 +325,7 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     unit = rv.unit_of(side)
     # Persisted so that range sampling and the shuffle evaluate the input once.
     staged = rv.stage(orders, side).persist(StorageLevel.MEMORY_AND_DISK)
-    keys = (rv._K, "ts", "seq")
+    keys = (rv._K, *[c for c in rv.ORDER if c in staged.columns])
     # Without an explicit count AQE may merge adjacent range partitions (they
     # stay contiguous in key order) to its advisory size.
     by_range = staged.repartitionByRange(partitions, *keys) if partitions else staged.repartitionByRange(*keys)

@@ -10,13 +10,13 @@ from __future__ import annotations
 from ordertide.config import Limits, TABLE_LIMITS
 
 
-def facts_cte() -> str:
-    return """
+def facts_cte(line_price: str = "l_extendedprice") -> str:
+    return f"""
 li AS (
   SELECT l_orderkey AS orderkey,
          CAST(count(*) AS INTEGER) AS n_products,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total,
-         CAST(count(*) - count(l_extendedprice) AS INTEGER) AS n_null_price
+         CAST(sum(CAST({line_price} AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total,
+         CAST(count(*) - count({line_price}) AS INTEGER) AS n_null_price
   FROM lineitem GROUP BY l_orderkey),
 facts AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_orderkey AS seq, o.o_orderdate AS ts,
@@ -30,10 +30,10 @@ facts AS (
   LEFT JOIN li ON li.orderkey = o.o_orderkey)"""
 
 
-def enriched_cte(lim: Limits) -> str:
+def enriched_cte(lim: Limits, line_price: str = "l_extendedprice") -> str:
     fault = (f"WHEN n_products = {lim.fault_count} THEN '/ by zero' "
              if lim.fault_count is not None else "")
-    return facts_cte() + f""",
+    return facts_cte(line_price) + f""",
 enriched_all AS (
   SELECT id, seq, ts, customerId, marketId, n_products, total,
          CASE {fault}WHEN n_null_price > 0 THEN 'product price is null' END AS error
@@ -127,7 +127,7 @@ def fold_cte(side: str, lim: Limits) -> str:
     return f""",
 {side}_ev AS (
   SELECT {p['key']} AS k, id, seq, ts, customerId, marketId, productCount, price, {p['amt']} AS amt,
-         row_number() OVER (PARTITION BY {p['key']} ORDER BY ts, seq) AS rn
+         row_number() OVER (PARTITION BY {p['key']} ORDER BY ts, seq, id) AS rn
   FROM success WHERE {p['key']} IS NOT NULL),
 {side}_fold AS (
   SELECT k, rn, id, seq, ts, customerId, marketId, productCount, price, amt,
@@ -148,7 +148,7 @@ def fold_cte(side: str, lim: Limits) -> str:
                    ELSE f.reserved + e.amt END AS {p['typ']})
   FROM {side}_fold f JOIN {side}_ev e ON e.k = f.k AND e.rn = f.rn + 1),
 {side}_balance AS (
-  SELECT k, available, reserved FROM {side}_fold
+  SELECT k, available, reserved FROM {side}_fold WHERE error IS NULL
   QUALIFY rn = max(rn) OVER (PARTITION BY k)),
 {side}_replies AS (
   SELECT id, status, ts + to_seconds(CAST(seq % {p['delay']} AS BIGINT)) AS rts,
@@ -174,7 +174,7 @@ decisions AS (
               THEN CASE WHEN p_status = 'REJECT' THEN 'PAYMENT' ELSE 'STOCK' END END AS source,
          CASE WHEN p_status IS NULL OR s_status IS NULL THEN 'null status'
               WHEN price IS NULL THEN 'price is null'
-              WHEN price >= CAST({lim.price_guard} AS DECIMAL(18,2)) THEN 'Price is too high' END AS error
+              WHEN price >= CAST({lim.price_guard if lim.decision_price_guard is None else lim.decision_price_guard} AS DECIMAL(18,2)) THEN 'Price is too high' END AS error
   FROM pairs)"""
 
 
@@ -216,7 +216,7 @@ def _settled(side: str, lim: Limits) -> str:
         release = f"source = '{own}'"
     else:
         release = f"source IS NOT NULL AND source <> '{own}'"
-    cast = "DOUBLE" if side == "pay" else "INTEGER"
+    cast = "DOUBLE" if side == "pay" else "BIGINT"
     return saga_ctes(lim) + f""",
 deltas AS (
   SELECT {p['key']} AS k,
@@ -286,119 +286,65 @@ FROM customer c LEFT JOIN latest l ON l.customerId = CAST(c.c_custkey AS VARCHAR
 
 
 # --------------------------------------------------------------------------
-# Delivery and isolation (X1-X6), relational writes.
-
-FAILURE_MOD = 6
-
-
-def _isolation_ctes(lim: Limits) -> str:
-    return "WITH " + enriched_cte(lim) + f""",
-txns AS (
-  SELECT id AS txn_id, seq, customerId, marketId, productCount, price,
-         CASE WHEN productCount % 2 = 0 THEN 'transactional' ELSE 'plain' END AS path,
-         CAST(seq % {FAILURE_MOD} AS INTEGER) AS api_failures,
-         marketId IS NOT NULL AND customerId IS NOT NULL AND productCount IS NOT NULL
-           AND price IS NOT NULL AS save_ok
-  FROM routed WHERE valuable),
-att AS (
-  SELECT t.*, unnest(generate_series(1, CASE WHEN save_ok THEN least(api_failures + 1, {lim.max_retries + 1})
-                                             ELSE {lim.max_retries + 1} END)) AS attempt
-  FROM txns t),
-att2 AS (
-  SELECT *, failed_step IS NULL AS process_ok
-  FROM (SELECT *, CASE WHEN NOT save_ok THEN 1 WHEN attempt <= api_failures THEN 3 END AS failed_step
-        FROM att)),
-steps AS (
-  SELECT * FROM (VALUES (1, 'event', 'table'), (2, 'topic-test-1', 'topic'),
-                        (4, 'event', 'table'), (5, 'topic-test-2', 'topic')) s(step, target, kind)),
-log AS (SELECT a.*, s.step, s.target, s.kind FROM att2 a JOIN steps s ON a.process_ok OR s.step < a.failed_step)"""
-
-
-def _tag(mode_expr: str) -> str:
-    # mode_expr: SQL giving 'none' or 'chained' etc. per row
-    return f"""
-  SELECT *, committed AS read_committed,
-         CASE WHEN kind = 'table' THEN committed ELSE true END AS read_uncommitted
-  FROM (SELECT *,
-          CASE {mode_expr}
-               WHEN 'none' THEN true
-               WHEN 'chained' THEN process_ok
-               WHEN 'table_only' THEN CASE WHEN kind = 'table' THEN process_ok ELSE true END
-               WHEN 'topic_only' THEN CASE WHEN kind = 'table' THEN true ELSE process_ok END
-          END AS committed
-        FROM log_m)"""
-
-
-def _tagged_writes(lim: Limits) -> str:
-    return _isolation_ctes(lim) + """,
-log_m AS (SELECT *, CASE WHEN path = 'plain' THEN 'none' ELSE 'chained' END AS mode FROM log),
-tagged AS (""" + _tag("mode") + ")"
-
-
-def isolation_counts(lim: Limits = TABLE_LIMITS) -> str:
-    return _tagged_writes(lim) + """
-SELECT path, target, CAST(sum(CAST(read_committed AS INTEGER)) AS BIGINT) AS committed_rows,
-       CAST(sum(CAST(read_uncommitted AS INTEGER)) AS BIGINT) AS uncommitted_rows
-FROM tagged GROUP BY path, target"""
-
-
-def isolation_per_order(lim: Limits = TABLE_LIMITS) -> str:
-    def n(target, col):
-        return (f"CAST(sum(CASE WHEN target = '{target}' THEN CAST({col} AS INTEGER) ELSE 0 END)"
-                f" AS BIGINT)")
-    return _tagged_writes(lim) + f"""
-SELECT txn_id AS id, path, max(attempt) AS attempts,
-       {n('topic-test-1', 'read_committed')} AS t1_committed,
-       {n('topic-test-1', 'read_uncommitted')} AS t1_uncommitted,
-       {n('topic-test-2', 'read_committed')} AS t2_committed,
-       {n('topic-test-2', 'read_uncommitted')} AS t2_uncommitted,
-       {n('event', 'read_committed')} AS table_rows
-FROM tagged GROUP BY txn_id, path"""
-
-
-def given_up(lim: Limits = TABLE_LIMITS) -> str:
-    return _isolation_ctes(lim) + """
-SELECT txn_id AS id, count(*) AS attempts FROM att2
-GROUP BY txn_id HAVING max(CAST(process_ok AS INTEGER)) = 0"""
-
-
-def dual_write_modes(lim: Limits = TABLE_LIMITS) -> str:
-    return _isolation_ctes(lim) + """,
-modes AS (SELECT * FROM (VALUES ('none'), ('chained'), ('table_only'), ('topic_only')) m(mode)),
-log_m AS (SELECT log.*, modes.mode FROM log, modes),
-tagged AS (""" + _tag("mode") + """)
-SELECT mode, target, CAST(sum(CAST(read_committed AS INTEGER)) AS BIGINT) AS committed_rows,
-       CAST(sum(CAST(read_uncommitted AS INTEGER)) AS BIGINT) AS uncommitted_rows
-FROM tagged GROUP BY mode, target"""
+# Relational writes.
+
+_SAVES = "marketId IS NOT NULL AND customerId IS NOT NULL AND productCount IS NOT NULL AND price IS NOT NULL"
 
 
 def event_table(lim: Limits = TABLE_LIMITS) -> str:
-    return _tagged_writes(lim) + """
-SELECT concat_ws(':', txn_id, CAST(attempt AS VARCHAR), CAST(step AS VARCHAR)) AS event_id,
-       marketId AS market_id, customerId AS customer_id, productCount AS product_count,
+    return "WITH " + enriched_cte(lim) + f"""
+SELECT id AS event_id, marketId AS market_id, customerId AS customer_id, productCount AS product_count,
        CAST(price AS DOUBLE) AS price
-FROM tagged WHERE kind = 'table' AND committed"""
+FROM routed WHERE valuable AND {_SAVES}"""
 
 
 def product_table(lim: Limits = TABLE_LIMITS) -> str:
-    return _tagged_writes(lim) + """
-SELECT concat_ws(':', t.txn_id, CAST(t.attempt AS VARCHAR), CAST(t.step AS VARCHAR)) AS event_id,
-       'part ' || CAST(l.l_partkey AS VARCHAR) AS name,
+    return "WITH " + enriched_cte(lim) + f"""
+SELECT r.id AS event_id, 'part ' || CAST(l.l_partkey AS VARCHAR) AS name,
        CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price
-FROM tagged t JOIN lineitem l ON l.l_orderkey = t.seq
-WHERE t.kind = 'table' AND t.committed"""
+FROM routed r JOIN lineitem l ON l.l_orderkey = r.seq
+WHERE valuable AND {_SAVES}"""
 
 
 def event_not_null(lim: Limits = TABLE_LIMITS) -> str:
-    return _isolation_ctes(lim) + """
-SELECT txn_id AS event_id,
-       marketId IS NOT NULL AND customerId IS NOT NULL AND productCount IS NOT NULL
-         AND price IS NOT NULL AS ok,
+    return "WITH " + enriched_cte(lim) + f"""
+SELECT id AS event_id, {_SAVES} AS ok,
        concat_ws(',', CASE WHEN marketId IS NULL THEN 'market_id' END,
                       CASE WHEN customerId IS NULL THEN 'customer_id' END,
                       CASE WHEN productCount IS NULL THEN 'product_count' END,
                       CASE WHEN price IS NULL THEN 'price' END) AS violations
-FROM txns"""
+FROM routed WHERE valuable"""
+
+
+_GAPS = "CASE WHEN l_partkey % 97 <> 0 THEN l_extendedprice END"
+
+
+def product_not_null() -> str:
+    return f"""
+SELECT concat_ws(',', CASE WHEN l_partkey IS NULL THEN 'name' END, CASE WHEN {_GAPS} IS NULL THEN 'price' END,
+                      CASE WHEN l_orderkey IS NULL THEN 'event_id' END) AS violations, count(*) AS n_rows
+FROM lineitem GROUP BY 1"""
+
+
+def enriched_with_gaps(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim, _GAPS) + """
+SELECT id, productCount, CAST(price AS DOUBLE) AS price, status, error FROM enriched"""
+
+
+def half_full_lookup(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim) + """,
+latest AS (SELECT * FROM routed WHERE route = 'half-full-cart'
+           QUALIFY row_number() OVER (PARTITION BY customerId ORDER BY ts DESC, seq DESC) = 1)
+SELECT CAST(c.c_custkey AS VARCHAR) AS customerId, l.id IS NOT NULL AS found, l.id,
+       CAST(l.price AS DOUBLE) AS price
+FROM customer c LEFT JOIN latest l ON l.customerId = CAST(c.c_custkey AS VARCHAR)"""
+
+
+def malformed_counts(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim) + """
+SELECT 'order' AS kind, count(*) AS n_records, count(*) FILTER (WHERE seq % 11 = 0) AS n_dropped FROM success
+UNION ALL SELECT 'text', count(*), count(*) FILTER (WHERE NOT coalesce(json_valid(text), true)) FROM documents
+UNION ALL SELECT 'props', count(*), count(*) FILTER (WHERE NOT coalesce(json_valid(props), true)) FROM events"""
 
 
 def decoded_enriched_orders(lim: Limits = TABLE_LIMITS) -> str:

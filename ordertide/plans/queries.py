@@ -6,22 +6,24 @@ DOUBLE in the final projection (the oracle does the same).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide import schema as S
 from ordertide.config import Limits, TABLE_LIMITS
-from ordertide.functions.orders import to_double
+from ordertide.functions.orders import cart_route, is_valuable, to_double
 from ordertide.operators import enrich as en
 from ordertide.operators import routing as rt
 from ordertide.operators import errors as er
-from ordertide.operators import isolation as iso
 from ordertide.operators import latest as lt
 from ordertide.operators import reservation as rv
 from ordertide.operators import tables as tb
 from ordertide.plans import saga
+from ordertide.session import checkpoint_dir
 from ordertide.sources import topics as tp
-from ordertide.sources.tables import order_event_chunks, order_facts, product_lines, read_table
+from ordertide.sources.tables import order_facts, order_line_events, product_lines, read_table
 
 LIM: Limits = TABLE_LIMITS
 
@@ -38,11 +40,8 @@ def q_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_route_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = enriched(spark, sf_dir, with_market=False)
-    route = (F.when(F.col("error").isNotNull(), F.lit("error"))
-             .otherwise(F.expr(f"CASE WHEN productCount >= {LIM.full_cart} THEN '{S.ROUTE_FULL}' "
-                               f"WHEN productCount >= {LIM.half_full_cart} THEN '{S.ROUTE_HALF}' "
-                               f"ELSE '{S.ROUTE_MINI}' END")))
-    valuable = F.col("error").isNull() & (F.col("price") > F.lit(LIM.valuable_threshold).cast(S.MONEY))
+    route = F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(cart_route(F.col("productCount"), LIM))
+    valuable = F.col("error").isNull() & is_valuable(F.col("price"), LIM)
     return (out.select(route.alias("route"), "price", valuable.alias("valuable"))
             .groupBy("route")
             .agg(F.count(F.lit(1)).alias("n_orders"),
@@ -150,9 +149,12 @@ def q_settled_stock_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rows of all four stages in one frame (key, stage, message)."""
-    out = enriched(spark, sf_dir)
+    return _error_topic(enriched(spark, sf_dir), LIM)
+
+
+def _error_topic(out: DataFrame, lim: Limits) -> DataFrame:
     ok, _ = rt.split(out)
-    r = saga.run(ok, LIM).prepare_both()
+    r = saga.run(ok, lim).prepare_both()
     return er.union_errors(
         er.error_rows(out, "enrich", "id"),
         er.error_rows(r.payment, "payment", "customerId"),
@@ -200,122 +202,131 @@ def q_customer_order_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Delivery, isolation, relational writes.
+# Relational writes.
 
-FAILURE_MOD = 6
 
+def _valuable(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    ok, _ = rt.split(en.enrich_facts(order_facts(spark, sf_dir, gaps=gaps), LIM))
+    return rt.valuable(ok, LIM)
 
-def consumed_records(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
-    """The valuable-customer records as consumed transactions.
-
-    ``api_failures`` stands in for the external service's answers: how many
-    calls fail before one succeeds, derived from the order key (0..5, so some
-    records exhaust all five attempts).
-    """
-    ok, _ = rt.split(enriched(spark, sf_dir, lim))
-    recs = (rt.with_path(rt.valuable(ok, lim))
-            .withColumn("txn_id", F.col("id"))
-            .withColumn("api_failures", F.pmod(F.col("seq"), F.lit(FAILURE_MOD)).cast("int")))
-    # An event row violating NOT NULL fails every attempt at its first save
-    return recs.withColumn("save_ok", tb.order_saves_ok())
 
+def q_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 parent rows: one per valuable order that passes S7."""
+    ev = tb.event_rows(_valuable(spark, sf_dir), F.col("id"))
+    return ev.filter(tb.not_null_ok(ev)).select(
+        "event_id", "market_id", "customer_id", "product_count", to_double(F.col("price")).alias("price"))
 
-def tagged_writes(spark: SparkSession, sf_dir: str, lim: Limits = LIM) -> DataFrame:
-    """Plain path in mode 'none', transactional path in mode 'chained'."""
-    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir, lim), lim.max_retries, save_ok="save_ok"))
-    mode = F.when(F.col("path") == "plain", F.lit("none")).otherwise(F.lit("chained"))
-    return iso.visibility(log, mode)
 
+def q_product_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 child rows: the lines of every written event (a join, no arrays)."""
+    recs = _valuable(spark, sf_dir)
+    events = recs.filter(tb.order_saves_ok()).select(F.col("id").alias("event_id"), F.col("seq").alias("orderkey"))
+    rows = tb.product_rows_from_lines(events, product_lines(spark, sf_dir))
+    return rows.select("event_id", "name", to_double(F.col("price")).alias("price"))
 
-def _count_true(c: str):
-    return F.sum(F.col(c).cast("int")).cast("bigint")
 
+def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL check of every event row a consumer would write."""
+    ev = tb.event_rows(_valuable(spark, sf_dir), F.col("id"))
+    return ev.select("event_id", tb.not_null_ok(ev).alias("ok"),
+                     F.concat_ws(",", tb.violations(ev)).alias("violations"))
 
-def q_isolation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (tagged_writes(spark, sf_dir).groupBy("path", "target")
-            .agg(_count_true("read_committed").alias("committed_rows"),
-                 _count_true("read_uncommitted").alias("uncommitted_rows")))
 
+def q_product_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 on product rows, on lines with price gaps: rows that fail, by what is null."""
+    rows = product_lines(spark, sf_dir, gaps=True).select(
+        F.col("product_name").alias("name"), F.col("product_price").alias("price"),
+        F.col("orderkey").cast("string").alias("event_id"))
+    return (rows.select(F.concat_ws(",", tb.violations(rows, tb.PRODUCT_NOT_NULL)).alias("violations"))
+            .groupBy("violations").agg(F.count(F.lit(1)).alias("n_rows")))
 
-def q_isolation_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = tagged_writes(spark, sf_dir)
 
-    def n(target: str, col: str):
-        return F.sum(F.when(F.col("target") == target, F.col(col).cast("int")).otherwise(0)).cast("bigint")
+# --------------------------------------------------------------------------
+# Branches that the usual limits never reach.
 
-    return (w.groupBy("txn_id", "path")
-            .agg(F.max("attempt").cast("bigint").alias("attempts"),
-                 n(S.TOPIC_TEST_1, "read_committed").alias("t1_committed"),
-                 n(S.TOPIC_TEST_1, "read_uncommitted").alias("t1_uncommitted"),
-                 n(S.TOPIC_TEST_2, "read_committed").alias("t2_committed"),
-                 n(S.TOPIC_TEST_2, "read_uncommitted").alias("t2_uncommitted"),
-                 n(iso.TABLE, "read_committed").alias("table_rows"))
-            .withColumnRenamed("txn_id", "id"))
+#: Guards low enough for the tables' orders.
+GUARDED = LIM.with_(count_guard=9, decision_price_guard=300000)
 
 
-def q_given_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    att = iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries, save_ok="save_ok")
-    g = iso.given_up(att.select("txn_id", "process_ok"))
-    return g.select(F.col("txn_id").alias("id"), "attempts")
+def q_error_topic_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 with the low guards: the stock and decision steps have error rows too."""
+    return _error_topic(enriched(spark, sf_dir, GUARDED), GUARDED)
 
 
-def q_dual_write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same attempts under every transaction mode."""
-    log = iso.attempt_log(iso.attempts(consumed_records(spark, sf_dir), LIM.max_retries, save_ok="save_ok"))
-    # every write under every mode: a 4-way explode, one pass over the log
-    per_mode = log.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in iso.MODES])))
-    allm = iso.visibility(per_mode, F.col("mode"))
-    return (allm.groupBy("mode", "target")
-            .agg(_count_true("read_committed").alias("committed_rows"),
-                 _count_true("read_uncommitted").alias("uncommitted_rows")))
+def q_credit_balance_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 with a low price guard: a customer with guarded orders only has no balance."""
+    lim = LIM.with_(price_guard=150000)
+    b = saga_of(spark, sf_dir, lim, with_market=False).payment_balance()
+    return b.select("customerId", to_double(F.col("available")).alias("available"),
+                    to_double(F.col("reserved")).alias("reserved"))
 
 
-def _committed_table_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = tagged_writes(spark, sf_dir).filter((F.col("kind") == "table") & F.col("committed"))
-    return w.withColumn("event_id", tb.event_id(F.col("txn_id"), F.col("attempt"), F.col("step")))
+def q_enriched_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment where some products have no price (NO_PRICE_MOD)."""
+    out = en.enrich_facts(order_facts(spark, sf_dir, gaps=True), LIM)
+    return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")
 
 
-def q_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S6 parent rows: one per committed table write."""
-    w = _committed_table_writes(spark, sf_dir)
-    return tb.event_rows(w, F.col("event_id")).select(
-        "event_id", "market_id", "customer_id", "product_count", to_double(F.col("price")).alias("price"))
+def q_half_full_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 with customers that aren't found: the latest half-full-cart order of each."""
+    ok, _ = rt.split(enriched(spark, sf_dir, with_market=False))
+    half = rt.half_full_cart(ok, LIM).select("customerId", "id", "ts", "seq", "price")
+    requested = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customerId"))
+    found = lt.lookup(requested, lt.latest(half, key="customerId"), key="customerId")
+    return found.select("customerId", "found", "id", to_double(F.col("price")).alias("price"))
 
 
-def q_product_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S6 child rows: the lines of every written event (a join, no arrays)."""
-    w = _committed_table_writes(spark, sf_dir).withColumn("orderkey", F.col("seq"))
-    rows = tb.product_rows_from_lines(w, product_lines(spark, sf_dir))
-    return rows.select("event_id", "name", to_double(F.col("price")).alias("price"))
+# --------------------------------------------------------------------------
+# Topic codec on whole tables (S1, S3, S4 with the array path of P1-P3).
 
 
-def q_event_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NOT NULL check of every event row a consumer would write."""
-    recs = consumed_records(spark, sf_dir)
-    ev = tb.event_rows(recs, F.col("id"))
-    return ev.select("event_id", tb.not_null_ok(ev).alias("ok"),
-                     F.concat_ws(",", tb.violations(ev)).alias("violations"))
+ORDER_FIELDS = ["id", "marketId", "customerId", "products"]
 
 
-# --------------------------------------------------------------------------
-# Topic codec on whole tables (S1, S3, S4 with the array path of P1-P3).
+def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders serialised to topic records (JSON, one product per record), decoded with
+    the explicit schema, malformed ones skipped, folded per record from the products
+    arrays and combined per event."""
+    ev = order_line_events(spark, sf_dir)
+    recs = tp.envelope(ev, S.TOPIC_ORDERS, tp.encode(ev, ORDER_FIELDS), key="id")
+    out = en.enrich_facts(en.event_facts(tp.skip_malformed(tp.decode(recs))), LIM)
+    return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")
 
 
-def q_decoded_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders serialised to topic records (JSON, at most 1000 products per
-    record), decoded with the explicit schema, malformed ones skipped, folded
-    per record from the products arrays and combined per order."""
-    ev = order_event_chunks(spark, sf_dir)
-    recs = tp.envelope(ev, S.TOPIC_ORDERS, tp.encode(ev, ["id", "marketId", "customerId", "products"]), key="id")
-    decoded = tp.skip_malformed(tp.decode(recs))
-    out = en.enrich_facts(en.chunk_facts(decoded), LIM)
+def q_ingested_plain_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written to the orders topic in the shared folder, read from
+    there and enriched without the injected fault."""
+    root = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    tp.ingest_orders(order_line_events(spark, sf_dir), root)
+    decoded = tp.skip_malformed(tp.decode(tp.read_topic(spark, root, S.TOPIC_ORDERS)))
+    out = en.enrich_facts(en.event_facts(decoded), LIM.with_(fault_count=None))
     return out.select("id", "productCount", to_double(F.col("price")).alias("price"), "status", "error")
 
 
+#: In the mixed topic, orders whose key this divides carry a status that doesn't exist.
+BAD_STATUS_MOD = 11
+
+
+def q_malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: a topic of enriched orders, some with an unknown status, and texts that are
+    no JSON at all; records and drops by kind. The events' ``props`` decode too."""
+    ok, _ = rt.split(enriched(spark, sf_dir))
+    status = F.when(F.col("seq") % BAD_STATUS_MOD == 0, F.lit("SHIPPED")).otherwise(F.col("status"))
+    ok = ok.withColumn("status", status)
+    full = tp.envelope(ok, "order", tp.encode(ok, ["id", "marketId", "customerId", "productCount", "price", "status", "source"]), key="id")
+    docs = read_table(spark, sf_dir, "documents").withColumn("ts", F.lit(None).cast("timestamp"))
+    texts = tp.envelope(docs, "text", F.col("text"), key="doc_id", seq="doc_id")
+    events = read_table(spark, sf_dir, "events")
+    props = tp.envelope(events, "props", F.col("props"), key="event_id", seq="event_id")
+    decoded = tp.decode(full.unionByName(texts).unionByName(props), S.ORDER_FULL_EVENT)
+    return (decoded.groupBy(F.col("topic").alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n_records"), F.count(F.col(S.CORRUPT)).alias("n_dropped")))
+
+
 def q_reply_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 + P7: the replies of both reservation services, re-keyed by order id,
     with their reply times."""
-    r = saga_of(spark, sf_dir)
+    r = saga_of(spark, sf_dir).prepare_both()
     pay, stk = saga.with_reply_times(rt.replies(r.payment), rt.replies(r.stock),
                                      (saga.PAYMENT_DELAY_MOD, saga.STOCK_DELAY_MOD))
     return (pay.select(F.lit(S.TOPIC_PAYMENT).alias("topic"), F.col("id").alias("key"), "status", "ts")

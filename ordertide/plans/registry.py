@@ -33,14 +33,17 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "latest_event_per_user": (Q.q_latest_event_per_user, O.latest_event_per_user()),
     "current_orders": (Q.q_current_orders, O.current_orders()),
     "customer_order_lookup": (Q.q_customer_order_lookup, O.customer_order_lookup()),
-    "isolation_counts": (Q.q_isolation_counts, O.isolation_counts()),
-    "isolation_per_order": (Q.q_isolation_per_order, O.isolation_per_order()),
-    "given_up": (Q.q_given_up, O.given_up()),
-    "dual_write_modes": (Q.q_dual_write_modes, O.dual_write_modes()),
     "event_table": (Q.q_event_table, O.event_table()),
     "product_table": (Q.q_product_table, O.product_table()),
     "event_not_null": (Q.q_event_not_null, O.event_not_null()),
     "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
+    "ingested_plain_orders": (Q.q_ingested_plain_orders, O.decoded_enriched_orders(Q.LIM.with_(fault_count=None))),
+    "malformed_counts": (Q.q_malformed_counts, O.malformed_counts()),
+    "product_not_null": (Q.q_product_not_null, O.product_not_null()),
+    "enriched_with_gaps": (Q.q_enriched_with_gaps, O.enriched_with_gaps()),
+    "half_full_lookup": (Q.q_half_full_lookup, O.half_full_lookup()),
+    "error_topic_guarded": (Q.q_error_topic_guarded, O.error_topic(Q.GUARDED)),
+    "credit_balance_guarded": (Q.q_credit_balance_guarded, O.credit_balance(Q.LIM.with_(price_guard=150000))),
     "reply_records": (Q.q_reply_records, O.reply_records()),
     "decision_summary": (Q.q_decision_summary, O.decision_summary()),
 }

@@ -13,7 +13,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +83,8 @@ class SagaResult:
         missing = [n for n in ("payment", "stock") if n not in self.__dict__]
         if len(missing) == 2:
             with ThreadPoolExecutor(max_workers=2) as pool:
-                for name, df in zip(missing, pool.map(lambda n: getattr(self, n), missing)):
+                fold = inheritable_thread_target(self.orders_full.sparkSession)(lambda n: getattr(self, n))
+                for name, df in zip(missing, pool.map(fold, missing)):
                     self.__dict__[name] = df
         return self
 

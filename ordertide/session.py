@@ -1,8 +1,8 @@
 """Session helpers for tests and the benchmark.
 
 On a cluster the session comes from the platform; library code never creates
-one. ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and only
-falls back to a fresh scratch folder when it is unset (local runs and tests).
+one. ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session. Where it is
+unset, a local session gets a fresh scratch folder and a cluster an error.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster; a scratch one if unset."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="ordertide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)

@@ -9,11 +9,8 @@ and the customer's nation as market. Two shapes are offered:
   The analytic queries use this shape.
 * ``order_events``: the reference's record shape with a ``products`` array,
   for small inputs (tests, direct ingest of a few orders).
-* ``order_event_chunks``: the same records with about ``max_products``
-  products each. An order within the bound is exactly one record; a larger
-  one is spread by a hash of its lines over ``ceil(n / max_products)``
-  records of the same shape (``chunk`` / ``n_chunks``), so no record or group
-  grows with an order's size.
+* ``order_line_events``: the same events at a fixed grain, one product per
+  record, so no record or group grows with an order's size.
 """
 
 from __future__ import annotations
@@ -32,13 +29,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: order key and the product struct fields (exact money)."""
+#: In the variant with gaps, parts whose key this divides have no price.
+NO_PRICE_MOD = 97
+
+
+def product_lines(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """One row per line: order key and the product struct fields (exact money). With
+    ``gaps`` the price is null for parts with a key divisible by NO_PRICE_MOD."""
+    price = F.col("l_extendedprice").cast(MONEY)
+    if gaps:
+        price = F.when(F.col("l_partkey") % NO_PRICE_MOD != 0, price)
     return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("product_name"),
-        F.col("l_extendedprice").cast(MONEY).alias("product_price"),
+        price.alias("product_price"),
     )
 
 
@@ -67,14 +72,14 @@ def _order_heads(spark: SparkSession, sf_dir: str, with_market: bool = True) ->
     )
 
 
-def order_facts(spark: SparkSession, sf_dir: str, with_market: bool = True) -> DataFrame:
+def order_facts(spark: SparkSession, sf_dir: str, with_market: bool = True, gaps: bool = False) -> DataFrame:
     """id, seq, ts, customerId, marketId, n_products, total, n_null_price.
 
     ``total`` is the exact decimal(18,2) sum of the line prices (0 for an order
     without lines, like a fold from zero over an empty list). Without
     ``with_market`` the market column (and the customer join) is left out.
     """
-    per_order = product_lines(spark, sf_dir).groupBy("orderkey").agg(
+    per_order = product_lines(spark, sf_dir, gaps).groupBy("orderkey").agg(
         F.count(F.lit(1)).cast("int").alias("n_products"),
         F.sum("product_price").cast(MONEY).alias("total"),
         (F.count(F.lit(1)) - F.count("product_price")).cast("int").alias("n_null_price"),
@@ -116,41 +121,11 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-DEFAULT_MAX_PRODUCTS = 1000
-
-
-def order_event_chunks(spark: SparkSession, sf_dir: str,
-                       max_products: int = DEFAULT_MAX_PRODUCTS) -> DataFrame:
-    """id, seq, ts, customerId, marketId, chunk, n_chunks, products.
-
-    Lines are assigned to ``ceil(n / max_products)`` chunks by a hash of the
-    line, so chunks hold about ``max_products`` products. Orders without lines
-    give one chunk with an empty list.
-    """
-    lines = read_table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_suppkey",
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("product_name"),
-        F.col("l_extendedprice").cast(MONEY).alias("product_price"),
-    )
-    counts = lines.groupBy("orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    n_chunks = F.ceil(F.col("_n") / F.lit(max_products)).cast("int")
-    chunked = (lines.join(counts, "orderkey")
-               .withColumn("n_chunks", n_chunks)
-               .withColumn("chunk", F.pmod(F.xxhash64("l_linenumber", "l_suppkey", "product_id",
-                                                      "product_price"), F.col("n_chunks")).cast("int")))
-    # Shuffle by (order, chunk): a hot order's chunks go to many reducers, and
-    # AQE may split the skewed join above without breaking a distribution.
-    products = chunked.repartition("orderkey", "chunk").groupBy("orderkey", "chunk", "n_chunks").agg(
-        F.array_sort(F.collect_list(_product_struct())).alias("products"))
+def order_line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, seq, ts, customerId, marketId, products: the order's lines as records of one
+    product each, and one record with an empty list for an order without lines. ``seq``
+    names the event, so its records can be put together again however many there are."""
+    product = F.when(F.col("product_id").isNotNull(), F.array(_product_struct()))
     empty = F.array().cast("array<struct<id:string,name:string,price:decimal(18,2)>>")
-    return (
-        _order_heads(spark, sf_dir)
-        .join(products, "orderkey", "left")
-        .select(
-            "id", "seq", "ts", "customerId", "marketId",
-            F.coalesce("chunk", F.lit(0)).alias("chunk"),
-            F.coalesce("n_chunks", F.lit(1)).alias("n_chunks"),
-            F.coalesce("products", empty).alias("products"),
-        )
-    )
+    return (_order_heads(spark, sf_dir).join(product_lines(spark, sf_dir), "orderkey", "left")
+            .select("id", "seq", "ts", "customerId", "marketId", F.coalesce(product, empty).alias("products")))

@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 
 from ordertide import schema as S
 
-TOPIC_PARTITIONS = 3
+#: Allowed names of enum-like fields.
+ALLOWED = {"status": S.STATUSES, "source": S.SOURCES}
+#: Files of a topic that a streaming service takes at once, unless told otherwise.
+FILES_PER_TRIGGER = 1_000
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -29,7 +32,7 @@ def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
 
 
 def read_topic_stream(spark: SparkSession, root: str, topic: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """S1 (stream): records of a file-backed topic as their files arrive."""
     r = spark.readStream.schema(S.ENVELOPE)
     if max_files_per_trigger:
@@ -77,10 +80,15 @@ def decode(records: DataFrame, schema=S.ORDER_EVENT) -> DataFrame:
     """
     parsed = F.from_json("value", S.with_corrupt(schema),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT})
-    return records.select(
-        "key", F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), "topic", "partition",
+    rows = records.select(
+        "key", F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), "topic", "partition", "value",
         F.col("value").isNull().alias("value_null"), parsed.alias("_r"),
-    ).select("key", "ts", "seq", "topic", "partition", "value_null", "_r.*")
+    ).select("key", "ts", "seq", "topic", "partition", "value", "value_null", "_r.*")
+    unknown = F.lit(False)  # a name outside the fixed values is malformed, like unreadable JSON
+    for name, allowed in ALLOWED.items():
+        if name in schema.fieldNames():
+            unknown = unknown | (F.col(name).isNotNull() & ~F.col(name).isin(*allowed))
+    return rows.withColumn(S.CORRUPT, F.when(unknown, F.col("value")).otherwise(F.col(S.CORRUPT))).drop("value")
 
 
 def skip_malformed(decoded: DataFrame) -> DataFrame:
@@ -89,6 +97,7 @@ def skip_malformed(decoded: DataFrame) -> DataFrame:
 
 
 def malformed(decoded: DataFrame) -> DataFrame:
+    """S3: the records that ``skip_malformed`` drops."""
     return decoded.filter(F.col(S.CORRUPT).isNotNull())
 
 
@@ -99,7 +108,7 @@ def encode(df: DataFrame, fields: Sequence[str], key: Column | str = "key") -> C
 
 def envelope(df: DataFrame, topic: str | Column, value: Column, key: Column | str = "key",
              ts: Column | str = "ts", seq: Column | str = "seq") -> DataFrame:
-    """Rows -> topic records. Partition follows the key, like a keyed producer."""
+    """Rows -> topic records. File-backed topics have one partition."""
     key_c = F.col(key) if isinstance(key, str) else key
     topic_c = F.lit(topic) if isinstance(topic, str) else topic
     ts_c = F.col(ts) if isinstance(ts, str) else ts
@@ -108,7 +117,7 @@ def envelope(df: DataFrame, topic: str | Column, value: Column, key: Column | st
         key_c.cast("string").alias("key"),
         value.alias("value"),
         topic_c.alias("topic"),
-        F.pmod(F.hash(key_c), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.lit(0).alias("partition"),
         seq_c.cast("long").alias("offset"),
         ts_c.cast("timestamp").alias("timestamp"),
     )
@@ -117,12 +126,23 @@ def envelope(df: DataFrame, topic: str | Column, value: Column, key: Column | st
 def write_records(records: DataFrame, root: str, batch_id: int | str) -> None:
     """Write topic records of one batch, each to its topic's folder, in one job.
 
-    The batch folder is overwritten as a whole, so replaying a batch id
-    replaces its output instead of duplicating it (X7).
+    The batch is written beside the topics and moved into place by one rename
+    when it is whole. A batch id that is in place already is left as it is: a
+    replayed batch has the same rows, and readers that follow new files must not
+    see them twice (X7).
     """
+    root = root.rstrip("/")
+    spark = records.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, staged = path(f"{root}/_batches/batch={batch_id}"), path(f"{root}/_staging/batch={batch_id}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return
     (records.withColumn("_topic", F.col("topic"))
-     .write.mode("overwrite").partitionBy("_topic")
-     .parquet(f"{root.rstrip('/')}/_batches/batch={batch_id}"))
+     .write.mode("overwrite").partitionBy("_topic").parquet(staged.toString()))
+    fs.mkdirs(target.getParent())
+    if not fs.rename(staged, target) and not fs.exists(target):
+        raise OSError(f"batch {batch_id} could not be moved into place")
     # Readers address a topic as <root>/_batches/batch=*/_topic=<topic>.
 
 

@@ -43,7 +43,7 @@ class ReservationProcessor(StatefulProcessor):
         # PySpark renames columns starting with "_" by position here; the
         # frame follows the input schema, so restore the names by position.
         pdf.columns = self.in_columns
-        pdf = pdf.sort_values(["ts", "seq"], na_position="first", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values([c for c in rv.ORDER if c in pdf.columns], na_position="first", kind="stable").reset_index(drop=True)
         k = key[0]
         if self.state.exists():
             avail, resv = self.state.get()
@@ -54,7 +54,7 @@ class ReservationProcessor(StatefulProcessor):
         statuses, errors, av, rs = rv.fold_rows(
             [k] * len(pdf), amts, rv._none_list(pdf[rv._ST]), rv._none_list(pdf[rv._SRC]),
             self.side, self.unit, carry)
-        if k is not None:
+        if k is not None and any(e is None for e in errors):  # an error row stores nothing
             self.state.update((int(carry[1]), int(carry[2])))
         out = pdf.assign(in_status=pdf[rv._ST], _out_status=statuses, error=errors, _avail=av, _resv=rs)
         yield out[self.out_columns]

@@ -1,9 +1,10 @@
 """Idempotent micro-batch sinks.
 
 ``foreachBatch`` hands every micro-batch with its id; output goes to a folder
-named by (writer, batch id) and is overwritten as a whole. A batch replayed
-after a failure (same id, same input thanks to the checkpoint) replaces its
-earlier output, so the sink is effectively exactly-once. Spark's own Kafka
+named by (writer, batch id), which appears by one rename when it is whole and is
+never written again. A batch replayed after a failure (same id, same input thanks
+to the checkpoint) finds its folder and leaves it, so a service that follows new
+files downstream gets each record once. Spark's own Kafka
 sink is at-least-once; consumers of a broker topic must de-duplicate on
 (key, offset) or the writer must be transactional.
 """
