@@ -16,7 +16,8 @@ minimiser occurs as such twice or more can repeat.
    aggregation, so no task gets a whole frequent passage.
 4. The covered units go back to the documents' groups, which cut them out.
 
-Texts are shuffled once, by group; the second use reads the same shuffle.
+Texts are shuffled once, by group; all later uses read the same shuffle, so nothing
+is written in between.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from ordertide.llm import grams
 from ordertide.llm.arrow import arrow_schema, record_batch
 
 GROUP_ROWS = 1_024
-BUCKET_PIECES = 2_048
+BUCKET_PIECES = 16_384
 #: Units handled at once in a task.
 BLOCK_UNITS = 250_000
 
@@ -99,7 +100,7 @@ def _blocks(texts: list[bytes], units: Units) -> Iterator[tuple[int, int]]:
 
 
 GRAMS = "g long, gram long, n long"
-PIECES = "gram long, n_gram long, g long, place long, doc_id long, start long, last long, piece binary"
+PIECES = "gram long, g long, place long, doc_id long, start long, last long, piece binary"
 COVERED = "g long, place long, start long, end long"
 
 
@@ -118,16 +119,14 @@ def _cut_pieces(units: Units):
         if docs.num_rows and kept.num_rows:
             ids, texts = _in_order(docs)
             known = kept["gram"].to_numpy().view(np.uint64)
-            total = kept["total"].to_numpy()
-            order = np.argsort(known)
-            known, total = known[order], total[order]
+            known = np.sort(known)
             for a, b in _blocks(texts, units):
                 gram, doc, first, last = units.minimisers(texts[a:b])
                 at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
                 use = known[at] == gram
-                gram, doc, first, last, n = gram[use], doc[use], first[use], last[use], total[at][use]
+                gram, doc, first, last = gram[use], doc[use], first[use], last[use]
                 out.append(record_batch([
-                    gram.view(np.int64), n, np.full(len(gram), key[0].as_py()), doc + a, [ids[a + d] for d in doc.tolist()],
+                    gram.view(np.int64), np.full(len(gram), key[0].as_py()), doc + a, [ids[a + d] for d in doc.tolist()],
                     first, last, units.pieces(texts[a:b], doc, first, last + units.width)], arrow_schema(PIECES)))
         return pa.Table.from_batches(out, arrow_schema(PIECES))
     return run
@@ -234,14 +233,15 @@ def covered_units(docs: DataFrame, units: Units, judge: Callable, all_but_first:
     first, then place, then start); else if the same one starts anywhere else."""
     counts = docs.groupBy("g").applyInArrow(_gram_counts(units), GRAMS)
     kept = counts.withColumn("total", F.sum("n").over(Window.partitionBy("gram"))).where("total > 1")
-    pieces = docs.groupBy("g").cogroup(kept.select("g", "gram", "total").groupBy("g")).applyInArrow(_cut_pieces(units), PIECES)
-    pieces = pieces.checkpoint()  # read by both ways below
+
+    def pieces(some: DataFrame) -> DataFrame:
+        return docs.groupBy("g").cogroup(some.select("g", "gram").groupBy("g")).applyInArrow(_cut_pieces(units), PIECES)
 
     order = ["gram", "doc_id", "place", "start"]
-    usual = pieces.where(F.col("n_gram") <= BUCKET_PIECES).repartition("gram").sortWithinPartitions(*order)
+    usual = pieces(kept.where(F.col("total") <= BUCKET_PIECES)).repartition("gram").sortWithinPartitions(*order)
     found = usual.select("gram", "g", "place", "start", "last", "piece").mapInArrow(_judge_buckets(units, judge), COVERED)
 
-    often = pieces.where(F.col("n_gram") > BUCKET_PIECES).withColumns({
+    often = pieces(kept.where(F.col("total") > BUCKET_PIECES)).withColumns({
         "first": F.struct("doc_id", "place", "start", "last", "g"), "p1": F.xxhash64("piece"), "p2": F.xxhash64(F.lit(1), "piece")})
     same = often.groupBy("gram", "p1", "p2").agg(F.min("first").alias("head"), F.count("*").alias("n"), F.min("piece").alias("piece"))
     repeated = (F.col("first") != F.col("head")) if all_but_first else F.col("n") > 1
