@@ -84,20 +84,18 @@ def test_even_odd_path(spark):
     assert paths == {"a": "transactional", "b": "plain"}
 
 
-def test_chunked_records_equal_whole_records(spark):
-    """Orders spread over several bounded records enrich exactly like whole ones."""
-    from ordertide.plans import queries as Q
+def _facts_of(records):
     from ordertide.sources import topics as tp
-    from ordertide.sources.tables import order_event_chunks, order_events
+    recs = tp.envelope(records, "orders", tp.encode(records, ["id", "marketId", "customerId", "products"]), key="id")
+    return en.event_facts(tp.skip_malformed(tp.decode(recs)))
+
+
+def test_line_records_equal_whole_records(spark):
+    """Orders spread over records of one product each enrich exactly like whole ones."""
+    from ordertide.plans import queries as Q
+    from ordertide.sources.tables import order_events, order_line_events
     sf = "/root/testdata/sf0.001"
-    chunks = order_event_chunks(spark, sf, max_products=3)
-    per_order = chunks.groupBy("id", "n_chunks").agg(F.count(F.lit(1)).alias("c"),
-                                                     F.sum(F.size("products")).alias("n"))
-    assert per_order.filter("c > 1").count() > 0
-    assert per_order.filter("c > n_chunks OR n_chunks != greatest(ceil(n / 3), 1)").count() == 0
-    assert per_order.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf}/lineitem.parquet").count()
-    recs = tp.envelope(chunks, "orders", tp.encode(chunks, ["id", "marketId", "customerId", "products"]), key="id")
-    got = en.enrich_facts(en.chunk_facts(tp.skip_malformed(tp.decode(recs))), Q.LIM)
+    got = en.enrich_facts(_facts_of(order_line_events(spark, sf)), Q.LIM)
     want = en.enrich(order_events(spark, sf), Q.LIM)
     cols = ["id", "productCount", "price", "status", "error"]
     a = got.select(*cols).toPandas().sort_values("id").reset_index(drop=True)
@@ -105,7 +103,15 @@ def test_chunked_records_equal_whole_records(spark):
     assert a.equals(b)
 
 
-def test_chunk_facts_null_rules(spark):
+def test_events_of_one_id_stay_apart(spark):
+    """Two events of one order id are two orders, and equal lines spread like others."""
+    df = orders_df(spark, [("a", "m", "c", [1, 2]), ("a", "m", "c", [5, 6]), ("b", "m", "c", [3] * 5000)])
+    lines = df.withColumn("products", F.explode(F.transform("products", lambda p: F.array(p))))
+    got = sorted((r.id, r.n_products, r.total) for r in _facts_of(lines).collect())
+    assert [(i, n, int(t)) for i, n, t in got] == [("a", 2, 3), ("a", 2, 11), ("b", 5000, 15000)]
+
+
+def test_event_facts_null_rules(spark):
     df = orders_df(spark, [("a", "m", "c", [1, None]), ("b", "m", "c", [1, "NULL"]), ("c", "m", "c", None),
                            ("d", "m", "c", [3, 4])])
     # split every order into one record per product
@@ -114,6 +120,6 @@ def test_chunk_facts_null_rules(spark):
                     G.explode_outer(G.coalesce(G.transform("products", lambda p: G.array(p)),
                                                G.array(G.lit(None).cast(df.schema["products"].dataType))))
                     .alias("products"), G.lit(False).alias("value_null"))
-    got = {r.id: (r.error, r.price) for r in en.enrich_facts(en.chunk_facts(per), L).collect()}
+    got = {r.id: (r.error, r.price) for r in en.enrich_facts(en.event_facts(per), L).collect()}
     want = {r.id: (r.error, r.price) for r in en.enrich(df, L).collect()}
     assert got == want

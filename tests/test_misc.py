@@ -64,3 +64,27 @@ def test_publish_batch_job(spark, scratch):
     assert bal.exceptAll(want).count() == 0 and want.exceptAll(bal).count() == 0
     errs = spark.read.parquet(paths["errors"])
     assert errs.count() == Q.q_error_topic(spark, sf).count()
+
+
+def test_unknown_names_are_malformed(spark):
+    from ordertide import schema as S
+    from ordertide.sources import topics as tp
+    values = ['{"id": "1", "status": "NEW"}', '{"id": "2", "status": "SHIPPED"}', '{"id": "3", "status": "ROLLBACK", "source": "BANK"}',
+              "no json", None]
+    recs = spark.createDataFrame([(str(i), v, "t", 0, i, None) for i, v in enumerate(values)], S.ENVELOPE)
+    decoded = tp.decode(recs, S.ORDER_FULL_EVENT)
+    assert sorted(r.key for r in tp.malformed(decoded).collect()) == ["1", "2", "3"]
+    assert sorted(r.key for r in tp.skip_malformed(decoded).collect()) == ["0", "4"]
+
+
+def test_a_replayed_batch_is_left_in_place(spark, scratch):
+    import glob
+
+    from ordertide import schema as S
+    from ordertide.sources import topics as tp
+    recs = spark.createDataFrame([("k", "v", "t", 0, 1, None)], S.ENVELOPE)
+    tp.write_records(recs, scratch, "w-0")
+    files = sorted(glob.glob(f"{scratch}/_batches/**/*.parquet", recursive=True))
+    tp.write_records(recs, scratch, "w-0")
+    assert files and sorted(glob.glob(f"{scratch}/_batches/**/*.parquet", recursive=True)) == files
+    assert tp.read_topic(spark, scratch, "t").count() == 1

@@ -9,6 +9,7 @@ from conftest import full_df
 from ordertide import REFERENCE_LIMITS as L
 from ordertide import schema as S
 from ordertide.operators import reservation as rv
+from ordertide.operators.reservation_split import reserve_split
 
 
 def _rows(df):
@@ -110,3 +111,27 @@ def test_settlement_invariant(spark):
         s = r.settled(side)
         bad = s.filter(F.col("available") + F.col("reserved") + F.col("settled") != F.lit(side.initial))
         assert bad.count() == 0
+
+
+def test_guarded_only_key_has_no_balance(spark):
+    """An error row stores nothing, so a key with nothing else has no balance."""
+    lim = L
+    side = rv.payment_side(lim)
+    df = full_df(spark, [("1", "m", "c1", 1, lim.price_guard, "NEW", None, 1), ("2", "m", "c2", 1, 10, "NEW", None, 2),
+                         ("3", "m", "c2", 1, lim.price_guard, "NEW", None, 3)])
+    for folded in (rv.reserve(df, side), reserve_split(df, side, 2)):
+        got = [(r.customerId, int(r.available), int(r.reserved)) for r in rv.balances(folded, side).collect()]
+        assert got == [("c2", lim.initial_credit - 10, 10)]
+
+
+def test_equal_times_fold_by_id(spark):
+    """Rows of one key with equal time and offset fold in the order of their ids,
+    whatever order they come in."""
+    lim = L
+    side = rv.payment_side(lim)
+    rows = [(str(i), "m", "c", 1, 20000 + i, "NEW", None, 5) for i in range(4)]
+    seen = set()
+    for some in (rows, rows[::-1]):
+        df = full_df(spark, some).withColumn("seq", F.lit(7).cast("long"))
+        seen.add(tuple(sorted((r.id, r.status) for r in rv.reserve(df, side).collect())))
+    assert seen == {(("0", "ACCEPT"), ("1", "ACCEPT"), ("2", "REJECT"), ("3", "REJECT"))}
