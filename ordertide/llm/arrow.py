@@ -19,13 +19,13 @@ def record_batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-def map_columns(df: DataFrame, fn: Callable[..., list], ddl: str) -> DataFrame:
-    """``fn`` gets each column of a batch as a list and returns the columns of ``ddl``."""
+def map_columns(df: DataFrame, fn: Callable[..., list], ddl: str, rows: int = 2_000) -> DataFrame:
+    """``fn`` gets each column of up to ``rows`` rows as a list and returns the columns of ``ddl``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(ddl)
         for batch in batches:
-            if batch.num_rows:
-                yield record_batch(fn(*(c.to_pylist() for c in batch.columns)), schema)
+            for a in range(0, batch.num_rows, rows):
+                yield record_batch(fn(*(c.to_pylist() for c in batch.slice(a, rows).columns)), schema)
     return df.mapInArrow(run, ddl)
 
 

@@ -35,7 +35,9 @@ from ordertide.llm.arrow import map_columns
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of text whose words are indexed at once.
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 2_000_000
+#: Rows handled at once.
+BATCH_ROWS = 1_000
 #: Slots of a worker's memory of pairs that it has judged.
 SLOTS = 1 << 22
 _NONE = 2**31 - 1
@@ -209,6 +211,10 @@ class Vocabulary:
             ids = out
         return ids.astype(np.int32), np.diff(edge)
 
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        ids, n = self.encode(texts)
+        return np.split(ids.astype("<i4"), np.cumsum(n)[:-1])
+
     def decode(self, ids) -> str:
         made = b"".join(map(self.bytes.__getitem__, ids))
         return made[1:].decode("utf-8", "replace") if made[:1] == b" " else made.decode("utf-8", "replace")
@@ -299,14 +305,9 @@ def encode_texts(docs: DataFrame, model: bytes) -> DataFrame:
 
     def run(doc_ids: list, texts: list) -> list:
         vocabulary = _vocabulary(shared.value)
-        n_tokens, tokens = [], []
-        for part in _batches([t or "" for t in texts]):
-            ids, n = vocabulary.encode(part)
-            edge = np.concatenate(([0], np.cumsum(n)))
-            n_tokens += n.tolist()
-            tokens += [ids[a:b].astype("<i4").tobytes() for a, b in zip(edge, edge[1:], strict=False)]
-        return [doc_ids, n_tokens, tokens]
-    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_tokens long, tokens binary")
+        found = [t for part in _batches([t or "" for t in texts]) for t in vocabulary.encoded(part)]
+        return [doc_ids, [len(t) for t in found], [t.tobytes() for t in found]]
+    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_tokens long, tokens binary", BATCH_ROWS)
 
 
 def decode_tokens(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -316,11 +317,28 @@ def decode_tokens(encoded: DataFrame, model: bytes) -> DataFrame:
     def run(doc_ids: list, n_tokens: list, tokens: list) -> list:
         vocabulary = _vocabulary(shared.value)
         return [doc_ids, n_tokens, tokens, [vocabulary.decode(np.frombuffer(t, "<i4").tolist()) for t in tokens]]
-    return map_columns(encoded.select("doc_id", "n_tokens", "tokens"), run, "doc_id long, n_tokens long, tokens binary, text string")
+    return map_columns(encoded.select("doc_id", "n_tokens", "tokens"), run, "doc_id long, n_tokens long, tokens binary, text string", BATCH_ROWS)
+
+
+def round_trip(docs: DataFrame, model: bytes) -> DataFrame:
+    """``encode_texts`` and ``decode_tokens`` in one pass: doc_id, n_tokens and the
+    sha256 of the packed tokens and of the text decoded from them."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(doc_ids: list, texts: list) -> list:
+        vocabulary = _vocabulary(shared.value)
+        out = []
+        for part in _batches([t or "" for t in texts]):
+            for tokens in vocabulary.encoded(part):
+                text = vocabulary.decode(tokens.tolist())
+                out.append((len(tokens), hashlib.sha256(tokens.tobytes()).hexdigest(),
+                            hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
+        return [doc_ids, *map(list, zip(*out, strict=True))]
+    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), run, ROUND_TRIP, BATCH_ROWS)
+
+
+ROUND_TRIP = "doc_id long, n_tokens long, tokens_sha256 string, decoded_sha256 string"
 
 
 def op8_pieces(spark, sf_dir: str) -> DataFrame:
-    docs, model = spark.read.parquet(f"{sf_dir}/documents.parquet"), read_model()
-    decoded = decode_tokens(encode_texts(docs, model), model)
-    return decoded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"),
-                          F.sha2("text", 256).alias("decoded_sha256"))
+    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), read_model())
