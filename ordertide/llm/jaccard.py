@@ -25,6 +25,7 @@ of all shingles of all documents in 2**20 counters; it decides costs, not result
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ COUNT_BLOCKS = 16
 BLOCK_CHARS = 1_000_000
 #: Sets of a region that are pivots for all its sets, and for those after the first MANY in hash order.
 PIVOTS, MORE_PIVOTS, MANY = 1, 3, 64
+#: Orders of the sets, by pivot, of which the first one in a region is its chief.
+CHIEFS = 4
 #: Rows of whole regions joined at once.
 REGION_ROWS = 200_000
 
@@ -69,7 +72,7 @@ def _point(s: np.ndarray) -> int:
     return int(grams.mixed(np.array([h]))[0].astype(np.int64))
 
 
-POINTS = "block int, counts binary, doc_id long, point long, n long"
+POINTS = "block int, counts binary, row long, doc_id long, point long, n long"
 
 
 def _points(words: int):
@@ -77,27 +80,31 @@ def _points(words: int):
     def run(batches):
         schema, counts = arrow_schema(POINTS), np.zeros(1 << COUNTERS, np.uint32)
         for batch in batches:
-            ids, texts = batch.columns
+            rows, ids, texts = batch.columns
             sets = shingle_sets(texts.to_pylist(), words)
             for a in range(0, len(sets), 500):
                 some = np.concatenate([np.zeros(0, np.uint64), *sets[a:a + 500]])
                 counts += np.bincount((some >> np.uint64(64 - COUNTERS)).astype(np.int64), minlength=1 << COUNTERS).astype(np.uint32)
             none = [None] * len(sets)
-            yield record_batch([none, none, ids, [_point(s) for s in sets], [len(s) for s in sets]], schema)
+            yield record_batch([none, none, rows, ids, [_point(s) for s in sets], [len(s) for s in sets]], schema)
         if counts.any():
             none = [None] * COUNT_BLOCKS
-            yield record_batch([range(COUNT_BLOCKS), [c.astype("<u8").tobytes() for c in np.split(counts, COUNT_BLOCKS)], none, none, none], schema)
+            yield record_batch([range(COUNT_BLOCKS), [_packed(c) for c in np.split(counts, COUNT_BLOCKS)], none, none, none, none], schema)
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u8").tobytes(), 1)
+
+
 def _add_counts(batches):
     """Sums of one task's blocks: at most COUNT_BLOCKS rows whatever comes in."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            c = np.frombuffer(counts, "<u8")
+            c = np.frombuffer(zlib.decompress(counts), "<u8")
             total[block] = total[block] + c if block in total else c
-    yield record_batch([list(total), [c.tobytes() for c in total.values()]], arrow_schema("block int, counts binary"))
+    yield record_batch([list(total), [_packed(c) for c in total.values()]], arrow_schema("block int, counts binary"))
 
 
 def _commonness(points: DataFrame) -> np.ndarray:
@@ -107,11 +114,11 @@ def _commonness(points: DataFrame) -> np.ndarray:
     counts = np.zeros(1 << COUNTERS, np.uint64)
     parts = counts.reshape(COUNT_BLOCKS, -1)
     for block, c in sums.collect():
-        parts[block] += np.frombuffer(bytes(c), "<u8")
+        parts[block] += np.frombuffer(zlib.decompress(c), "<u8")
     return np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
 
 
-REGIONS = "pivot long, h long, point long, n long, pos long"
+REGIONS = "pivot long, point long, place long"  # place: n * 2**32 + position in the set's order of pivots
 
 
 def _windows(words: int, percent: int, commonness):
@@ -135,8 +142,8 @@ def _windows(words: int, percent: int, commonness):
                     size = [len(o[0]) for o in out]
                     shingle = np.concatenate([o[0] for o in out])
                     point = np.repeat(np.array([o[1] for o in out], np.int64), size)
-                    yield record_batch([shingle.view(np.int64), grams.mixed(shingle ^ point.view(np.uint64)).view(np.int64), point,
-                                        np.repeat([o[2] for o in out], size), np.concatenate([np.arange(s) for s in size])], schema)
+                    place = np.repeat([o[2] << 32 for o in out], size) + np.concatenate([np.arange(s) for s in size])
+                    yield record_batch([shingle.view(np.int64), point, place], schema)
     return run
 
 
@@ -151,42 +158,62 @@ MEMBERS = "pivot long, point long, n long, pos long, chief long"
 PAIRS = "a long, b long"
 
 
-def _regions(batches):
+def _regions(percent: int):
     """Rows sorted by (pivot, h, point): members of regions of two sets or more, each
-    once, with the region's first set, its chief. Nothing is held but the last row."""
-    schema = arrow_schema(MEMBERS)
-    held = None  # the last region's first row, if no other row was seen
-    region = chief = last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        pivot, _, point, n, pos = (c.to_numpy() for c in batch.columns)
-        new = np.empty(len(pivot), bool)  # a region's first row
-        new[0] = pivot[0] != region
-        new[1:] = pivot[1:] != pivot[:-1]
-        copy = np.empty(len(pivot), bool)
-        copy[0] = not new[0] and point[0] == last
-        copy[1:] = ~new[1:] & (point[1:] == point[:-1])
-        rows = np.flatnonzero(~copy)
-        first = new[rows]
-        at = np.maximum.accumulate(np.where(first, np.arange(len(rows)), -1))
-        heads = point[rows][np.maximum(at, 0)]
-        if chief is not None:
-            heads = np.where(at < 0, chief, heads)
-        alone = first & np.append(first[1:], False) if len(rows) else first
-        if len(rows):
-            before = held if held is not None and not first[0] else None
-            ends_alone = bool(first[-1])
-            keep = ~alone
-            if ends_alone:
-                keep[-1] = False
-            made = [[pivot[rows][keep], point[rows][keep], n[rows][keep], pos[rows][keep], heads[keep]]]
-            if before is not None:
-                made.insert(0, [np.array([x]) for x in before])
-            yield record_batch([np.concatenate(c) for c in zip(*made, strict=True)], schema)
-            held = tuple(int(x[rows[-1]]) for x in (pivot, point, n, pos)) + (int(point[rows[-1]]),) if ends_alone else None
+    once, with the region's first set, its chief. Sets that can link with no other of a
+    small region go. Nothing is held but a region's last row."""
+    def useful(region: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        """Whether a row may link with another of its region, where the region is whole
+        and small; all rows of other regions."""
+        edge = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
+        size = np.diff(np.append(edge, len(region)))
+        keep = np.repeat(size > MANY, size)
+        keep[:size[0]] = True  # the first and the last may go on in other batches
+        keep[len(region) - size[-1]:] = True
+        end = np.repeat(edge + size, size)
+        i, step = np.flatnonzero(~keep), 1
+        while len(i):
+            i = i[i + step < end[i]]
+            j = i + step
+            use = _may_link(n[i], pos[i], n[j], pos[j], percent)
+            keep[i[use]] = True
+            keep[j[use]] = True
+            step += 1
+        return keep
+
+    def run(batches):
+        schema = arrow_schema(MEMBERS)
+        held = None  # the last region's first row, if no other row was seen
+        region = chief = last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pivot, _, point, place = (c.to_numpy() for c in batch.columns)
+            n, pos = place >> 32, place & (2**32 - 1)
+            new = np.empty(len(pivot), bool)  # a region's first row
+            new[0] = pivot[0] != region
+            new[1:] = pivot[1:] != pivot[:-1]
+            copy = np.empty(len(pivot), bool)
+            copy[0] = not new[0] and point[0] == last
+            copy[1:] = ~new[1:] & (point[1:] == point[:-1])
+            region, last = pivot[-1], point[-1]
+            rows = np.flatnonzero(~copy)
+            if not len(rows):
+                continue
+            pivot, point, n, pos, first = pivot[rows], point[rows], n[rows], pos[rows], new[rows]
+            at = np.maximum.accumulate(np.where(first, np.arange(len(rows)), -1))
+            heads = np.where(at < 0, point[0] if chief is None else chief, point[np.maximum(at, 0)])
+            keep = ~(first & np.append(first[1:], True))  # the last row may be the first of two
+            open_ = bool(first[-1])
+            made = [pivot, point, n, pos, heads]
+            keep &= useful(pivot, n, pos)
+            out = [c[keep] for c in made]
+            if held is not None and not first[0]:
+                out = [np.concatenate(([x], c)) for x, c in zip(held, out, strict=True)]
+            yield record_batch(out, schema)
+            held = tuple(int(c[-1]) for c in made) if open_ else None
             chief = int(heads[-1])
-        region, last = pivot[-1], point[-1]
+    return run
 
 
 def _pivot_pairs(percent: int):
@@ -288,21 +315,24 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     own. Empty table: no rows."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row"), "doc_id", "text")
     folder = f"{checkpoint_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     points = docs.mapInArrow(_points(words), POINTS).checkpoint()
     commonness = spark.sparkContext.broadcast(_commonness(points))
-    own = points.where("block is null").select("doc_id", "point", "n")
+    own = points.where("block is null").select("row", "doc_id", "point", "n")
 
     rows = docs.select("text").mapInArrow(_windows(words, percent, commonness), REGIONS)
-    rows = rows.repartition("pivot").sortWithinPartitions("pivot", "h", "point")
-    members = rows.mapInArrow(_regions, MEMBERS).checkpoint()  # in the same order
-
-    # one document's text for every set that shares a region
-    texts = own.groupBy("point").agg(F.min_by(F.struct("doc_id"), F.coalesce("doc_id", F.lit(2**63 - 1))).alias("d"))
-    texts = texts.join(members.select("point").distinct(), "point", "left_semi").select("point", F.col("d.doc_id").alias("r_id"))
-    found = docs.join(texts, F.col("doc_id").eqNullSafe(F.col("r_id"))).select("text")
-    found = found.mapInArrow(_with_point(words), "point long, text string").dropDuplicates(["point"])
-    found.write.parquet(f"{folder}/texts")
+    # few different chiefs for sets that share many regions
+    h = F.xxhash64("point", F.col("pivot") % CHIEFS).alias("h")
+    rows = rows.repartition("pivot").select("pivot", h, "point", "place").sortWithinPartitions("pivot", "h", "point")
+    members = rows.mapInArrow(_regions(percent), MEMBERS).checkpoint()  # in the same order
+
+    # one document's text for every set that may link
+    wanted = own.groupBy("point").agg(F.min("row").alias("row"))
+    wanted = wanted.join(members.select("point").distinct(), "point", "left_semi")
+    found = docs.select("row", "text").join(wanted, "row").dropDuplicates(["row", "text", "point"])
+    found = found.select("point", "text").mapInArrow(_of_point(words), "point long, text string")
+    found.write.option("compression", "zstd").parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
 
     def distances(pairs: DataFrame) -> DataFrame:
@@ -333,13 +363,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     return classes.unionByName(empty)
 
 
-def _with_point(words: int):
+def _of_point(words: int):
+    """Rows whose text has the set that was asked for: rows of one doc_id may differ."""
     def run(batches):
         for batch in batches:
-            sets = shingle_sets(batch.column(0).to_pylist(), words)
-            keep = [i for i, s in enumerate(sets) if len(s)]
-            yield record_batch([[_point(sets[i]) for i in keep], batch.column(0).take(pa.array(keep, pa.int64()))],
-                               arrow_schema("point long, text string"))
+            sets = shingle_sets(batch.column(1).to_pylist(), words)
+            yield batch.filter(pa.array([_point(s) == p for s, p in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_()))
     return run
 
 
