@@ -5,41 +5,42 @@ That is fine for many small keys, but there are only 25 markets, and one
 customer may hold a large share of all orders. Here a key's rows may span
 any number of tasks:
 
-1. ``repartitionByRange(n, key, ts, seq)`` + sort, checkpointed so both
-   passes see the same partitions. A hot key covers a run of consecutive
-   partitions; every other partition boundary falls between keys.
-2. Summary pass (parallel): a partition holding a single key describes its
-   whole effect as a function of the unknown start balance, kept exactly as
-   pieces ``[lo_i, lo_{i+1}) -> b - off_i`` (integer units). A partition with
-   several keys only needs the end state of its last key, which starts there
-   fresh, so it runs a plain fold.
-3. Chain (one row per partition): walk the partitions in order and evaluate
-   each function once. This gives each partition's start state. The
-   start-state map has one entry per partition, so its size is bounded by the
-   partition count; it is broadcast.
-4. Fold pass (parallel): every partition folds its rows from its known start.
+1. The rows are range-partitioned on the key and the row order, sorted, and
+   checkpointed, so all passes see the same partitions. A hot key covers a run
+   of consecutive partitions; every other boundary falls between keys.
+2. Summary pass (parallel): one row per partition. Its last key, if it starts
+   there, is folded plainly; a partition of a single key reports a bound on the
+   balance that it leaves (below).
+3. The summaries of one key, in partition order, carry that bound along, which
+   gives a bound on each single-key partition's start balance.
+4. Piece pass (parallel), only on single-key partitions whose key goes on: the
+   effect on any start balance within its bound, as pieces
+   ``[lo_i, lo_{i+1}) -> b - off_i`` (integer units). Pieces are as many as the
+   rows make them; there is no limit.
+5. The pieces of one key, in partition order, are evaluated one after the other,
+   which gives every partition's start state.
+6. Fold pass (parallel): every partition folds its rows from its start.
+
+Steps 3 and 5 are grouped by key on the executors and handle one small row per
+partition that the key spans; steps 4 and 6 get them by a join on the partition
+number. The driver collects nothing.
 
 Only ``available`` is real state: ``available + reserved + confirmed`` stays
 equal to the initial balance for every row (a NEW accept moves an amount from
 available to reserved, CONFIRMED moves it from reserved to confirmed, a
 release moves it back). So the reserved amount follows from the confirmed sum.
 
-Pieces only split at thresholds inside the partition's start domain. A
-first parallel pass bounds that domain. From any start <= U, a row of amount
-p leaves at most max(min(U, p - 1), U - p), and a release of a adds a. The
-resulting bound G(U) over a partition is monotone and 1-Lipschitz, so
-G(B) <= G(initial) + max(0, B - initial). Each partition reports
-G(initial), and the chain carries the bound from partition to partition. It
-collapses after a few hundred rows (the balance is spent), so pieces stay few
-even for money. If a partition still exceeds ``max_pieces``, its key is
-folded by the plain per-key stream: exact, but sequential for that key.
+The bound: from any start <= U, a row of amount p leaves at most
+max(min(U, p - 1), U - p), and a release of a adds a. Over a partition this
+G(U) is monotone and 1-Lipschitz, so G(B) <= G(initial) + max(0, B - initial).
+It collapses after a few hundred rows (the balance is spent), and pieces only
+split below it, so they stay few even for money.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,38 +51,25 @@ from ordertide.session import checkpoint_dir
 
 _INF = np.iinfo(np.int64).max
 # Partition number stamped into the rows before the checkpoint. Read from the
-# data, not from the task: under a union the task's partition index shifts.
+# data, not from the task: later passes may deal partitions out differently.
 _PID = "_pid"
 
-SUMMARY = T.StructType([
-    T.StructField("pid", T.IntegerType()),
-    T.StructField("first_key", T.StringType()),
-    T.StructField("last_key", T.StringType()),
-    T.StructField("single", T.BooleanType()),
-    T.StructField("lo", T.ArrayType(T.LongType())),       # pieces (single-key partition)
-    T.StructField("off", T.ArrayType(T.LongType())),
-    T.StructField("overflow", T.BooleanType()),
-    T.StructField("conf_first", T.LongType()),            # confirmed units of the first segment
-    T.StructField("last_end", T.LongType()),              # end available of the last segment from initial
-    T.StructField("conf_last", T.LongType()),
-    T.StructField("bound_end", T.LongType()),             # bound after a single-key partition
-])
+# One row per partition. bound_end: bound after a single-key partition for starts up
+# to the initial balance; last_end, conf_last: end of a last key that starts there.
+SUMMARY = ("pid int, first_key string, last_key string, single boolean, conf_first long, "
+           "last_end long, conf_last long, bound_end long")
 
 
 class Pieces:
     """b -> b - off on [lo_i, lo_{i+1}); lo_0 = 0, the last piece is unbounded."""
 
-    def __init__(self, upper: int, max_pieces: int):
+    def __init__(self, upper: int):
         self.lo = np.zeros(1, dtype=np.int64)
         self.off = np.zeros(1, dtype=np.int64)
         self.upper = upper
-        self.max_pieces = max_pieces
-        self.overflow = False
 
     def new(self, a: int) -> None:
         """A NEW row of amount a: accepted where b - off >= a."""
-        if self.overflow:
-            return
         t = self.off + a
         hi = np.empty_like(self.lo)
         hi[:-1] = self.lo[1:] - 1
@@ -95,8 +83,6 @@ class Pieces:
             off = np.insert(off, idx + 1, self.off[idx] + a)
             keep = lo <= self.upper
             self.lo, self.off = lo[keep], off[keep]
-            if len(self.lo) > self.max_pieces:
-                self.overflow = True
         else:
             self.off = off
 
@@ -104,13 +90,12 @@ class Pieces:
         self.off = self.off - a
 
     def __call__(self, b: int) -> int:
-        i = int(np.searchsorted(self.lo, b, side="right")) - 1
-        return int(b - self.off[i])
+        return evaluate(self.lo, self.off, b)
 
-    @staticmethod
-    def evaluate(lo, off, b: int) -> int:
-        i = int(np.searchsorted(np.asarray(lo, dtype=np.int64), b, side="right")) - 1
-        return int(b - off[i])
+
+def evaluate(lo, off, b: int) -> int:
+    i = int(np.searchsorted(np.asarray(lo, dtype=np.int64), b, side="right")) - 1
+    return int(b - off[i])
 
 
 def _row_effect(side: rv.Side, unit: int):
@@ -130,229 +115,201 @@ def _row_effect(side: rv.Side, unit: int):
     return effect
 
 
-def _summarize(side: rv.Side, unit: int, upper: int, max_pieces: int, domains_bc=None):
-    """One summary row per partition.
+def _columns(pdf: pd.DataFrame) -> tuple[list, list, list, list]:
+    return (rv._none_list(pdf[rv._K]), [None if pd.isna(v) else int(v) for v in pdf[rv._A].tolist()],
+            rv._none_list(pdf[rv._ST]), rv._none_list(pdf[rv._SRC]))
+
+
+def _by_partition(batches):
+    """(partition number, its rows) in order; a partition may come in several parts."""
+    for pdf in batches:
+        if not pdf.empty:
+            pid = pdf[_PID].to_numpy()
+            for part in np.split(np.arange(len(pid)), np.flatnonzero(np.diff(pid)) + 1):
+                yield int(pid[part[0]]), pdf.iloc[part[0]:part[-1] + 1].reset_index(drop=True)
 
-    Without ``domains_bc`` (first pass) no pieces are built: a single-key
-    partition reports ``bound_end``, the interval bound after its rows for any
-    start <= ``upper`` (the initial balance). With it (second pass)
-    single-key partitions build pieces over their start domain
-    [0, domains[pid]].
-    """
+
+def _summarize(side: rv.Side, unit: int):
+    """Rows sorted by (partition, key, order) -> SUMMARY rows."""
     effect = _row_effect(side, unit)
+    initial = side.initial * unit
 
     def run(batches):
-        pid = None
-        first = last = None
-        seen = False
-        single = True
-        pieces = None
-        bound = upper
-        conf_first = 0
-        carry = [object(), 0, 0]     # plain fold of the current (not first) segment
-        conf_last = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = rv._none_list(pdf[rv._K])
-            amts = [None if pd.isna(v) else int(v) for v in pdf[rv._A].tolist()]
-            sts = rv._none_list(pdf[rv._ST])
-            srcs = rv._none_list(pdf[rv._SRC])
-            if not seen:
-                first, seen = keys[0], True
-                pid = int(pdf[_PID].iloc[0])
-                if domains_bc is not None:
-                    pieces = Pieces(domains_bc.value.get(pid, upper), max_pieces)
+        out = None
+        for pid, pdf in _by_partition(batches):
+            keys, amts, sts, srcs = _columns(pdf)
+            if out is not None and out["pid"] != pid:
+                yield pd.DataFrame([out])
+                out = None
+            if out is None:
+                out = {"pid": pid, "first_key": keys[0], "last_key": None, "single": True, "conf_first": 0,
+                       "last_end": None, "conf_last": 0, "bound_end": initial}
+                carry = [object(), 0, 0]   # plain fold of the last key's rows
             start = 0
-            if single:
-                # rows of the first key at the head of this batch
-                n_first = 0
-                while n_first < len(keys) and keys[n_first] == first:
-                    n_first += 1
-                for i in range(n_first):
-                    e = effect(keys[i], amts[i], sts[i], srcs[i])
+            if out["single"]:
+                while start < len(keys) and keys[start] == out["first_key"]:
+                    e = effect(keys[start], amts[start], sts[start], srcs[start])
+                    start += 1
                     if e is None:
                         continue
                     if e[0] == "new":
-                        a = e[1]
-                        bound = max(min(bound, a - 1), bound - a)
-                        if pieces is not None:
-                            pieces.new(a)
+                        out["bound_end"] = max(min(out["bound_end"], e[1] - 1), out["bound_end"] - e[1], 0)
                     elif e[0] == "release":
-                        bound += e[1]
-                        if pieces is not None:
-                            pieces.release(e[1])
+                        out["bound_end"] += e[1]
                     else:
-                        conf_first += e[1]
-                if n_first < len(keys):
-                    single = False
-                start = n_first
-            if not single and start < len(keys):
-                # Only the partition's last key segment matters here, and it
-                # starts fresh: fold from the last key change on.
-                karr = np.array([("\x00null" if k is None else k) for k in keys[start:]], dtype=object)
-                changes = np.nonzero(karr[1:] != karr[:-1])[0]
-                j = start + (int(changes[-1]) + 1 if len(changes) else 0)
-                if keys[j] != carry[0] or j > start:
-                    carry[0] = object()          # a new segment: fold_rows resets it
-                    conf_last = 0
-                ks, am, st, sr = keys[j:], amts[j:], sts[j:], srcs[j:]
-                for i in range(len(ks)):
-                    e = effect(ks[i], am[i], st[i], sr[i])
+                        out["conf_first"] += e[1]
+                out["single"] = start == len(keys)
+            if start < len(keys):
+                # only the last key matters, from its first row here on
+                j = len(keys) - 1
+                while j > start and keys[j - 1] == keys[-1]:
+                    j -= 1
+                if keys[j] != carry[0]:
+                    carry[0] = object()
+                    out["conf_last"] = 0
+                for row in zip(keys[j:], amts[j:], sts[j:], srcs[j:], strict=True):
+                    e = effect(*row)
                     if e is not None and e[0] == "confirm":
-                        conf_last += e[1]
-                rv.fold_rows(ks, am, st, sr, side, unit, carry)
-            last = keys[-1]
-        if not seen:
-            return
-        yield pd.DataFrame({
-            "pid": [pid], "first_key": [first], "last_key": [last], "single": [single],
-            "lo": [pieces.lo.tolist() if single and pieces is not None else None],
-            "off": [pieces.off.tolist() if single and pieces is not None else None],
-            "overflow": [bool(single and pieces is not None and pieces.overflow)],
-            "conf_first": [conf_first],
-            "last_end": [None if single or last is None else int(carry[1])],
-            "conf_last": [conf_last],
-            "bound_end": [max(bound, 0) if single else None],
-        })
+                        out["conf_last"] += e[1]
+                rv.fold_rows(keys[j:], amts[j:], sts[j:], srcs[j:], side, unit, carry)
+                out["last_end"] = int(carry[1])
+            out["last_key"] = keys[-1]
+        if out is not None:
+            yield pd.DataFrame([out])
     return run
 
 
-def start_domains(summaries: list, initial: int) -> dict:
-    """Bound on the start balance of every single-key partition.
-
-    A key starting in the partition starts at ``initial``. After a multi-key
-    partition the start is the exact end of its last segment; after a
-    single-key one it is G(initial) + max(0, B - initial), with B the bound
-    on that partition's own start.
-    """
-    rows = sorted(summaries, key=lambda r: r["pid"])
-    out = {}
-    for j, r in enumerate(rows):
-        if not r["single"]:
-            continue
-        prev = rows[j - 1] if j > 0 else None
-        if prev is None or prev["last_key"] is None or prev["last_key"] != r["first_key"]:
-            out[r["pid"]] = initial
-        elif prev["single"]:
-            out[r["pid"]] = prev["bound_end"] + max(0, out[prev["pid"]] - initial)
-        else:
-            out[r["pid"]] = prev["last_end"]
+def _pieces(side: rv.Side, unit: int):
+    """Rows of single-key partitions with the bound on their start -> their pieces."""
+    effect = _row_effect(side, unit)
+
+    def run(batches):
+        pid = pieces = None
+
+        def row():
+            return pd.DataFrame({"pid": [pid], "lo": [pieces.lo.tolist()], "off": [pieces.off.tolist()]})
+        for at, pdf in _by_partition(batches):
+            if at != pid:
+                if pid is not None:
+                    yield row()
+                pid, pieces = at, Pieces(int(pdf["bound"].iloc[0]))
+            for values in zip(*_columns(pdf), strict=True):
+                e = effect(*values)
+                if e is not None and e[0] == "new":
+                    pieces.new(e[1])
+                elif e is not None and e[0] == "release":
+                    pieces.release(e[1])
+        if pid is not None:
+            yield row()
+    return run
+
+
+def parts_of_keys(summaries: DataFrame) -> DataFrame:
+    """SUMMARY rows -> one row per key and partition that it starts in (``tail``) or
+    comes into; ``whole``: the partition holds nothing else."""
+    head = summaries.where("first_key is not null").select(
+        F.col("first_key").alias("key"), "pid", F.lit(False).alias("tail"), F.col("single").alias("whole"),
+        F.col("conf_first").alias("conf"), F.lit(None).cast("long").alias("end"), "bound_end")
+    tail = summaries.where("not single and last_key is not null").select(
+        F.col("last_key").alias("key"), "pid", F.lit(True).alias("tail"), F.lit(False).alias("whole"),
+        F.col("conf_last").alias("conf"), F.col("last_end").alias("end"), F.lit(None).cast("long").alias("bound_end"))
+    return head.unionByName(tail)
+
+
+def carry_bounds(parts: pd.DataFrame, initial: int) -> list[tuple[int, int]]:
+    """One key's parts in order -> (partition, bound on the start) where pieces are needed."""
+    rows = parts.sort_values(["pid", "tail"]).to_dict("records")
+    bound, out = initial, []
+    for i, r in enumerate(rows):
+        if r["tail"]:
+            bound = int(r["end"])
+        elif r["whole"] and i + 1 < len(rows):
+            out.append((r["pid"], bound))
+            bound = int(r["bound_end"]) + max(0, bound - initial)
     return out
 
 
-def chain(summaries: list, side: rv.Side, unit: int) -> tuple[dict, set]:
-    """Start state of each partition's first segment, and the keys that need the
-    sequential fallback (a piece overflow somewhere in their run)."""
-    initial = side.initial * unit
-    rows = sorted(summaries, key=lambda r: r["pid"])
-    starts: dict = {}
-    fallback: set = set()
-    prev_last = object()
-    carry_avail, carry_conf = initial, 0
-    for j, r in enumerate(rows):
-        k = r["first_key"]
-        if k is not None and k == prev_last:
-            a0, c0 = carry_avail, carry_conf
+def carry_state(parts: pd.DataFrame, initial: int) -> list[tuple]:
+    """One key's parts in order, with pieces -> (partition, key and its available and
+    reserved units at the start or null, whether the key goes on after the partition)."""
+    rows = parts.sort_values(["pid", "tail"]).to_dict("records")
+    available, confirmed, out = initial, 0, []
+    for i, r in enumerate(rows):
+        more = i + 1 < len(rows)
+        if r["tail"]:
+            available, confirmed = int(r["end"]), int(r["conf"])
+            out.append((r["pid"], None, None, None, more))
         else:
-            a0, c0 = initial, 0
-        nxt = rows[j + 1]["first_key"] if j + 1 < len(rows) else None
-        continues = r["last_key"] is not None and nxt == r["last_key"]
-        starts[r["pid"]] = (k, a0, initial - a0 - c0, continues)
-        if r["single"]:
-            if r["overflow"]:
-                fallback.add(k)
-                carry_avail, carry_conf = initial, 0
-            else:
-                carry_avail = Pieces.evaluate(r["lo"], r["off"], a0) if k is not None else initial
-                carry_conf = c0 + r["conf_first"]
-        else:
-            carry_avail = r["last_end"] if r["last_end"] is not None else initial
-            carry_conf = r["conf_last"]
-        prev_last = r["last_key"]
-    return starts, fallback
+            out.append((r["pid"], r["key"], available, initial - available - confirmed, more and r["whole"]))
+            if r["whole"] and more:
+                available, confirmed = evaluate(r["lo"], r["off"], available), confirmed + int(r["conf"])
+    return out
 
 
-def _fold_from_starts(side: rv.Side, unit: int, starts_bc):
+def _fold_from_starts(side: rv.Side, unit: int):
     def run(batches):
-        carry, continues = None, False
-        pending = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if carry is None:
-                info = starts_bc.value.get(int(pdf[_PID].iloc[0]))
-                carry = [object(), 0, 0]
-                if info is not None:
-                    k0, a0, r0, continues = info
-                    if k0 is not None:
-                        carry = [k0, a0, r0]
-            keys = rv._none_list(pdf[rv._K])
-            amts = [None if pd.isna(v) else int(v) for v in pdf[rv._A].tolist()]
-            out_status, errors, avail, resv = rv.fold_rows(
-                keys, amts, rv._none_list(pdf[rv._ST]), rv._none_list(pdf[rv._SRC]), side, unit, carry)
+        carry = pending = pid = None
+        for at, pdf in _by_partition(batches):
+            if at != pid:
+                if pending is not None:
+                    if continues:
+                        pending.iloc[-1, pending.columns.get_loc("is_last")] = False
+                    yield pending
+                    pending = None
+                first = pdf.iloc[0]
+                known = not pd.isna(first["_start_key"])
+                carry = [first["_start_key"], int(first["_start_a"]), int(first["_start_r"])] if known else [object(), 0, 0]
+                continues, pid = first["_continues"] is True or first["_continues"] == True, at  # noqa: E712
+            keys, amts, sts, srcs = _columns(pdf)
+            out_status, errors, avail, resv = rv.fold_rows(keys, amts, sts, srcs, side, unit, carry)
             karr = np.array([("\x00null" if k is None else k) for k in keys], dtype=object)
             last = np.ones(len(keys), dtype=bool)
             last[:-1] = karr[1:] != karr[:-1]
             last &= np.array([k is not None for k in keys])
-            out = pdf.assign(in_status=pdf[rv._ST], _out_status=out_status, error=errors,
-                             _avail=avail, _resv=resv, is_last=last)
+            out = pdf.drop(columns=["_start_key", "_start_a", "_start_r", "_continues"]).assign(
+                in_status=pdf[rv._ST], _out_status=out_status, error=errors, _avail=avail, _resv=resv, is_last=last)
             if pending is not None:
-                prev, prev_key = pending
-                if prev_key is not None and prev_key == keys[0]:
-                    prev.iloc[-1, prev.columns.get_loc("is_last")] = False
-                yield prev
-            pending = (out, keys[-1])
+                if pending_key is not None and pending_key == keys[0]:
+                    pending.iloc[-1, pending.columns.get_loc("is_last")] = False
+                yield pending
+            pending, pending_key = out, keys[-1]
         if pending is not None:
-            out, _ = pending
             if continues:
-                out.iloc[-1, out.columns.get_loc("is_last")] = False
-            yield out
+                pending.iloc[-1, pending.columns.get_loc("is_last")] = False
+            yield pending
     return run
 
 
-def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None,
-                  max_pieces: int = 256) -> DataFrame:
+def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None) -> DataFrame:
     """R1/R2 in batch with hot keys spread over many tasks; same result as
-    ``reservation.reserve``.
-
-    The driver receives one summary per partition: at most
-    ``partitions * max_pieces`` pieces of 16 bytes. Beyond ``max_pieces`` a
-    partition's key takes the exact per-key stream instead.
-    """
+    ``reservation.reserve``."""
     spark = orders.sparkSession
     checkpoint_dir(spark)
     unit = rv.unit_of(side)
-    # Persisted so that range sampling and the shuffle evaluate the input once.
-    staged = rv.stage(orders, side).persist(StorageLevel.MEMORY_AND_DISK)
-    keys = (rv._K, *[c for c in rv.ORDER if c in staged.columns])
+    initial = side.initial * unit
+    staged = rv.stage(orders, side)
+    order = [c for c in rv.ORDER if c in staged.columns]
+    keys = (rv._K, *order)
     # Without an explicit count AQE may merge adjacent range partitions (they
     # stay contiguous in key order) to its advisory size.
     by_range = staged.repartitionByRange(partitions, *keys) if partitions else staged.repartitionByRange(*keys)
-    ranged = by_range.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
-    # checkpoint() runs the shuffle now and fixes the partitions in one RDD;
-    # the first summary pass computes it and triggers the checkpoint write,
-    # later passes read the checkpoint.
-    ranged = ranged.checkpoint(eager=False)
-    initial = side.initial * unit
-    sc = spark.sparkContext
-    # the summary passes read only the working columns
-    narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC)
-    first = [r.asDict() for r in narrow.mapInPandas(_summarize(side, unit, initial, max_pieces), SUMMARY).collect()]
-    staged.unpersist()
-    domains = start_domains(first, initial)
-    if domains:
-        dom_bc = sc.broadcast(domains)
-        summaries = [r.asDict() for r in
-                     narrow.mapInPandas(_summarize(side, unit, initial, max_pieces, dom_bc), SUMMARY).collect()]
-    else:
-        summaries = first          # no key spans a whole partition: no pieces needed
-    starts, fallback = chain(summaries, side, unit)
-    starts_bc = sc.broadcast(starts)
+    ranged = by_range.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id()).checkpoint()
+    narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC, *order)
+
+    # one row per partition from here to the join
+    parts = parts_of_keys(narrow.mapInPandas(_summarize(side, unit), SUMMARY).checkpoint())
+    bounds = parts.groupBy("key").applyInPandas(
+        lambda pdf: pd.DataFrame(carry_bounds(pdf, initial), columns=["pid", "bound"]), "pid int, bound long")
+    long_ = narrow.join(bounds.withColumnRenamed("pid", _PID), _PID).sortWithinPartitions(_PID, *order)
+    pieces = long_.mapInPandas(_pieces(side, unit), "pid int, lo array<long>, off array<long>")
+    starts = parts.join(pieces, "pid", "left").groupBy("key").applyInPandas(
+        lambda pdf: pd.DataFrame(carry_state(pdf, initial), columns=["pid", "key", "a", "r", "more"]),
+        "pid int, key string, a long, r long, more boolean")
+    starts = starts.groupBy(F.col("pid").alias(_PID)).agg(
+        F.max("key").alias("_start_key"), F.max("a").alias("_start_a"), F.max("r").alias("_start_r"),
+        F.max("more").alias("_continues")).checkpoint()
+
     out_schema = T.StructType(list(ranged.schema.fields) + rv.FOLD_FIELDS)
-    folded = ranged.mapInPandas(_fold_from_starts(side, unit, starts_bc), out_schema)
-    result = rv.unstage(folded, orders.schema, side)
-    if not fallback:
-        return result
-    hot = F.col(side.key).cast("string").isin(list(fallback))
-    return result.filter(~hot).unionByName(rv.reserve(orders.filter(hot), side))
+    folded = ranged.join(starts, _PID, "left").select(*ranged.columns, "_start_key", "_start_a", "_start_r", "_continues")
+    folded = folded.sortWithinPartitions(_PID, *keys).mapInPandas(_fold_from_starts(side, unit), out_schema)
+    return rv.unstage(folded, orders.schema, side)

@@ -33,7 +33,7 @@ def bound_after(u, rows):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(ROW, max_size=60), st.integers(0, 200))
 def test_pieces_equal_brute_force(rows, domain):
-    p = Pieces(domain, max_pieces=10_000)
+    p = Pieces(domain)
     for kind, a in rows:
         if kind == "new":
             p.new(a)
@@ -65,7 +65,7 @@ def test_chunked_composition_equals_one_pass(rows, n_chunks, initial):
     chunks = [rows[i:i + size] for i in range(0, len(rows), size)]
     b, bound = initial, initial
     for c in chunks:
-        p = Pieces(bound, max_pieces=10_000)
+        p = Pieces(bound)
         for kind, a in c:
             if kind == "new":
                 p.new(a)

@@ -1,11 +1,12 @@
 """The range-split fold equals the per-key stream fold, hot keys included."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ordertide.operators import reservation as rv
 from ordertide.operators import routing as rt
-from ordertide.operators.reservation_split import Pieces, chain, reserve_split
+from ordertide.operators.reservation_split import Pieces, carry_bounds, carry_state, reserve_split
 from ordertide.plans import queries as Q
 
 COLS = ["id", "status", "error", "available", "reserved", "is_last"]
@@ -38,12 +39,11 @@ def test_one_hot_key_spans_partitions(spark, orders):
     assert {"ACCEPT", "REJECT"} <= statuses
 
 
-def test_hot_money_key_and_fallback(spark, orders):
+def test_hot_money_key(spark, orders):
     hot = orders.withColumn("customerId", F.when(F.col("seq") % 2 == 0, F.lit("H")).otherwise(F.col("customerId")))
     side = rv.payment_side(Q.LIM.with_(initial_credit=20000000))
     plain = rv.reserve(hot, side)
     assert _same(plain, reserve_split(hot, side, partitions=8))
-    assert _same(plain, reserve_split(hot, side, partitions=8, max_pieces=2))  # exact fallback
 
 
 @pytest.mark.parametrize("policy", ["release_holder", "as_coded"])
@@ -68,7 +68,7 @@ def test_pieces_match_scalar_fold():
     import random
     rnd = random.Random(7)
     prices = [rnd.randint(1, 40) for _ in range(300)]
-    p = Pieces(upper=200, max_pieces=10_000)
+    p = Pieces(upper=200)
     for a in prices:
         p.new(a)
     for b in range(0, 201):
@@ -79,21 +79,26 @@ def test_pieces_match_scalar_fold():
         assert p(b) == bal
 
 
-def test_chain_continues_keys():
-    side = rv.stock_side(Q.LIM)
-    rows = [
-        dict(pid=0, first_key="a", last_key="b", single=False, lo=None, off=None, overflow=False,
-             conf_first=0, last_end=990, conf_last=0),
-        dict(pid=1, first_key="b", last_key="b", single=True, lo=[0, 5], off=[0, 5], overflow=False,
-             conf_first=0, last_end=None, conf_last=0),
-        dict(pid=2, first_key="b", last_key="c", single=False, lo=None, off=None, overflow=False,
-             conf_first=0, last_end=1000, conf_last=0),
-    ]
-    starts, fallback = chain(rows, side, 1)
-    assert starts[0] == ("a", 1000, 0, True)
-    assert starts[1] == ("b", 990, 10, True)
-    assert starts[2] == ("b", 985, 15, False)
-    assert not fallback
+def test_state_is_carried_over_partitions():
+    cols = ["key", "pid", "tail", "whole", "conf", "end", "bound_end", "lo", "off"]
+    parts = pd.DataFrame([("b", 2, False, False, 0, None, None, None, None),
+                          ("b", 1, False, True, 0, None, 995, [0, 5], [0, 5]),
+                          ("b", 0, True, False, 0, 990, None, None, None)], columns=cols)
+    assert carry_bounds(parts, 1000) == [(1, 990)]
+    assert carry_state(parts, 1000) == [(0, None, None, None, True), (1, "b", 990, 10, True), (2, "b", 985, 15, False)]
+
+
+def test_many_pieces(spark):
+    """A hot money key whose balance lasts: hundreds of pieces in a partition."""
+    from conftest import full_df
+    rows = [(f"o{i}", "m", "H", 1, 1 + (i * 7919) % 997, "NEW", None, i) for i in range(2400)]
+    df = full_df(spark, rows)
+    side = rv.payment_side(Q.LIM.with_(initial_credit=600_000))
+    assert _same(rv.reserve(df, side), reserve_split(df, side, partitions=6))
+    p = Pieces(600_000 * 100)
+    for r in rows[400:800]:
+        p.new(r[4] * 100)
+    assert len(p.lo) > 256
 
 
 def test_edge_inputs(spark):
