@@ -26,7 +26,9 @@ from ordertide.streaming.reservation import STATE_NAME, reserve_stream
 
 
 def _full_events(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    return tp.skip_malformed(tp.decode(tp.read_topic_stream(spark, root, topic), S.ORDER_FULL_EVENT))
+    decoded = tp.decode(tp.read_topic_stream(spark, root, topic), S.ORDER_FULL_EVENT)
+    decoded = decoded.observe(f"decode-{topic}", F.count(F.lit(1)).alias("records"), F.count(F.col(S.CORRUPT)).alias("malformed"))
+    return tp.skip_malformed(decoded)
 
 
 def _error_records(errs: DataFrame, key: str) -> DataFrame:
@@ -91,7 +93,7 @@ def balances(spark: SparkSession, checkpoint: str, side: rv.Side) -> DataFrame:
 
     def back(c):
         v = F.col(f"value.{c}")
-        return (v.cast("decimal(20,0)") / F.lit(unit)).cast(S.MONEY) if side.money else v.cast("int")
+        return (v.cast("decimal(20,0)") / F.lit(unit)).cast(S.MONEY) if side.money else v.cast("long")
 
     return st.select(F.col("key._k").alias(side.key), back("available").alias("available"),
                      back("reserved").alias("reserved"))

@@ -37,6 +37,29 @@ def test_enrichment_stream_equals_batch_and_restart(spark, scratch):
     assert tp.read_topic(spark, root, S.TOPIC_ORDERS_FULL).count() == got.count()
 
 
+def test_a_replayed_batch_reserves_once(spark, scratch):
+    """The enrichment's last commit is lost and its batch replayed; the payment
+    service, run again, sends no second reply and reserves nothing twice."""
+    import glob
+    import os
+    root, ck = f"{scratch}/topics", f"{scratch}/ck"
+    _ingest(spark, root)
+    pay = rv.payment_side(L)
+
+    def run_both():
+        start_enrichment(spark, root, f"{ck}/enrich", L).awaitTermination()
+        q = ss.start_reservation(spark, root, f"{ck}/payment", pay, S.TOPIC_PAYMENT)
+        q.awaitTermination()
+        replies = tp.read_topic(spark, root, S.TOPIC_PAYMENT).select("key", "value").collect()
+        return sorted(replies), sorted(ss.balances(spark, f"{ck}/payment", pay).collect())
+    before = run_both()
+    last = max((f for f in glob.glob(f"{ck}/enrich/commits/*") if os.path.basename(f).isdigit()), key=lambda f: int(os.path.basename(f)))
+    for f in (last, os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc")):
+        if os.path.exists(f):
+            os.remove(f)
+    assert run_both() == before and len(before[0]) == len({r.key for r in before[0]})
+
+
 def test_malformed_and_tombstone(spark, scratch):
     root = f"{scratch}/topics"
     recs = spark.createDataFrame(
