@@ -2,19 +2,40 @@
 
 ``max_by`` runs as a stateful aggregate: the state store holds the latest
 record per key, and update mode emits the keys changed by each micro-batch.
-A foreachBatch sink can MERGE those into a served table; tombstones delete.
+``start_latest`` keeps them as a change log and ``served`` reads the table from
+it; tombstones delete.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide.operators.latest import latest
+
 
 def latest_stream(records: DataFrame, key: str = "key", order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     cols = [c for c in records.columns if c != key]
     return (records.groupBy(key)
             .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_latest"))
             .select(key, "_latest.*"))
+
+
+def start_latest(records: DataFrame, root: str, checkpoint: str, key: str = "key",
+                 order: Sequence[str] = ("ts", "seq")):
+    """K1 as a service: each micro-batch appends the latest record of its changed keys
+    to a change log, one folder per batch. A replayed batch overwrites its folder with
+    the same rows, and a row seen twice changes nothing in the table."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={batch_id}")
+    return (latest_stream(records, key, order).writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def served(spark: SparkSession, root: str, key: str = "key", order: Sequence[str] = ("ts", "seq"),
+           tombstone: str | None = "value_null") -> DataFrame:
+    """The table behind the change log: the latest row of each key, without the keys
+    whose latest record is a tombstone."""
+    return latest(spark.read.parquet(root).drop("batch"), key, order, tombstone)

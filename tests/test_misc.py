@@ -88,3 +88,20 @@ def test_a_replayed_batch_is_left_in_place(spark, scratch):
     tp.write_records(recs, scratch, "w-0")
     assert files and sorted(glob.glob(f"{scratch}/_batches/**/*.parquet", recursive=True)) == files
     assert tp.read_topic(spark, scratch, "t").count() == 1
+
+
+def test_served_latest_table_with_deletes(spark, scratch):
+    from ordertide import schema as S
+    from ordertide.sources import topics as tp
+    from ordertide.streaming.latest import served, start_latest
+
+    def put(batch, rows):
+        recs = spark.createDataFrame([(k, v, "t", 0, i, None) for i, k, v in rows], S.ENVELOPE)
+        tp.write_records(recs.withColumn("timestamp", F.timestamp_seconds("offset")), scratch, batch)
+        stream = tp.read_topic_stream(spark, scratch, "t").select(
+            "key", "value", F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), F.col("value").isNull().alias("value_null"))
+        start_latest(stream, f"{scratch}/latest", f"{scratch}/ck").awaitTermination()
+        return sorted((r.key, r.value) for r in served(spark, f"{scratch}/latest").collect())
+    assert put("0", [(1, "a", "1"), (2, "b", "2"), (3, "a", "3")]) == [("a", "3"), ("b", "2")]
+    assert put("1", [(4, "a", None), (5, "c", "5")]) == [("b", "2"), ("c", "5")]
+    assert put("2", [(6, "a", "6")]) == [("a", "6"), ("b", "2"), ("c", "5")]
