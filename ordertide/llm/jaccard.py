@@ -16,7 +16,8 @@ to its cell and are linked; the cells that the links connect need no more
 comparing. What is left in a region, sets of different components, joins again:
 a pair is compared only if its distances to the region's pivot differ by no more
 than the threshold (triangle inequality) and the size windows hold. So a group of
-near copies costs one comparison a set and pivot, not one a pair.
+near copies costs one comparison a set and pivot, not one a pair. Before that, two
+more turns with other pivots in the regions that are left connect most of them.
 
 Equal sets are one point from the start. The order of pivots comes from a count
 of all shingles of all documents in 2**20 counters; it decides costs, not results.
@@ -44,6 +45,8 @@ BLOCK_CHARS = 1_000_000
 PIVOTS, MORE_PIVOTS, MANY = 1, 3, 64
 #: Orders of the sets, by pivot, of which the first one in a region is its chief.
 CHIEFS = 4
+#: Times that sets not yet connected meet other pivots before they meet each other.
+MORE_TURNS = 2
 #: Rows of whole regions joined at once.
 REGION_ROWS = 200_000
 
@@ -217,13 +220,14 @@ def _regions(percent: int):
 
 
 def _pivot_pairs(percent: int):
-    """Members in the same order: (member, set that is a pivot) where they can link."""
+    """Rows (pivot, point, n, pos, label) sorted by pivot, then in any order: (member, set
+    that is a pivot), where they can link and their labels, if known, differ."""
     def run(batches):
         schema, held = arrow_schema(PAIRS), None  # the last region's first rows and length
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pivot, point, n, pos, _ = (c.to_numpy() for c in batch.columns)
+            pivot, point, n, pos, label = (c.to_numpy() for c in batch.columns)
             new = np.append(True, pivot[1:] != pivot[:-1])
             start = np.flatnonzero(new)
             out = [np.zeros((2, 0), np.int64)]
@@ -231,10 +235,10 @@ def _pivot_pairs(percent: int):
                 if held is None or held[0] != pivot[s]:
                     held = (pivot[s], [], 0)
                 _, heads, seen = held
-                heads += [(point[i], n[i], pos[i]) for i in range(s, min(e, s + MORE_PIVOTS - len(heads)))]
+                heads += [(point[i], n[i], pos[i], label[i]) for i in range(s, min(e, s + MORE_PIVOTS - len(heads)))]
                 place = seen + np.arange(e - s)
-                for k, (p, pn, ppos) in enumerate(heads):
-                    use = np.flatnonzero((place >= (MANY if k >= PIVOTS else 0)) & (point[s:e] != p)
+                for k, (p, pn, ppos, plabel) in enumerate(heads):
+                    use = np.flatnonzero((place >= (MANY if k >= PIVOTS else 0)) & (label[s:e] != plabel)
                                          & _may_link(n[s:e], pos[s:e], pn, ppos, percent)) + s
                     out.append(np.stack([point[use], np.full(len(use), p)]))
                 held = (pivot[s], heads, seen + e - s)
@@ -341,14 +345,24 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text").sortWithinPartitions("b")
         return both.mapInArrow(_compare(words, percent), DISTANCES)
 
-    first = distances(members.mapInArrow(_pivot_pairs(percent), PAIRS).distinct()).checkpoint()
-    links = first.where("linked").select("a", "b")
-    labels = components(links).select(F.col("node").alias("point"), "label").checkpoint()
+    def labelled(links: DataFrame) -> DataFrame:
+        """Members of the regions that hold sets of several components."""
+        labels = components(links).select(F.col("node").alias("point"), "label").checkpoint()
+        rest = members.join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
+        several = rest.groupBy("pivot").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("pivot")
+        return rest.join(several, "pivot")
 
-    rest = members.join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
-    several = rest.groupBy("pivot").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("pivot")
+    pairs = members.select("pivot", "point", "n", "pos", F.col("point").alias("label")).mapInArrow(_pivot_pairs(percent), PAIRS)
+    first = distances(pairs.distinct()).checkpoint()
+    links = first.where("linked").select("a", "b")
+    for turn in range(MORE_TURNS):  # other pivots, of each region's own, for what isn't connected yet
+        rest = labelled(links).select("pivot", "point", "n", "pos", "label").repartition("pivot")
+        rest = rest.sortWithinPartitions("pivot", F.xxhash64("point", "pivot", F.lit(turn)))
+        more = distances(rest.mapInArrow(_pivot_pairs(percent), PAIRS).distinct()).checkpoint()
+        links = links.unionByName(more.where("linked").select("a", "b"))
+    rest = labelled(links)
     known = first.select(F.col("a").alias("point"), F.col("b").alias("chief"), "d")
-    rest = rest.join(several, "pivot").join(known, ["point", "chief"], "left")
+    rest = rest.join(known, ["point", "chief"], "left")
     rest = rest.withColumn("d", F.when(F.col("point") == F.col("chief"), 0.0).otherwise(F.coalesce("d", F.lit(float("nan")))))
     rest = rest.select("pivot", "point", "n", "pos", "label", "d").repartition("pivot").sortWithinPartitions("pivot", "n", "point")
     second = distances(rest.mapInArrow(_rest_pairs(percent), PAIRS).distinct())
