@@ -8,6 +8,7 @@ unset, a local session gets a fresh scratch folder and a cluster an error.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,7 +42,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster; a scratch one if unset."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not path and not spark.sparkContext.master.startswith("local["):
+    if not path and not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="ordertide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
