@@ -58,9 +58,5 @@ def is_even_count(count: Column) -> Column:
     return (count % 2) == 0
 
 
-def known_status(status: Column) -> Column:
-    return status.isin(*S.STATUSES)
-
-
 def to_double(c: Column) -> Column:
     return c.cast("double")
