@@ -1,12 +1,16 @@
 """License scans by sentence rules, in DataFrame functions only.
 
-Texts are split into sentences (at ``.``, ``!`` or ``?`` before white space, and
-at line ends), normalised to lower-case words, and mapped to the identifiers of
-known licence sentences. The identifiers of a document, in order, are matched
-against licence rules: each rule is a sequence of identifiers, the leftmost
-match wins, a longer rule before a shorter one, and matches don't overlap. Texts
-are scanned a second time with single line ends taken as spaces, so that wrapped
-licence texts match too.
+Texts are cut into clauses (after ``.``, ``!``, ``?``, ``:`` or ``;`` before white
+space, at line ends, after web addresses and list marks) of lower-case words. A known sentence is
+one clause or several in a row: it starts and ends where a clause does, and whatever
+ends of clauses are inside it don't count. So "v. 2.0", a semicolon, a wrapped line, a
+blank one or a comment mark hide no sentence, and a sentence that ends at a colon is
+one. The identifiers of a document, in order, are matched against licence rules: each
+rule is a sequence of identifiers, the leftmost match wins, a longer rule before a
+shorter one, and matches don't overlap.
+
+The SQL finds sentences that are whole lines, or whole between ``.``, ``!`` or ``?``, as
+in the driver's tables; tests hold the standard texts against the rules.
 
 Everything happens within a row: no shuffle, no join.
 """
@@ -96,10 +100,17 @@ RULES = {
     "U01": "Unlicense",
     "R01": "All-Rights-Reserved",
 }
-# Each known sentence holds one of these, so texts and sentences without them are passed by.
+# Each known sentence holds one of these, so texts without them are passed by.
 KEYS = ("licens", "copyright", "permi", "software", "reserved", "mpl", "modif")
 
 RULE_PATTERN = "|".join(sorted(RULES, key=lambda r: (-len(r), r)))
+#: Web addresses, after which a clause ends; other ends of clauses; words that open a comment line (marks without letters go by themselves); "(1)", "b)" and the like.
+ADDRESS = r"https?://[^ \t\r\n]+"
+CLAUSE_END = r"""[.!?:;]["')\]]*(?=[ \t\r\n])|[\r\n]"""
+COMMENT_WORD = r"\n[ \t]*@?(?:rem|dnl)(?=[ \t\n])"
+LIST_MARK = r"\n[^a-z0-9\n]*([0-9]{1,3}|[a-z]|[ivx]{1,4})[)\]]"
+#: Clause ends may be between any two words of a sentence.
+SENTENCE_PATTERN = f"\n({'|'.join(s.replace(' ', '[ \n]') for s in sorted(SENTENCES.values(), key=lambda s: (-len(s), s)))})(?=\n)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -113,10 +124,11 @@ def _has_key(text: Column) -> Column:
 def _sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a lower-case text, in order."""
     known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
-    sentences = F.split(F.regexp_replace(text, r"([.!?])[ \t]+", "$1\n"), "\n")
-    sentences = F.filter(sentences, _has_key)
-    words = F.transform(sentences, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(words, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    clauses = F.concat(F.lit("\n"), F.regexp_replace(F.regexp_replace(text, ADDRESS, "$0\n"), CLAUSE_END, "\n"), F.lit("\n"))
+    clauses = F.regexp_replace(F.regexp_replace(clauses, COMMENT_WORD, "\n"), LIST_MARK, "\n$1\n")
+    clauses = F.regexp_replace(F.regexp_replace(clauses, "[^a-z0-9\n]+", " "), " *\n[ \n]*", "\n")
+    found = F.regexp_extract_all(clauses, F.lit(SENTENCE_PATTERN), F.lit(1))
+    return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
 
 
 def _licenses(ids: Column) -> Column:
@@ -127,22 +139,15 @@ def _licenses(ids: Column) -> Column:
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are ignored): sentence_ids,
-    the known sentences in order; licenses, the licences by lines, then those that
-    only the unwrapped text shows, each once.
+    the known sentences in order; licenses, the licences they state, each once.
 
     Null or empty text and text without licence sentences: empty arrays. Null doc_id
     stays null; repeated rows give repeated rows; empty table: no rows."""
     none = F.array().cast("array<string>")
     low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     rows = docs.select("doc_id", low.alias("low"))
-    may = _has_key(F.col("low"))
-    flat = F.regexp_replace("low", r"([^\n])\n([^\n])", "$1 $2")
-    rows = rows.select("doc_id", F.when(may, _sentence_ids(F.col("low"))).otherwise(none).alias("by_line"),
-                       F.when(may, _sentence_ids(flat)).otherwise(none).alias("unwrapped"))
-    longer = F.size("unwrapped") > F.size("by_line")
-    licenses = F.array_distinct(F.concat(_licenses(F.col("by_line")), _licenses(F.col("unwrapped"))))
-    return rows.select("doc_id", F.when(longer, F.col("unwrapped")).otherwise(F.col("by_line")).alias("sentence_ids"),
-                       licenses.alias("licenses"))
+    rows = rows.select("doc_id", F.when(_has_key(F.col("low")), _sentence_ids(F.col("low"))).otherwise(none).alias("sentence_ids"))
+    return rows.select("doc_id", "sentence_ids", F.array_distinct(_licenses(F.col("sentence_ids"))).alias("licenses"))
 
 
 def op3_licenses(spark, sf_dir: str) -> DataFrame:
