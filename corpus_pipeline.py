@@ -34,13 +34,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate component; of equal
-    rows one. Documents without a doc_id are kept."""
+    """One document of each near-duplicate component, the one with the smallest doc_id
+    (null last), then text hash. Rows of one doc_id and different texts are documents of
+    their own; of rows of one doc_id and text, the first by its other columns stays.
+    Documents without words are linked with nothing: all stay, but for such repeats of
+    a doc_id and text."""
     ship(spark)
-    found = jaccard.jaccard_components(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    found = jaccard.jaccard_rows(docs).where("label is not null")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
+    kept = found.groupBy("label").agg(least).select(
+        F.col("least.no_id").alias("k_no_id"), F.coalesce("least.doc_id", F.lit(0)).alias("k_id"), F.col("least.text_hash").alias("k_hash"))
+    # packed, so that no column of docs meets a name used here
+    columns = [f"`{c}`" for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("doc"), F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                       F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).rlike(mixing.WORD).alias("worded"),
+                       F.to_json(F.struct(*(c for c in columns if c != "`text`"))).alias("others"))
+    same = (F.col("no_id") == F.col("k_no_id")) & (F.col("id") == F.col("k_id")) & (F.col("text_hash") == F.col("k_hash"))
+    named = rows.where("worded").join(kept, same, "left_semi").unionByName(rows.where("not worded and not no_id"))
+    named = named.groupBy("no_id", "id", "text_hash").agg(F.min_by("doc", "others").alias("doc")).select("doc")
+    return named.unionByName(rows.where("not worded and no_id").select("doc")).select("doc.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def _point(s: np.ndarray) -> int:
     return int(grams.mixed(np.array([h]))[0].astype(np.int64))
 
 
-POINTS = "block int, counts binary, row long, doc_id long, point long, n long"
+POINTS = "block int, counts binary, row long, doc_id long, text_hash long, point long, n long"
 
 
 def _points(words: int):
@@ -83,16 +83,16 @@ def _points(words: int):
     def run(batches):
         schema, counts = arrow_schema(POINTS), np.zeros(1 << COUNTERS, np.uint32)
         for batch in batches:
-            rows, ids, texts = batch.columns
+            rows, ids, hashes, texts = batch.columns
             sets = shingle_sets(texts.to_pylist(), words)
             for a in range(0, len(sets), 500):
                 some = np.concatenate([np.zeros(0, np.uint64), *sets[a:a + 500]])
                 counts += np.bincount((some >> np.uint64(64 - COUNTERS)).astype(np.int64), minlength=1 << COUNTERS).astype(np.uint32)
             none = [None] * len(sets)
-            yield record_batch([none, none, rows, ids, [_point(s) for s in sets], [len(s) for s in sets]], schema)
+            yield record_batch([none, none, rows, ids, hashes, [_point(s) for s in sets], [len(s) for s in sets]], schema)
         if counts.any():
             none = [None] * COUNT_BLOCKS
-            yield record_batch([range(COUNT_BLOCKS), [_packed(c) for c in np.split(counts, COUNT_BLOCKS)], none, none, none, none], schema)
+            yield record_batch([range(COUNT_BLOCKS), [_packed(c) for c in np.split(counts, COUNT_BLOCKS)], none, none, none, none, none], schema)
     return run
 
 
@@ -308,22 +308,22 @@ def _compare(words: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text; other columns are ignored): n_shingles, the size
-    of its set of ``words``-word shingles, and component_id, the smallest doc_id that
-    links reach from it. Two documents link when 100 * intersection >= percent * union.
+def jaccard_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text; other columns are ignored): doc_id and
+    text_hash, which name the row among others; n_shingles, the size of its set of
+    ``words``-word shingles; label, which all rows of its component have and no others.
+    Two documents link when 100 * intersection >= percent * union.
 
-    Null, empty or blank text: no shingles, linked with nothing; component_id is its own
-    doc_id. Null doc_ids take part, but name no component: component_id is null where
-    no document that is reached has a doc_id. Rows of one doc_id are documents of their
-    own. Empty table: no rows."""
+    Null, empty or blank text: no shingles, linked with nothing; label is null. Null
+    doc_ids take part. Rows of one doc_id are documents of their own. Empty table: no rows."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs = docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row"), "doc_id", "text")
+    text_hash = F.xxhash64("text").alias("text_hash")
+    docs = docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row"), "doc_id", text_hash, "text")
     folder = f"{checkpoint_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     points = docs.mapInArrow(_points(words), POINTS).checkpoint()
     commonness = spark.sparkContext.broadcast(_commonness(points))
-    own = points.where("block is null").select("row", "doc_id", "point", "n")
+    own = points.where("block is null").select("row", "doc_id", "text_hash", "point", "n")
 
     rows = docs.select("text").mapInArrow(_windows(words, percent, commonness), REGIONS)
     # few different chiefs for sets that share many regions
@@ -370,11 +370,24 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     # components over the components so far
     labels = components(links).select(F.col("node").alias("point"), "label")
-    classes = own.where("n > 0").join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
+    classes = own.join(labels, "point", "left").withColumn("label", F.when(F.col("n") > 0, F.coalesce("label", "point")))
+    return classes.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "label")
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text; other columns are ignored): n_shingles, the size
+    of its set of ``words``-word shingles, and component_id, the smallest doc_id that
+    links reach from it. Two documents link when 100 * intersection >= percent * union.
+
+    Null, empty or blank text: no shingles, linked with nothing; component_id is its own
+    doc_id. Null doc_ids take part, but name no component: component_id is null where
+    no document that is reached has a doc_id. Rows of one doc_id are documents of their
+    own. Empty table: no rows."""
+    rows = jaccard_rows(docs, words, percent)
+    classes = rows.where("label is not null")
     least = classes.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    classes = classes.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return classes.unionByName(empty)
+    classes = classes.join(least, "label").select("doc_id", "n_shingles", "component_id")
+    return classes.unionByName(rows.where("label is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def _of_point(words: int):
