@@ -9,7 +9,7 @@ whose budget is ``e`` whole epochs and ``r`` more words takes every document
 ``e`` times and cuts the next epoch exactly after ``r`` words, inside a document
 if need be.
 
-Only (doc_id, source, size) rows are shuffled, never texts.
+Only (doc_id, source, text hash, size) rows are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -61,15 +61,15 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3,
                 seed: str = "mix", range_rows: int = RANGE_ROWS) -> DataFrame:
     """Per row of ``docs`` (doc_id, source, text; other columns are ignored):
-    doc_id, source, size, source_size, target, taken.
+    doc_id, source, text_hash, size, source_size, target, taken.
 
     Null text and empty text: size 0, taken 0. Null source: a source of its own,
     last. Null doc_id and repeated rows: each row is a document; rows of one doc_id
-    share a key and follow each other by size. Empty table: no rows.
+    share a key and follow each other by size, then text hash. Empty table: no rows.
     """
     checkpoint_dir(docs.sparkSession)
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    # three numbers a row, read twice below: counted once, and the same rows in any rerun of a task
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("size"))
+    # four values a row, read twice below: counted once, and the same rows in any rerun of a task
     rows = rows.checkpoint()
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sources, weights, max_epochs).withColumnRenamed("source", "s_source").checkpoint()
@@ -88,7 +88,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     totals = totals.select(F.col("src").alias("t_src"), F.col("part").alias("t_part"),
                            F.coalesce(F.sum("part_size").over(ahead), F.lit(0)).alias("offset"))
     rows = rows.join(totals, (F.col("src") == F.col("t_src")) & (F.col("part") == F.col("t_part")))
-    so_far = (Window.partitionBy("src", "part").orderBy("key", "doc_id", "size")
+    so_far = (Window.partitionBy("src", "part").orderBy("key", "doc_id", "size", "text_hash")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     start = F.col("offset") + F.sum("size").over(so_far) - F.col("size")
     budget = F.floor("target")
@@ -97,31 +97,49 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     rest = budget - F.col("epochs") * F.col("source_size")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
     taken = F.col("epochs") * F.col("size") + cut
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: a row for each whole time, and one cut after its
-    last word taken. Rows without words are kept once. Several rows of one doc_id and
-    source share what is taken of them by size: the mix's row of the same size applies."""
-    mix = mix.select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "taken")
-    same = ["m_id", "m_source", "m_size"]
-    mix = mix.groupBy(*same).agg(F.sum("taken").alias("taken"), F.count("*").alias("alike"))
-    rows = docs.withColumn("size", word_count(F.col("text")))
-    rows = rows.join(mix, F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source"))
-                     & (F.col("size") == F.col("m_size")))
-    share = F.floor(F.col("taken") / F.col("alike")).cast("long")  # of rows that nothing tells apart
-    whole = F.when(F.col("size") > 0, F.floor(share / F.col("size"))).otherwise(1).cast("int")
-    rest = F.when(F.col("size") > 0, share % F.col("size")).otherwise(0).cast("int")
+    last word taken. Rows without words are kept once. Rows of one doc_id, source and
+    text follow each other in the mix, so what it takes of them together is dealt to
+    them one after the other, in the order of their other columns."""
+    same = ["no_id", "id", "src", "text_hash"]
+
+    def keyed(df: DataFrame, text_hash, *more) -> DataFrame:
+        """The row key in columns that join without nulls."""
+        return df.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("src"), text_hash.alias("text_hash"), *more)
+
+    mix = keyed(mix.where("size > 0"), F.col("text_hash"), "size", "taken")
+    mix = mix.groupBy(*same).agg(F.max("size").alias("size"), F.sum("taken").alias("taken"), F.count("*").alias("alike"))
+    # packed, so that no column of docs meets a name used here
+    others = F.to_json(F.struct(*(f"`{c}`" for c in docs.columns if c != "text")))
+    rows = keyed(docs, F.xxhash64("text"), F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), others.alias("others"),
+                 F.coalesce("text", F.lit("")).rlike(WORD).alias("worded"))
+
+    def column(c: str):
+        return F.col("doc").getField(c)
+
+    blank = rows.where("not worded").select(*(column(c).alias(c) for c in docs.columns))
+    rows = rows.where("worded").join(mix, same)
+    before = F.row_number().over(Window.partitionBy(*same).orderBy("others")) - 1  # of the rows that are alike
+    rest = F.col("taken") % (F.col("alike") * F.col("size")) - F.col("before") * F.col("size")
+    rest = F.greatest(F.lit(0), F.least(F.col("size"), rest))
+    share = F.floor(F.col("taken") / (F.col("alike") * F.col("size"))) * F.col("size") + rest
+    rows = rows.withColumn("before", before).withColumn("share", share.cast("long"))
+    whole = F.floor(F.col("share") / F.col("size")).cast("int")
+    rest = (F.col("share") % F.col("size")).cast("int")
     head = F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>"))
     rows = rows.withColumn("words", F.explode(F.concat(F.array_repeat(F.lit(-1), whole), head)))
     # each word with the white space before it
-    split = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    text = F.when(F.col("words") < 0, F.col("text")).otherwise(F.array_join(F.slice(split, 1, F.greatest("words", F.lit(0))), ""))
+    split = F.regexp_extract_all(column("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    text = F.when(F.col("words") < 0, column("text")).otherwise(F.array_join(F.slice(split, 1, F.greatest("words", F.lit(0))), ""))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("words") < 0, F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return rows.withColumns(changed).select(docs.columns)
+        changed["n_chars"] = F.when(F.col("words") < 0, column("n_chars")).otherwise(F.length(text).cast("long"))
+    return rows.select(*(changed.get(c, column(c)).alias(c) for c in docs.columns)).unionAll(blank)
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
