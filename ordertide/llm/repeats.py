@@ -230,25 +230,25 @@ def grouped(docs: DataFrame) -> DataFrame:
 def covered_units(docs: DataFrame, units: Units, judge: Callable, all_but_first: bool) -> DataFrame:
     """COVERED rows of ``grouped`` documents: units covered by a repeated window.
     ``all_but_first``: a window counts if the same one starts earlier (by doc_id, null
-    first, then place, then start); else if the same one starts anywhere else."""
+    first, then group, place and start); else if the same one starts anywhere else."""
     counts = docs.groupBy("g").applyInArrow(_gram_counts(units), GRAMS)
     kept = counts.withColumn("total", F.sum("n").over(Window.partitionBy("gram"))).where("total > 1")
 
     def pieces(some: DataFrame) -> DataFrame:
         return docs.groupBy("g").cogroup(some.select("g", "gram").groupBy("g")).applyInArrow(_cut_pieces(units), PIECES)
 
-    order = ["gram", "doc_id", "place", "start"]
+    order = ["gram", "doc_id", "g", "place", "start"]
     usual = pieces(kept.where(F.col("total") <= BUCKET_PIECES)).repartition("gram").sortWithinPartitions(*order)
     found = usual.select("gram", "g", "place", "start", "last", "piece").mapInArrow(_judge_buckets(units, judge), COVERED)
 
     often = pieces(kept.where(F.col("total") > BUCKET_PIECES)).withColumns({
-        "first": F.struct("doc_id", "place", "start", "last", "g"), "p1": F.xxhash64("piece"), "p2": F.xxhash64(F.lit(1), "piece")})
+        "first": F.struct("doc_id", "g", "place", "start", "last"), "p1": F.xxhash64("piece"), "p2": F.xxhash64(F.lit(1), "piece")})
     same = often.groupBy("gram", "p1", "p2").agg(F.min("first").alias("head"), F.count("*").alias("n"), F.min("piece").alias("piece"))
     repeated = (F.col("first") != F.col("head")) if all_but_first else F.col("n") > 1
     members = often.drop("piece").join(same.drop("piece"), ["gram", "p1", "p2"]).where(repeated)
     found = found.unionByName(members.select("g", "place", "start", (F.col("last") + units.width).alias("end")))
     heads = same.select("head.*", "piece", "n")
-    windows = heads.mapInArrow(_explode_windows(units), WINDOWS).withColumn("at", F.struct("doc_id", "place", "start"))
+    windows = heads.mapInArrow(_explode_windows(units), WINDOWS).withColumn("at", F.struct("doc_id", "g", "place", "start"))
     first = windows.groupBy("h1", "h2").agg(F.min("at").alias("least"), F.sum("n").alias("times"), F.count("*").alias("heads"))
     first = first.where("heads > 1")
     again = windows.join(first, ["h1", "h2"])
