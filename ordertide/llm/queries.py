@@ -1,6 +1,6 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import alignment, fingerprint, jaccard, licenses, mixing, pieces, secrets, substrings, suffixes, topk, toxicity
+from ordertide.llm import alignment, fingerprint, jaccard, licenses, mixing, phrases, pieces, secrets, substrings, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -14,9 +14,11 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprint.op10_fingerprints,
     "op12_alignment": alignment.op12_alignment,
+    "op13_phrases": phrases.op13_phrases,
 }
 ORACLE_SQL = {
     "op3_licenses": licenses.ORACLE,
     "op6_topk": topk.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op13_phrases": phrases.ORACLE,
 }
