@@ -15,25 +15,26 @@ shuffle and one of the way back, however many documents of the block hold it.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from ordertide.llm.stored import stored, text_blocks
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
+#: How a byte-level vocabulary of this kind splits texts before merging (a fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text in a block (more only if a text is longer).
 BLOCK_CHARS = 2_000_000
-#: Characters encoded at once.
-ENCODED_CHARS = 200_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -44,18 +45,24 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, from the contents of their files, with the bytes of each id."""
+    """Both tokenizers, from the contents of their files, with the bytes of each id.
+
+    The byte-level one runs in ``tiktoken``, from the vocabulary of its file: an id's
+    rank is when it was merged, which is checked here against the file's merges."""
 
     def __init__(self, byte_bpe: bytes, piece_bpe: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a = Tokenizer.from_str(byte_bpe.decode())
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
+        model = json.loads(byte_bpe)["model"]
         alphabet = _byte_alphabet()
-        a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            if all(c in alphabet for c in token):
-                a_bytes[i] = bytes(alphabet[c] for c in token)
+        ranks = {bytes(map(alphabet.__getitem__, token)): i for token, i in model["vocab"].items() if all(c in alphabet for c in token)}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"][a + b] for a, b in merges]
+        if made != sorted(made):
+            raise ValueError("ids of the byte-level vocabulary aren't in order of their merges")
+        self.a = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
+        a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            a_bytes[i] = token
         b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -67,22 +74,14 @@ class Pair:
         self.digits = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
         self.first_digits = (0, n_a, 2 * n_a, 2 * n_a + n_b)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none where either doesn't give back its bytes."""
-        out, start, size = [], 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= ENCODED_CHARS or i == len(texts) - 1:
-                out += self._encode(texts[start:i + 1])
-                start, size = i + 1, 0
-        return out
-
-    def _encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of A and B; none where either doesn't give back the text's bytes."""
+        if not text:
+            return [], []
+        want = b" " + text.encode()
+        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
         of_a, of_b = (x.__getitem__ for x in self.bytes)
-        return [(x, y) if t and b"".join(map(of_a, x)) == (want := b" " + t.encode()) and b"".join(map(of_b, y)) == want else ([], [])
-                for t, x, y in zip(texts, a, b, strict=True)]
+        return (a, b) if b"".join(map(of_a, a)) == want and b"".join(map(of_b, b)) == want else ([], [])
 
 
 @lru_cache(maxsize=1)
@@ -93,7 +92,7 @@ def _pair(byte_bpe: bytes, piece_bpe: bytes) -> Pair:
 def coalesce(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of intervals by start, and in that order the number of each one's group
     of overlapping intervals."""
-    order = np.lexsort((ends, starts))
+    order = np.lexsort((starts,))
     reach = np.maximum.accumulate(ends[order]) if len(order) else ends
     new = np.ones(len(order), bool)
     new[1:] = starts[order][1:] >= reach[:-1]
@@ -104,19 +103,21 @@ class Aligned:
     """Groups and links of a block of texts."""
 
     def __init__(self, pair: Pair, texts: list[str]):
-        found = pair.encode(texts)
+        found = [pair.encode(t) for t in texts]
         n_a, n_b = (np.array([len(f[k]) for f in found], np.int64) for k in (0, 1))
         self.n_a, self.n_b = n_a, n_b
-        ids = [np.fromiter((i for f in found for i in f[k]), np.int64) for k in (0, 1)]
+        ids = [np.fromiter(chain.from_iterable(f[k] for f in found), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b))]
         # in one line of bytes, texts follow each other, so no group spans two
         ends = [np.cumsum(pair.lengths[k][ids[k]]) for k in (0, 1)]
         starts = [ends[k] - pair.lengths[k][ids[k]] for k in (0, 1)]
-        order, group = coalesce(np.concatenate(starts), np.concatenate(ends))
-        side = np.repeat(np.array([0, 1], np.int8), [len(ids[0]), len(ids[1])])[order]
+        order, numbers = coalesce(np.concatenate(starts), np.concatenate(ends))
+        group = np.empty_like(numbers)
+        group[order] = numbers
+        side = np.repeat(np.array([0, 1], np.int64), [len(ids[0]), len(ids[1])])
+        doc = np.concatenate([np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)])
+        order = np.lexsort((group * 2 + side,))  # A before B in each group, in text order
+        self.group, self.side, self.doc = group[order], side[order], doc[order]
         self.ids, self.ends = np.concatenate(ids)[order], np.concatenate(ends)[order]
-        doc = np.concatenate([np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)])[order]
-        by_side = np.lexsort((np.arange(len(order)), side, group))  # A before B in each group, in text order
-        self.group, self.side, self.ids, self.ends, self.doc = (x[by_side] for x in (group, side, self.ids, self.ends, doc))
         last = np.ones(len(order), bool)  # of its side in its group
         last[:-1] = (self.group[1:] != self.group[:-1]) | (self.side[1:] != self.side[:-1])
         at = np.flatnonzero(last)
@@ -158,7 +159,7 @@ def token_groups(docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(*shared.value)
-        for _, rows in text_blocks(batches, ENCODED_CHARS):
+        for _, rows in text_blocks(batches, BLOCK_CHARS):
             texts = [t or "" for t in rows["text"].to_pylist()]
             found = Aligned(pair, texts)
             cut = np.searchsorted(found.doc, np.arange(len(texts) + 1))
