@@ -1,22 +1,24 @@
 """Phrase collocations from counting quotient filters.
 
 Words that occur ten times or more in a language get numbers. The two or three
-numbers of an n-gram are packed into 96 bits, which an invertible permutation (a
-Feistel network over two halves of 48 bits) spreads evenly. The first 32 bits are the
-quotient, the other 64 the remainder, kept in full: a filter holds exactly the
-n-grams that were put in. It is sorted by quotient and remainder; an n-gram takes its
-remainder (8 bytes), one or more count bytes and its share of the run lengths of the
-quotients that occur.
+numbers of an n-gram are packed into as many bits as the largest number needs three
+times (34 at least, 96 at most), which an invertible permutation (a Feistel network
+over two halves) spreads evenly. The first 32 bits are the quotient, the others the
+remainder, kept in full: a filter holds exactly the n-grams that were put in. It is
+sorted by quotient and remainder; an n-gram takes the bytes of its remainder, one or
+more count bytes and its share of the run lengths of the quotients that occur.
 
 Each block of documents makes one filter, cut by the quotient's high bits. Filters of
-the same cut are merged in two steps, first some blocks, then all, and their counts
-added. The permutation then gives the word numbers back. No cut is hot: an n-gram is
-once in each block's filter, however often it occurs.
+the same cut are merged as they come and their counts added. The permutation then
+gives the word numbers back. No cut is hot: an n-gram is once in each block's filter,
+however often it occurs, and all cuts get about the same number of entries.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,44 +39,73 @@ COVERED = 50
 #: Phrases kept for each language.
 KEPT = 2_000
 
-_M32, _M48 = (np.uint64(2**n - 1) for n in (32, 48))
 _ROUNDS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
-_LOWER = {c: chr(c + 32) for c in range(65, 91)}
-#: A-Z small, the ends of pieces as a word of their own, tabs as spaces.
-_WORDS = _LOWER | {ord(c): " \n " for c in ".,;:!?\n\x0b\x0c\r"} | {9: " "}
-
-
-def _round(half: np.ndarray, key: np.uint64) -> np.ndarray:
-    x = (half ^ (half >> np.uint64(23))) * key
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(16)) & _M48
-
-
-def permuted(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Quotients (32 bits) and remainders (64 bits) of rows of three word numbers below 2**32."""
-    w = words.astype(np.uint64)
-    left, right = w[:, 0] << np.uint64(16) | w[:, 1] >> np.uint64(16), (w[:, 1] & np.uint64(0xFFFF)) << np.uint64(32) | w[:, 2]
-    for key in _ROUNDS:
-        left, right = right, left ^ _round(right, key)
-    return left >> np.uint64(16), (left & np.uint64(0xFFFF)) << np.uint64(48) | right
-
-
-def restored(quotients: np.ndarray, remainders: np.ndarray) -> np.ndarray:
-    """The rows of word numbers that ``permuted`` was given."""
-    left, right = quotients << np.uint64(16) | remainders >> np.uint64(48), remainders & _M48
-    for key in reversed(_ROUNDS):
-        left, right = right ^ _round(left, key), left
-    return np.stack((left >> np.uint64(16), (left & np.uint64(0xFFFF)) << np.uint64(16) | right >> np.uint64(32), right & _M32), axis=1)
+_LOW = 2**32 - 1
+#: A-Z small, tabs as spaces, the ends of pieces as line ends.
+_SMALL = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+
+
+class Permutation:
+    """Of rows of three numbers of ``bits`` bits, to quotients of 32 bits and remainders of
+    ``3 * bits`` (one more if odd) less 32, and back."""
+
+    def __init__(self, largest: int):
+        self.bits = max(int(largest).bit_length(), 11)
+        if self.bits > 32:
+            raise ValueError("word numbers of more than 32 bits")
+        self.half = -(-3 * self.bits // 2)
+        self.rest = 2 * self.half - 32  # bits of a remainder
+        self.bytes = -(-self.rest // 8)
+
+    def _round(self, x: np.ndarray, key: np.uint64) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(23))) * key
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x >> np.uint64(64 - self.half)
+
+    def permuted(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        b, h = self.bits, self.half
+        w = words.astype(np.uint64)
+        # the middle number's high bits go to the left half
+        high = h - b
+        left = w[:, 0] << np.uint64(high) | w[:, 1] >> np.uint64(b - high)
+        right = (w[:, 1] & np.uint64((1 << b - high) - 1)) << np.uint64(b) | w[:, 2]
+        for key in _ROUNDS:
+            left, right = right, left ^ self._round(right, key)
+        if h >= 32:
+            return left >> np.uint64(h - 32), (left & np.uint64((1 << h - 32) - 1)) << np.uint64(h) | right
+        return left << np.uint64(32 - h) | right >> np.uint64(self.rest), right & np.uint64((1 << self.rest) - 1)
+
+    def restored(self, quotients: np.ndarray, remainders: np.ndarray) -> np.ndarray:
+        """The rows of word numbers that ``permuted`` was given."""
+        b, h = self.bits, self.half
+        if h >= 32:
+            left = quotients << np.uint64(h - 32) | remainders >> np.uint64(h)
+            right = remainders & np.uint64((1 << h) - 1)
+        else:
+            left = quotients >> np.uint64(32 - h)
+            right = (quotients & np.uint64((1 << 32 - h) - 1)) << np.uint64(self.rest) | remainders
+        for key in reversed(_ROUNDS):
+            left, right = right ^ self._round(left, key), left
+        high = h - b
+        middle = (left & np.uint64((1 << high) - 1)) << np.uint64(b - high) | right >> np.uint64(b)
+        return np.stack((left >> np.uint64(high), middle, right & np.uint64((1 << b) - 1)), axis=1)
 
 
 def merged(quotients: np.ndarray, remainders: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted by quotient and remainder, counts of equal ones added."""
-    order = np.lexsort((remainders, quotients))
-    q, r = quotients[order], remainders[order]
-    new = np.ones(len(q), bool)
-    new[1:] = (q[1:] != q[:-1]) | (r[1:] != r[:-1])
+    if not len(quotients):
+        return quotients, remainders, counts
+    if int(remainders.max()) <= _LOW:  # both fit one number
+        key = quotients << np.uint64(32) | remainders
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+    else:
+        order = np.lexsort((remainders, quotients))
+        q, r = quotients[order], remainders[order]
+        new = np.concatenate(([True], (q[1:] != q[:-1]) | (r[1:] != r[:-1])))
     first = np.flatnonzero(new)
-    return q[first], r[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+    return quotients[order[first]], remainders[order[first]], np.add.reduceat(counts[order], first)
 
 
 def _varints(x: np.ndarray) -> bytes:
@@ -102,76 +133,80 @@ def _read_varints(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed(quotients: np.ndarray, remainders: np.ndarray, counts: np.ndarray) -> bytes:
+def packed(quotients: np.ndarray, remainders: np.ndarray, counts: np.ndarray, width: int) -> bytes:
     """A filter as bytes, from sorted and different entries: numbers of runs and entries,
-    for each run the step from the last quotient and its length, the counts, the remainders."""
+    for each run the step from the last quotient and its length, the counts, and
+    ``width`` bytes of each remainder, the lowest bytes of all first."""
     new = np.ones(len(quotients), bool)
     new[1:] = quotients[1:] != quotients[:-1]
     first = np.flatnonzero(new)
     steps = _varints(np.diff(quotients[first], prepend=np.uint64(0)))
     runs = _varints(np.diff(np.append(first, len(quotients))))
     numbers = _varints(counts)
-    head = np.array([len(first), len(quotients), len(steps), len(runs), len(numbers)], "<i8").tobytes()
-    return head + steps + runs + numbers + remainders.astype("<u8").tobytes()
+    head = np.array([len(quotients), width, len(steps), len(runs), len(numbers)], "<i8").tobytes()
+    rest = np.ascontiguousarray(remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return head + steps + runs + numbers + rest.tobytes()
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    _, n, *sizes = np.frombuffer(data, "<i8", 5).tolist()
+    n, width, *sizes = np.frombuffer(data, "<i8", 5).tolist()
     parts, at = [], 40
     for size in sizes:
         parts.append(_read_varints(np.frombuffer(data, np.uint8, size, at)))
         at += size
     steps, runs, counts = parts
-    return np.repeat(np.cumsum(steps), runs.astype(np.int64)), np.frombuffer(data, "<u8", n, at).astype(np.uint64), counts.astype(np.int64)
+    rest = np.zeros((n, 8), np.uint8)
+    rest[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
+    return np.repeat(np.cumsum(steps), runs.astype(np.int64)), rest.view("<u8").ravel().astype(np.uint64), counts.astype(np.int64)
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block and language: its different words and their counts, and its texts as
     numbers into them, -1 where a piece ends."""
     for number, rows in text_blocks(batches, BLOCK_CHARS):
-        numbers: dict[str, dict[str, int]] = {}
+        numbers: dict[str, dict[bytes, int]] = {}
         streams: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(rows["lang"].to_pylist(), rows["text"].to_pylist(), strict=True):
+        for lang, text in zip(rows["lang"].to_pylist(), rows["text"].cast(pa.binary()).to_pylist(), strict=True):
             if not text:
                 continue
-            of = numbers.setdefault(lang, {"": -2, "\n": -1})
-            found = text.translate(_WORDS).split(" ")
-            for w in set(found).difference(of):
-                of[w] = len(of) - 2
-            stream = np.fromiter(map(of.__getitem__, found), np.int32, len(found))
-            streams.setdefault(lang, []).append(np.append(stream[stream > -2], -1))
+            if lang not in numbers:
+                of = numbers[lang] = defaultdict(None, {b"": 0, b"\n": 1})
+                of.default_factory = of.__len__
+            found = text.translate(_SMALL).replace(b"\n", b" \n ").split(b" ")
+            stream = np.fromiter(map(numbers[lang].__getitem__, found), np.int32, len(found))
+            streams.setdefault(lang, []).append(np.append(stream[stream > 0], 1))
         out = []
         for lang, parts in streams.items():
-            stream = np.concatenate(parts).astype("<i4")
-            words = list(numbers[lang])[2:]
+            stream = np.concatenate(parts).astype("<i4") - 2
+            words = list(islice(numbers[lang], 2, None))
             counts = np.bincount(stream[stream >= 0], minlength=len(words))
-            out.append((number, lang, words, counts, stream.tobytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _WORDED.types, strict=True)], schema=_WORDED)
+            out.append((number, lang, pa.array(words, pa.binary()).cast(pa.string()), counts, stream.astype("<i4").tobytes()))
+        for row in out:
+            yield pa.RecordBatch.from_arrays([pa.array([x.to_pylist() if isinstance(x, pa.Array) else x], t) for x, t in zip(row, _WORDED.types, strict=True)], schema=_WORDED)
 
 
 _WORDED = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("stream", pa.binary())])
 _WORDED_DDL = "block long, lang string, words array<string>, counts array<long>, stream binary"
 
 
-def _filters(cuts: int):
+def _filters(cuts: int, permutation: Permutation):
     """Filters of a block's n-grams, one row for each cut of the quotients."""
     shift = np.uint64(33 - cuts.bit_length())
-    schema = pa.schema([("cut", pa.int64()), ("block", pa.int64()), ("filter", pa.binary())])
+    schema = pa.schema([("cut", pa.int64()), ("filter", pa.binary())])
 
     def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
         if not blocks.num_rows or not known.num_rows:
             return schema.empty_table()
-        row = blocks.to_pylist()[0]
-        ids = np.zeros(len(row["words"]) + 1, np.uint64)  # 0: not frequent; the last one is a piece's end
+        row = blocks.select(["words", "stream"]).combine_chunks()
+        ids = np.zeros(len(row["words"].chunk(0).values) + 1, np.uint64)  # 0: not frequent; the last one is a piece's end
         ids[known["place"].to_numpy()] = known["id"].to_numpy()
-        stream = ids[np.frombuffer(row["stream"], "<i4")]
+        stream = ids[np.frombuffer(row["stream"][0].as_py(), "<i4")]
         two = np.stack((stream[:-1], stream[1:], np.zeros(max(len(stream) - 1, 0), np.uint64)), axis=1)
         three = np.stack((stream[:-2], stream[1:-1], stream[2:]), axis=1)
         grams = np.concatenate((two[(two[:, :2] > 0).all(axis=1)], three[(three > 0).all(axis=1)]))
-        q, r, n = merged(*permuted(grams), np.ones(len(grams), np.int64))
+        q, r, n = merged(*permutation.permuted(grams), np.ones(len(grams), np.int64))
         edge = np.searchsorted(q >> shift, np.arange(cuts + 1, dtype=np.uint64)) if cuts > 1 else np.array([0, len(q)])
-        out = [(c, row["block"], packed(q[a:b], r[a:b], n[a:b])) for c, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if b > a]
+        out = [(c, packed(q[a:b], r[a:b], n[a:b], permutation.bytes)) for c, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if b > a]
         return pa.Table.from_pylist([dict(zip(schema.names, x, strict=True)) for x in out], schema)
     return run
 
@@ -194,36 +229,31 @@ def _filters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         yield from batch.column(batch.schema.get_field_index("filter")).to_pylist()
 
 
-def _merge_some(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    made = packed(*_merge(_filters_of(batches)))
-    yield pa.record_batch({"cut": pa.array([key[0].as_py()], pa.int64()), "filter": pa.array([made], pa.binary())})
-
-
-def _merge_all(least: int):
+def _merge_cut(least: int, permutation: Permutation):
+    """The n-grams of a cut that occur ``least`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, r, n = _merge(_filters_of(batches))
         kept = n >= least
-        words = restored(q[kept], r[kept]).astype(np.int64)
+        words = permutation.restored(q[kept], r[kept]).astype(np.int64)
         yield pa.record_batch({"w1": words[:, 0], "w2": words[:, 1], "w3": words[:, 2], "a": n[kept]})
     return run
 
 
-def _dictionary(counted: DataFrame, least: int) -> DataFrame:
+def _dictionary(counted: DataFrame, least: int) -> tuple[DataFrame, int]:
     """(lang, word, f, id) of the words with ``least`` occurrences; ids from 1 without gaps,
-    by a count of each partition's words on the driver (one number a partition)."""
+    by a count of each partition's words on the driver (one number a partition). Also the
+    largest id."""
     frequent = stored(counted.where(F.col("f") >= least), "phrase-words")
     placed = frequent.withColumn("at", F.monotonically_increasing_id())
     part = F.shiftright("at", 33)
     sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect())
-    if sum(n for _, n in sizes) >= 2**32 - 1:
-        raise ValueError("more frequent words than a number of 32 bits can name")
     begins, total = [], 0
     for p, n in sizes:
         begins.append((p, total + 1))
         total += n
     begins = counted.sparkSession.createDataFrame(begins, "part long, begin long")
     placed = placed.withColumn("part", part).join(F.broadcast(begins), "part")
-    return stored(placed.select("lang", "word", "f", (F.col("begin") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("id")), "phrase-ids")
+    return stored(placed.select("lang", "word", "f", (F.col("begin") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("id")), "phrase-ids"), total
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -237,15 +267,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     words = words.select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counted = stored(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-counts")
     sizes = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    dictionary = _dictionary(counted, least)
+    dictionary, largest = _dictionary(counted, least)
     total = sizes.agg(F.sum("n")).first()[0] or 0
     cuts = 1 << min(max(-(-total // CUT_WORDS) - 1, 0).bit_length(), 24)
+    permutation = Permutation(largest)
     known = words.select("block", "lang", "place", "word").join(dictionary.select("lang", "word", "id"), ["lang", "word"])
     known = known.select(F.col("block").alias("b"), F.col("lang").alias("g"), "place", "id")
     filters = (blocks.groupBy("block", "lang").cogroup(known.groupBy("b", "g"))
-               .applyInArrow(_filters(cuts), "cut long, block long, filter binary"))
-    some = filters.groupBy("cut", (F.xxhash64("block") % 16).alias("some")).applyInArrow(_merge_some, "cut long, filter binary")
-    phrases = some.groupBy("cut").applyInArrow(_merge_all(least), "w1 long, w2 long, w3 long, a long")
+               .applyInArrow(_filters(cuts, permutation), "cut long, filter binary"))
+    phrases = filters.groupBy("cut").applyInArrow(_merge_cut(least, permutation), "w1 long, w2 long, w3 long, a long")
     return sizes, dictionary, stored(phrases, "phrases")
 
 
