@@ -1,6 +1,6 @@
 """Queries of the numbered operators, by name, and their SQL where SQL can express them."""
 
-from ordertide.llm import alignment, fingerprint, jaccard, licenses, mixing, phrases, pieces, secrets, substrings, suffixes, topk, toxicity
+from ordertide.llm import alignment, fingerprint, jaccard, licenses, mixing, phrases, pieces, secrets, substrings, suffixes, topk, toxicity, wrappers
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprint.op10_fingerprints,
+    "op11_wrappers": wrappers.op11_wrappers,
     "op12_alignment": alignment.op12_alignment,
     "op13_phrases": phrases.op13_phrases,
 }
