@@ -38,6 +38,8 @@ LEAST = 10
 COVERED = 50
 #: Phrases kept for each language.
 KEPT = 2_000
+#: Parts of a language that are ranked apart first.
+SALTS = 256
 
 _ROUNDS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 _LOW = 2**32 - 1
@@ -315,8 +317,11 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, ke
     first = F.col("s1") <= F.col("s2")
     triples = triples.select("lang", F.concat_ws(" ", "t1", "t2", "t3").alias("phrase"), "a", F.when(first, F.col("f1")).otherwise(F.col("f12")).alias("l"),
                              F.when(first, F.col("f23")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= kept)
+    best = pairs.unionByName(triples).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    # the first ones of a language are among the first ones of each part of it
+    for keys in (("lang", "salt"), ("lang",)):
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= kept)
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
