@@ -28,6 +28,9 @@ from ordertide import schema as S
 from ordertide.config import Limits
 
 
+#: Status of the row that opens a key with the balance of earlier batches: its amount is
+#: the available units, its source the reserved ones. Inside the folds only.
+OPEN = "\x00open"
 #: Order of a key's rows. Offsets repeat across topic partitions, so the order id
 #: and the partition break ties of time and offset.
 ORDER = ("ts", "seq", "id", "partition")
@@ -110,7 +113,9 @@ def fold_rows(keys, amounts, statuses, sources, side: Side, unit: int, carry):
         if k != cur:
             cur, avail, resv = k, initial, 0
         a = amounts[i]
-        if st is None:
+        if st == OPEN:
+            avail, resv = a, int(sources[i])
+        elif st is None:
             errors[i] = S.MSG_NULL_STATUS
         elif a is None:
             errors[i] = f"{side.amount} is null"
@@ -223,8 +228,23 @@ def unit_of(side: Side) -> int:
     return _UNIT if side.money else 1
 
 
-def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> DataFrame:
-    """R1/R2 in batch: every row folded in ORDER within its key.
+def opening_rows(start: DataFrame, staged: DataFrame, side: Side) -> DataFrame:
+    """The balances of ``start`` (side.key, available, reserved) as rows that precede all
+    others of their keys in ``staged``; keys without a row there are left out. Their order
+    columns are null, which sorts first."""
+    units = unit_of(side)
+
+    def long(c: str):
+        return (F.col(c) * F.lit(units)).cast("long")
+    rows = start.select(F.col(side.key).cast("string").alias("_start"), long("available").alias("_a"), long("reserved").alias("_r"))
+    rows = rows.join(staged.select(F.col(_K).alias("_start")).where("_start is not null").distinct(), "_start", "left_semi")
+    own = {_K: F.col("_start"), _A: F.col("_a"), _ST: F.lit(OPEN), _SRC: F.col("_r").cast("string")}
+    return rows.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in staged.schema.fields])
+
+
+def reserve(orders: DataFrame, side: Side, partitions: int | None = None, start: DataFrame | None = None) -> DataFrame:
+    """R1/R2 in batch: every row folded in ORDER within its key, from the balances of
+    ``start`` (side.key, available, reserved) where it names the key.
 
     ``orders`` holds OrderFullEvent columns plus ``ts`` and ``seq``. The result
     keeps all input columns, with ``in_status`` (status before), ``status``
@@ -232,10 +252,14 @@ def reserve(orders: DataFrame, side: Side, partitions: int | None = None) -> Dat
     row) and ``is_last`` (last row of its key).
     """
     staged = stage(orders, side)
+    if start is not None:
+        staged = staged.unionByName(opening_rows(start, staged, side))
     by_key = (staged.repartition(partitions, _K) if partitions else staged.repartition(_K))
     ordered = by_key.sortWithinPartitions(_K, *[c for c in ORDER if c in staged.columns])
     out_schema = T.StructType(list(ordered.schema.fields) + FOLD_FIELDS)
     folded = ordered.mapInPandas(_fold_partition(side, unit_of(side)), out_schema)
+    if start is not None:
+        folded = folded.where(F.col("in_status").isNull() | (F.col("in_status") != OPEN))
     return unstage(folded, orders.schema, side)
 
 

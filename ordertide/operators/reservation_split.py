@@ -55,9 +55,10 @@ _INF = np.iinfo(np.int64).max
 _PID = "_pid"
 
 # One row per partition. bound_end: bound after a single-key partition for starts up
-# to the initial balance; last_end, conf_last: end of a last key that starts there.
+# to the initial balance; last_end, conf_last: end of a last key that starts there;
+# open_a, open_conf: available and confirmed of a first key that is opened there.
 SUMMARY = ("pid int, first_key string, last_key string, single boolean, conf_first long, "
-           "last_end long, conf_last long, bound_end long")
+           "last_end long, conf_last long, bound_end long, open_a long, open_conf long")
 
 
 class Pieces:
@@ -99,10 +100,13 @@ def evaluate(lo, off, b: int) -> int:
 
 
 def _row_effect(side: rv.Side, unit: int):
-    """Classify a row: ('new', a) / ('release', a) / ('confirm', a) / None (no state change)."""
+    """Classify a row: ('new', a) / ('release', a) / ('confirm', a) / ('open', a, reserved) /
+    None (no state change)."""
     guard = side.guard * unit
 
     def effect(k, a, st, src):
+        if st == rv.OPEN:
+            return ("open", a, int(src))
         if k is None or st is None or a is None or a >= guard:
             return None
         if st == S.NEW:
@@ -143,14 +147,16 @@ def _summarize(side: rv.Side, unit: int):
                 out = None
             if out is None:
                 out = {"pid": pid, "first_key": keys[0], "last_key": None, "single": True, "conf_first": 0,
-                       "last_end": None, "conf_last": 0, "bound_end": initial}
+                       "last_end": None, "conf_last": 0, "bound_end": initial, "open_a": None, "open_conf": None}
                 carry = [object(), 0, 0]   # plain fold of the last key's rows
             start = 0
+            if keys[0] == out["first_key"] and sts[0] == rv.OPEN and out["open_a"] is None:
+                out["open_a"], out["open_conf"] = amts[0], initial - amts[0] - int(srcs[0])
             if out["single"]:
                 while start < len(keys) and keys[start] == out["first_key"]:
                     e = effect(keys[start], amts[start], sts[start], srcs[start])
                     start += 1
-                    if e is None:
+                    if e is None or e[0] == "open":
                         continue
                     if e[0] == "new":
                         out["bound_end"] = max(min(out["bound_end"], e[1] - 1), out["bound_end"] - e[1], 0)
@@ -171,6 +177,8 @@ def _summarize(side: rv.Side, unit: int):
                     e = effect(*row)
                     if e is not None and e[0] == "confirm":
                         out["conf_last"] += e[1]
+                    elif e is not None and e[0] == "open":
+                        out["conf_last"] = initial - e[1] - e[2]
                 rv.fold_rows(keys[j:], amts[j:], sts[j:], srcs[j:], side, unit, carry)
                 out["last_end"] = int(carry[1])
             out["last_key"] = keys[-1]
@@ -209,10 +217,11 @@ def parts_of_keys(summaries: DataFrame) -> DataFrame:
     comes into; ``whole``: the partition holds nothing else."""
     head = summaries.where("first_key is not null").select(
         F.col("first_key").alias("key"), "pid", F.lit(False).alias("tail"), F.col("single").alias("whole"),
-        F.col("conf_first").alias("conf"), F.lit(None).cast("long").alias("end"), "bound_end")
+        F.col("conf_first").alias("conf"), F.lit(None).cast("long").alias("end"), "bound_end", "open_a", "open_conf")
     tail = summaries.where("not single and last_key is not null").select(
         F.col("last_key").alias("key"), "pid", F.lit(True).alias("tail"), F.lit(False).alias("whole"),
-        F.col("conf_last").alias("conf"), F.col("last_end").alias("end"), F.lit(None).cast("long").alias("bound_end"))
+        F.col("conf_last").alias("conf"), F.col("last_end").alias("end"), F.lit(None).cast("long").alias("bound_end"),
+        F.lit(None).cast("long").alias("open_a"), F.lit(None).cast("long").alias("open_conf"))
     return head.unionByName(tail)
 
 
@@ -223,7 +232,10 @@ def carry_bounds(parts: pd.DataFrame, initial: int) -> list[tuple[int, int]]:
     for i, r in enumerate(rows):
         if r["tail"]:
             bound = int(r["end"])
-        elif r["whole"] and i + 1 < len(rows):
+            continue
+        if not pd.isna(r["open_a"]):
+            bound = int(r["open_a"])
+        if r["whole"] and i + 1 < len(rows):
             out.append((r["pid"], bound))
             bound = int(r["bound_end"]) + max(0, bound - initial)
     return out
@@ -240,6 +252,8 @@ def carry_state(parts: pd.DataFrame, initial: int) -> list[tuple]:
             available, confirmed = int(r["end"]), int(r["conf"])
             out.append((r["pid"], None, None, None, more))
         else:
+            if not pd.isna(r["open_a"]):
+                available, confirmed = int(r["open_a"]), int(r["open_conf"])
             out.append((r["pid"], r["key"], available, initial - available - confirmed, more and r["whole"]))
             if r["whole"] and more:
                 available, confirmed = evaluate(r["lo"], r["off"], available), confirmed + int(r["conf"])
@@ -280,14 +294,18 @@ def _fold_from_starts(side: rv.Side, unit: int):
     return run
 
 
-def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None) -> DataFrame:
+def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None, start: DataFrame | None = None) -> DataFrame:
     """R1/R2 in batch with hot keys spread over many tasks; same result as
-    ``reservation.reserve``."""
+    ``reservation.reserve``. ``start``: balances (side.key, available, reserved) that keys
+    begin with; each becomes one row before its key's others, so a hot key's rows aren't
+    joined with its balance."""
     spark = orders.sparkSession
     checkpoint_dir(spark)
     unit = rv.unit_of(side)
     initial = side.initial * unit
     staged = rv.stage(orders, side)
+    if start is not None:
+        staged = staged.unionByName(rv.opening_rows(start, staged, side))
     order = [c for c in rv.ORDER if c in staged.columns]
     keys = (rv._K, *order)
     # Without an explicit count AQE may merge adjacent range partitions (they
@@ -312,4 +330,6 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
     out_schema = T.StructType(list(ranged.schema.fields) + rv.FOLD_FIELDS)
     folded = ranged.join(starts, _PID, "left").select(*ranged.columns, "_start_key", "_start_a", "_start_r", "_continues")
     folded = folded.sortWithinPartitions(_PID, *keys).mapInPandas(_fold_from_starts(side, unit), out_schema)
+    if start is not None:
+        folded = folded.where(F.col("in_status").isNull() | (F.col("in_status") != rv.OPEN))
     return rv.unstage(folded, orders.schema, side)

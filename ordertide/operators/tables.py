@@ -8,9 +8,14 @@ replayed write produces the same ids.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide.operators.commits import commit, committed
+
 EVENT_NOT_NULL = ("market_id", "customer_id", "product_count", "price")
 PRODUCT_NOT_NULL = ("name", "price", "event_id")
 
@@ -73,10 +78,52 @@ def violations(df: DataFrame, columns=EVENT_NOT_NULL) -> Column:
                     lambda x: x.isNotNull())
 
 
-def write_event_tables(events: DataFrame, products: DataFrame, root: str, batch_id: int | str) -> None:
-    """S6 sink: both tables of one batch, overwritten per batch id (a replayed
-    batch replaces its rows). Only rows passing S7 are written."""
-    ok = events.filter(not_null_ok(events))
-    ok.write.mode("overwrite").parquet(f"{root.rstrip('/')}/event/batch={batch_id}")
-    (products.join(ok.select("event_id"), "event_id", "left_semi")
-     .write.mode("overwrite").parquet(f"{root.rstrip('/')}/product/batch={batch_id}"))
+def checked_events(events: DataFrame, products: DataFrame) -> DataFrame:
+    """S7 on whole transactions: ``events`` with ``violations``, the null columns of the
+    event and of any of its product rows. The products' part is a partial aggregate per
+    event and column, so an event of any size costs a row a task."""
+    broken = products.select("event_id", F.explode(violations(products, PRODUCT_NOT_NULL)).alias("column")).where("column != 'event_id'")
+    broken = broken.groupBy("event_id").agg(F.array_sort(F.collect_set(F.concat(F.lit("product."), "column"))).alias("_products"))
+    own = violations(events, EVENT_NOT_NULL)
+    return (events.join(broken, "event_id", "left")
+            .withColumn("violations", F.concat(own, F.coalesce("_products", F.array().cast("array<string>")))).drop("_products"))
+
+
+def write_event_tables(events: DataFrame, products: DataFrame, root: str, batch_id: int) -> bool:
+    """S6 sink: the rows of both tables of one batch, or none. Events of which a row of
+    either table breaks S7 are left out with all their products. The batch becomes
+    visible in both tables at once, by its commit; a batch that is there already stays as
+    it is (False)."""
+    spark = events.sparkSession
+    if batch_id in committed(spark, root, "event-tables"):
+        return False
+    attempt = uuid.uuid4().hex
+    folders = _table_folders(root, batch_id, attempt)
+    checked_events(events, products).where(F.size("violations") == 0).drop("violations").write.parquet(folders["event"])
+    ok = spark.read.parquet(folders["event"]).select("event_id")
+    products.join(ok, "event_id", "left_semi").write.parquet(folders["product"])
+    commit(spark, root, "event-tables", batch_id, attempt)
+    return True
+
+
+def _table_folders(root: str, batch_id: int, attempt: str) -> dict[str, str]:
+    return {t: f"{root.rstrip('/')}/{t}/{batch_id:012d}-{attempt}" for t in ("event", "product")}
+
+
+EVENT_SCHEMA = "event_id string, market_id string, customer_id string, product_count int, price decimal(18,2)"
+PRODUCT_SCHEMA = "name string, price decimal(18,2), event_id string"
+
+
+def read_event_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Events and products of the same committed batches."""
+    done = [_table_folders(root, b, a) for b, a in committed(spark, root, "event-tables").items()]
+    return tuple(spark.read.schema(schema).parquet(*[d[t] for d in done]) if done else spark.createDataFrame([], schema)
+                 for t, schema in (("event", EVENT_SCHEMA), ("product", PRODUCT_SCHEMA)))
+
+
+def event_table_sink(root: str, write_id: Callable[[DataFrame], Column] = lambda df: F.col("id")):
+    """foreachBatch function: valuable orders with their products arrays -> both tables."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn("_write", write_id(batch))
+        write_event_tables(event_rows(named, F.col("_write")), product_rows_from_array(named, F.col("_write")), root, batch_id)
+    return run

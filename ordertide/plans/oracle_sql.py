@@ -242,6 +242,92 @@ def settled_stock(lim: Limits = TABLE_LIMITS) -> str:
     return _settled("stk", lim)
 
 
+# --------------------------------------------------------------------------
+# Settlements between slices of two years (R5): the folds, decisions and balances of a
+# slice start from the balances of the one before, written out slice by slice.
+
+SLICES = range(1994 // 2, 2002 // 2 + 1)
+
+
+def _slice_fold(side: str, lim: Limits, k: int, first: bool) -> str:
+    p = _side_params(side, lim)
+    start_a, start_r, join = p["init"], p["zero"], ""
+    if not first:
+        start_a, start_r = f"coalesce(b.available, {p['init']})", f"coalesce(b.reserved, {p['zero']})"
+        join = f"LEFT JOIN {side}_bal_{k - 1} b ON b.k = e.{p['key']}"
+    kept = f"e.amt >= {p['guard']} OR e.amt > f.available"
+    return f""",
+{side}_ev_{k} AS MATERIALIZED (
+  SELECT e.{p['key']} AS k, e.id, e.seq, e.ts, e.customerId, e.marketId, e.productCount, e.price, e.{p['amt']} AS amt,
+         CAST({start_a} AS {p['typ']}) AS start_a, CAST({start_r} AS {p['typ']}) AS start_r,
+         row_number() OVER (PARTITION BY e.{p['key']} ORDER BY e.ts, e.seq, e.id) AS rn
+  FROM success e {join} WHERE e.{p['key']} IS NOT NULL AND year(e.ts) // 2 = {k}),
+{side}_step_{k} AS (
+  SELECT k, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS error,
+         start_a AS available, start_r AS reserved
+  FROM {side}_ev_{k} WHERE rn = 1
+  UNION ALL
+  SELECT e.k, e.rn, e.id, CASE WHEN e.amt <= f.available THEN 'ACCEPT' ELSE 'REJECT' END,
+         CASE WHEN e.amt >= {p['guard']} THEN '{p['msg']}' END,
+         CAST(CASE WHEN {kept} THEN f.available ELSE f.available - e.amt END AS {p['typ']}),
+         CAST(CASE WHEN {kept} THEN f.reserved ELSE f.reserved + e.amt END AS {p['typ']})
+  FROM {side}_step_{k} f JOIN {side}_ev_{k} e ON e.k = f.k AND e.rn = f.rn + 1),
+{side}_fold_{k} AS MATERIALIZED (SELECT s.*, e.seq, e.ts, e.customerId, e.marketId, e.productCount, e.price
+  FROM {side}_step_{k} s JOIN {side}_ev_{k} e ON e.k = s.k AND e.rn = s.rn),
+{side}_replies_{k} AS (
+  SELECT id, status, ts + to_seconds(CAST(seq % {p['delay']} AS BIGINT)) AS rts, customerId, marketId, productCount, price
+  FROM {side}_fold_{k} WHERE error IS NULL)"""
+
+
+def _slice_balance(side: str, lim: Limits, k: int, first: bool) -> str:
+    p = _side_params(side, lim)
+    release = f"source IS NOT NULL AND source <> '{p['src']}'"
+    earlier = "" if first else f"""
+    UNION ALL SELECT k, available, reserved, settled FROM {side}_bal_{k - 1} WHERE k NOT IN (SELECT k FROM {side}_fold_{k} WHERE error IS NULL)"""
+    settled = p["zero"] if first else f"coalesce((SELECT b.settled FROM {side}_bal_{k - 1} b WHERE b.k = f.k), {p['zero']})"
+    return f""",
+{side}_now_{k} AS (
+  SELECT k, available, reserved, {settled} AS settled FROM (
+    SELECT k, available, reserved FROM {side}_fold_{k} WHERE error IS NULL QUALIFY rn = max(rn) OVER (PARTITION BY k)) f{earlier}),
+{side}_delta_{k} AS (
+  SELECT {p['key']} AS k, sum(CASE WHEN status = 'ROLLBACK' AND {release} THEN {p['amt']} ELSE {p['zero']} END) AS da,
+         sum(CASE WHEN status = 'CONFIRMED' OR (status = 'ROLLBACK' AND {release}) THEN {p['amt']} ELSE {p['zero']} END) AS dr,
+         sum(CASE WHEN status = 'CONFIRMED' THEN {p['amt']} ELSE {p['zero']} END) AS ds
+  FROM decisions_{k} WHERE error IS NULL AND {p['key']} IS NOT NULL AND {p['amt']} < {p['guard']} GROUP BY 1),
+{side}_bal_{k} AS MATERIALIZED (
+  SELECT n.k, n.available + coalesce(d.da, {p['zero']}) AS available, n.reserved - coalesce(d.dr, {p['zero']}) AS reserved,
+         n.settled + coalesce(d.ds, {p['zero']}) AS settled
+  FROM {side}_now_{k} n LEFT JOIN {side}_delta_{k} d ON d.k = n.k)"""
+
+
+def _slices(lim: Limits) -> str:
+    sql = "WITH RECURSIVE " + enriched_cte(lim)
+    for k in SLICES:
+        first = k == SLICES[0]
+        sql += _slice_fold("pay", lim, k, first) + _slice_fold("stk", lim, k, first) + f""",
+decisions_{k} AS MATERIALIZED (
+  SELECT p.id, p.customerId, p.marketId, p.productCount, p.price, greatest(p.rts, s.rts) AS ts,
+         CASE WHEN p.status = 'ACCEPT' AND s.status = 'ACCEPT' THEN 'CONFIRMED'
+              WHEN p.status = 'REJECT' AND s.status = 'REJECT' THEN 'REJECT' ELSE 'ROLLBACK' END AS status,
+         CASE WHEN p.status <> s.status THEN CASE WHEN p.status = 'REJECT' THEN 'PAYMENT' ELSE 'STOCK' END END AS source,
+         CASE WHEN p.price >= CAST({lim.price_guard} AS DECIMAL(18,2)) THEN 'Price is too high' END AS error
+  FROM pay_replies_{k} p JOIN stk_replies_{k} s ON p.id = s.id
+   AND s.rts BETWEEN p.rts - INTERVAL {lim.join_window_seconds} SECOND AND p.rts + INTERVAL {lim.join_window_seconds} SECOND)"""
+        sql += _slice_balance("pay", lim, k, first) + _slice_balance("stk", lim, k, first)
+    return sql
+
+
+def interleaved_decisions(lim: Limits = TABLE_LIMITS) -> str:
+    return _slices(lim) + "\n" + "\nUNION ALL ".join(
+        f"SELECT id, customerId, marketId, CAST({k} AS INTEGER) AS slice, status, source, error, ts FROM decisions_{k}" for k in SLICES)
+
+
+def interleaved_balances(lim: Limits = TABLE_LIMITS) -> str:
+    return _slices(lim) + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS side, k AS key, CAST(available AS DOUBLE) AS available, CAST(reserved AS DOUBLE) AS reserved, "
+        f"CAST(settled AS DOUBLE) AS settled FROM {side}_bal_{SLICES[-1]}" for name, side in (("payment", "pay"), ("stock", "stk")))
+
+
 def error_topic(lim: Limits = TABLE_LIMITS) -> str:
     return saga_ctes(lim) + """
 SELECT id AS key, 'enrich' AS stage, error AS message FROM enriched WHERE error IS NOT NULL
@@ -316,6 +402,28 @@ SELECT id AS event_id, {_SAVES} AS ok,
 FROM routed WHERE valuable"""
 
 
+_UNNAMED = "CASE WHEN l_partkey % 89 <> 0 THEN 'part ' || CAST(l_partkey AS VARCHAR) END"
+
+
+def event_checks(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim) + f""",
+checked AS (
+  SELECT id AS event_id, concat_ws(',', CASE WHEN marketId IS NULL THEN 'market_id' END, CASE WHEN customerId IS NULL THEN 'customer_id' END,
+         CASE WHEN productCount IS NULL THEN 'product_count' END, CASE WHEN price IS NULL THEN 'price' END,
+         CASE WHEN EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = routed.seq AND {_UNNAMED} IS NULL) THEN 'product.name' END,
+         CASE WHEN EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = routed.seq AND l_extendedprice IS NULL) THEN 'product.price' END) AS violations
+  FROM routed WHERE valuable)
+SELECT event_id, violations = '' AS ok, violations FROM checked"""
+
+
+def committed_products(lim: Limits = TABLE_LIMITS) -> str:
+    return event_checks(lim).replace("SELECT event_id, violations = '' AS ok, violations FROM checked", "") + f"""
+SELECT r.id AS event_id, r.marketId AS market_id, r.customerId AS customer_id, r.productCount AS product_count, CAST(r.price AS DOUBLE) AS price,
+       {_UNNAMED} AS name, CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS product_price
+FROM routed r JOIN checked c ON c.event_id = r.id JOIN lineitem l ON l.l_orderkey = r.seq
+WHERE r.valuable AND c.violations = ''"""
+
+
 _GAPS = "CASE WHEN l_partkey % 97 <> 0 THEN l_extendedprice END"
 
 

@@ -21,6 +21,7 @@ from ordertide.operators import latest as lt
 from ordertide.operators import reservation as rv
 from ordertide.operators import tables as tb
 from ordertide.plans import saga
+from ordertide.plans.interleaved import run_interleaved
 from ordertide.session import checkpoint_dir
 from ordertide.sources import topics as tp
 from ordertide.sources.tables import order_facts, order_line_events, product_lines, read_table
@@ -163,6 +164,30 @@ def _error_topic(out: DataFrame, lim: Limits) -> DataFrame:
     )
 
 
+#: Years of a slice of the interleaved saga.
+SLICE_YEARS = 2
+
+
+def _interleaved(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    ok, _ = rt.split(enriched(spark, sf_dir))
+    folder = f"{checkpoint_dir(spark)}/interleaved-{uuid.uuid4().hex}"
+    return run_interleaved(ok, LIM, F.floor(F.year("ts") / SLICE_YEARS), folder)
+
+
+def q_interleaved_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions where the settlements of earlier slices count."""
+    d = _interleaved(spark, sf_dir)["decisions"]
+    return d.select("id", "customerId", "marketId", "slice", "status", "source", "error", "ts")
+
+
+def q_interleaved_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both services' balances after the last slice."""
+    r = _interleaved(spark, sf_dir)
+    money = ("available", "reserved", "settled")
+    pay = r["payment_balance"].select(F.lit("payment").alias("side"), F.col("customerId").alias("key"), *[F.col(c).cast("double") for c in money])
+    return pay.unionByName(r["stock_balance"].select(F.lit("stock").alias("side"), F.col("marketId").alias("key"), *[F.col(c).cast("double") for c in money]))
+
+
 # --------------------------------------------------------------------------
 # Latest per key (K1-K3).
 
@@ -241,6 +266,33 @@ def q_product_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("violations").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _unnamed_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Event and product rows of the valuable orders, where some parts have no name."""
+    recs = _valuable(spark, sf_dir)
+    keys = recs.select(F.col("id").alias("event_id"), F.col("seq").alias("orderkey"))
+    return (tb.event_rows(recs, F.col("id")), tb.product_rows_from_lines(keys, product_lines(spark, sf_dir, unnamed=True)))
+
+
+def q_event_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 on whole transactions: an event with a product that has no name fails."""
+    checked = tb.checked_events(*_unnamed_events(spark, sf_dir))
+    return checked.select("event_id", (F.size("violations") == 0).alias("ok"), F.concat_ws(",", "violations").alias("violations"))
+
+
+def q_committed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 and S7 through the sink: two batches (even and odd orders) written to both
+    tables in the shared folder and read from there; products with their events."""
+    root = f"{checkpoint_dir(spark)}/events-{uuid.uuid4().hex}"
+    events, products = _unnamed_events(spark, sf_dir)
+    for batch in (0, 1):
+        tb.write_event_tables(events.where(F.col("event_id").cast("long") % 2 == batch),
+                              products.where(F.col("event_id").cast("long") % 2 == batch), root, batch)
+    events, products = tb.read_event_tables(spark, root)
+    return (products.withColumnRenamed("price", "product_price").join(events, "event_id")
+            .select("event_id", "market_id", "customer_id", "product_count", to_double(F.col("price")).alias("price"),
+                    "name", to_double(F.col("product_price")).alias("product_price")))
+
+
 # --------------------------------------------------------------------------
 # Branches that the usual limits never reach.
 

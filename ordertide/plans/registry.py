@@ -28,6 +28,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "settled_stock": (Q.q_settled_stock, O.settled_stock()),
     "settled_credit_as_coded": (Q.q_settled_credit_as_coded, O.settled_credit(Q.AS_CODED)),
     "settled_stock_as_coded": (Q.q_settled_stock_as_coded, O.settled_stock(Q.AS_CODED)),
+    "interleaved_decisions": (Q.q_interleaved_decisions, O.interleaved_decisions()),
+    "interleaved_balances": (Q.q_interleaved_balances, O.interleaved_balances()),
     "error_topic": (Q.q_error_topic, O.error_topic()),
     "latest_order_per_customer": (Q.q_latest_order_per_customer, O.latest_order_per_customer()),
     "latest_event_per_user": (Q.q_latest_event_per_user, O.latest_event_per_user()),
@@ -36,6 +38,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "event_table": (Q.q_event_table, O.event_table()),
     "product_table": (Q.q_product_table, O.product_table()),
     "event_not_null": (Q.q_event_not_null, O.event_not_null()),
+    "event_checks": (Q.q_event_checks, O.event_checks()),
+    "committed_products": (Q.q_committed_products, O.committed_products()),
     "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
     "ingested_plain_orders": (Q.q_ingested_plain_orders, O.decoded_enriched_orders(Q.LIM.with_(fault_count=None))),
     "malformed_counts": (Q.q_malformed_counts, O.malformed_counts()),

@@ -33,16 +33,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 NO_PRICE_MOD = 97
 
 
-def product_lines(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+#: In the variant with unnamed parts, those whose key this divides have no name.
+NO_NAME_MOD = 89
+
+
+def product_lines(spark: SparkSession, sf_dir: str, gaps: bool = False, unnamed: bool = False) -> DataFrame:
     """One row per line: order key and the product struct fields (exact money). With
-    ``gaps`` the price is null for parts with a key divisible by NO_PRICE_MOD."""
+    ``gaps`` the price is null for parts with a key divisible by NO_PRICE_MOD, with
+    ``unnamed`` the name for those divisible by NO_NAME_MOD."""
     price = F.col("l_extendedprice").cast(MONEY)
     if gaps:
         price = F.when(F.col("l_partkey") % NO_PRICE_MOD != 0, price)
+    name = F.concat(F.lit("part "), F.col("l_partkey").cast("string"))
+    if unnamed:
+        name = F.when(F.col("l_partkey") % NO_NAME_MOD != 0, name)
     return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("product_name"),
+        name.alias("product_name"),
         price.alias("product_price"),
     )
 

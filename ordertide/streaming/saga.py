@@ -19,6 +19,8 @@ from ordertide.config import Limits
 from ordertide.operators import reservation as rv
 from ordertide.operators import routing as rt
 from ordertide.operators.enrich import FULL_COLUMNS
+from ordertide.operators.keyed_table import KeyedTable
+from ordertide.operators.reservation_split import reserve_split
 from ordertide.sources import topics as tp
 from ordertide.streaming.decision import decisions_stream
 from ordertide.streaming.enrichment import start_enrichment
@@ -53,6 +55,36 @@ def start_reservation(spark: SparkSession, root: str, checkpoint: str, side: rv.
             .trigger(availableNow=True).start())
 
 
+def balance_table(state: str, side: rv.Side) -> KeyedTable:
+    """R4 of ``start_split_reservation``: one row per key, changed by each micro-batch."""
+    amount = "decimal(18,2)" if side.money else "int"
+    return KeyedTable(state, f"{side.key} string, available {amount}, reserved {amount}", side.key)
+
+
+def start_split_reservation(spark: SparkSession, root: str, checkpoint: str, side: rv.Side,
+                            reply_topic: str, state: str) -> StreamingQuery:
+    """R1/R2 on a stream where one key may hold most of a micro-batch: each micro-batch is
+    folded by ``reserve_split``, which deals a key's rows over all tasks, from the
+    balances that the batches before it left; the balances it changes are one delta of the
+    keyed table. A replayed batch reads the table as of the batch before it and so folds
+    to the same rows; both its outputs are written once."""
+    table = balance_table(state, side)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        folded = reserve_split(batch, side, start=table.read(spark, before=batch_id))
+        path = f"{state.rstrip('/')}/folded/{batch_id % 2}"  # read by the next two jobs only
+        folded.write.mode("overwrite").parquet(path)
+        folded = spark.read.schema(folded.schema).parquet(path)
+        value = F.to_json(F.struct(*FULL_COLUMNS))
+        records = tp.envelope(rt.replies(folded), reply_topic, value, key="id").unionByName(
+            _error_records(folded.filter(F.col("error").isNotNull()), side.key))
+        tp.write_records(records, root, f"{side.name}-{batch_id:08d}")
+        table.apply(rv.balances(folded, side), batch_id)
+
+    return (_full_events(spark, root, S.TOPIC_ORDERS_FULL).writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def start_decision(spark: SparkSession, root: str, checkpoint: str, lim: Limits,
                    watermark: str = "20 seconds") -> StreamingQuery:
     pay = _full_events(spark, root, S.TOPIC_PAYMENT)
@@ -72,13 +104,20 @@ def start_decision(spark: SparkSession, root: str, checkpoint: str, lim: Limits,
             .trigger(availableNow=True).start())
 
 
-def run_rounds(spark: SparkSession, root: str, checkpoints: str, lim: Limits, rounds: int = 2) -> None:
-    """Drive all services until the decisions have been settled."""
+def run_rounds(spark: SparkSession, root: str, checkpoints: str, lim: Limits, rounds: int = 2,
+               state: str | None = None) -> None:
+    """Drive all services until the decisions have been settled. With ``state``, the
+    reservations split hot keys and keep their balances in tables there."""
     pay, stk = rv.payment_side(lim), rv.stock_side(lim)
+
+    def reserve(side: rv.Side, reply_topic: str) -> StreamingQuery:
+        if state:
+            return start_split_reservation(spark, root, f"{checkpoints}/{side.name}", side, reply_topic, f"{state}/{side.name}")
+        return start_reservation(spark, root, f"{checkpoints}/{side.name}", side, reply_topic)
     services = (
         lambda: start_enrichment(spark, root, f"{checkpoints}/enrich", lim),
-        lambda: start_reservation(spark, root, f"{checkpoints}/payment", pay, S.TOPIC_PAYMENT),
-        lambda: start_reservation(spark, root, f"{checkpoints}/stock", stk, S.TOPIC_STOCK),
+        lambda: reserve(pay, S.TOPIC_PAYMENT),
+        lambda: reserve(stk, S.TOPIC_STOCK),
         lambda: start_decision(spark, root, f"{checkpoints}/decide", lim),
     )
     for _ in range(rounds):

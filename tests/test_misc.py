@@ -1,5 +1,6 @@
 """Observation counts, streaming latest table, relational sink."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import orders_df
@@ -42,15 +43,74 @@ def test_event_tables_sink(spark, scratch):
     wid = F.col("id")
     events = tb.event_rows(full, wid)
     products = tb.product_rows_from_array(full, wid)
-    tb.write_event_tables(events, products, scratch, 0)
-    tb.write_event_tables(events, products, scratch, 0)  # replay: replaced, not duplicated
-    ev = spark.read.parquet(f"{scratch}/event")
-    pr = spark.read.parquet(f"{scratch}/product")
+    assert tb.write_event_tables(events, products, scratch, 0)
+    assert not tb.write_event_tables(events, products, scratch, 0)  # replay: nothing is written again
+    ev, pr = tb.read_event_tables(spark, scratch)
     assert [r.event_id for r in ev.collect()] == ["o1"]
     assert sorted(float(r.price) for r in pr.collect()) == [10.0, 20.0]
     assert set(pr.columns) >= {"name", "price", "event_id"} and "id" not in pr.columns
 
 
+def test_a_null_product_name_leaves_neither_row(spark, scratch):
+    """The whole transaction fails with one of its rows."""
+    events = spark.createDataFrame([("e1", "m", "c", 2, 5), ("e2", "m", "c", 1, 5), ("e3", "m", None, 0, 5)],
+                                   "event_id string, market_id string, customer_id string, product_count int, price int").withColumn("price", F.col("price").cast("decimal(18,2)"))
+    products = spark.createDataFrame([("a", 2, "e1"), (None, 3, "e1"), ("b", 5, "e2")], "name string, price int, event_id string")
+    products = products.withColumn("price", F.col("price").cast("decimal(18,2)"))
+    found = {r.event_id: r.violations for r in tb.checked_events(events, products).collect()}
+    assert found == {"e1": ["product.name"], "e2": [], "e3": ["customer_id"]}
+    tb.write_event_tables(events, products, scratch, 3)
+    ev, pr = tb.read_event_tables(spark, scratch)
+    assert [r.event_id for r in ev.collect()] == ["e2"] and [r.event_id for r in pr.collect()] == ["e2"]
+
+
+@pytest.mark.parametrize("killed_at", ["event", "product", "commit"])
+def test_a_kill_between_the_writes_leaves_neither_table(spark, scratch, monkeypatch, killed_at):
+    orders = en.enrich(orders_df(spark, [("o1", "m", "c", [10, 20]), ("o2", "m", "c", [5])]), L)
+    events, products = tb.event_rows(orders, F.col("id")), tb.product_rows_from_array(orders, F.col("id"))
+    tb.write_event_tables(events.limit(0), products.limit(0), scratch, 0)
+
+    class Killed(Exception):
+        pass
+    if killed_at == "commit":
+        monkeypatch.setattr(tb, "commit", lambda *a: (_ for _ in ()).throw(Killed()))
+    else:
+        whole = tb._table_folders
+
+        def folders(root, batch, attempt):
+            found = whole(root, batch, attempt)
+
+            class Dying(dict):
+                def __getitem__(self, k):
+                    if k == killed_at:
+                        raise Killed
+                    return super().__getitem__(k)
+            return Dying(found)
+        monkeypatch.setattr(tb, "_table_folders", folders)
+    with pytest.raises(Killed):
+        tb.write_event_tables(events, products, scratch, 1)
+    monkeypatch.undo()
+    assert [t.count() for t in tb.read_event_tables(spark, scratch)] == [0, 0]
+    assert tb.write_event_tables(events, products, scratch, 1)  # the batch is run again
+    assert [t.count() for t in tb.read_event_tables(spark, scratch)] == [2, 3]
+
+
+def test_event_tables_as_a_stream(spark, scratch):
+    """Valuable orders of a topic into both tables; a restart writes nothing twice."""
+    from ordertide import schema as S
+    from ordertide.operators.enrich import FULL_COLUMNS
+    from ordertide.sources import topics as tp
+    root = f"{scratch}/topics"
+    for i in range(3):
+        full = en.enrich(orders_df(spark, [(f"o{i}{j}", "m" if j else None, "c", [10, 20]) for j in range(3)]), L).withColumn("source", F.lit(None).cast("string"))
+        tp.write_records(tp.envelope(full, S.TOPIC_VALUABLE, F.to_json(F.struct(*FULL_COLUMNS)), key="id"), root, i)
+        src = tp.skip_malformed(tp.decode(tp.read_topic_stream(spark, root, S.TOPIC_VALUABLE), S.ORDER_FULL_EVENT))
+        (src.writeStream.foreachBatch(tb.event_table_sink(f"{scratch}/tables")).option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start().awaitTermination())
+        ev, pr = tb.read_event_tables(spark, f"{scratch}/tables")
+        assert (ev.count(), ev.distinct().count(), pr.count()) == (2 * (i + 1), 2 * (i + 1), 4 * (i + 1))
+
+
 def test_publish_batch_job(spark, scratch):
     """The whole flow as one batch job; outputs agree with the registered queries."""
     from ordertide.plans import queries as Q

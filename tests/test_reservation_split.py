@@ -84,8 +84,8 @@ def test_state_is_carried_over_partitions():
     parts = pd.DataFrame([("b", 2, False, False, 0, None, None, None, None),
                           ("b", 1, False, True, 0, None, 995, [0, 5], [0, 5]),
                           ("b", 0, True, False, 0, 990, None, None, None)], columns=cols)
-    assert carry_bounds(parts, 1000) == [(1, 990)]
-    assert carry_state(parts, 1000) == [(0, None, None, None, True), (1, "b", 990, 10, True), (2, "b", 985, 15, False)]
+    assert carry_bounds(parts.assign(open_a=None, open_conf=None), 1000) == [(1, 990)]
+    assert carry_state(parts.assign(open_a=None, open_conf=None), 1000) == [(0, None, None, None, True), (1, "b", 990, 10, True), (2, "b", 985, 15, False)]
 
 
 def test_many_pieces(spark):
@@ -111,3 +111,37 @@ def test_edge_inputs(spark):
     assert {r.error for r in out} == {"null key"} and not any(r.is_last for r in out)
     one = full_df(spark, [("o1", "m", "c", 1, 5, "NEW", None, 0)])
     assert _same(rv.reserve(one, side), reserve_split(one, side, partitions=16))
+
+
+@pytest.mark.parametrize("policy", ["release_holder", "as_coded"])
+@pytest.mark.parametrize("fold", [rv.reserve, reserve_split])
+def test_starts_from_balances(spark, orders, policy, fold):
+    """The second half folded from the balances of the first equals the whole fold."""
+    mix = (orders.withColumn("status", F.when(F.col("seq") % 5 == 0, "CONFIRMED").when(F.col("seq") % 7 == 0, "ROLLBACK").otherwise("NEW"))
+           .withColumn("source", F.when(F.col("seq") % 2 == 0, "PAYMENT").otherwise("STOCK"))
+           .withColumn("marketId", F.when(F.col("seq") % 10 != 0, "hot").otherwise(F.concat(F.lit("m"), F.col("seq") % 7))))
+    cut = mix.approxQuantile("seq", [0.4], 0.0)[0]
+    mix = mix.withColumn("ts", F.timestamp_seconds("seq").cast("timestamp_ntz"))
+    side = rv.stock_side(Q.LIM.with_(initial_items=900, rollback_policy=policy))
+    whole = rv.reserve(mix, side).where(F.col("seq") > cut)
+    start = rv.balances(rv.reserve(mix.where(F.col("seq") <= cut), side), side)
+    later = fold(mix.where(F.col("seq") > cut), side, partitions=8, start=start)
+    assert _same(whole, later)
+
+
+def test_hot_key_starts_in_all_tasks(spark, orders):
+    """A market with nine tenths of a batch: its rows are dealt over all partitions."""
+    hot = orders.withColumn("marketId", F.when(F.col("seq") % 10 != 0, "hot").otherwise(F.col("marketId")))
+    start = spark.createDataFrame([("hot", 700, 300), ("gone", 1, 2)], "marketId string, available long, reserved long")
+    staged = rv.stage(hot, rv.stock_side(Q.LIM))
+    opened = rv.opening_rows(start, staged, rv.stock_side(Q.LIM))
+    assert [(r._k, r._amt, r._in_source) for r in opened.collect()] == [("hot", 700, "300")]
+    small = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():  # small partitions aren't put together again
+        spark.conf.set(k, v)
+    out = reserve_split(hot, rv.stock_side(Q.LIM), partitions=8, start=start)
+    rows = [r.n for r in out.groupBy(F.spark_partition_id(), "marketId").agg(F.count("*").alias("n")).where("marketId = 'hot'").collect()]
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert len(rows) >= 7 and max(rows) <= 2 * sorted(rows)[len(rows) // 2]
