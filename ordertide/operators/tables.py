@@ -8,13 +8,12 @@ replayed write produces the same ids.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.operators.commits import commit, committed
+from ordertide.operators import commits
 
 EVENT_NOT_NULL = ("market_id", "customer_id", "product_count", "price")
 PRODUCT_NOT_NULL = ("name", "price", "event_id")
@@ -95,19 +94,12 @@ def write_event_tables(events: DataFrame, products: DataFrame, root: str, batch_
     visible in both tables at once, by its commit; a batch that is there already stays as
     it is (False)."""
     spark = events.sparkSession
-    if batch_id in committed(spark, root, "event-tables"):
-        return False
-    attempt = uuid.uuid4().hex
-    folders = _table_folders(root, batch_id, attempt)
-    checked_events(events, products).where(F.size("violations") == 0).drop("violations").write.parquet(folders["event"])
-    ok = spark.read.parquet(folders["event"]).select("event_id")
-    products.join(ok, "event_id", "left_semi").write.parquet(folders["product"])
-    commit(spark, root, "event-tables", batch_id, attempt)
-    return True
 
-
-def _table_folders(root: str, batch_id: int, attempt: str) -> dict[str, str]:
-    return {t: f"{root.rstrip('/')}/{t}/{batch_id:012d}-{attempt}" for t in ("event", "product")}
+    def write(folder: str) -> None:
+        checked_events(events, products).where(F.size("violations") == 0).drop("violations").write.parquet(f"{folder}/event")
+        ok = spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/event").select("event_id")
+        products.join(ok, "event_id", "left_semi").write.parquet(f"{folder}/product")
+    return commits.write_once(spark, root, "event-tables", commits.number(batch_id), write)
 
 
 EVENT_SCHEMA = "event_id string, market_id string, customer_id string, product_count int, price decimal(18,2)"
@@ -116,8 +108,8 @@ PRODUCT_SCHEMA = "name string, price decimal(18,2), event_id string"
 
 def read_event_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Events and products of the same committed batches."""
-    done = [_table_folders(root, b, a) for b, a in committed(spark, root, "event-tables").items()]
-    return tuple(spark.read.schema(schema).parquet(*[d[t] for d in done]) if done else spark.createDataFrame([], schema)
+    done = [commits.data_folder(root, "event-tables", b, a) for b, a in commits.committed(spark, root, "event-tables").items()]
+    return tuple(spark.read.schema(schema).parquet(*[f"{d}/{t}" for d in done]) if done else spark.createDataFrame([], schema)
                  for t, schema in (("event", EVENT_SCHEMA), ("product", PRODUCT_SCHEMA)))
 
 

@@ -328,6 +328,23 @@ def interleaved_balances(lim: Limits = TABLE_LIMITS) -> str:
         f"CAST(settled AS DOUBLE) AS settled FROM {side}_bal_{SLICES[-1]}" for name, side in (("payment", "pay"), ("stock", "stk")))
 
 
+def click_purchase_hours() -> str:
+    return """
+SELECT c.user_id, date_trunc('hour', c.ts) AS hour, count(DISTINCT c.event_id) AS n_clicks, count(p.event_id) AS n_pairs
+FROM events c LEFT JOIN events p ON p.event_type = 'purchase' AND p.user_id = c.user_id
+ AND p.ts BETWEEN c.ts - INTERVAL 1 HOUR AND c.ts + INTERVAL 1 HOUR
+WHERE c.event_type = 'click' GROUP BY 1, 2"""
+
+
+def late_replies(lim: Limits = TABLE_LIMITS) -> str:
+    return saga_ctes(lim) + f"""
+SELECT coalesce(p.id, s.id) AS id, p.status AS p_status, s.status AS s_status,
+       CAST(abs(epoch_us(p.rts) - epoch_us(s.rts)) AS DOUBLE) / 1000000 AS apart,
+       CASE WHEN p.id IS NULL THEN 'no payment reply' WHEN s.id IS NULL THEN 'no stock reply' ELSE 'too far apart' END AS reason
+FROM pay_replies p FULL JOIN stk_replies s ON p.id = s.id
+WHERE p.id IS NULL OR s.id IS NULL OR abs(epoch_us(p.rts) - epoch_us(s.rts)) > {lim.join_window_seconds} * 1000000"""
+
+
 def error_topic(lim: Limits = TABLE_LIMITS) -> str:
     return saga_ctes(lim) + """
 SELECT id AS key, 'enrich' AS stage, error AS message FROM enriched WHERE error IS NOT NULL

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ordertide import schema as S
 from ordertide.config import Limits, TABLE_LIMITS
 from ordertide.functions.orders import cart_route, is_valuable, to_double
+from ordertide.operators import decision as dc
 from ordertide.operators import enrich as en
 from ordertide.operators import routing as rt
 from ordertide.operators import errors as er
@@ -188,6 +189,25 @@ def q_interleaved_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pay.unionByName(r["stock_balance"].select(F.lit("stock").alias("side"), F.col("marketId").alias("key"), *[F.col(c).cast("double") for c in money]))
 
 
+def q_click_purchase_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1's window on a key that repeats: per user and hour, clicks and the pairs of a click
+    and a purchase at most an hour apart."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    clicks, purchases = (ev.where(F.col("event_type") == t) for t in ("click", "purchase"))
+    by = {"user_id": F.col("user_id"), "hour": F.date_trunc("hour", "ts")}
+    found = dc.window_pair_counts(clicks, purchases, "user_id", "ts", "ts", 3600, by)
+    return found.select("user_id", F.col("hour").cast("timestamp_ntz").alias("hour"), F.col("n_left").alias("n_clicks"), "n_pairs")
+
+
+def q_late_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: orders that get no decision, as one service did not answer or both answers lie
+    too far apart; what each held."""
+    r = saga_of(spark, sf_dir).prepare_both()
+    pay, stk = saga.with_reply_times(rt.replies(r.payment), rt.replies(r.stock),
+                                     (saga.PAYMENT_DELAY_MOD, saga.STOCK_DELAY_MOD))
+    return dc.undecided(pay, stk, LIM).select("id", "p_status", "s_status", "apart", "reason")
+
+
 # --------------------------------------------------------------------------
 # Latest per key (K1-K3).
 

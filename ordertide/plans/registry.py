@@ -31,6 +31,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "interleaved_decisions": (Q.q_interleaved_decisions, O.interleaved_decisions()),
     "interleaved_balances": (Q.q_interleaved_balances, O.interleaved_balances()),
     "error_topic": (Q.q_error_topic, O.error_topic()),
+    "click_purchase_hours": (Q.q_click_purchase_hours, O.click_purchase_hours()),
+    "late_replies": (Q.q_late_replies, O.late_replies()),
     "latest_order_per_customer": (Q.q_latest_order_per_customer, O.latest_order_per_customer()),
     "latest_event_per_user": (Q.q_latest_event_per_user, O.latest_event_per_user()),
     "current_orders": (Q.q_current_orders, O.current_orders()),

@@ -2,9 +2,11 @@
 
 A topic record has the columns of Spark's Kafka source
 (key, value, topic, partition, offset, timestamp). Without a broker the
-topics live in a folder, one sub-folder per topic and one
-``batch=<id>`` folder per writing batch; with a broker the same functions
-take the frame returned by ``read_kafka``.
+topics live in a folder: each writing batch is a folder with one sub-folder per
+topic, visible once the batch is committed (``operators.commits``). Batch jobs
+read it with Spark's Parquet reader, streams through the data source of
+``topic_log``; with a broker the same functions take the frame returned by
+``read_kafka``.
 
 Decoding always uses an explicit schema; JSON is never inferred. Within a key
 records are ordered by (timestamp, offset); the decoded frames name these
@@ -17,27 +19,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordertide import schema as S
+from ordertide.operators import commits
+from ordertide.sources.topic_log import TopicLog
 
 #: Allowed names of enum-like fields.
 ALLOWED = {"status": S.STATUSES, "source": S.SOURCES}
-#: Files of a topic that a streaming service takes at once, unless told otherwise.
-FILES_PER_TRIGGER = 1_000
+#: Partitions of a file-backed topic.
+PARTITIONS = 3
 
 
-def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """S1 (batch): all records of a file-backed topic."""
-    return spark.read.schema(S.ENVELOPE).parquet(topic_glob(root, topic))
+LOG = "log"  # of commits and data of topic records
 
 
-def read_topic_stream(spark: SparkSession, root: str, topic: str,
-                      max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """S1 (stream): records of a file-backed topic as their files arrive."""
-    r = spark.readStream.schema(S.ENVELOPE)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(topic_glob(root, topic))
+def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """S1 (batch): all committed records of a file-backed topic, by Spark's own reader."""
+    done = commits.committed(spark, root, LOG)
+    if not done:
+        return spark.createDataFrame([], S.ENVELOPE)
+    # a batch is a folder of topics; other topics are pruned
+    folders = [commits.data_folder(root, LOG, b, a) for b, a in done.items()]
+    schema = T.StructType([*S.ENVELOPE.fields, T.StructField("batch", T.StringType()), T.StructField("_topic", T.StringType())])
+    found = spark.read.option("basePath", f"{root.rstrip('/')}/{LOG}").schema(schema).parquet(*folders)
+    return found.where(F.col("_topic") == topic).drop("batch", "_topic")
+
+
+def read_topic_stream(spark: SparkSession, root: str, topic: str, batches_per_trigger: int | None = None) -> DataFrame:
+    """S1 (stream): records of a file-backed topic as their batches are committed, by the
+    data source of ``topic_log``."""
+    spark.dataSource.register(TopicLog)
+    r = spark.readStream.format(TopicLog.name()).option("path", root).option("topic", topic)
+    if batches_per_trigger:
+        r = r.option("batchesPerTrigger", str(batches_per_trigger))
+    return r.load()
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, isolation: str = "read_committed",
@@ -108,7 +124,7 @@ def encode(df: DataFrame, fields: Sequence[str], key: Column | str = "key") -> C
 
 def envelope(df: DataFrame, topic: str | Column, value: Column, key: Column | str = "key",
              ts: Column | str = "ts", seq: Column | str = "seq") -> DataFrame:
-    """Rows -> topic records. File-backed topics have one partition."""
+    """Rows -> topic records. A key's records are in one of the topic's partitions."""
     key_c = F.col(key) if isinstance(key, str) else key
     topic_c = F.lit(topic) if isinstance(topic, str) else topic
     ts_c = F.col(ts) if isinstance(ts, str) else ts
@@ -117,37 +133,21 @@ def envelope(df: DataFrame, topic: str | Column, value: Column, key: Column | st
         key_c.cast("string").alias("key"),
         value.alias("value"),
         topic_c.alias("topic"),
-        F.lit(0).alias("partition"),
+        F.pmod(F.xxhash64(key_c.cast("string")), F.lit(PARTITIONS)).cast("int").alias("partition"),
         seq_c.cast("long").alias("offset"),
         ts_c.cast("timestamp").alias("timestamp"),
     )
 
 
-def write_records(records: DataFrame, root: str, batch_id: int | str) -> None:
+def write_records(records: DataFrame, root: str, batch_id: int | str) -> bool:
     """Write topic records of one batch, each to its topic's folder, in one job.
 
-    The batch is written beside the topics and moved into place by one rename
-    when it is whole. A batch id that is in place already is left as it is: a
-    replayed batch has the same rows, and readers that follow new files must not
-    see them twice (X7).
-    """
-    root = root.rstrip("/")
-    spark = records.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target, staged = path(f"{root}/_batches/batch={batch_id}"), path(f"{root}/_staging/batch={batch_id}")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        return
-    (records.withColumn("_topic", F.col("topic"))
-     .write.mode("overwrite").partitionBy("_topic").parquet(staged.toString()))
-    fs.mkdirs(target.getParent())
-    if not fs.rename(staged, target) and not fs.exists(target):
-        raise OSError(f"batch {batch_id} could not be moved into place")
-    # Readers address a topic as <root>/_batches/batch=*/_topic=<topic>.
-
-
-def topic_glob(root: str, topic: str) -> str:
-    return f"{root.rstrip('/')}/_batches/batch=*/_topic={topic}"
+    The batch is visible in all its topics at once when it is committed (X7). A batch id
+    that is there already is left as it is (False): a replayed batch has the same rows.
+    ``batch_id``: a writer's name and a number that grows, like ``payment-00000007``;
+    a number alone is a writer without a name."""
+    named = records.withColumn("_topic", F.col("topic"))
+    return commits.write_once(records.sparkSession, root, LOG, str(batch_id), named.write.partitionBy("_topic").parquet)
 
 
 def ingest_orders(orders: DataFrame, root: str, batch_id: int | str = 0) -> None:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ordertide.operators import keyed_table
+from ordertide.operators import commits
 from ordertide.operators.keyed_table import KeyedTable
 
 
@@ -47,20 +47,20 @@ def test_half_a_batch_is_never_seen(spark, scratch, monkeypatch):
 
     def killed(*_):
         raise KeyboardInterrupt
-    monkeypatch.setattr(keyed_table, "commit", killed)
+    monkeypatch.setattr(commits, "commit", killed)
     with pytest.raises(KeyboardInterrupt):
         table.apply(changes(spark, [("a", 2, False), ("b", 2, False)]), 1)
     assert {tuple(r) for r in table.read(spark).collect()} == {("a", 1), ("b", 1)}
     monkeypatch.undo()
     calls = []
-    whole = keyed_table.commit
+    whole = commits.commit
 
     def killed_in_merge(spark, root, kind, batch, attempt):
         calls.append(kind)
         if kind == "base":
             raise KeyboardInterrupt
         whole(spark, root, kind, batch, attempt)
-    monkeypatch.setattr(keyed_table, "commit", killed_in_merge)
+    monkeypatch.setattr(commits, "commit", killed_in_merge)
     with pytest.raises(KeyboardInterrupt):  # the delta is there, the base isn't
         table.apply(changes(spark, [("a", 2, False), ("b", None, True)]), 1)
     assert calls == ["delta", "base"] and [tuple(r) for r in table.read(spark).collect()] == [("a", 2)]
@@ -84,3 +84,31 @@ def test_as_of_a_batch_and_history(spark, scratch):
 def test_empty(spark, scratch):
     table = KeyedTable(scratch, "k string, v int", "k")
     assert table.read(spark).collect() == [] and table.history(spark).collect() == []
+
+
+def scanned(df):
+    """Rows that the scans of the executed plan gave."""
+    rows, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if "numFiles" in str(node.metrics().keys()):
+            rows += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_a_lookup_reads_little(spark, scratch):
+    table = KeyedTable(scratch, "k string, v long", "k", buckets=8, merge_every=1)
+    n = 200_000
+    table.apply(spark.range(n).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")), 0)
+    keys = [f"k{i * 19_001 % n}" for i in range(9)] + ["none"]
+    rows = table.read(spark, keys=keys)
+    assert {r.k: r.v for r in rows.collect()} == {k: int(k[1:]) for k in keys[:-1]}
+    assert 0 < scanned(rows) < n // 20
+    found = {r.k: (r.found, r.v) for r in table.lookup(spark, keys).collect()}
+    assert len(found) == 10 and found["none"] == (False, None) and found[keys[0]] == (True, int(keys[0][1:]))

@@ -1,11 +1,13 @@
 """Observation counts, streaming latest table, relational sink."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import orders_df
 from ordertide import REFERENCE_LIMITS as L
 from ordertide.operators import enrich as en
+from ordertide.operators import commits
 from ordertide.operators import tables as tb
 from ordertide.operators.observe import observe
 from ordertide.streaming.latest import latest_stream
@@ -72,21 +74,13 @@ def test_a_kill_between_the_writes_leaves_neither_table(spark, scratch, monkeypa
 
     class Killed(Exception):
         pass
+    def dying(*_):
+        raise Killed
     if killed_at == "commit":
-        monkeypatch.setattr(tb, "commit", lambda *a: (_ for _ in ()).throw(Killed()))
-    else:
-        whole = tb._table_folders
-
-        def folders(root, batch, attempt):
-            found = whole(root, batch, attempt)
-
-            class Dying(dict):
-                def __getitem__(self, k):
-                    if k == killed_at:
-                        raise Killed
-                    return super().__getitem__(k)
-            return Dying(found)
-        monkeypatch.setattr(tb, "_table_folders", folders)
+        monkeypatch.setattr(commits, "commit", dying)
+    else:  # at the write of one table
+        whole = DataFrameWriter.parquet
+        monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: dying() if path.endswith(killed_at) else whole(w, path, *a, **k))
     with pytest.raises(Killed):
         tb.write_event_tables(events, products, scratch, 1)
     monkeypatch.undo()
@@ -144,9 +138,9 @@ def test_a_replayed_batch_is_left_in_place(spark, scratch):
     from ordertide.sources import topics as tp
     recs = spark.createDataFrame([("k", "v", "t", 0, 1, None)], S.ENVELOPE)
     tp.write_records(recs, scratch, "w-0")
-    files = sorted(glob.glob(f"{scratch}/_batches/**/*.parquet", recursive=True))
+    files = sorted(glob.glob(f"{scratch}/log/**/*.parquet", recursive=True))
     tp.write_records(recs, scratch, "w-0")
-    assert files and sorted(glob.glob(f"{scratch}/_batches/**/*.parquet", recursive=True)) == files
+    assert files and sorted(glob.glob(f"{scratch}/log/**/*.parquet", recursive=True)) == files
     assert tp.read_topic(spark, scratch, "t").count() == 1
 
 
