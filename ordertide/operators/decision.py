@@ -113,6 +113,18 @@ def undecided(payment: DataFrame, stock: DataFrame, lim: Limits) -> DataFrame:
     return both.withColumns({"apart": apart, "reason": reason})
 
 
+def unmatched_replies(payment: DataFrame, stock: DataFrame, lim: Limits) -> DataFrame:
+    """Q6 reply by reply: id, side, status and ts of those that J1 pairs with none."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.where("id is not null and ts is not null").select("id", F.lit(name).alias("side"), "status", "ts")
+    p, s = side(payment, S.PAYMENT), side(stock, S.STOCK)
+
+    def rest(a: DataFrame, b: DataFrame) -> DataFrame:
+        other = b.select(F.col("id").alias("_id"), F.col("ts").alias("_ts"))
+        return a.join(other, (a["id"] == other["_id"]) & within(a["ts"], other["_ts"], lim.join_window_seconds), "left_anti")
+    return rest(p, s).unionByName(rest(s, p))
+
+
 def decision_status(p_status: Column, s_status: Column) -> Column:
     """Both ACCEPT -> CONFIRMED; both REJECT -> REJECT; one REJECT -> ROLLBACK."""
     return (F.when((p_status == S.ACCEPT) & (s_status == S.ACCEPT), F.lit(S.CONFIRMED))

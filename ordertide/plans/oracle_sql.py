@@ -472,6 +472,17 @@ UNION ALL SELECT 'text', count(*), count(*) FILTER (WHERE NOT coalesce(json_vali
 UNION ALL SELECT 'props', count(*), count(*) FILTER (WHERE NOT coalesce(json_valid(props), true)) FROM events"""
 
 
+def replayed_records(lim: Limits = TABLE_LIMITS) -> str:
+    return "WITH " + enriched_cte(lim) + """,
+kept AS (
+  SELECT 'order' AS kind, 'unknown status: SHIPPED' AS reason, id, true AS mended FROM success WHERE seq % 11 = 0
+  UNION ALL SELECT 'text', 'unreadable', CAST(doc_id AS VARCHAR), false FROM documents WHERE NOT coalesce(json_valid(text), true)
+  UNION ALL SELECT 'props', 'unreadable', CAST(event_id AS VARCHAR), false FROM events WHERE NOT coalesce(json_valid(props), true))
+SELECT kind, reason, count(*) AS n_kept, count(*) FILTER (WHERE mended) AS n_replayed, count(*) FILTER (WHERE mended) AS n_back,
+       count(DISTINCT id) FILTER (WHERE mended) AS n_keys
+FROM kept GROUP BY kind, reason"""
+
+
 def decoded_enriched_orders(lim: Limits = TABLE_LIMITS) -> str:
     return "WITH " + enriched_cte(lim) + """
 SELECT id, productCount, CAST(price AS DOUBLE) AS price, status, error FROM enriched"""

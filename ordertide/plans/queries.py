@@ -19,6 +19,7 @@ from ordertide.operators import enrich as en
 from ordertide.operators import routing as rt
 from ordertide.operators import errors as er
 from ordertide.operators import latest as lt
+from ordertide.operators import quarantine as qr
 from ordertide.operators import reservation as rv
 from ordertide.operators import tables as tb
 from ordertide.plans import saga
@@ -379,9 +380,9 @@ def q_ingested_plain_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 BAD_STATUS_MOD = 11
 
 
-def q_malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: a topic of enriched orders, some with an unknown status, and texts that are
-    no JSON at all; records and drops by kind. The events' ``props`` decode too."""
+def _mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of enriched orders, some with an unknown status, of texts that are no JSON at
+    all, and of the events' ``props``, which decode."""
     ok, _ = rt.split(enriched(spark, sf_dir))
     status = F.when(F.col("seq") % BAD_STATUS_MOD == 0, F.lit("SHIPPED")).otherwise(F.col("status"))
     ok = ok.withColumn("status", status)
@@ -390,11 +391,34 @@ def q_malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = tp.envelope(docs, "text", F.col("text"), key="doc_id", seq="doc_id")
     events = read_table(spark, sf_dir, "events")
     props = tp.envelope(events, "props", F.col("props"), key="event_id", seq="event_id")
-    decoded = tp.decode(full.unionByName(texts).unionByName(props), S.ORDER_FULL_EVENT)
+    return full.unionByName(texts).unionByName(props)
+
+
+def q_malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: records and drops of the mixed records by kind."""
+    decoded = tp.decode(_mixed_records(spark, sf_dir), S.ORDER_FULL_EVENT)
     return (decoded.groupBy(F.col("topic").alias("kind"))
             .agg(F.count(F.lit(1)).alias("n_records"), F.count(F.col(S.CORRUPT)).alias("n_dropped")))
 
 
+def q_replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 with its quarantine: the mixed records' malformed ones kept, those with an unknown
+    status replayed as NEW, and what is open or back afterwards, by kind and reason."""
+    root = f"{checkpoint_dir(spark)}/replay-{uuid.uuid4().hex}"
+    qr.keep_malformed(tp.decode(_mixed_records(spark, sf_dir), S.ORDER_FULL_EVENT), root, "mixed-0")
+
+    def as_new(open_: DataFrame) -> DataFrame:
+        return open_.withColumn("value", F.replace("value", F.lit('"SHIPPED"'), F.lit('"NEW"')))
+    for job in (0, 1):  # the second finds only what can't be mended
+        qr.reingest(spark, root, as_new, job, S.ORDER_FULL_EVENT)
+    back = tp.decode(tp.read_log(spark, root).select(*S.ENVELOPE.fieldNames()), S.ORDER_FULL_EVENT)
+    back = back.groupBy(F.col("topic").alias("kind")).agg(F.count(F.lit(1)).alias("n_back"), F.countDistinct("key").alias("n_keys"))
+    kept = qr.quarantined(spark, root).groupBy(F.col("topic").alias("kind"), "reason").agg(
+        F.count(F.lit(1)).alias("n_kept"), F.count_if("replayed").cast("bigint").alias("n_replayed"))
+    return kept.join(back, "kind", "left").select("kind", "reason", "n_kept", "n_replayed", F.coalesce("n_back", F.lit(0)).alias("n_back"),
+                                                  F.coalesce("n_keys", F.lit(0)).alias("n_keys"))
+
+
 def q_reply_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 + P7: the replies of both reservation services, re-keyed by order id,
     with their reply times."""

@@ -45,6 +45,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "decoded_enriched_orders": (Q.q_decoded_enriched_orders, O.decoded_enriched_orders()),
     "ingested_plain_orders": (Q.q_ingested_plain_orders, O.decoded_enriched_orders(Q.LIM.with_(fault_count=None))),
     "malformed_counts": (Q.q_malformed_counts, O.malformed_counts()),
+    "replayed_records": (Q.q_replayed_records, O.replayed_records()),
     "product_not_null": (Q.q_product_not_null, O.product_not_null()),
     "enriched_with_gaps": (Q.q_enriched_with_gaps, O.enriched_with_gaps()),
     "half_full_lookup": (Q.q_half_full_lookup, O.half_full_lookup()),

@@ -34,16 +34,20 @@ PARTITIONS = 3
 LOG = "log"  # of commits and data of topic records
 
 
-def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """S1 (batch): all committed records of a file-backed topic, by Spark's own reader."""
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """Committed records of all file-backed topics, with the folder name of their ``batch``;
+    a filter on ``_topic`` or ``batch`` prunes folders."""
+    schema = T.StructType([*S.ENVELOPE.fields, T.StructField("batch", T.StringType()), T.StructField("_topic", T.StringType())])
     done = commits.committed(spark, root, LOG)
     if not done:
-        return spark.createDataFrame([], S.ENVELOPE)
-    # a batch is a folder of topics; other topics are pruned
+        return spark.createDataFrame([], schema)
     folders = [commits.data_folder(root, LOG, b, a) for b, a in done.items()]
-    schema = T.StructType([*S.ENVELOPE.fields, T.StructField("batch", T.StringType()), T.StructField("_topic", T.StringType())])
-    found = spark.read.option("basePath", f"{root.rstrip('/')}/{LOG}").schema(schema).parquet(*folders)
-    return found.where(F.col("_topic") == topic).drop("batch", "_topic")
+    return spark.read.option("basePath", f"{root.rstrip('/')}/{LOG}").schema(schema).parquet(*folders)
+
+
+def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """S1 (batch): all committed records of a file-backed topic, by Spark's own reader."""
+    return read_log(spark, root).where(F.col("_topic") == topic).drop("batch", "_topic")
 
 
 def read_topic_stream(spark: SparkSession, root: str, topic: str, batches_per_trigger: int | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def start_reservation(spark: SparkSession, root: str, checkpoint: str, side: rv.
         tp.write_records(records, root, f"{side.name}-{batch_id:08d}")
         batch.unpersist()
 
-    return (folded.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (folded.writeStream.queryName(side.name).foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
@@ -71,6 +71,7 @@ def start_split_reservation(spark: SparkSession, root: str, checkpoint: str, sid
     table = balance_table(state, side)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         folded = reserve_split(batch, side, start=table.read(spark, before=batch_id))
         path = f"{state.rstrip('/')}/folded/{batch_id % 2}"  # read by the next two jobs only
         folded.write.mode("overwrite").parquet(path)
@@ -80,8 +81,9 @@ def start_split_reservation(spark: SparkSession, root: str, checkpoint: str, sid
             _error_records(folded.filter(F.col("error").isNotNull()), side.key))
         tp.write_records(records, root, f"{side.name}-{batch_id:08d}")
         table.apply(rv.balances(folded, side), batch_id)
+        batch.unpersist()
 
-    return (_full_events(spark, root, S.TOPIC_ORDERS_FULL).writeStream.foreachBatch(sink)
+    return (_full_events(spark, root, S.TOPIC_ORDERS_FULL).writeStream.queryName(side.name).foreachBatch(sink)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
@@ -100,7 +102,7 @@ def start_decision(spark: SparkSession, root: str, checkpoint: str, lim: Limits,
         tp.write_records(records, root, f"decide-{batch_id:08d}")
         batch.unpersist()
 
-    return (dec.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (dec.writeStream.queryName("decide").foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
