@@ -10,14 +10,19 @@ replicated to the regions of those, its boundary window, and no others. Distance
 to the empty set gives a second window: linked sets' sizes differ by t at most,
 and what both hold from the shared pivot on must cover the overlap they need.
 
-Level 1: in each region some sets become pivots, chosen by hash, and every set's
-distance to them is computed exactly. Sets within the threshold of a pivot fall
-to its cell and are linked; the cells that the links connect need no more
-comparing. What is left in a region, sets of different components, joins again:
-a pair is compared only if its distances to the region's pivot differ by no more
-than the threshold (triangle inequality) and the size windows hold. So a group of
-near copies costs one comparison a set and pivot, not one a pair. Before that, two
-more turns with other pivots in the regions that are left connect most of them.
+Level 1: in each region the set with the fewest rarer shingles, which is nearest to
+its middle, becomes a pivot (some more in large regions), and every set's distance
+to it is computed exactly. Sets within the threshold of a pivot fall to its Voronoi
+cell and are linked. A group of near copies so costs one comparison a set and
+pivot, not one a pair.
+
+Level 2: regions that still hold several components join again, exactly. A region of
+many sets is dealt into blocks, and each pair of blocks is a cell of bounded size. In
+a cell two sets of different components become a pair only if their distances to the
+region's pivot differ by no more than the threshold (triangle inequality), the size
+windows hold, and their sketches, which lie in a metric space of their own that never
+puts sets further apart than they are, differ in few enough bits. Pairs that are left
+are compared exactly.
 
 Equal sets are one point from the start. The order of pivots comes from a count
 of all shingles of all documents in 2**20 counters; it decides costs, not results.
@@ -43,12 +48,8 @@ COUNT_BLOCKS = 16
 BLOCK_CHARS = 1_000_000
 #: Sets of a region that are pivots for all its sets, and for those after the first MANY in hash order.
 PIVOTS, MORE_PIVOTS, MANY = 1, 3, 64
-#: Orders of the sets, by pivot, of which the first one in a region is its chief.
-CHIEFS = 4
-#: Times that sets not yet connected meet other pivots before they meet each other.
-MORE_TURNS = 2
-#: Rows of whole regions joined at once.
-REGION_ROWS = 200_000
+#: Sets of a cell in which sets that aren't connected meet each other.
+CELL_ROWS = 20_000
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
@@ -247,23 +248,103 @@ def _pivot_pairs(percent: int):
     return run
 
 
-def _rest_pairs(percent: int):
-    """Rows (pivot, point, n, pos, label, d) sorted by (pivot, n): pairs of different
-    labels that the windows leave. d: distance to the region's chief, if known."""
-    def pairs(rows: pa.Table):
-        pivot, point, n, pos, label = (rows[c].to_numpy() for c in ("pivot", "point", "n", "pos", "label"))
-        d = rows["d"].to_numpy()
-        end = np.searchsorted(pivot, pivot, "right")  # of the row's region
-        i, step = np.arange(len(pivot)), 1
-        out = [np.zeros((2, 0), np.int64)]
-        while len(i):  # each row with the one ``step`` further on, as long as sizes allow
-            i = i[(i + step < end[i])]
-            j = i + step
-            near = 100 * n[i] >= percent * n[j]  # sizes ascend in a region
-            i, j = i[near], j[near]
-            use = (label[i] != label[j]) & _may_link(n[i], pos[i], n[j], pos[j], percent) & ~(np.abs(d[i] - d[j]) > 1 - percent / 100 + 1e-9)
-            out.append(np.stack([np.minimum(point[i[use]], point[j[use]]), np.maximum(point[i[use]], point[j[use]])]))
+def _sketch(s: np.ndarray) -> bytes:
+    """Bits that each shingle flips one of; at least four for each shingle of the set. Two
+    sketches differ in no more bits than their sets do in shingles."""
+    size = max(10, int(4 * len(s) - 1).bit_length())
+    flips = np.bincount((grams.mixed(s) >> np.uint64(64 - size)).astype(np.int64), minlength=1 << size)
+    return np.packbits(flips & 1 > 0).tobytes()
+
+
+SKETCHES = "point long, sketch binary"
+
+
+def _sketches(words: int):
+    def run(batches):
+        for batch in batches:
+            points, texts = (c.to_pylist() for c in batch.columns)
+            yield record_batch([points, [_sketch(s) for s in shingle_sets(texts, words)]], arrow_schema(SKETCHES))
+    return run
+
+
+class Sketches:
+    """Sketches of rows, compared at the size of a pair's smaller one."""
+
+    def __init__(self, rows: list[bytes]):
+        self.rows = rows
+        self.bits = np.array([len(r) * 8 for r in rows], np.int64)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _at(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches of that size or more, folded to it, and where each row's is: the first
+        bits of a position count, so what shares them is flipped together."""
+        if size not in self.folded:
+            big = np.flatnonzero(self.bits >= size)
+            made = np.empty((len(big), size // 64), np.uint64)
+            for k, i in enumerate(big.tolist()):
+                bits = np.unpackbits(np.frombuffer(self.rows[i], np.uint8))
+                made[k] = np.packbits(np.bitwise_xor.reduce(bits.reshape(size, -1), axis=1)).view(np.uint64)
+            place = np.zeros(len(self.rows), np.int64)
+            place[big] = np.arange(len(big))
+            self.folded[size] = made, place
+        return self.folded[size]
+
+    def within(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Whether the sketches of rows i and j differ in ``most`` bits at most."""
+        ok = np.zeros(len(i), bool)
+        size = np.minimum(self.bits[i], self.bits[j])
+        for one in np.unique(size).tolist():
+            made, place = self._at(one)
+            of = np.flatnonzero(size == one)
+            for a in range(0, len(of), 20_000):
+                at = of[a:a + 20_000]
+                differ = np.bitwise_count(made[place[i[at]]] ^ made[place[j[at]]]).sum(axis=1, dtype=np.int64)
+                ok[at] = differ <= most[at]
+        return ok
+
+
+def _cell_pairs(percent: int):
+    """Rows (cell, apart, block, point, n, pos, label, d, sketch) sorted by (cell, n): pairs of
+    different labels that neither the windows nor the sketches rule out. d: distance to
+    the region's chief, if known. Sketches are metric too: they differ by no more than the
+    sets do, and linked sets differ by (1 - t) / (1 + t) of both sizes at most."""
+    def candidates(cell, apart, block, n, pos, label, d):
+        """Pairs that the windows leave, as row numbers."""
+        start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        size = np.diff(np.append(start, len(cell)))
+
+        def use(i, j):
+            return (label[i] != label[j]) & _may_link(n[i], pos[i], n[j], pos[j], percent) & (~apart[i] | (block[i] != block[j])) \
+                & ~(np.abs(d[i] - d[j]) > 1 - percent / 100 + 1e-9)
+        small = np.repeat(size <= MANY, size)
+        end = np.repeat(start + size, size)
+        i, step = np.flatnonzero(small), 1
+        while len(i):  # in small cells each row with the one ``step`` further on, as long as sizes allow
+            i = i[i + step < end[i]]
+            i = i[100 * n[i] >= percent * n[i + step]]  # sizes ascend in a cell
+            good = use(i, i + step)
+            yield i[good], i[good] + step
             step += 1
+        for s, e in zip(start[size > MANY].tolist(), (start + size)[size > MANY].tolist(), strict=True):
+            names, counts = np.unique(label[s:e], return_counts=True)
+            most = names[np.argmax(counts)]
+            for k in (s + np.flatnonzero(label[s:e] != most)).tolist():  # of two sets of the greatest component no pair is needed
+                lo, hi = s + np.searchsorted(n[s:e], [-(-percent * n[k] // 100), 100 * n[k] // percent + 1])
+                j = np.arange(lo, hi)
+                j = j[(label[j] == most) | (j < k)]  # of two others the later one looks back
+                i = np.full(len(j), k)
+                good = use(i, j)
+                yield i[good], j[good]
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        cell, apart, block, point, n, pos, label, d = (rows[c].to_numpy() for c in ("cell", "apart", "block", "point", "n", "pos", "label", "d"))
+        sketches = Sketches(rows["sketch"].to_pylist())
+        out = [np.zeros((2, 0), np.int64)]
+        for i, j in candidates(cell, apart, block, n, pos, label, d):
+            both = n[i] + n[j]
+            near = sketches.within(i, j, both - 2 * -(-percent * both // (100 + percent)))
+            i, j = point[i[near]], point[j[near]]
+            out.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
         found = np.unique(np.concatenate(out, axis=1), axis=1)
         return record_batch([found[0], found[1]], arrow_schema(PAIRS))
 
@@ -273,10 +354,10 @@ def _rest_pairs(percent: int):
             if batch.num_rows:
                 held.append(batch)
                 size += batch.num_rows
-            if size >= REGION_ROWS:
+            if size >= CELL_ROWS:
                 rows = pa.Table.from_batches(held).combine_chunks()
-                pivot = rows["pivot"].to_numpy()
-                if cut := int(np.flatnonzero(pivot == pivot[-1])[0]):
+                cell = rows["cell"].to_numpy()
+                if cut := int(np.flatnonzero(cell == cell[-1])[0]):
                     yield pairs(rows.slice(0, cut))
                 held = rows.slice(cut).to_batches()
                 size = rows.num_rows - cut
@@ -326,8 +407,8 @@ def jaccard_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     own = points.where("block is null").select("row", "doc_id", "text_hash", "point", "n")
 
     rows = docs.select("text").mapInArrow(_windows(words, percent, commonness), REGIONS)
-    # few different chiefs for sets that share many regions
-    h = F.xxhash64("point", F.col("pivot") % CHIEFS).alias("h")
+    # the set with the fewest rarer shingles is nearest to the middle of its region
+    h = F.col("place").bitwiseAND(2**32 - 1).alias("h")
     rows = rows.repartition("pivot").select("pivot", h, "point", "place").sortWithinPartitions("pivot", "h", "point")
     members = rows.mapInArrow(_regions(percent), MEMBERS).checkpoint()  # in the same order
 
@@ -346,26 +427,27 @@ def jaccard_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
         return both.mapInArrow(_compare(words, percent), DISTANCES)
 
     def labelled(links: DataFrame) -> DataFrame:
-        """Members of the regions that hold sets of several components."""
+        """Members of the regions that hold sets of several components, with their regions' sizes."""
         labels = components(links).select(F.col("node").alias("point"), "label").checkpoint()
         rest = members.join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
-        several = rest.groupBy("pivot").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("pivot")
-        return rest.join(several, "pivot")
+        several = rest.groupBy("pivot").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count(F.lit(1)).alias("rows"))
+        return rest.join(several.where("l1 <> l2").select("pivot", "rows"), "pivot")
 
     pairs = members.select("pivot", "point", "n", "pos", F.col("point").alias("label")).mapInArrow(_pivot_pairs(percent), PAIRS)
     first = distances(pairs.distinct()).checkpoint()
     links = first.where("linked").select("a", "b")
-    for turn in range(MORE_TURNS):  # other pivots, of each region's own, for what isn't connected yet
-        rest = labelled(links).select("pivot", "point", "n", "pos", "label").repartition("pivot")
-        rest = rest.sortWithinPartitions("pivot", F.xxhash64("point", "pivot", F.lit(turn)))
-        more = distances(rest.mapInArrow(_pivot_pairs(percent), PAIRS).distinct()).checkpoint()
-        links = links.unionByName(more.where("linked").select("a", "b"))
     rest = labelled(links)
     known = first.select(F.col("a").alias("point"), F.col("b").alias("chief"), "d")
     rest = rest.join(known, ["point", "chief"], "left")
     rest = rest.withColumn("d", F.when(F.col("point") == F.col("chief"), 0.0).otherwise(F.coalesce("d", F.lit(float("nan")))))
-    rest = rest.select("pivot", "point", "n", "pos", "label", "d").repartition("pivot").sortWithinPartitions("pivot", "n", "point")
-    second = distances(rest.mapInArrow(_rest_pairs(percent), PAIRS).distinct())
+    # a region of many sets is dealt into blocks, each pair of which is a cell of its own
+    blocks = F.ceil(F.col("rows") / F.lit(CELL_ROWS)).cast("int")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("point"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    pair = (F.least("block", "other"), F.greatest("block", "other"))
+    rest = rest.select("point", "n", "pos", "label", "d", "block", F.xxhash64("pivot", *pair).alias("cell"), (pair[0] != pair[1]).alias("apart"))
+    sketches = texts.mapInArrow(_sketches(words), SKETCHES)
+    rest = rest.join(sketches, "point").repartition("cell").select("cell", "apart", "block", "point", "n", "pos", "label", "d", "sketch")
+    second = distances(rest.sortWithinPartitions("cell", "n", "point").mapInArrow(_cell_pairs(percent), PAIRS).distinct())
     links = links.unionByName(second.where("linked").select("a", "b"))
 
     # components over the components so far
