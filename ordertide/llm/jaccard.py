@@ -252,7 +252,7 @@ def _sketch(s: np.ndarray) -> bytes:
     """Bits that each shingle flips one of; at least four for each shingle of the set. Two
     sketches differ in no more bits than their sets do in shingles."""
     size = max(10, int(4 * len(s) - 1).bit_length())
-    flips = np.bincount((grams.mixed(s) >> np.uint64(64 - size)).astype(np.int64), minlength=1 << size)
+    flips = np.bincount((grams.mixed(s) & np.uint64((1 << size) - 1)).astype(np.int64), minlength=1 << size)
     return np.packbits(flips & 1 > 0).tobytes()
 
 
@@ -271,22 +271,24 @@ class Sketches:
     """Sketches of rows, compared at the size of a pair's smaller one."""
 
     def __init__(self, rows: list[bytes]):
-        self.rows = rows
         self.bits = np.array([len(r) * 8 for r in rows], np.int64)
+        self.of_size = {}  # size -> rows of it, their sketches
+        for size in np.unique(self.bits).tolist():
+            of = np.flatnonzero(self.bits == size)
+            self.of_size[size] = of, np.frombuffer(b"".join(rows[k] for k in of.tolist()), np.uint64).reshape(len(of), -1)
         self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _at(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sketches of that size or more, folded to it, and where each row's is: the first
+        """Sketches of that size or more, folded to it, and where each row's is: the last
         bits of a position count, so what shares them is flipped together."""
         if size not in self.folded:
-            big = np.flatnonzero(self.bits >= size)
-            made = np.empty((len(big), size // 64), np.uint64)
-            for k, i in enumerate(big.tolist()):
-                bits = np.unpackbits(np.frombuffer(self.rows[i], np.uint8))
-                made[k] = np.packbits(np.bitwise_xor.reduce(bits.reshape(size, -1), axis=1)).view(np.uint64)
-            place = np.zeros(len(self.rows), np.int64)
-            place[big] = np.arange(len(big))
-            self.folded[size] = made, place
+            made, place, n = [], np.zeros(len(self.bits), np.int64), 0
+            for own, (of, words) in self.of_size.items():
+                if own >= size:
+                    made.append(np.bitwise_xor.reduce(words.reshape(len(of), own // size, size // 64), axis=1))
+                    place[of] = n + np.arange(len(of))
+                    n += len(of)
+            self.folded[size] = np.concatenate(made), place
         return self.folded[size]
 
     def within(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:

@@ -50,3 +50,52 @@ def test_near_duplicates_leave_clashing_columns_alone(spark):
     assert got.columns == docs.columns
     got = got.collect()
     assert got and all(r[c] == f"{c} of {r.doc_id}" for r in got for c in extra)
+
+
+def test_sketches_never_rule_out_a_link():
+    """Sketches of sets that differ in d shingles differ in d bits at most, at any size."""
+    import numpy as np
+
+    from ordertide.llm import jaccard
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, size=rng.integers(1, 1500), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.random()], rng.integers(0, 2**63, size=rng.integers(1, 300), dtype=np.uint64)]))
+        both = jaccard.Sketches([jaccard._sketch(a), jaccard._sketch(b)])
+        apart = len(np.setxor1d(a, b))
+        assert both.within(np.array([0, 1]), np.array([1, 0]), np.array([apart, apart])).all()
+    far = jaccard.Sketches([jaccard._sketch(rng.integers(0, 2**63, size=200, dtype=np.uint64)) for _ in range(2)])
+    assert not far.within(np.array([0]), np.array([1]), np.array([44]))[0]
+
+
+def test_a_large_region_is_dealt_into_cells(spark, monkeypatch):
+    """Several hundred near copies of which most don't link with each other: the same
+    components whether a region is one cell or many."""
+    import random
+
+    from ordertide.llm import jaccard
+    from ordertide.ship import ship
+    ship(spark)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(120)] = f"x{i}-{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    def sets(words):
+        return {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+    found = [sets(t.split()) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(found[i] & found[j]) >= 80 * len(found[i] | found[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    for size in (jaccard.CELL_ROWS, 40):
+        monkeypatch.setattr(jaccard, "CELL_ROWS", size)
+        assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()} == dict(enumerate(label))
+    assert 1 < len(set(label)) < len(rows)
