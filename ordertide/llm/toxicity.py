@@ -26,11 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.arrow import arrow_schema, map_columns, record_batch
+from ordertide.llm.stored import stored
 
 #: Labelled documents that the lexicon and the curve are learned from, at most (those with the smallest md5 of doc_id).
 FIT_ROWS = 20_000
-#: Learned words, at most (those with the highest standardised log-odds).
-LEXICON_WORDS = 5_000
 #: Standard errors that a word's log-odds must be above zero.
 MIN_Z = 3.2
 #: Lengths of the word beginnings that are learned beside whole words.
@@ -147,14 +146,19 @@ def _log_odds(toxic, n_toxic: int, other, n_other: int):
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[dict[str, float], np.ndarray]:
     """Lexicon and curve from at most ``fit_rows`` labelled documents that aren't held
     out. Labels other than 0 and 1 and labels without a doc_id are ignored; of several
-    labels of one doc_id the highest counts."""
+    labels of one doc_id the highest counts, of several texts the one with the least hash.
+    The documents that are learned from are found in one pass and stored; the rest reads
+    these."""
     labels = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     labels = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = labels.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(fit_rows)
     # at most fit_rows pairs of numbers
     spark = docs.sparkSession
     sample = spark.createDataFrame(sample.collect(), "l_id long, toxic int")
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id")).select("toxic", "text")
+    known = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
+    # one row for each label, however often its document is there
+    known = known.groupBy("l_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    known = stored(known.select("toxic", "text"), "toxicity")
     n = {t: c for t, c in known.groupBy("toxic").count().collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
     prior = dict.fromkeys(INSULTS, PRIOR_WEIGHT)
@@ -166,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[d
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("other") + 0.5) / (n_other + 1))
     z = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
-    counts = counts.where((F.col("toxic") > 1) & (z >= MIN_Z)).orderBy(z.desc(), "word").limit(LEXICON_WORDS)
+    counts = counts.where((F.col("toxic") > 1) & (z >= MIN_Z))
+    # words of the stored documents, so at most what fit_rows of them hold
     counts = {r["word"]: (r["toxic"], r["other"]) for r in counts.collect()}
 
     def contexts(toxic: list, texts: list) -> list:
