@@ -50,9 +50,14 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
                        F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).rlike(mixing.WORD).alias("worded"),
                        F.to_json(F.struct(*(c for c in columns if c != "`text`"))).alias("others"))
     same = (F.col("no_id") == F.col("k_no_id")) & (F.col("id") == F.col("k_id")) & (F.col("text_hash") == F.col("k_hash"))
-    named = rows.where("worded").join(kept, same, "left_semi").unionByName(rows.where("not worded and not no_id"))
-    named = named.groupBy("no_id", "id", "text_hash").agg(F.min_by("doc", "others").alias("doc")).select("doc")
-    return named.unionByName(rows.where("not worded and no_id").select("doc")).select("doc.*")
+    named = ["no_id", "id", "text_hash"]
+
+    def first(df: DataFrame) -> DataFrame:
+        return df.groupBy(*named).agg(F.min_by("doc", "others").alias("doc")).select("doc")
+    # grouped as they are joined, so that texts are shuffled once
+    worded = first(rows.where("worded").join(kept, same, "left_semi"))
+    blank = rows.where("not worded")
+    return worded.unionByName(first(blank.where("not no_id"))).unionByName(blank.where("no_id").select("doc")).select("doc.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
