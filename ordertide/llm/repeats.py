@@ -9,10 +9,11 @@ minimiser occurs as such twice or more can repeat.
    different minimisers with counts: 64-bit hashes, so a frequent passage gives
    one row per group. A minimiser counted once in the whole table is dropped.
 2. Consecutive windows with one kept minimiser travel as one packed piece of text
-   to the bucket of that minimiser.
+   to the bucket of that minimiser. Pieces are cut and shuffled once.
 3. A bucket of up to BUCKET_PIECES pieces is judged as a whole by the caller's
-   method. For a more frequent minimiser, equal pieces are first made one by a
-   grouped minimum, and windows of what is left are compared by a second
+   method, equal pieces once. Pieces of a more frequent minimiser are spread by
+   group, a group sends the bytes of equal ones once; equal pieces are first made one
+   by a grouped minimum, and windows of what is left are compared by a second
    aggregation, so no task gets a whole frequent passage.
 4. The covered units go back to the documents' groups, which cut them out.
 
@@ -22,11 +23,13 @@ is written in between.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,7 +103,9 @@ def _blocks(texts: list[bytes], units: Units) -> Iterator[tuple[int, int]]:
 
 
 GRAMS = "g long, gram long, n long"
-PIECES = "gram long, g long, place long, doc_id long, start long, last long, piece binary"
+#: salt: -1, or the group for pieces of a frequent minimiser. Those have a name, and
+#: bytes only for the first of a name in its group.
+PIECES = "gram long, salt long, g long, place long, doc_id long, start long, last long, name binary, piece binary"
 COVERED = "g long, place long, start long, end long"
 
 
@@ -115,19 +120,28 @@ def _gram_counts(units: Units):
 
 def _cut_pieces(units: Units):
     def run(key, docs, kept):
-        out = []
+        out, g = [], key[0].as_py()
         if docs.num_rows and kept.num_rows:
             ids, texts = _in_order(docs)
             known = kept["gram"].to_numpy().view(np.uint64)
-            known = np.sort(known)
+            order = np.argsort(known)
+            known, frequent = known[order], kept["often"].to_numpy()[order]
+            sent = set()  # names of frequent pieces
             for a, b in _blocks(texts, units):
                 gram, doc, first, last = units.minimisers(texts[a:b])
                 at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
                 use = known[at] == gram
-                gram, doc, first, last = gram[use], doc[use], first[use], last[use]
+                gram, doc, first, last, often = gram[use], doc[use], first[use], last[use], frequent[at[use]]
+                pieces = units.pieces(texts[a:b], doc, first, last + units.width)
+                names = [None] * len(pieces)
+                for i in np.flatnonzero(often).tolist():
+                    names[i] = hashlib.blake2b(pieces[i], digest_size=16).digest()
+                    if names[i] in sent:
+                        pieces[i] = None
+                    sent.add(names[i])
                 out.append(record_batch([
-                    gram.view(np.int64), np.full(len(gram), key[0].as_py()), doc + a, [ids[a + d] for d in doc.tolist()],
-                    first, last, units.pieces(texts[a:b], doc, first, last + units.width)], arrow_schema(PIECES)))
+                    gram.view(np.int64), np.where(often, g, -1), np.full(len(gram), g), doc + a, [ids[a + d] for d in doc.tolist()],
+                    first, last, names, pieces], arrow_schema(PIECES)))
         return pa.Table.from_batches(out, arrow_schema(PIECES))
     return run
 
@@ -157,13 +171,24 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def _judge_buckets(units: Units, judge: Callable):
-    """Rows (g, place, start, last, piece) sorted by bucket, then document and start."""
+def _judge_buckets(units: Units, judge: Callable, all_but_first: bool):
+    """PIECES sorted by bucket, then document and start. Of equal pieces, which share
+    a bucket, the first is judged: all windows of a later one start earlier too."""
     def covered(rows: pa.Table):
         col = lambda name: rows[name].to_numpy()
         start, n = col("start"), col("last") - col("start") + 1
-        hashed, at = windows_of(units, rows["piece"].to_pylist(), n)
-        hit = judge(hashed, at, np.repeat(np.arange(len(n)), n))
+        texts = pc.dictionary_encode(rows["piece"].combine_chunks())
+        kind = texts.indices.to_numpy()  # numbered by first occurrence
+        first = np.unique(kind, return_index=True)[1]
+        hashed, at = windows_of(units, texts.dictionary.to_pylist(), n[first])
+        again = np.ones(len(n), bool)
+        again[first] = False
+        if not all_but_first:
+            again = np.bincount(kind)[kind] > 1
+        hit = np.repeat(again, n)
+        judged = np.zeros(len(n), bool)
+        judged[first] = True
+        hit[np.repeat(judged, n)] |= judge(hashed, at)
         return record_batch(_runs([np.repeat(col("g"), n), np.repeat(col("place"), n)], _ranges(start, n), hit, units.width),
                             arrow_schema(COVERED))
 
@@ -190,6 +215,10 @@ def _judge_buckets(units: Units, judge: Callable):
     return run
 
 
+def _as_is(batches):
+    yield from batches
+
+
 WINDOWS = "h1 long, h2 long, g long, place long, doc_id long, start long, n long"
 
 
@@ -234,18 +263,21 @@ def covered_units(docs: DataFrame, units: Units, judge: Callable, all_but_first:
     counts = docs.groupBy("g").applyInArrow(_gram_counts(units), GRAMS)
     kept = counts.withColumn("total", F.sum("n").over(Window.partitionBy("gram"))).where("total > 1")
 
-    def pieces(some: DataFrame) -> DataFrame:
-        return docs.groupBy("g").cogroup(some.select("g", "gram").groupBy("g")).applyInArrow(_cut_pieces(units), PIECES)
+    kept = kept.select("g", "gram", (F.col("total") > BUCKET_PIECES).cast("long").alias("often"))
+    cut = docs.groupBy("g").cogroup(kept.groupBy("g")).applyInArrow(_cut_pieces(units), PIECES).repartition("gram", "salt")
+
+    def dealt(salted: bool) -> DataFrame:
+        # rand() keeps the filter above the shuffle, so that both readers share it
+        return cut.where(F.when(F.rand(0) >= 0, (F.col("salt") >= 0) == F.lit(salted)))
 
-    order = ["gram", "doc_id", "g", "place", "start"]
-    usual = pieces(kept.where(F.col("total") <= BUCKET_PIECES)).repartition("gram").sortWithinPartitions(*order)
-    found = usual.select("gram", "g", "place", "start", "last", "piece").mapInArrow(_judge_buckets(units, judge), COVERED)
+    usual = dealt(False).sortWithinPartitions("gram", "doc_id", "g", "place", "start")
+    found = usual.mapInArrow(_judge_buckets(units, judge, all_but_first), COVERED)
 
-    often = pieces(kept.where(F.col("total") > BUCKET_PIECES)).withColumns({
-        "first": F.struct("doc_id", "g", "place", "start", "last"), "p1": F.xxhash64("piece"), "p2": F.xxhash64(F.lit(1), "piece")})
-    same = often.groupBy("gram", "p1", "p2").agg(F.min("first").alias("head"), F.count("*").alias("n"), F.min("piece").alias("piece"))
+    # through Arrow with all columns, for the same reason
+    often = dealt(True).mapInArrow(_as_is, PIECES).withColumn("first", F.struct("doc_id", "g", "place", "start", "last"))
+    same = often.groupBy("gram", "name").agg(F.min("first").alias("head"), F.count("*").alias("n"), F.min("piece").alias("piece"))
     repeated = (F.col("first") != F.col("head")) if all_but_first else F.col("n") > 1
-    members = often.drop("piece").join(same.drop("piece"), ["gram", "p1", "p2"]).where(repeated)
+    members = often.drop("piece").join(same.drop("piece"), ["gram", "name"]).where(repeated)
     found = found.unionByName(members.select("g", "place", "start", (F.col("last") + units.width).alias("end")))
     heads = same.select("head.*", "piece", "n")
     windows = heads.mapInArrow(_explode_windows(units), WINDOWS).withColumn("at", F.struct("doc_id", "g", "place", "start"))

@@ -21,7 +21,7 @@ GRAM = 12
 
 
 def _counted(width: int):
-    def judge(units: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    def judge(units: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Whether each window occurs twice or more among those of its bucket. Equal
         windows are of one bucket, so all buckets of a block are sorted together."""
         h1 = grams.run_hashes(units, width)[at]

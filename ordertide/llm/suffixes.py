@@ -49,7 +49,7 @@ def refined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _refine(width: int):
     first = min(25, width)
 
-    def judge(units: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    def judge(units: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Whether an earlier window has the same text. Windows come in order of
         document and start within a bucket, and equal ones share a bucket."""
         bucket = grams.run_hashes(units, first).view(np.int64)
