@@ -267,8 +267,9 @@ def covered_units(docs: DataFrame, units: Units, judge: Callable, all_but_first:
     cut = docs.groupBy("g").cogroup(kept.groupBy("g")).applyInArrow(_cut_pieces(units), PIECES).repartition("gram", "salt")
 
     def dealt(salted: bool) -> DataFrame:
-        # rand() keeps the filter above the shuffle, so that both readers share it
-        return cut.where(F.when(F.rand(0) >= 0, (F.col("salt") >= 0) == F.lit(salted)))
+        # rand() (below 1) keeps the filter above the shuffle, so that both readers share it
+        salt = F.col("salt") + F.floor(F.rand(0))
+        return cut.where(salt >= 0 if salted else salt < 0)
 
     usual = dealt(False).sortWithinPartitions("gram", "doc_id", "g", "place", "start")
     found = usual.mapInArrow(_judge_buckets(units, judge, all_but_first), COVERED)
