@@ -5,7 +5,8 @@ space, at line ends, after web addresses and list marks) of lower-case words. A
 one clause or several in a row: it starts and ends where a clause does, and whatever
 ends of clauses are inside it don't count. So "v. 2.0", a semicolon, a wrapped line, a
 blank one or a comment mark hide no sentence, and a sentence that ends at a colon is
-one. The identifiers of a document, in order, are matched against licence rules: each
+one. Where a sentence names an owner, any name of up to 30 words is that sentence. The
+identifiers of a document, in order, are matched against licence rules: each
 rule is a sequence of identifiers, the leftmost match wins, a longer rule before a
 shorter one, and matches don't overlap.
 
@@ -103,6 +104,10 @@ RULES = {
 # Each known sentence holds one of these, so texts without them are passed by.
 KEYS = ("licens", "copyright", "permi", "software", "reserved", "mpl", "modif")
 
+# A name that texts fill in, and the words of the known sentence.
+NAME_SLOT = "neither the names? of (?:[a-z0-9]+ ){1,30}?nor the names of (?:its|their) contributors"
+NAME_FILLED = "neither the name of the copyright holder nor the names of its contributors"
+
 RULE_PATTERN = "|".join(sorted(RULES, key=lambda r: (-len(r), r)))
 #: Web addresses, after which a clause ends; other ends of clauses; words that open a comment line (marks without letters go by themselves); "(1)", "b)" and the like.
 ADDRESS = r"https?://[^ \t\r\n]+"
@@ -127,6 +132,7 @@ def _sentence_ids(text: Column) -> Column:
     clauses = F.concat(F.lit("\n"), F.regexp_replace(F.regexp_replace(text, ADDRESS, "$0\n"), CLAUSE_END, "\n"), F.lit("\n"))
     clauses = F.regexp_replace(F.regexp_replace(clauses, COMMENT_WORD, "\n"), LIST_MARK, "\n$1\n")
     clauses = F.regexp_replace(F.regexp_replace(clauses, "[^a-z0-9\n]+", " "), " *\n[ \n]*", "\n")
+    clauses = F.regexp_replace(clauses, NAME_SLOT.replace(" ", "[ \n]"), NAME_FILLED)
     found = F.regexp_extract_all(clauses, F.lit(SENTENCE_PATTERN), F.lit(1))
     return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
 
@@ -162,7 +168,7 @@ def _pairs(d: dict[str, str]) -> str:
 
 def _duck_ids(text: str) -> str:
     known = _pairs({s: i for i, s in SENTENCES.items()})
-    words = f"[trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) FOR s IN string_split(regexp_replace({text}, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))]"
+    words = f"[regexp_replace(trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')), '{NAME_SLOT}', '{NAME_FILLED}') FOR s IN string_split(regexp_replace({text}, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))]"
     return f"list_filter([({known})[s] FOR s IN {words}], lambda i: i IS NOT NULL)"
 
 

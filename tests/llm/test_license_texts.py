@@ -43,6 +43,8 @@ TEXTS = [
     ("G01", "GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("B01 B02 B03 B04", "BSD-3-Clause", BSD3.format("1. ", "2. ", "3. ")), ("B01 B02 B03", "BSD-2-Clause", BSD.format("(a) ", "(b) ")),
     ("B01 B02 B03 B04", "BSD-3-Clause", BSD3.format("* ", "* ", "* ")),
+    *(("B01 B02 B03 B04", "BSD-3-Clause", BSD3.format("1. ", "2. ", "3. ").replace("the name of the copyright holder", name))
+      for name in ("the name of the <organization>", "the name of Example Works, Inc.", "the names of the authors")),
     ("P01 P02", "MPL-2.0", MPL), ("P01", "MPL-2.0", MPL[:MPL.index(" If")]),
     ("C01", "CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("C02", "CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("C03", "CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("C04", "CC-BY-4.0", CC.format("")),
