@@ -41,7 +41,7 @@ def run_batch(spark: SparkSession, sf_dir: str, out_root: str, lim: Limits = TAB
     outcomes = _write(outcomes, f"{out}/_outcomes")
     ok, _ = rt.split(outcomes)
     orders_full = _write(ok, paths["orders_full"])
-    r = saga.run(orders_full.drop("route", "valuable"), lim)
+    r = saga.run(orders_full.drop("route", "valuable"), lim, stored=True)
     pay = _write(r.payment, paths["payment"])
     stk = _write(r.stock, paths["stock"])
     r.with_stages(payment=pay, stock=stk)            # later stages read the written folds

@@ -156,8 +156,9 @@ def q_error_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _error_topic(out: DataFrame, lim: Limits) -> DataFrame:
+    out = saga.materialize(out)
     ok, _ = rt.split(out)
-    r = saga.run(ok, lim).prepare_both()
+    r = saga.run(ok, lim, stored=True).prepare_both()
     return er.union_errors(
         er.error_rows(out, "enrich", "id"),
         er.error_rows(r.payment, "payment", "customerId"),

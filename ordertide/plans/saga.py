@@ -13,7 +13,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +26,11 @@ from ordertide.session import checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a stage read by several consumers (reliable checkpoint
-    into ``spark.checkpoint.dir``), so a lost executor recomputes from here and
-    the stage runs once (persisted while the checkpoint is written)."""
+    """A stage that several consumers read: checkpointed into
+    ``spark.checkpoint.dir``, so it runs once and a lost executor recomputes
+    from here."""
     checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    return df.checkpoint()
 
 
 def reply_delay(seq: Column, modulus: int) -> Column:
@@ -50,8 +47,9 @@ class SagaResult:
     the credit side never folds the stock side)."""
 
     def __init__(self, orders_full: DataFrame, lim: Limits, persist: bool,
-                 delays: tuple[int, int] | None, fold: str):
+                 delays: tuple[int, int] | None, fold: str, stored: bool):
         self.orders_full, self.lim, self._persist, self.delays = orders_full, lim, persist, delays
+        self._stored = stored
         self._reserve = reserve_split if fold == "range" else rv.reserve
 
     def with_stages(self, **stages: DataFrame) -> "SagaResult":
@@ -79,9 +77,12 @@ class SagaResult:
 
     def prepare_both(self) -> "SagaResult":
         """Prepare the two folds concurrently (their eager jobs are
-        independent, so they overlap instead of queueing)."""
+        independent, so they overlap instead of queueing). Both read the orders
+        from one checkpoint, so lines are aggregated once."""
         missing = [n for n in ("payment", "stock") if n not in self.__dict__]
         if len(missing) == 2:
+            if not self._stored:
+                self.orders_full, self._stored = materialize(self.orders_full), True
             with ThreadPoolExecutor(max_workers=2) as pool:
                 fold = inheritable_thread_target(self.orders_full.sparkSession)(lambda n: getattr(self, n))
                 for name, df in zip(missing, pool.map(fold, missing)):
@@ -119,13 +120,15 @@ def with_reply_times(pay_replies: DataFrame, stk_replies: DataFrame,
 
 def run(orders_full: DataFrame, lim: Limits, persist: bool = False,
         delays: tuple[int, int] | None = (PAYMENT_DELAY_MOD, STOCK_DELAY_MOD),
-        fold: str = "range") -> SagaResult:
+        fold: str = "range", stored: bool = False) -> SagaResult:
     """``orders_full``: successful enriched orders with ``ts`` and ``seq``.
 
     ``delays``: reply-time model (seconds = seq mod m per side); None keeps the
     order's own time on both replies, as a stream processor would.
     ``fold``: "range" splits hot keys over many tasks (reservation_split);
     "hash" streams every key through one task. ``persist`` checkpoints each
-    fold's output (for callers reading it several times).
+    fold's output (for callers reading it several times). ``stored``:
+    ``orders_full`` reads a table or a checkpoint, so nothing is gained by
+    storing it for the two folds.
     """
-    return SagaResult(orders_full, lim, persist, delays, fold)
+    return SagaResult(orders_full, lim, persist, delays, fold, stored)
