@@ -33,7 +33,43 @@ BSD3 = BSD + ("\n\n{2}Neither the name of the copyright holder nor the names of
 MPL = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
        "with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
 CC = "This work is licensed under a Creative Commons Attribution{0} 4.0 International License."
+ONLY = GPL.replace("{1} either version {2} of the License, or (at your option) any later version.", "{1} version {2} of the License.")
+NAMED = GPL.replace("License as published by the Free Software Foundation{1} either version {2} of the License, or (at your option) any later version.",
+                    "License version {2} as published by the Free Software Foundation.")
+LGPL = GPL.replace("General", "Lesser General").replace("This program", "This library")
+AGPL = GPL.replace("General", "Affero General")
+ISC = ("Permission to use, copy, modify, and{0} distribute this software for any purpose with or without fee is hereby granted{1}.\n\n"
+       'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+       "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL DAMAGES.")
+NOTICE = ", provided that the above copyright notice and this permission notice appear in all copies"
+ZLIB = ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of "
+        "this software must not be misrepresented; you must not claim that you wrote the original software.")
+BOOST = ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+         'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the '
+         "Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to "
+         "do so, all subject to the following:\n\nThe copyright notices in the Software and this entire statement must be included.")
+CC0 = "To the extent possible under law, {0} has waived all copyright and related or neighboring rights to {1}."
 TEXTS = [
+    ("G07", "GPL-2.0-only", ONLY.format(";", ";", 2).split("\n")[0]), ("G06", "GPL-2.0-only", NAMED.format(";", "", 2).split("\n")[0]),
+    ("G08", "GPL-3.0-only", NAMED.format(":", "", 3).split("\n")[0]),
+    ("L01 L04 L05", "LGPL-2.1-or-later", LGPL.format(";", ";", 2.1)), ("L02 L04 L05", "LGPL-3.0-or-later", LGPL.format(":", ",", 3)),
+    ("L01", "LGPL-2.1-or-later", LGPL.format(";", ";", 2.1).split("\n")[0]), ("L02", "LGPL-3.0-or-later", LGPL.format(":", ",", 3).split("\n")[0]),
+    ("L03", "LGPL-3.0-or-later", LGPL.format(":", ",", 3).split("\n")[0].replace("This library", "This program")),
+    ("F01 G04 F02", "AGPL-3.0-or-later", AGPL.format(":", ",", 3)), ("F01", "AGPL-3.0-or-later", AGPL.format(":", ",", 3).split("\n")[0]),
+    ("I01 I04", "ISC", ISC.format("/or", NOTICE)), ("I02 I04", "ISC", ISC.format("", NOTICE)), ("I03 I04", "0BSD", ISC.format("/or", "")),
+    ("I01", "ISC", ISC.format("/or", NOTICE).split("\n")[0]), ("I02", "ISC", ISC.format("", NOTICE).split("\n")[0]),
+    ("I03", "0BSD", ISC.format("/or", "").split("\n")[0]),
+    ("Z01 Z02 Z03", "Zlib", ZLIB), ("Z03", "Zlib", ZLIB[ZLIB.index("Permission"):]),
+    ("X01", "BSL-1.0", BOOST), ("X02", "BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file.)"),
+    ("K01", "CC0-1.0", CC0.format("Jane Doe", "Example Work, its parts and all their data")), ("K01", "CC0-1.0", CC0.format("the author", "this work")),
+    ("K02", "CC0-1.0", "CC0 1.0 Universal"),
+    ("M02", "MIT", "This project is licensed under the MIT License."), ("M01", "MIT", "This library is made available under the MIT License."),
+    ("M02", "MIT", "This source code is licensed under the terms of the MIT license."),
+    *((i, licenses.RULES[i], s.capitalize().replace("2 0", "2.0").replace(" version", ", version") + ".")
+      for i, s in licenses.SENTENCES.items() if i[0] == "N"),
+    *((f"S{n:02}", x, f"SPDX-License-Identifier: {x}") for n, x in enumerate(licenses.SPDX)),
     ("A02 A03 A04 A05 A06", "Apache-2.0", APACHE), ("A02 A03 A04", "Apache-2.0", APACHE[:APACHE.index("Unless")]),
     ("A02 A03", "Apache-2.0", APACHE[:APACHE.index("You may")]), ("A01", "Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("M03 M04 M05 M06", "MIT", MIT), ("M03 M04 M05", "MIT", MIT[:MIT.index("IN NO")]), ("M03 M04", "MIT", MIT[:MIT.index("THE SOFTWARE IS")]),
@@ -82,6 +118,8 @@ def test_standard_texts(spark, form):
 
 
 def test_parts_of_sentences_are_none(spark):
-    rows = [(1, "It is not licensed under the MIT License."), (2, "Licensed under the MIT License and others."), (3, "the mit | license")]
+    rows = [(1, "It is not licensed under the MIT License."), (2, "Licensed under the MIT License and others."), (3, "the mit | license"),
+            (4, "SPDX-License-Identifier: MIT OR Apache-2.0"), (5, "SPDX-License-Identifier: GPL-2.0+"),
+            (6, "This project is not licensed under the MIT License."), (7, "To the extent possible under law, all is well.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert all(r.sentence_ids == [] for r in licenses.scan_licenses(docs).collect())
