@@ -9,7 +9,9 @@ whose budget is ``e`` whole epochs and ``r`` more words takes every document
 ``e`` times and cuts the next epoch exactly after ``r`` words, inside a document
 if need be.
 
-Only (doc_id, source, text hash, size) rows are shuffled, never texts.
+Only (doc_id, source, text hash, size) rows are shuffled, never texts. Equal ones are
+counted before the shuffle and travel as one row, so a text that is repeated without a
+doc_id, or a repeated document, weighs on no range.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from ordertide.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents per key range. A range is one window partition.
 RANGE_ROWS = 20_000
+#: Repeats of a row that are written out at a time.
+REPEATS = 10_000
 #: Sources up to this number are joined by broadcast (five numbers each).
 BROADCAST_SOURCES = 10_000
 
@@ -65,17 +69,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
 
     Null text and empty text: size 0, taken 0. Null source: a source of its own,
     last. Null doc_id and repeated rows: each row is a document; rows of one doc_id
-    share a key and follow each other by size, then text hash. Empty table: no rows.
+    share a key and follow each other by size, then text hash; rows without one have
+    their text's key. Of equal rows the cut takes one after the other. Very long texts:
+    counted whole. Empty table: no rows. (Different texts under one doc_id share a range,
+    however many they are.)
     """
     checkpoint_dir(docs.sparkSession)
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("size"))
-    # four values a row, read twice below: counted once, and the same rows in any rerun of a task
-    rows = rows.checkpoint()
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    # four values and a count a row, read twice below: counted once, and the same rows in any rerun of a task
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).checkpoint()
+    sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sources, weights, max_epochs).withColumnRenamed("source", "s_source").checkpoint()
     if targets.count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), "text_hash"))))
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(range_rows)))
     part = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") * ranges / F.lit(2.0**32))
     rows = (rows.withColumn("key", key)
@@ -83,19 +90,24 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
             .withColumn("part", part))
     # names for (source, part) that join without nulls
     rows = rows.withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
-    totals = rows.groupBy("src", "part").agg(F.sum("size").alias("part_size"))
+    totals = rows.groupBy("src", "part").agg(F.sum(F.col("size") * F.col("n")).alias("part_size"))
     ahead = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("src").alias("t_src"), F.col("part").alias("t_part"),
                            F.coalesce(F.sum("part_size").over(ahead), F.lit(0)).alias("offset"))
     rows = rows.join(totals, (F.col("src") == F.col("t_src")) & (F.col("part") == F.col("t_part")))
     so_far = (Window.partitionBy("src", "part").orderBy("key", "doc_id", "size", "text_hash")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    start = F.col("offset") + F.sum("size").over(so_far) - F.col("size")
+    every = F.col("size") * F.col("n")
+    start = F.col("offset") + F.sum(every).over(so_far) - every
     budget = F.floor("target")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rows = rows.withColumns({"start": start, "epochs": whole.cast("long")})
     rest = budget - F.col("epochs") * F.col("source_size")
-    cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
+    # the equal rows of a group, a bounded number at a time
+    rows = rows.withColumn("rest", rest - F.col("start"))
+    rows = rows.withColumn("from", F.explode(F.expr(f"sequence(0L, n - 1, {REPEATS}L)")))
+    rows = rows.withColumn("nth", F.explode(F.expr(f"sequence(from, least(from + {REPEATS - 1}L, n - 1))")))
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("nth") * F.col("size")))
     taken = F.col("epochs") * F.col("size") + cut
     return rows.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken"))
 

@@ -44,3 +44,18 @@ def test_mix_leaves_clashing_columns_alone(spark):
     assert got.columns == docs.columns
     got = got.collect()
     assert got and all(r[c] == f"{c} of {r.doc_id}" for r in got for c in extra)
+
+
+def test_rows_without_ids_spread_and_repeats_travel_as_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "REPEATS", 7)
+    rows = [(None, prose("copy", 10), "en")] * 50 + [(None, prose(f"n{i}x", 10), "en") for i in range(50)] + [(5, prose("five", 10), "en")] * 23
+    rows += [(None, None, "en")] * 15
+    other = spark.createDataFrame([(100 + i, prose(f"o{i}w", 200), "en", "t", 0) for i in range(9)], SCHEMA)
+    docs = frame(spark, rows).unionAll(other)
+    found = {n: mixing.mix_sources(docs, weights=(1, 3), range_rows=n).where("source = 's'").collect() for n in (4, 1000)}
+    for got in found.values():
+        assert len(got) == len(rows) and {r.source_size for r in got} == {1230}
+        assert sum(r.taken for r in got) == int(got[0].target) < 1230
+        assert sum(r.taken not in (0, r.size) for r in got) <= 1
+        assert all(r.taken <= 3 * r.size for r in got)
+    assert sorted(found[4], key=str) == sorted(found[1000], key=str)
