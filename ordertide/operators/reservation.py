@@ -212,7 +212,7 @@ def unstage(folded: DataFrame, orders_schema: T.StructType, side: Side) -> DataF
             return (F.col(c).cast(T.DecimalType(20, 0)) / F.lit(_UNIT)).cast(S.MONEY)
         return F.col(c).cast("int")
 
-    extra = ["is_last"] if "is_last" in folded.columns else []
+    extra = [c for c in ("is_last", "is_end") if c in folded.columns]
     return folded.select(
         *[_restore(f) for f in orders_schema.fields if f.name not in ("status", "error")],
         "in_status",
@@ -228,16 +228,17 @@ def unit_of(side: Side) -> int:
     return _UNIT if side.money else 1
 
 
-def opening_rows(start: DataFrame, staged: DataFrame, side: Side) -> DataFrame:
+def opening_rows(start: DataFrame, staged: DataFrame, side: Side, idle: bool = False) -> DataFrame:
     """The balances of ``start`` (side.key, available, reserved) as rows that precede all
-    others of their keys in ``staged``; keys without a row there are left out. Their order
-    columns are null, which sorts first."""
+    others of their keys in ``staged``; keys without a row there are left out, but for
+    ``idle``. Their order columns are null, which sorts first."""
     units = unit_of(side)
 
     def long(c: str):
         return (F.col(c) * F.lit(units)).cast("long")
     rows = start.select(F.col(side.key).cast("string").alias("_start"), long("available").alias("_a"), long("reserved").alias("_r"))
-    rows = rows.join(staged.select(F.col(_K).alias("_start")).where("_start is not null").distinct(), "_start", "left_semi")
+    if not idle:
+        rows = rows.join(staged.select(F.col(_K).alias("_start")).where("_start is not null").distinct(), "_start", "left_semi")
     own = {_K: F.col("_start"), _A: F.col("_a"), _ST: F.lit(OPEN), _SRC: F.col("_r").cast("string")}
     return rows.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in staged.schema.fields])
 
@@ -266,8 +267,11 @@ def reserve(orders: DataFrame, side: Side, partitions: int | None = None, start:
 def balances(reserved: DataFrame, side: Side) -> DataFrame:
     """The state per key that its last row without an error stored. A key with
     error rows only stored nothing and has no balance. The maximum is aggregated
-    partially, so a hot key costs one row per task."""
+    partially, so a hot key costs one row per task. ``reserve_split`` can mark the rows
+    among which those are."""
     kept = reserved.filter(F.col("error").isNull() & F.col(side.key).isNotNull())
+    if "is_end" in reserved.columns:
+        kept = kept.where("is_end")
     last = F.max_by(F.struct("available", "reserved"), F.struct(*[c for c in ORDER if c in reserved.columns]))
     return kept.groupBy(side.key).agg(last.alias("_last")).select(side.key, "_last.available", "_last.reserved")
 

@@ -22,8 +22,10 @@ any number of tasks:
 6. Fold pass (parallel): every partition folds its rows from its start.
 
 Steps 3 and 5 are grouped by key on the executors and handle one small row per
-partition that the key spans; steps 4 and 6 get them by a join on the partition
-number. The driver collects nothing.
+partition that the key spans; steps 4 and 6 get them by a broadcast join on the
+partition number (a row per partition), so the rows are shuffled and sorted once, in
+step 1. The Python passes get Arrow batches: columns that a pass doesn't need stay as
+they are.
 
 Only ``available`` is real state: ``available + reserved + confirmed`` stays
 equal to the initial balance for every row (a NEW accept moves an amount from
@@ -39,8 +41,11 @@ split below it, so they stay few even for money.
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +64,11 @@ _PID = "_pid"
 # open_a, open_conf: available and confirmed of a first key that is opened there.
 SUMMARY = ("pid int, first_key string, last_key string, single boolean, conf_first long, "
            "last_end long, conf_last long, bound_end long, open_a long, open_conf long")
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+_SUMMARY = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in SUMMARY.split(", "))])
+_PIECES = pa.schema([("pid", pa.int32()), ("lo", pa.list_(pa.int64())), ("off", pa.list_(pa.int64()))])
+#: The last row without an error of its key and Arrow batch; a key's last one is among them.
+END = "is_end"
 
 
 class Pieces:
@@ -68,9 +78,12 @@ class Pieces:
         self.lo = np.zeros(1, dtype=np.int64)
         self.off = np.zeros(1, dtype=np.int64)
         self.upper = upper
+        self.most = upper  # what is left of any start up to upper, at most
 
     def new(self, a: int) -> None:
         """A NEW row of amount a: accepted where b - off >= a."""
+        if a > self.most:
+            return
         t = self.off + a
         hi = np.empty_like(self.lo)
         hi[:-1] = self.lo[1:] - 1
@@ -86,9 +99,11 @@ class Pieces:
             self.lo, self.off = lo[keep], off[keep]
         else:
             self.off = off
+        self.most = int((np.append(self.lo[1:] - 1, self.upper) - self.off).max())
 
     def release(self, a: int) -> None:
         self.off = self.off - a
+        self.most += a
 
     def __call__(self, b: int) -> int:
         return evaluate(self.lo, self.off, b)
@@ -119,18 +134,17 @@ def _row_effect(side: rv.Side, unit: int):
     return effect
 
 
-def _columns(pdf: pd.DataFrame) -> tuple[list, list, list, list]:
-    return (rv._none_list(pdf[rv._K]), [None if pd.isna(v) else int(v) for v in pdf[rv._A].tolist()],
-            rv._none_list(pdf[rv._ST]), rv._none_list(pdf[rv._SRC]))
+def _columns(rows: pa.RecordBatch) -> list[list]:
+    return [rows.column(c).to_pylist() for c in (rv._K, rv._A, rv._ST, rv._SRC)]
 
 
 def _by_partition(batches):
     """(partition number, its rows) in order; a partition may come in several parts."""
-    for pdf in batches:
-        if not pdf.empty:
-            pid = pdf[_PID].to_numpy()
-            for part in np.split(np.arange(len(pid)), np.flatnonzero(np.diff(pid)) + 1):
-                yield int(pid[part[0]]), pdf.iloc[part[0]:part[-1] + 1].reset_index(drop=True)
+    for batch in batches:
+        if batch.num_rows:
+            pid = batch.column(_PID).to_numpy()
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(pid)) + 1).tolist(), len(pid)]):
+                yield int(pid[a]), batch.slice(a, b - a)
 
 
 def _summarize(side: rv.Side, unit: int):
@@ -140,10 +154,10 @@ def _summarize(side: rv.Side, unit: int):
 
     def run(batches):
         out = None
-        for pid, pdf in _by_partition(batches):
-            keys, amts, sts, srcs = _columns(pdf)
+        for pid, rows in _by_partition(batches):
+            keys, amts, sts, srcs = _columns(rows)
             if out is not None and out["pid"] != pid:
-                yield pd.DataFrame([out])
+                yield pa.RecordBatch.from_pylist([out], schema=_SUMMARY)
                 out = None
             if out is None:
                 out = {"pid": pid, "first_key": keys[0], "last_key": None, "single": True, "conf_first": 0,
@@ -183,7 +197,7 @@ def _summarize(side: rv.Side, unit: int):
                 out["last_end"] = int(carry[1])
             out["last_key"] = keys[-1]
         if out is not None:
-            yield pd.DataFrame([out])
+            yield pa.RecordBatch.from_pylist([out], schema=_SUMMARY)
     return run
 
 
@@ -195,13 +209,13 @@ def _pieces(side: rv.Side, unit: int):
         pid = pieces = None
 
         def row():
-            return pd.DataFrame({"pid": [pid], "lo": [pieces.lo.tolist()], "off": [pieces.off.tolist()]})
-        for at, pdf in _by_partition(batches):
+            return pa.RecordBatch.from_pylist([{"pid": pid, "lo": pieces.lo.tolist(), "off": pieces.off.tolist()}], schema=_PIECES)
+        for at, rows in _by_partition(batches):
             if at != pid:
                 if pid is not None:
                     yield row()
-                pid, pieces = at, Pieces(int(pdf["bound"].iloc[0]))
-            for values in zip(*_columns(pdf), strict=True):
+                pid, pieces = at, Pieces(rows.column("bound")[0].as_py())
+            for values in zip(*_columns(rows), strict=True):
                 e = effect(*values)
                 if e is not None and e[0] == "new":
                     pieces.new(e[1])
@@ -260,66 +274,75 @@ def carry_state(parts: pd.DataFrame, initial: int) -> list[tuple]:
     return out
 
 
-def _fold_from_starts(side: rv.Side, unit: int):
+def _fold_from_starts(side: rv.Side, unit: int, kept: list[str]):
+    """Rows sorted by (partition, key, order), with their partition's start -> the columns
+    ``kept`` as they are, FOLD_FIELDS and END."""
     def run(batches):
         carry = pending = pid = None
-        for at, pdf in _by_partition(batches):
+
+        def done() -> pa.RecordBatch:
+            columns, last, _ = pending
+            names = [*kept, *(f.name for f in rv.FOLD_FIELDS), END]
+            columns = [*columns[:-1], pa.array(last, pa.bool_()), columns[-1]]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+        for at, rows in _by_partition(batches):
+            keys, amts, sts, srcs = _columns(rows)
             if at != pid:
                 if pending is not None:
-                    if continues:
-                        pending.iloc[-1, pending.columns.get_loc("is_last")] = False
-                    yield pending
+                    pending[1][-1] &= not continues
+                    yield done()
                     pending = None
-                first = pdf.iloc[0]
-                known = not pd.isna(first["_start_key"])
-                carry = [first["_start_key"], int(first["_start_a"]), int(first["_start_r"])] if known else [object(), 0, 0]
-                continues, pid = first["_continues"] is True or first["_continues"] == True, at  # noqa: E712
-            keys, amts, sts, srcs = _columns(pdf)
+                start, a, r, more = (rows.column(c)[0].as_py() for c in ("_start_key", "_start_a", "_start_r", "_continues"))
+                carry = [object(), 0, 0] if start is None else [start, a, r]
+                continues, pid = more is True, at
             out_status, errors, avail, resv = rv.fold_rows(keys, amts, sts, srcs, side, unit, carry)
-            karr = np.array([("\x00null" if k is None else k) for k in keys], dtype=object)
-            last = np.ones(len(keys), dtype=bool)
-            last[:-1] = karr[1:] != karr[:-1]
-            last &= np.array([k is not None for k in keys])
-            out = pdf.drop(columns=["_start_key", "_start_a", "_start_r", "_continues"]).assign(
-                in_status=pdf[rv._ST], _out_status=out_status, error=errors, _avail=avail, _resv=resv, is_last=last)
+            last = [k is not None and k != after for k, after in zip(keys, [*keys[1:], None], strict=True)]
+            ends, seen = [False] * len(keys), None
+            for i in range(len(keys) - 1, -1, -1):
+                if errors[i] is None and keys[i] != seen:
+                    ends[i], seen = True, keys[i]
             if pending is not None:
-                if pending_key is not None and pending_key == keys[0]:
-                    pending.iloc[-1, pending.columns.get_loc("is_last")] = False
-                yield pending
-            pending, pending_key = out, keys[-1]
+                pending[1][-1] &= pending[2] != keys[0]
+                yield done()
+            columns = [*(rows.column(c) for c in kept), rows.column(rv._ST), pa.array(out_status, pa.string()), pa.array(errors, pa.string()),
+                       pa.array(avail), pa.array(resv), pa.array(ends, pa.bool_())]
+            pending = (columns, last, keys[-1])
         if pending is not None:
-            if continues:
-                pending.iloc[-1, pending.columns.get_loc("is_last")] = False
-            yield pending
+            pending[1][-1] &= not continues
+            yield done()
     return run
 
 
-def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None, start: DataFrame | None = None) -> DataFrame:
+def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = None, start: DataFrame | None = None,
+                  idle: bool = False, ends: bool = False) -> DataFrame:
     """R1/R2 in batch with hot keys spread over many tasks; same result as
     ``reservation.reserve``. ``start``: balances (side.key, available, reserved) that keys
     begin with; each becomes one row before its key's others, so a hot key's rows aren't
-    joined with its balance."""
+    joined with its balance. ``idle``: few keys of ``start`` have no orders, so all are
+    taken without looking them up. ``ends``: add the column END, by which
+    ``reservation.balances`` leaves out most rows."""
     spark = orders.sparkSession
     checkpoint_dir(spark)
     unit = rv.unit_of(side)
     initial = side.initial * unit
     staged = rv.stage(orders, side)
     if start is not None:
-        staged = staged.unionByName(rv.opening_rows(start, staged, side))
+        staged = staged.unionByName(rv.opening_rows(start, staged, side, idle))
     order = [c for c in rv.ORDER if c in staged.columns]
     keys = (rv._K, *order)
     # Without an explicit count AQE may merge adjacent range partitions (they
     # stay contiguous in key order) to its advisory size.
     by_range = staged.repartitionByRange(partitions, *keys) if partitions else staged.repartitionByRange(*keys)
-    ranged = by_range.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id()).checkpoint()
-    narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC, *order)
+    ranged = by_range.withColumn(_PID, F.spark_partition_id()).sortWithinPartitions(_PID, *keys).checkpoint()
+    narrow = ranged.select(_PID, rv._K, rv._A, rv._ST, rv._SRC)
 
     # one row per partition from here to the join
-    parts = parts_of_keys(narrow.mapInPandas(_summarize(side, unit), SUMMARY).checkpoint())
+    parts = parts_of_keys(narrow.mapInArrow(_summarize(side, unit), SUMMARY).checkpoint())
     bounds = parts.groupBy("key").applyInPandas(
         lambda pdf: pd.DataFrame(carry_bounds(pdf, initial), columns=["pid", "bound"]), "pid int, bound long")
-    long_ = narrow.join(bounds.withColumnRenamed("pid", _PID), _PID).sortWithinPartitions(_PID, *order)
-    pieces = long_.mapInPandas(_pieces(side, unit), "pid int, lo array<long>, off array<long>")
+    # sorted as they were stored, which a broadcast join keeps
+    long_ = ranged.join(F.broadcast(bounds.withColumnRenamed("pid", _PID)), _PID).sortWithinPartitions(_PID, *keys)
+    pieces = long_.select(*narrow.columns, "bound").mapInArrow(_pieces(side, unit), "pid int, lo array<long>, off array<long>")
     starts = parts.join(pieces, "pid", "left").groupBy("key").applyInPandas(
         lambda pdf: pd.DataFrame(carry_state(pdf, initial), columns=["pid", "key", "a", "r", "more"]),
         "pid int, key string, a long, r long, more boolean")
@@ -327,9 +350,13 @@ def reserve_split(orders: DataFrame, side: rv.Side, partitions: int | None = Non
         F.max("key").alias("_start_key"), F.max("a").alias("_start_a"), F.max("r").alias("_start_r"),
         F.max("more").alias("_continues")).checkpoint()
 
-    out_schema = T.StructType(list(ranged.schema.fields) + rv.FOLD_FIELDS)
-    folded = ranged.join(starts, _PID, "left").select(*ranged.columns, "_start_key", "_start_a", "_start_r", "_continues")
-    folded = folded.sortWithinPartitions(_PID, *keys).mapInPandas(_fold_from_starts(side, unit), out_schema)
+    working = {_PID, rv._K, rv._A, rv._ST, rv._SRC, "status"}
+    kept = [f for f in ranged.schema.fields if f.name not in working]
+    out_schema = T.StructType([*kept, *rv.FOLD_FIELDS, T.StructField(END, T.BooleanType())])
+    names = [f.name for f in kept]
+    folded = ranged.join(F.broadcast(starts), _PID, "left").sortWithinPartitions(_PID, *keys)
+    folded = folded.select(*names, *narrow.columns, "_start_key", "_start_a", "_start_r", "_continues")
+    folded = folded.mapInArrow(_fold_from_starts(side, unit, names), out_schema)
     if start is not None:
         folded = folded.where(F.col("in_status").isNull() | (F.col("in_status") != rv.OPEN))
-    return rv.unstage(folded, orders.schema, side)
+    return rv.unstage(folded if ends else folded.drop(END), orders.schema, side)

@@ -24,7 +24,7 @@ from ordertide.config import Limits
 from ordertide.operators import decision as dc
 from ordertide.operators import reservation as rv
 from ordertide.operators import routing as rt
-from ordertide.operators.reservation_split import reserve_split
+from ordertide.operators.reservation_split import END, reserve_split
 from ordertide.plans.saga import PAYMENT_DELAY_MOD, STOCK_DELAY_MOD, with_reply_times
 
 #: Slice of orders without a time: before all others.
@@ -73,14 +73,14 @@ def run_interleaved(orders_full: DataFrame, lim: Limits, slice_of: Column, folde
     balances: list[DataFrame | None] = [None, None]
     for k in slices:
         rows = orders.where(F.col("slice") == k).drop("slice")
-        pair = both(lambda i: write(reserve_split(rows, sides[i], start=balances[i]), f"{sides[i].name}/{k}"))
+        pair = both(lambda i: write(reserve_split(rows, sides[i], start=balances[i], idle=True, ends=True), f"{sides[i].name}/{k}"))
         replies = with_reply_times(rt.replies(pair[0]), rt.replies(pair[1]), delays)
         decisions = write(dc.decisions(*replies, lim), f"decisions/{k}")
         ok, _ = rt.split(decisions)
         balances = both(lambda i: write(_balances_after(balances[i], pair[i], ok, sides[i]), f"{sides[i].name}-balance/{k}"))
         decided.append(decisions.withColumn("slice", F.lit(k)))
         for f, df in zip(folds, pair, strict=True):
-            f.append(df.withColumn("slice", F.lit(k)))
+            f.append(df.drop(END).withColumn("slice", F.lit(k)))
 
     def union(parts: list[DataFrame]) -> DataFrame:
         whole = parts[0]
