@@ -32,10 +32,12 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide.llm import grams
@@ -45,13 +47,35 @@ from ordertide.session import checkpoint_dir
 
 COUNTERS = 20
 COUNT_BLOCKS = 16
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 250_000
+#: Bytes of an Arrow batch at most (or one row), and rows of it whose texts and sets a task holds as objects.
+BATCH_BYTES, BATCH_ROWS = 8_000_000, 500
 #: Sets of a region that are pivots for all its sets, and for those after the first MANY in hash order.
 PIVOTS, MORE_PIVOTS, MANY = 1, 3, 64
 #: Sets of a cell in which sets that aren't connected meet each other.
 CELL_ROWS = 20_000
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(a, BATCH_ROWS) for a in range(0, batch.num_rows, BATCH_ROWS))
+
+
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of jobs that run inside are bounded in bytes: texts of thousands of
+    rows, twice a row when pairs are compared, would lie in JVM and Python memory at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's runs of ``words`` words (A-Z taken
     as a-z); of all its words if there are fewer; none without words."""
@@ -83,12 +107,11 @@ def _points(words: int):
     """A row for each document, and the task's shingle counts in COUNT_BLOCKS rows."""
     def run(batches):
         schema, counts = arrow_schema(POINTS), np.zeros(1 << COUNTERS, np.uint32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             rows, ids, hashes, texts = batch.columns
             sets = shingle_sets(texts.to_pylist(), words)
-            for a in range(0, len(sets), 500):
-                some = np.concatenate([np.zeros(0, np.uint64), *sets[a:a + 500]])
-                counts += np.bincount((some >> np.uint64(64 - COUNTERS)).astype(np.int64), minlength=1 << COUNTERS).astype(np.uint32)
+            some = np.concatenate([np.zeros(0, np.uint64), *sets])
+            counts += np.bincount((some >> np.uint64(64 - COUNTERS)).astype(np.int64), minlength=1 << COUNTERS).astype(np.uint32)
             none = [None] * len(sets)
             yield record_batch([none, none, rows, ids, hashes, [_point(s) for s in sets], [len(s) for s in sets]], schema)
         if counts.any():
@@ -131,10 +154,11 @@ def _windows(words: int, percent: int, commonness):
         schema, common = arrow_schema(REGIONS), commonness.value
         for batch in batches:
             seen = set()
-            sets = [s for s in shingle_sets(batch.column(0).to_pylist(), words) if len(s)]
-            for a in range(0, len(sets), 500):
+            for part in _slices(batch):
                 out = []
-                for s in sets[a:a + 500]:
+                for s in shingle_sets(part.column(0).to_pylist(), words):
+                    if not len(s):
+                        continue
                     point = _point(s)
                     if point not in seen:
                         seen.add(point)
@@ -261,7 +285,7 @@ SKETCHES = "point long, sketch binary"
 
 def _sketches(words: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             points, texts = (c.to_pylist() for c in batch.columns)
             yield record_batch([points, [_sketch(s) for s in shingle_sets(texts, words)]], arrow_schema(SKETCHES))
     return run
@@ -375,13 +399,13 @@ def _compare(words: int, percent: int):
     """Rows (a, b, a_text, b_text) sorted by b: exact distances."""
     def run(batches):
         schema, held, held_set = arrow_schema(DISTANCES), None, None
-        for batch in batches:
-            a, b, a_text, b_text = (c.to_pylist() for c in batch.columns)
+        for batch in (part for whole in batches for part in _slices(whole)):
+            a, b, a_text = (c.to_pylist() for c in batch.columns[:3])
             sets = shingle_sets(a_text, words)
             out = []
-            for x, y, s, t in zip(a, b, sets, b_text, strict=True):
+            for x, y, s, t in zip(a, b, sets, batch.column(3), strict=True):
                 if y != held:
-                    held, held_set = y, shingle_sets([t], words)[0]
+                    held, held_set = y, shingle_sets([t.as_py()], words)[0]
                 at = np.minimum(np.searchsorted(held_set, s), len(held_set) - 1)
                 both = int(np.count_nonzero(held_set[at] == s))
                 every = len(s) + len(held_set) - both
@@ -399,6 +423,11 @@ def jaccard_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
     Null, empty or blank text: no shingles, linked with nothing; label is null. Null
     doc_ids take part. Rows of one doc_id are documents of their own. Empty table: no rows."""
+    with _small_batches(docs.sparkSession):  # all jobs on texts run in here
+        return _labelled_rows(docs, words, percent)
+
+
+def _labelled_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     text_hash = F.xxhash64("text").alias("text_hash")
@@ -477,7 +506,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 def _of_point(words: int):
     """Rows whose text has the set that was asked for: rows of one doc_id may differ."""
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             sets = shingle_sets(batch.column(1).to_pylist(), words)
             yield batch.filter(pa.array([_point(s) == p for s, p in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_()))
     return run
